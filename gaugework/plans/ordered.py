@@ -86,3 +86,10 @@ def with_average_rank(df: DataFrame, keys: Sequence[str], value: str, rank: str
         F.col("upto_all").alias(size),
     )
     return attach(df, ranks, [*keys, value])
+
+
+def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], columns: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """``lag`` for groups of any size: number the rows, then join each to its predecessor."""
+    placed = numbered(df, keys, order, "_pos").drop("_pos_all")
+    before = placed.select(*keys, (F.col("_pos") + 1).alias("_pos"), *[F.col(c).alias(f"{prefix}{c}") for c in columns])
+    return placed.join(before, [*keys, "_pos"], "left").drop("_pos")

@@ -24,3 +24,11 @@ def settle(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark, label: str) -> str:
+    """A fresh folder beside the session's checkpoints, for stream stores and state."""
+    import uuid
+
+    settle(spark.range(1))
+    return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
