@@ -45,7 +45,7 @@ def group_statistics(long: DataFrame, keys: Sequence[str], value: str = "value")
     facts = moments.join(centre, keys).join(spread, keys)
     rank = F.col("upto") - (F.col("ties") - 1) / 2
     percentile = F.when(F.col("n") == 1, 50.0).otherwise(F.try_divide(rank - 1, F.col("n") - 1) * 100)
-    return attach(positions, facts, keys).select(*keys, value, *["n", "mean", "variance", "median", "mad"], percentile.alias("percentile"))
+    return attach(positions, facts, keys).select(*keys, value, *["n", "mean", "variance", "median", "mad"], rank.alias("rank"), percentile.alias("percentile"))
 
 
 def standard_scores(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
