@@ -93,3 +93,18 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     placed = numbered(df, keys, order, "_pos").drop("_pos_all")
     before = placed.select(*keys, (F.col("_pos") + 1).alias("_pos"), *[F.col(c).alias(f"{prefix}{c}") for c in columns])
     return placed.join(before, [*keys, "_pos"], "left").drop("_pos")
+
+
+def following(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], column: str, count: int, name: str = "ahead", block: int = 100_000) -> DataFrame:
+    """Add the next ``count`` values of ``column`` as an array, for groups of any size.
+
+    Rows are numbered, cut into blocks of fixed length, and the first ``count`` rows of each block are
+    lent to the previous one, so every window partition holds at most ``block + count`` rows.
+    """
+    placed = numbered(df, keys, order, "_pos").drop("_pos_all")
+    home = F.floor((F.col("_pos") - 1) / block)
+    lent = ((F.col("_pos") - 1) % block < count) & (F.col("_pos") > block)
+    spread = placed.withColumn("_b", F.explode(F.when(lent, F.array(home, home - 1)).otherwise(F.array(home))))
+    w = Window.partitionBy(*keys, "_b").orderBy("_pos").rowsBetween(1, count)
+    looked = spread.withColumn(name, F.collect_list(column).over(w)).where(F.col("_b") == home)
+    return looked.drop("_pos", "_b")
