@@ -112,22 +112,22 @@ def fold_accents(text: Column) -> Column:
 
 
 def person_name(text: Column) -> Column:
-    """Lower case, no accents, titles or suffixes, letters only, single blanks."""
-    # Honorifics and suffixes that are not part of a name.
+    """Lower case, no accents, no titles or degrees, letters and digits only, single blanks."""
+    # Honorifics and degrees that are not part of a name.
     plain = F.lower(fold_accents(F.coalesce(text, F.lit(""))))
-    letters = F.regexp_replace(F.regexp_replace(plain, "[.'’]", ""), "[^a-z]+", " ")
-    bare = F.regexp_replace(letters, r"\b(?:mr|mrs|ms|dr|sir|jr|sr|ii|iii|iv|phd|md|cpa|esq)\b", " ")
-    return F.trim(F.regexp_replace(bare, " +", " "))
+    bare = F.regexp_replace(F.regexp_replace(plain, r"\b(?:dr|mr|mrs|ms|miss|prof|phd|jd|md)\b\.?", " "), "[^a-z0-9]+", " ")
+    return F.array_join(F.filter(F.split(F.trim(bare), " "), lambda t: (t != "") & ~t.isin("ph", "d", "md", "jd", "dvm", "frs")), " ")
 
 
 def name_key(text: Column) -> Column:
-    """Order-free key: sorted tokens longer than one letter."""
-    tokens = F.filter(F.split(person_name(text), " "), lambda t: F.length(t) > 1)
-    return F.array_join(F.array_sort(tokens), " ")
+    """Order-free key: the sorted tokens of the normalised name."""
+    return F.array_join(F.array_sort(F.split(person_name(text), " ")), " ")
 
 
-def person_id(ticker: Column, name: Column) -> Column:
-    return F.concat(F.lit("person_"), F.substring(F.sha2(F.concat_ws("|", F.upper(ticker), name_key(name)), 256), 1, 24))
+def person_id(name: Column, strong_identifier: Column | None = None) -> Column:
+    """Global person id from a strong identifier, else from the order-free name."""
+    seed = name_key(name) if strong_identifier is None else F.coalesce(strong_identifier, name_key(name))
+    return F.concat(F.lit("person:"), F.substring(F.sha2(seed, 256), 1, 20))
 
 
 def company_name(text: Column) -> Column:
