@@ -89,8 +89,9 @@ def annual_statements(annual: DataFrame, key: str) -> DataFrame:
         F.countDistinct(F.when(F.col("metric") != "shares", F.upper("unit"))).alias("_units"),
     ).where(F.col("source_fy").isNotNull())
     newest_first = Window.partitionBy(key).orderBy(F.desc("end"))
-    step = F.greatest(F.lit(1), F.bround(F.datediff(F.lag("end").over(newest_first), F.col("end")) / 365.25).cast("int"))
-    stepped = wide.withColumn("_step", F.coalesce(step, F.lit(0)))
+    newer = F.lag("end").over(newest_first)
+    step = F.when(newer.isNotNull(), F.greatest(F.lit(1), F.bround(F.datediff(newer, F.col("end")) / 365.25).cast("int"))).otherwise(0)
+    stepped = wide.withColumn("_step", step)
     dated = stepped.withColumn("fiscal_year", F.first("source_fy").over(newest_first.rowsBetween(Window.unboundedPreceding, 0)) - F.sum("_step").over(newest_first.rowsBetween(Window.unboundedPreceding, 0)))
 
     def same(*n: str) -> Column:

@@ -298,6 +298,7 @@ ROLE_PATTERNS = (
     ("president", r"(?i)\bpresident\b"), ("CTO", r"(?i)\bchief technology officer\b|\bCTO\b"), ("chief_product_officer", r"(?i)\bchief product officer\b|\bCPO\b"), ("chief_commercial_officer", r"(?i)\bchief commercial officer\b|\bCCO\b"),
     ("general_counsel", r"(?i)\bgeneral counsel\b|\bchief legal officer\b"), ("founder", r"(?i)\bco[- ]?founder\b|\bfounder\b"), ("executive", r"(?i)\bchief\b|\bexecutive officer\b|\bsecretary\b|\btreasurer\b|\bvice president\b"),
 )
+SENTENCE_END = r"(?<=[.!?])(?<!\b(?:Mr|Ms|Mrs|Dr|Jr|Sr|Inc|Co)\.)\s+"
 ROLE_WORDS = r"CEO|chief executive officer|CFO|chief financial officer|COO|chief operating officer|president|chair(?:man|person)?|director|general counsel|executive officer|chief legal officer"
 
 
@@ -704,7 +705,7 @@ def voting_classes(filings: DataFrame) -> DataFrame:
 
 def related_party_sentences(filings: DataFrame) -> DataFrame:
     """Sentences on related-party deals, family ties and interlocks with their kind."""
-    s = filings.select("ticker", F.explode(F.split("text", r"(?<=[.!?])\s+")).alias("sentence"))
+    s = filings.select("ticker", F.explode(F.split("text", SENTENCE_END)).alias("sentence"))
     t = F.lower("sentence")
     kind = F.when(t.rlike(r"family relationship|brother|sister|spouse"), "family").when(t.rlike(r"interlock|compensation committee.*serve"), "interlock").when(t.rlike(r"related[- ](?:party|person)") & t.rlike("transaction|agreement|services|payments|relationship"), "related_party")
     status = F.when(t.rlike(r"there are no|no such transactions|none of|no other person|does not currently serve|no family"), "NO").otherwise("YES")
@@ -717,7 +718,7 @@ def role_changes(filings: DataFrame) -> DataFrame:
     ``filings``: ticker, accession, text.
     """
     section = F.regexp_extract("text", r"(?is)\bitem\s+5\.02\b(.*?)(?:\bitem\s+\d+\.\d+\b|\bsignatures?\b|$)", 1)
-    s = filings.select("ticker", "accession", F.posexplode(F.split(section, r"(?<=[.!?])\s+")).alias("sentence_no", "sentence"))
+    s = filings.select("ticker", "accession", F.posexplode(F.split(section, SENTENCE_END)).alias("sentence_no", "sentence"))
     t = F.col("sentence")
     role = F.regexp_extract(t, rf"(?i)\b({ROLE_WORDS})\b", 1)
     kind = F.when(t.rlike("(?i)resign|retir|depart|ceased"), "departure").when(t.rlike("(?i)interim"), "interim_appointment").when(t.rlike("(?i)appoint|appointment"), "appointment")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gaugework.functions import rules as R
 from gaugework.functions import text as tx
 from gaugework.plans.joins import attach
+from gaugework.plans.settle import settle
 
 # Match thresholds, period kinds that hold actual results, and subjects worth a state of their own.
 MATCH_THRESHOLD, LOOSE_THRESHOLD = 0.52, 0.42
@@ -156,7 +157,8 @@ def compare_periods(claims: DataFrame, matcher: Matcher = match_claims, keep_new
     ``matcher`` may be replaced; ``keep_new`` filters which unmatched current claims are worth a change.
     Returns (changes, members): members are (change_id, claim_id, side) rows.
     """
-    pairs = described(period_pair(claims))
+    # Described claims and judged pairs feed several branches each; the text rules run once.
+    pairs = settle(described(period_pair(claims)))
     sign = F.when(F.col("direction").isin(*R.POSITIVE_DIRECTIONS), 1).when(F.col("direction").isin(*R.NEGATIVE_DIRECTIONS), -1).otherwise(0)
     signed = pairs.withColumn("_sign", sign)
     side = lambda s, v: F.max((F.col("side") == s) & (F.col("_sign") == v))
@@ -169,10 +171,11 @@ def compare_periods(claims: DataFrame, matcher: Matcher = match_claims, keep_new
     groups = groups.withColumn("_mixed", mixed)
     flagged = attach(pairs, groups.select("ticker", "base_key", "_mixed"), ["ticker", "base_key"], how="inner")
     rest = flagged.where(~F.col("_mixed")).drop("_mixed")
-    matched = matcher(rest)
+    matched = settle(matcher(rest))
     columns = ["claim_id", "evidence_text", "dimension", "direction", "certainty", "metric", "unit", "tokens", "topic", "subject"]
     packed = lambda name, s: rest.where(F.col("side") == s).select(F.col("claim_id").alias(f"_{name}"), F.struct(*columns).alias(name))
-    judged = matched.where(F.col("previous_id").isNotNull()).withColumnsRenamed({"claim_id": "_c", "previous_id": "_p"}).join(packed("c", "current"), "_c").join(packed("p", "previous"), "_p").withColumn("k", classify_change())
+    judged = matched.where(F.col("previous_id").isNotNull()).withColumnsRenamed({"claim_id": "_c", "previous_id": "_p"}).join(packed("c", "current"), "_c").join(packed("p", "previous"), "_p")
+    judged = settle(judged.withColumn("k", classify_change()))
     real = judged.where(~F.col("k.change_type").isin("rejected", "insufficient_evidence"))
     change_id = lambda *parts: tx.stable_id("tch_", **{f"p{i}": x for i, x in enumerate(parts)})
     pair_changes = real.select(
