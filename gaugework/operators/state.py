@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -62,36 +62,43 @@ def match_claims(pairs: DataFrame) -> DataFrame:
     Returns (ticker, base_key, claim_id, previous_id, score, incompatible).
     """
     need = pairs.select("ticker", "base_key", "side", "claim_id", "unit", "tokens", "dimension", "subject")
+    names = ["ticker", "base_key", "claim_id", "previous_id", "score", "incompatible"]
 
-    def greedy(group: pd.DataFrame) -> pd.DataFrame:
-        before = [(r.claim_id, r.unit, set(r.tokens)) for r in group[group["side"] == "previous"].sort_values("claim_id").itertuples(index=False)]
-        used: set[str] = set()
-        out = []
-        for row in group[group["side"] == "current"].sort_values("claim_id").itertuples(index=False):
-            mine, best, clash = set(row.tokens), (None, -1.0), False
-            for pid, unit, tokens in before:
-                if pid in used:
+    def greedy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows arrive sorted by group, previous claims first, so only one group's previous side is held."""
+        group, before, used = None, [], set()
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                if (row.ticker, row.base_key) != group:
+                    group, before, used = (row.ticker, row.base_key), [], set()
+                mine = set(row.tokens)
+                if row.side == "previous":
+                    before.append((row.claim_id, row.unit, mine))
                     continue
-                if unit and row.unit and unit != row.unit:
-                    clash = True
-                    continue
-                union = mine | tokens
-                alike = len(mine & tokens) / len(union) if mine and tokens else 0.0
-                score = 0.35 + (0.25 if unit and unit == row.unit else 0.0) + min(0.40, alike)
-                if score > best[1]:
-                    best = (pid, score)
-            loose = row.dimension in LOOSE_DIMENSIONS and row.subject in LOOSE_SUBJECTS
-            if best[0] is not None and best[1] >= (LOOSE_THRESHOLD if loose else MATCH_THRESHOLD):
-                used.add(best[0])
-                out.append((row.ticker, row.base_key, row.claim_id, best[0], best[1], False))
-            else:
-                out.append((row.ticker, row.base_key, row.claim_id, None, None, clash))
-        return pd.DataFrame(out, columns=["ticker", "base_key", "claim_id", "previous_id", "score", "incompatible"])
+                best, clash = (None, -1.0), False
+                for pid, unit, tokens in before:
+                    if pid in used:
+                        continue
+                    if unit and row.unit and unit != row.unit:
+                        clash = True
+                        continue
+                    union = len(mine | tokens)
+                    alike = len(mine & tokens) / union if mine and tokens else 0.0
+                    score = 0.35 + (0.25 if unit and unit == row.unit else 0.0) + min(0.40, alike)
+                    if score > best[1]:
+                        best = (pid, score)
+                loose = row.dimension in LOOSE_DIMENSIONS and row.subject in LOOSE_SUBJECTS
+                if best[0] is not None and best[1] >= (LOOSE_THRESHOLD if loose else MATCH_THRESHOLD):
+                    used.add(best[0])
+                    out.append((*group, row.claim_id, best[0], best[1], False))
+                else:
+                    out.append((*group, row.claim_id, None, None, clash))
+            yield pd.DataFrame(out, columns=names)
 
     types = {f.name: f.dataType.simpleString() for f in need.schema.fields}
-    return need.groupBy("ticker", "base_key").applyInPandas(
-        greedy, f"ticker {types['ticker']}, base_key string, claim_id {types['claim_id']}, previous_id {types['claim_id']}, score double, incompatible boolean"
-    )
+    placed = need.repartition("ticker", "base_key").sortWithinPartitions("ticker", "base_key", F.desc("side"), "claim_id")
+    return placed.mapInPandas(greedy, f"ticker {types['ticker']}, base_key string, claim_id {types['claim_id']}, previous_id {types['claim_id']}, score double, incompatible boolean")
 
 
 def _rank(direction: Column) -> Column:

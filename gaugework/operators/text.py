@@ -166,18 +166,23 @@ def drop_near_duplicates(claims: DataFrame, key: str, share: float = 0.70) -> Da
     numeric = claims.where(F.size("magnitude") > 0).select(key, "dimension", F.to_json("magnitude").alias("_m"), "start_char", "sentence")
     kind = claims.schema[key].dataType.simpleString()
 
-    def keep(group: pd.DataFrame) -> pd.DataFrame:
-        seen: list[set[str]] = []
-        chosen = []
-        for row in group.sort_values("start_char").itertuples(index=False):
-            tokens = {t for t in re.findall(r"[a-z0-9]+", row.sentence.lower()) if t not in stop and len(t) > 2}
-            if tokens and any(p and len(tokens & p) / min(len(tokens), len(p)) >= share for p in seen):
-                continue
-            seen.append(tokens)
-            chosen.append(row.start_char)
-        return pd.DataFrame({key: group[key].iloc[0], "dimension": group["dimension"].iloc[0], "start_char": chosen})
-
-    survivors = numeric.groupBy(key, "dimension", "_m").applyInPandas(keep, f"{key} {kind}, dimension string, start_char int")
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows arrive sorted by group and position; only the kept token sets of one group are held."""
+        current, seen = None, []
+        for batch in batches:
+            chosen = []
+            for doc, dimension, amount, start, sentence in batch.itertuples(index=False, name=None):
+                if (doc, dimension, amount) != current:
+                    current, seen = (doc, dimension, amount), []
+                tokens = {t for t in re.findall(r"[a-z0-9]+", sentence.lower()) if t not in stop and len(t) > 2}
+                if tokens and any(p and len(tokens & p) / min(len(tokens), len(p)) >= share for p in seen):
+                    continue
+                seen.append(tokens)
+                chosen.append((doc, dimension, start))
+            yield pd.DataFrame(chosen, columns=[key, "dimension", "start_char"])
+
+    placed = numeric.repartition(key, "dimension", "_m").sortWithinPartitions(key, "dimension", "_m", "start_char")
+    survivors = placed.mapInPandas(keep, f"{key} {kind}, dimension string, start_char int")
     plain = claims.where(F.size("magnitude") == 0)
     return plain.unionByName(claims.where(F.size("magnitude") > 0).join(survivors, [key, "dimension", "start_char"], "left_semi"))
 

@@ -21,7 +21,12 @@ def connected(links: DataFrame, row: str, key: str, rounds: int = 50) -> DataFra
     for _ in range(rounds):
         by_key = attach(edges, labels, [row]).groupBy(key).agg(F.min("root").alias("root"))
         better = attach(edges, by_key, [key]).groupBy(row).agg(F.min("root").alias("better"))
-        moved = settle(labels.join(better, row).select(row, F.least("root", "better").alias("root"), (F.col("better") < F.col("root")).alias("_moved")))
+        seen = settle(labels.join(better, row))
+        # The old root learns what its members saw, then every row jumps to its root's root: long chains halve per round.
+        hooked = seen.groupBy("root").agg(F.min("better").alias("hook")).withColumnRenamed("root", row)
+        stepped = seen.join(hooked, row, "left").select(row, F.col("root").alias("old"), F.least("root", "better", "hook").alias("root"))
+        parents = stepped.select(F.col(row).alias("root"), F.col("root").alias("parent"))
+        moved = settle(attach(stepped, parents, ["root"]).select(row, F.least("root", "parent").alias("root"), (F.least("root", "parent") < F.col("old")).alias("_moved")))
         labels = moved.drop("_moved")
         if moved.where("_moved").limit(1).count() == 0:
             return labels
