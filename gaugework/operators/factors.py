@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.functions.numbers import clamp, joined_reasons
+from gaugework.functions.numbers import clamp
 from gaugework.plans.joins import attach
 
 # --- fixed values: label maps, bands, pillars and factors of the published profile -----------------------------

@@ -6,13 +6,13 @@ into holds at most the number of fiscal years; every feature is a column express
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugework.functions.numbers import clamp, close_to, joined_reasons, present_mean, safe_div
-from gaugework.operators.crosssection import group_statistics, melt
+from gaugework.functions.numbers import clamp, close_to, joined_reasons, present_mean
+from gaugework.operators.crosssection import group_statistics
 from gaugework.params import HistoryParams
 from gaugework.plans.joins import attach, latest_per_key
 from gaugework.plans.ordered import numbered

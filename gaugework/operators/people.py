@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.functions import text as tx
@@ -585,16 +585,22 @@ def commitment_outcomes(commitments: DataFrame, claims: DataFrame) -> DataFrame:
     """Last later claim of the ticker that shares two long words decides the outcome; silence is UNRESOLVED.
 
     ``commitments``: commitment_id, ticker, commitment_text, commitment_date, source_claim_id; ``claims``: claim_id, ticker,
-    evidence_text, document_date. Commitments and claims meet on (ticker, word), salted; only pairs with two shared words remain.
+    evidence_text, document_date. Claims are reduced to the latest one per (ticker, word pair) before they meet the
+    commitments, so a frequent word never pairs every claim with every commitment.
     """
     def words(text: str) -> Column:
         return F.array_distinct(F.filter(F.regexp_extract_all(F.lower(text), F.lit("([a-z]{4,})"), 1), lambda t: ~t.isin(*COMMITMENT_STOPWORDS)))
 
-    wanted = commitments.withColumn("word", F.explode(F.slice(words("commitment_text"), 1, 12))).select("commitment_id", "ticker", "commitment_date", "source_claim_id", "word")
-    said = claims.select("ticker", F.col("claim_id").alias("later_id"), "document_date", F.explode(words("evidence_text")).alias("word"))
-    shared = attach(said, wanted, ["ticker", "word"], how="inner").where((F.col("document_date") > F.col("commitment_date")) & (F.col("later_id") != F.coalesce("source_claim_id", F.lit(""))))
-    pairs = shared.groupBy("commitment_id", "later_id", "document_date").agg(F.count("*").alias("n")).where("n >= 2")
-    last = pairs.groupBy("commitment_id").agg(F.max_by("later_id", F.struct("document_date", "later_id")).alias("claim_id"), F.max("document_date").alias("outcome_date"))
+    def word_pairs(column: str) -> Column:
+        return F.explode(F.expr(f"flatten(transform({column}, (a, i) -> transform(slice({column}, i + 2, size({column})), b -> concat(a, ' ', b))))"))
+
+    wanted = commitments.withColumn("_w", F.array_sort(F.slice(words("commitment_text"), 1, 12)))
+    vocabulary = wanted.select("ticker", F.explode("_w").alias("word")).distinct()
+    said = attach(claims.select("ticker", "claim_id", "document_date", F.explode(words("evidence_text")).alias("word")), vocabulary, ["ticker", "word"], how="inner")
+    known = said.groupBy("ticker", "claim_id", "document_date").agg(F.array_sort(F.collect_set("word")).alias("_w")).where(F.size("_w") >= 2)
+    latest = known.select("ticker", "claim_id", "document_date", word_pairs("_w").alias("pair")).groupBy("ticker", "pair").agg(F.max(F.struct("document_date", "claim_id")).alias("m"))
+    met = attach(wanted.select("commitment_id", "ticker", "commitment_date", word_pairs("_w").alias("pair")), latest, ["ticker", "pair"], how="inner").where(F.col("m.document_date") > F.col("commitment_date"))
+    last = met.groupBy("commitment_id").agg(F.max("m").alias("m")).select("commitment_id", F.col("m.claim_id").alias("claim_id"), F.col("m.document_date").alias("outcome_date"))
     e = F.lower("evidence_text")
     status = (
         F.when(F.col("claim_id").isNull(), "UNRESOLVED").when(e.rlike(r"\b(?:launched|completed|closed|achieved|delivered|approved|initiated|implemented)\b"), "ACHIEVED").when(e.rlike("delay|later|rescheduled"), "DELAYED")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.functions.dates import same_day_last_year
-from gaugework.functions.numbers import close_to, equal_within, finite
+from gaugework.functions.numbers import close_to, finite
 from gaugework.plans.joins import latest_per_key
 
 
@@ -58,8 +58,8 @@ def pair_values(series: DataFrame, pairs: DataFrame) -> DataFrame:
             F.max(F.when(F.col("side") == "y", F.col("value"))).alias("yv"),
         )
     )
-    # The grid is (registered pairs) x (calendar dates): both are dimension-sized.
-    grid = pairs.select("pair_id").crossJoin(dates)
+    # The published matrix is (registered pairs) x (calendar dates); the dates are at most one row per day.
+    grid = pairs.select("pair_id").crossJoin(F.broadcast(dates))
     return grid.join(held, ["pair_id", "obs_date"], "left").select(
         "pair_id", "obs_date", finite(F.col("xv")).alias("xv"), finite(F.col("yv")).alias("yv")
     )
@@ -222,7 +222,8 @@ def score_trace(pairs: DataFrame, window: int) -> DataFrame:
 def on_output_grid(results: DataFrame, grid: DataFrame) -> DataFrame:
     """Align results to a given date grid (``obs_date``)."""
     keys = results.select("pair_id").distinct()
-    return keys.crossJoin(grid.select("obs_date").distinct()).join(results, ["pair_id", "obs_date"], "left")
+    # The grid holds at most one row per calendar day.
+    return keys.crossJoin(F.broadcast(grid.select("obs_date").distinct())).join(results, ["pair_id", "obs_date"], "left")
 
 
 def dates_missing_from_grid(series: DataFrame, grid: DataFrame) -> DataFrame:
@@ -350,7 +351,7 @@ def month_end_selection(records: DataFrame) -> DataFrame:
 
 def selection_reasons(selected: DataFrame, months: DataFrame, series: DataFrame) -> DataFrame:
     """Why each cell of the (series, month end) grid has its value or none."""
-    grid = series.select("series").distinct().crossJoin(months.select("row_date").distinct())
+    grid = series.select("series").distinct().crossJoin(F.broadcast(months.select("row_date").distinct()))
     joined = grid.join(selected, ["series", "row_date"], "left")
     why = (
         F.when(F.col("value").isNull(), "no eligible observation released by the row date")
@@ -416,7 +417,7 @@ def month_grid(series: DataFrame, existing: DataFrame | None = None) -> DataFram
     months = span.select(
         F.explode(F.sequence(F.trunc("a", "MM"), F.trunc("b", "MM"), F.expr("interval 1 month"))).alias("m")
     ).select(F.last_day("m").alias("row_date"))
-    grid = series.select("series").distinct().crossJoin(months)
+    grid = series.select("series").distinct().crossJoin(F.broadcast(months))
     filled = grid.join(series.select("series", "row_date", "value"), ["series", "row_date"], "left")
     if existing is None:
         return filled

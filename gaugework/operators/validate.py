@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions.numbers import finite
 from gaugework.plans.joins import attach, latest_per_key
-from gaugework.plans.ordered import medians, numbered, running_totals, value_positions, with_previous
+from gaugework.plans.ordered import medians, numbered, value_positions, with_previous
 
 # Public-availability fields in order of preference; seed and thresholds of the validation profile.
 AVAILABILITY_FIELDS = ["filing_date", "publication_date", "source_date", "retrieved_at", "event_date", "issued_date", "commitment_date", "created_at"]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from gaugework.functions.dates import date_error, strict_date
 from gaugework.functions.numbers import strict_number
-from gaugework.plans.joins import latest_per_key
+from gaugework.plans.joins import attach, latest_per_key
 from gaugework.plans.ordered import with_previous
 
 
@@ -125,9 +125,11 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, identity: Sequence[
     ident = F.sha2(F.to_json(F.struct(*[F.col(c) for c in identity]), {"ignoreNullFields": "false"}), 256)
     old = stored.withColumns({"_mark": mark, "_ident": ident})
     new = incoming.select(*stored.columns).withColumns({"_mark": mark, "_ident": ident})
-    replaced = old.join(new.select("_ident", F.col(key).alias("_new_key")).distinct(), "_ident").where(F.col(key) != F.col("_new_key"))
-    gone = replaced.select(key).distinct()
-    takes_over = replaced.select(F.col("_new_key").alias(key), F.lit(True).alias("_takes")).distinct()
+    # One identity may be shared by many copies, so each side meets only the other side's key range, never its rows.
+    bounds = lambda df, p: df.groupBy("_ident").agg(F.min(key).alias(f"_lo{p}"), F.max(key).alias(f"_hi{p}"))
+    other = lambda p: (F.col(f"_lo{p}") != F.col(key)) | (F.col(f"_hi{p}") != F.col(key))
+    gone = attach(old, bounds(new, "n"), ["_ident"], how="inner").where(other("n")).select(key).distinct()
+    takes_over = attach(new, bounds(old, "o"), ["_ident"], how="inner").where(other("o")).select(key).distinct().withColumn("_takes", F.lit(True))
     remaining = old.join(gone, key, "left_anti")
     right = new.select(F.col(key), F.col("_mark").alias("_new_mark"), F.struct(*stored.columns).alias("_new"))
     both = remaining.select(F.col(key), F.col("_mark").alias("_old_mark"), F.struct(*stored.columns).alias("_old")).join(right, key, "full").join(takes_over, key, "left")
