@@ -10,10 +10,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
+    from gaugework.plans.settle import use_own_folder_if_local
+
     session = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    use_own_folder_if_local(session)
     yield session
     session.stop()
