@@ -1,14 +1,57 @@
-"""Corpus pipeline: the stages in order, each reading what the one before it kept."""
+"""Corpus pipeline: five stages in order, each working on all rows the one before it kept.
+
+Documents that the classifier rejects go; repeated lines go everywhere but once; one document of each
+near-duplicate group stays; sources are mixed to their target weights, so a document may stand twice
+or not at all; what is left is packed into sequences. Every stage but the last returns the columns of its input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugework.llm import lines, mixing, neardup, packing, toxicity
+from gaugework.llm.common import scratch_folder, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(docs).drop("n_lines", "n_removed")
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(docs))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-#: A trained classifier, edit distances and a greedy packing are not SQL.
+#: A trained classifier, signatures and a greedy packing are not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``, each written as Parquet beside the checkpoints and read again."""
+    home = scratch_folder(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{home}/{name}")
+        docs = spark.read.parquet(f"{home}/{name}")
+    return docs

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gaugework.llm import mixing, neardup, packing, rules, sharding, tokens
+from gaugework.llm import html, lines, mixing, neardup, packing, rules, sharding, tokens, toxicity, vectors
 from gaugework.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +52,23 @@ def _systematic_mix(spark, folder):
 @query("op8_token_counts")
 def _token_counts(spark, folder):
     return tokens.token_counts(table(spark, folder, "documents"))
+
+
+@query("op5_host_suffix_extraction")
+def _host_suffix_extraction(spark, folder):
+    return html.extract_main_text(table(spark, folder, "pages"))
+
+
+@query("op6_counterfactual_toxicity")
+def _counterfactual_toxicity(spark, folder):
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op9_int8_near_vectors")
+def _int8_near_vectors(spark, folder):
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op10_fuzzy_line_dedup")
+def _fuzzy_line_dedup(spark, folder):
+    return lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))

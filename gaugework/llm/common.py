@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugework.plans.settle import settle  # noqa: F401
+from gaugework.plans.settle import scratch_folder, settle  # noqa: F401
 
 #: ASCII white space; a word is a run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import settle
@@ -34,31 +34,30 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("item"), F.col("v").alias("root")).union(roots)
 
 
-def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(item, root) of the groups of items joined by verified pairs; items without a verified pair are left out.
 
-    ``buckets`` (bucket, item) proposes pairs: any two items that share a bucket. ``verify`` takes distinct
-    pairs (a, b) and returns those that are similar. Two passes give the groups of *all* proposed pairs
-    without writing out the pairs of a large group: (1) every member against the smallest item of each of
-    its buckets; (2) in buckets whose members still lie in different groups, members outside the bucket's
-    first group against the members of other groups. Pairs inside one group cannot change it and
-    are never formed; every other proposed pair is verified.
+    ``buckets`` (bucket, item and, with ``near``, mark) proposes pairs: two items that share a bucket and whose
+    marks are ``near``. ``verify`` takes distinct pairs (a, b) and returns those that are similar. Two passes give
+    the groups of *all* proposed pairs without writing out the pairs of a large group: (1) every member
+    against the smallest item of each of its buckets; (2) in buckets whose members still lie in different groups,
+    the members outside the first item's group against the members of other groups. Pairs inside one group
+    cannot change it and are never formed; every other proposed pair is verified.
     """
-    shared = buckets.groupBy("bucket").agg(F.min("item").alias("hub"), F.max("item").alias("top")).where("hub <> top").select("bucket", "hub")
-    members = settle(buckets.join(shared, "bucket"))
-    star = members.where("item <> hub").select(F.col("hub").alias("a"), F.col("item").alias("b")).distinct()
+    if near is None:
+        buckets, near = buckets.withColumn("mark", F.lit(None).cast("int")), lambda _a, _b: F.lit(True)
+    hubs = buckets.groupBy("bucket").agg(F.min("item").alias("hub"), F.max("item").alias("top"), F.min_by("mark", "item").alias("hub_mark"))
+    members = settle(buckets.join(hubs.where("hub <> top").drop("top"), "bucket"))
+    star = members.where(F.col("item") != F.col("hub")).where(near(F.col("mark"), F.col("hub_mark"))).select(F.col("hub").alias("a"), F.col("item").alias("b")).distinct()
     first = settle(verify(star).select("a", "b"))
     groups = components(first)
-    known = members.join(groups, "item", "left").select("bucket", "item", "hub", F.coalesce("root", "item").alias("root"))
-    known = settle(known)
-    # A bucket of one hub group and single strangers needs only strangers against all; the hub was tested already.
+    known = settle(members.join(groups, "item", "left").select("bucket", "item", "mark", "hub", F.coalesce("root", "item").alias("root")))
     lead = known.where("item = hub").select("bucket", F.col("root").alias("lead"))
-    placed = known.join(lead, "bucket")
-    apart = placed.where("root <> lead").select("bucket", F.col("item").alias("a"), F.col("root").alias("ra"))
-    open_buckets = apart.groupBy("bucket").agg(F.count("*").alias("n"))
-    others = placed.where("item <> hub").join(open_buckets, "bucket").select("bucket", F.col("item").alias("b"), F.col("root").alias("rb"), "lead")
-    # Strangers meet each other once (a < b); a stranger meets the lead group's members always.
-    cross = apart.join(others, "bucket").where((F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("lead")) | (F.col("a") < F.col("b"))))
-    rest = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = verify(rest).select("a", "b")
-    return components(settle(first.union(second)))
+    apart = known.join(lead, "bucket").where("root <> lead").select("bucket", F.col("item").alias("a"), F.col("mark").alias("ma"), F.col("root").alias("ra"), "lead")
+    others = known.where("item <> hub").select("bucket", F.col("item").alias("b"), F.col("mark").alias("mb"), F.col("root").alias("rb"))
+    # Two strangers to the lead group meet once (a < b); a stranger meets each member of the lead group.
+    meet = (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("lead")) | (F.col("a") < F.col("b"))) & near(F.col("ma"), F.col("mb"))
+    rest = settle(apart.join(others, "bucket").where(meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if rest.isEmpty():
+        return groups
+    return components(settle(first.union(verify(rest).select("a", "b"))))

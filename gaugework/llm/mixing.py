@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import WORD, numbered, running_sum, settle
@@ -42,7 +44,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, volume:
     return settle(table.select("source", "source_size", target.cast("double").alias("target")))
 
 
-def systematic_copies(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = WEIGHTS, volume: float = VOLUME, cap: int = CAP) -> DataFrame:
+def systematic_copies(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] = WEIGHTS, volume: float = VOLUME, cap: int = CAP, keep: Sequence[str] = ()) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken, one row per row of ``docs``.
 
     Expected copies of a document are its source's target over its source's words. Inside a source the documents
@@ -53,9 +55,9 @@ def systematic_copies(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] =
 
     A source with a third of all rows is summed over a third of the tasks. NULL texts and texts without a word
     have size 0. A NULL source is a source of its own. Repeated rows are sampled one by one. An empty table
-    gives no row. Columns of ``docs`` must be doc_id, text and source; others are left out of the result.
+    gives no row. Columns of ``docs`` are doc_id, text and source, and those named in ``keep``; others are left out.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *keep)
     rows = settle(rows)
     targets = source_targets(rows, weights, volume, cap)
     rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * UNIT + 0.5)).otherwise(F.lit(0)).cast("long")
@@ -65,4 +67,19 @@ def systematic_copies(docs: DataFrame, seed: int = 7, weights: tuple[int, ...] =
     keyed = rated.withColumn("mark", mark).withColumn("absent", F.col("source").isNull()).withColumn("origin", F.coalesce("source", F.lit("")))
     summed = running_sum(keyed, ["absent", "origin"], ["size", "mark"], "rate", "upto")
     copies = F.shiftright(F.col("upto") + F.col("offset"), 24) - F.shiftright(F.col("upto") - F.col("rate") + F.col("offset"), 24)
-    return summed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return summed.select(*keep, "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with each row as often as the systematic sample takes it; columns as they are.
+
+    The sample runs over narrow rows and its counts come back by doc_id and checksum. Rows equal in both share their
+    copies as evenly as whole numbers allow.
+    """
+    key = ["_id", "_sum"]
+    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_sum", F.xxhash64("doc_id", "text"))
+    taken = systematic_copies(marked, keep=key, **options).groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0")
+    # Both the join and the window use the key's partitioning, so texts are shuffled once.
+    placed = marked.join(taken, key).withColumn("_turn", F.row_number().over(Window.partitionBy(*key).orderBy("source")))
+    times = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_turn") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+    return placed.withColumn("_time", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(docs.columns)
