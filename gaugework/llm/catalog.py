@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugework.llm import html, lines, mixing, neardup, packing, rules, sharding, tokens, toxicity, vectors
+from gaugework.llm import html, lines, mixing, neardup, packing, rules, sharding, statements, tokens, toxicity, vectors
 from gaugework.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,12 +28,12 @@ def _near_duplicates(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
-@query("op2_hilbert_shards")
+@query("op2_hilbert_shards", statements.shards(sharding.DIMENSIONS))
 def _hilbert_shards(spark, folder):
     return sharding.hilbert_shards(table(spark, folder, "documents")).drop("curve", *sharding.DIMENSIONS)
 
 
-@query("op3_rule_ledger")
+@query("op3_rule_ledger", statements.RULES)
 def _rule_ledger(spark, folder):
     book = rules.apply_policy(rules.ledger(table(spark, folder, "documents")), "v2")
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
@@ -44,7 +44,7 @@ def _certified_packing(spark, folder):
     return packing.pack(packing.token_pieces(table(spark, folder, "documents")))
 
 
-@query("op7_systematic_mix")
+@query("op7_systematic_mix", statements.MIX)
 def _systematic_mix(spark, folder):
     return mixing.systematic_copies(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -64,7 +64,7 @@ def _counterfactual_toxicity(spark, folder):
     return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-@query("op9_int8_near_vectors")
+@query("op9_int8_near_vectors", statements.VECTORS)
 def _int8_near_vectors(spark, folder):
     return vectors.near_vectors(table(spark, folder, "embeddings"))
 

@@ -19,6 +19,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def packed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` and one struct ``_rest`` of all others, so that no name of the caller can clash inside an operator."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*[F.col(f"`{c}`") for c in columns], (F.struct(*others) if others else F.lit(None).cast("int")).alias("_rest"))
+
+
+def unpacked(columns: Sequence[str], kept: Sequence[str]) -> list[Column]:
+    """The ``columns`` of the packed frame's origin, in order; ``kept`` stand outside the struct."""
+    return [F.col(c) if c in kept else F.col("_rest").getField(c).alias(c) for c in columns]
+
+
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:
     """Global row number from 0 in ``order``; native, no task sees more than one range.
 

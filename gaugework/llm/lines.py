@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import id_bitmap, in_bitmap, settle
+from gaugework.llm.common import id_bitmap, in_bitmap, packed, settle, unpacked
 from gaugework.llm.linking import link
 from gaugework.llm.words import batches, mix, word_hashes
 
@@ -141,15 +141,14 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, distance: int =
 
     Lines without a letter or digit, NULL texts and rows with a NULL doc_id are left as they are and are nobody's
     first occurrence. Rows that share a doc_id are one document: a repeated row keeps what its twin keeps. Columns
-    of ``docs`` keep their names and order; an empty table gives no row.
+    of ``docs`` keep their names and order, but n_lines and n_removed are replaced; an empty table gives no row.
     """
     gone = dropped_lines(docs, similarity, distance, agree).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left")
+    joined = packed(docs, ["doc_id", "text"]).join(gone, F.col("doc_id") == F.col("_doc"), "left")
     pieces = F.split("text", "\n", -1)
     cut = F.array_join(F.filter(pieces, lambda _line, i: ~F.array_contains("_gone", i)), "\n")
-    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(pieces))
-    return joined.select(
-        *[F.when(F.col("_gone").isNotNull(), cut).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        n.cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
-    )
+    lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(pieces)).cast("long")
+    removed = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long")
+    done = joined.select("doc_id", F.when(F.col("_gone").isNotNull(), cut).otherwise(F.col("text")).alias("text"), "_rest", lines.alias("_lines"), removed.alias("_removed"))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return done.select(*unpacked(columns, ["doc_id", "text"]), F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import WORD, numbered, running_sum, settle
+from gaugework.llm.common import WORD, numbered, packed, running_sum, settle, unpacked
 
 #: Expected copies are whole multiples of 2^-24: sums stay exact in 64 bits up to 2^38 documents a source.
 UNIT = 1 << 24
@@ -77,9 +77,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     copies as evenly as whole numbers allow.
     """
     key = ["_id", "_sum"]
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_sum", F.xxhash64("doc_id", "text"))
+    own = ["doc_id", "text", "source"]
+    marked = packed(docs, own).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_sum", F.xxhash64("doc_id", "text"))
     taken = systematic_copies(marked, keep=key, **options).groupBy(*key).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0")
     # Both the join and the window use the key's partitioning, so texts are shuffled once.
     placed = marked.join(taken, key).withColumn("_turn", F.row_number().over(Window.partitionBy(*key).orderBy("source")))
     times = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_turn") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    return placed.withColumn("_time", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(docs.columns)
+    return placed.withColumn("_time", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*unpacked(docs.columns, own))

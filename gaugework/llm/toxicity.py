@@ -209,4 +209,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose score is at least 0.5; columns as they are."""
     model = train(docs, labels, **options)
-    return docs.withColumn("_toxicity", score_column(model)).where("_toxicity < 0.5").select(docs.columns)
+    return docs.where(score_column(model) < 0.5)
