@@ -200,12 +200,20 @@ def _(spark, folder):
     return pe.build_tenures(a, day("2002-01-01")).select("ticker", "canonical_role", C("start_date").cast("string").alias("start_date"), "assertions", "is_current")
 
 
-@query("linked_people", "SELECT 'm' || c_custkey AS person_id, CASE WHEN c_custkey % 3 < 2 THEN 'i' || c_custkey END AS insider_id, CASE c_custkey % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'probable' END AS confidence FROM customer WHERE c_custkey % 3 < 2")
+@query(
+    "linked_people",
+    """WITH k AS (SELECT c_custkey AS k FROM customer) SELECT 'm' || k AS person_id, 'i' || k AS insider_id, CASE WHEN k % 3 = 0 THEN 'issuer_exact_name' ELSE 'issuer_name_variant' END || CASE WHEN k % 2 = 0 THEN '+owner_cik' ELSE '' END AS method,
+      CASE WHEN k % 5 = 0 THEN 'ambiguous' WHEN k % 2 = 0 THEN 'high' ELSE 'probable' END AS confidence FROM k WHERE k % 3 < 2
+    UNION ALL SELECT 'm' || k, 'j' || k, 'issuer_name_variant', CASE WHEN k % 3 < 2 THEN 'ambiguous' ELSE 'probable' END FROM k WHERE k % 5 = 0""",
+)
 def _(spark, folder):
     c = table(spark, folder, "customer").select(C("c_custkey").alias("k"), F.concat(F.lit("T"), C("c_custkey").cast("string")).alias("ticker"))
-    managers = c.select("ticker", F.concat(F.lit("m"), C("k").cast("string")).alias("person_id"), F.lit("Robert Fielding").alias("name"))
-    insiders = c.select("ticker", F.concat(F.lit("i"), C("k").cast("string")).alias("person_id"), F.when(C("k") % 3 == 0, "FIELDING ROBERT").when(C("k") % 3 == 1, "FIELDING ROB").otherwise("SMITHSON ANNE").alias("name"))
-    return pe.link_people(managers, insiders).select("person_id", "insider_id", "confidence")
+    own = lambda letter: F.concat(F.lit(letter), C("k").cast("string")).alias("person_id")
+    managers = c.select("ticker", own("m"), F.lit("Robert Fielding").alias("name"))
+    name = F.when(C("k") % 3 == 0, "FIELDING ROBERT").when(C("k") % 3 == 1, "FIELDING ROB").otherwise("SMITHSON ANNE")
+    insiders = c.select("ticker", own("i"), name.alias("name"), F.when(C("k") % 2 == 0, C("ticker")).alias("owner_id"))
+    more = c.where("k % 5 = 0").select("ticker", own("j"), F.lit("FIELDING ROBERTA").alias("name"), F.lit(None).cast("string").alias("owner_id"))
+    return pe.link_people(managers, insiders.unionByName(more)).select("person_id", "insider_id", "method", "confidence")
 
 
 @query("resolved_identities", "SELECT c_custkey AS row_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'strong_identifier' WHEN c_mktsegment = 'FURNITURE' THEN 'same_issuer' WHEN c_mktsegment = 'MACHINERY' THEN 'biography_supported' ELSE 'ambiguous' END AS identity_status FROM customer")
@@ -215,11 +223,22 @@ def _(spark, folder):
     return pe.resolve_identities(p).select("row_id", "identity_status")
 
 
-@query("resolved_organisations", "SELECT s_name AS name, 'T' || s_suppkey AS ticker, 'LISTED_COMPANY' AS status FROM supplier UNION ALL SELECT n_name || ' University', NULL, 'NON_COMPANY' FROM nation UNION ALL SELECT r_name || ' Partners', NULL, 'PRIVATE_COMPANY' FROM region")
+@query(
+    "resolved_organisations",
+    """SELECT s_name AS name, s_name || ' Inc' AS matched_title, 'T' || s_suppkey AS ticker, 'PUBLIC_COMPANY_CONFIRMED' AS status FROM supplier
+    UNION ALL SELECT 'The ' || s_nationkey || '-' || s_suppkey, s_name || ' Inc', 'T' || s_suppkey, 'PUBLIC_COMPANY_CONFIRMED' FROM supplier WHERE s_acctbal > 5000
+    UNION ALL SELECT n_name || ' University', NULL, NULL, 'NON_COMPANY_ORGANIZATION' FROM nation UNION ALL SELECT n_name || ' School of Law', NULL, NULL, 'NON_COMPANY_ORGANIZATION' FROM nation
+    UNION ALL SELECT r_name || ' Partners', NULL, NULL, 'UNRESOLVED' FROM region UNION ALL SELECT r_name || ' Family Office', NULL, NULL, 'PRIVATE_COMPANY' FROM region UNION ALL SELECT DISTINCT 'Supplier', NULL, NULL, 'UNRESOLVED' FROM supplier""",
+)
 def _(spark, folder):
     s = table(spark, folder, "supplier")
-    names = s.select(C("s_name").alias("name")).union(table(spark, folder, "nation").select(F.concat("n_name", F.lit(" University")))).union(table(spark, folder, "region").select(F.concat("r_name", F.lit(" Partners"))))
-    return pe.resolve_organizations(names, s.select(F.concat(F.lit("T"), C("s_suppkey").cast("string")).alias("ticker"), F.concat("s_name", F.lit(" Inc")).alias("title")))
+    nick = F.concat(F.lit("The "), C("s_nationkey").cast("string"), F.lit("-"), C("s_suppkey").cast("string"))
+    aliases = s.where("s_acctbal > 5000").select(nick.alias("alias"), F.concat("s_name", F.lit(" Inc")).alias("title"))
+    ends = lambda name, column, *words: [table(spark, folder, name).select(F.concat(column, F.lit(f" {w}")).alias("name")) for w in words]
+    names = s.select(C("s_name").alias("name")).union(aliases.select("alias")).union(s.select(F.lit("Supplier")).distinct())
+    for more in [*ends("nation", "n_name", "University", "School of Law"), *ends("region", "r_name", "Partners", "Family Office")]:
+        names = names.union(more)
+    return pe.resolve_organizations(names, s.select(F.concat(F.lit("T"), C("s_suppkey").cast("string")).alias("ticker"), F.concat("s_name", F.lit(" Inc")).alias("title")), aliases)
 
 
 @query("issuer_metadata_precedence", "SELECT c_custkey AS ticker, CASE WHEN c_acctbal > 5000 THEN c_name ELSE c_mktsegment END AS name, CASE WHEN c_acctbal > 8000 THEN 'first' ELSE 'second' END AS exchange FROM customer")
@@ -282,13 +301,15 @@ def _(spark, folder):
     return o.select("orderkey", pe.is_commitment(C("text")).alias("commitment"), pe.commitment_category(C("text")).alias("category"))
 
 
-@query("commitment_outcomes", """WITH f AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d, substr(o_orderpriority, 1, 1) AS p FROM orders), c AS (SELECT * FROM f WHERE p = '1'), l AS (SELECT * FROM f WHERE p IN ('2', '3')), j AS (SELECT c.o_orderkey, arg_max(l.p, strftime(l.d, '%Y%m%d') || lpad(CAST(l.o_orderkey AS VARCHAR), 12, '0')) AS p FROM c JOIN l ON l.o_custkey = c.o_custkey AND l.d > c.d GROUP BY 1)
+@query("commitment_outcomes", """WITH f AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d, substr(o_orderpriority, 1, 1) AS p FROM orders), c AS (SELECT * FROM f WHERE p = '1'), l AS (SELECT * FROM f WHERE p IN ('1', '2', '3')),
+    j AS (SELECT c.o_orderkey, arg_max(l.p, strftime(l.d, '%Y%m%d') || lpad(CAST(l.o_orderkey AS VARCHAR), 12, '0')) AS p FROM c JOIN l ON l.o_custkey = c.o_custkey AND l.o_orderkey <> c.o_orderkey AND (c.o_orderkey % 7 = 0 OR l.d > c.d) GROUP BY 1)
     SELECT c.o_orderkey AS orderkey, CASE j.p WHEN '2' THEN 'ACHIEVED' WHEN '3' THEN 'DELAYED' ELSE 'UNRESOLVED' END AS outcome FROM c LEFT JOIN j ON j.o_orderkey = c.o_orderkey""")
 def _(spark, folder):
-    o = settle(by_priority(spark, folder, "We will open the harbor warehouse", "The harbor warehouse was completed", "The harbor warehouse is subject to delay", "Unrelated remark about weather", "Another"))
+    o = settle(by_priority(spark, folder, "We will launch the harbor warehouse", "Both warehouses were launched", "The harbor warehouse is subject to delay", "Unrelated remark about weather", "Another"))
     pad = F.lpad(C("orderkey").cast("string"), 12, "0")
-    commitments = o.where("p = '1'").select(pad.alias("commitment_id"), "ticker", C("text").alias("commitment_text"), C("day").alias("commitment_date"), pad.alias("source_claim_id"))
-    claims = o.select(pad.alias("claim_id"), "ticker", C("text").alias("evidence_text"), C("day").alias("document_date")).where(C("evidence_text") != "We will open the harbor warehouse")
+    undated = F.when(C("orderkey") % 7 != 0, C("day"))
+    commitments = o.where("p = '1'").select(pad.alias("commitment_id"), "ticker", C("text").alias("commitment_text"), undated.alias("commitment_date"), pad.alias("source_claim_id"))
+    claims = o.select(pad.alias("claim_id"), "ticker", C("text").alias("evidence_text"), C("day").alias("document_date"))
     return pe.commitment_outcomes(commitments, claims).select(C("commitment_id").cast("long").alias("orderkey"), "outcome")
 
 

@@ -520,8 +520,8 @@ def _(spark, folder):
     "forward_outcomes",
     f"""WITH {BARS}, bench AS (SELECT CAST(ts AS DATE) AS d, avg(value) AS c FROM events GROUP BY 1), n AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY session_date) AS k, count(*) OVER (PARTITION BY ticker) AS total FROM bars),
     q AS (SELECT e.event_id, e.event_type AS ticker, CAST(e.ts AS DATE) AS cutoff, min(n.k) AS k0 FROM events e LEFT JOIN n ON n.ticker = e.event_type AND n.session_date > CAST(e.ts AS DATE) GROUP BY 1, 2, 3)
-    SELECT q.event_id AS observation_id, CAST(s.session_date AS VARCHAR) AS execution_date, CAST(t.session_date AS VARCHAR) AS end_date, round(t.close / s.close - 1, 6) AS forward_return,
-      round((t.close / s.close - 1) - (b1.c / b0.c - 1), 6) AS excess_return, CASE WHEN s.close IS NULL THEN 'UNAVAILABLE' ELSE 'AVAILABLE' END AS status
+    SELECT q.event_id AS observation_id, CAST(s.session_date AS VARCHAR) AS execution_date, CAST(t.session_date AS VARCHAR) AS end_date, CASE WHEN t.k > s.k THEN round(t.close / s.close - 1, 6) END AS forward_return,
+      CASE WHEN t.k > s.k THEN round((t.close / s.close - 1) - (b1.c / b0.c - 1), 6) END AS excess_return, CASE WHEN t.k > s.k THEN 'AVAILABLE' ELSE 'UNAVAILABLE' END AS status
     FROM q LEFT JOIN n s ON s.ticker = q.ticker AND s.k = q.k0 LEFT JOIN n t ON t.ticker = q.ticker AND t.k = least(q.k0 + 4, s.total)
     LEFT JOIN bench b0 ON b0.d = s.session_date LEFT JOIN bench b1 ON b1.d = t.session_date""",
 )

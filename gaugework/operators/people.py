@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -365,30 +366,33 @@ def build_tenures(assertions: DataFrame, as_of: Column) -> DataFrame:
 
 
 def link_people(managers: DataFrame, insiders: DataFrame) -> DataFrame:
-    """Link management people to ownership people of the same ticker.
+    """Every link of management people to ownership people of the same ticker.
 
-    Equal name keys link at once; otherwise a shared surname of at least four letters and matching given-name
-    prefixes. Candidates meet on (ticker, name token), and only unique results are linked.
+    ``managers``: ticker, person_id, name; ``insiders``: ticker, person_id, name, owner_id. Equal name keys match;
+    otherwise a shared surname of at least four letters and matching given-name prefixes. All matches are returned:
+    ambiguous if the person has several, else high with an owner id and probable without.
     """
-    def keyed(df: DataFrame, prefix: str) -> DataFrame:
+    def keyed(df: DataFrame, prefix: str, *more: str) -> DataFrame:
         k = tx.name_key(F.col("name"))
-        return df.select(F.upper("ticker").alias("ticker"), F.col("person_id").alias(f"{prefix}_id"), k.alias(f"{prefix}_key"), F.split(k, " ").alias(f"{prefix}_tokens"))
+        return df.select(F.upper("ticker").alias("ticker"), F.col("person_id").alias(f"{prefix}_id"), k.alias(f"{prefix}_key"), F.split(k, " ").alias(f"{prefix}_tokens"), *more)
 
-    m, i = keyed(managers, "m"), keyed(insiders, "i")
-    exact = m.join(i, (m["ticker"] == i["ticker"]) & (m["m_key"] == i["i_key"])).select(m["ticker"], "m_id", "i_id", F.lit("issuer_exact_name").alias("method"))
+    m, i = keyed(managers, "m"), keyed(insiders, "i", "owner_id")
+    exact = m.join(i, (m["ticker"] == i["ticker"]) & (m["m_key"] == i["i_key"])).select(m["ticker"], "m_id", "i_id", "owner_id", F.lit("issuer_exact_name").alias("method"))
     long = lambda df, p: df.select("*", F.explode(F.filter(f"{p}_tokens", lambda t: F.length(t) >= 4)).alias("token"))
     lm, li = long(m, "m").withColumnRenamed("ticker", "tm"), long(i, "i")
     near = lm.join(li, (lm["tm"] == li["ticker"]) & (lm["token"] == li["token"]) & (lm["m_key"] != li["i_key"]))
-    near = near.select(li["ticker"], "m_id", "i_id", "m_tokens", "i_tokens")
+    near = near.select(li["ticker"], "m_id", "i_id", "owner_id", "m_tokens", "i_tokens")
     surname = F.array_max(F.transform(F.array_intersect("m_tokens", "i_tokens"), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
     given = near.withColumn("_s", surname)
     a, b = F.filter("m_tokens", lambda t: t != F.col("_s")), F.filter("i_tokens", lambda t: t != F.col("_s"))
     alike = F.forall(a, lambda x: F.exists(b, lambda y: x.startswith(F.substring(y, 1, 3)) | y.startswith(F.substring(x, 1, 3))))
-    variant = given.where((F.size(a) > 0) & (F.size(b) > 0) & alike).select("ticker", "m_id", "i_id", F.lit("issuer_name_variant").alias("method")).distinct()
+    variant = given.where((F.size(a) > 0) & (F.size(b) > 0) & alike).select("ticker", "m_id", "i_id", "owner_id", F.lit("issuer_name_variant").alias("method")).distinct()
     found = exact.distinct().unionByName(variant)
-    counted = found.groupBy("ticker", "m_id").agg(F.count("*").alias("candidates"), F.min_by(F.struct("i_id", "method"), "i_id").alias("c"))
-    status = F.when(F.col("candidates") > 1, "ambiguous").when(F.col("c.method") == "issuer_exact_name", "high").otherwise("probable")
-    return counted.select("ticker", F.col("m_id").alias("person_id"), F.when(F.col("candidates") == 1, F.col("c.i_id")).alias("insider_id"), "candidates", status.alias("confidence"))
+    counted = found.groupBy("ticker", "m_id").agg(F.count("*").alias("candidates"))
+    owned = F.col("owner_id").isNotNull()
+    confidence = F.when(F.col("candidates") > 1, "ambiguous").when(owned, "high").otherwise("probable")
+    method = F.concat("method", F.when(owned, "+owner_cik").otherwise(""))
+    return found.join(counted, ["ticker", "m_id"]).select("ticker", F.col("m_id").alias("person_id"), F.col("i_id").alias("insider_id"), method.alias("method"), "candidates", confidence.alias("confidence"))
 
 
 def resolve_identities(people: DataFrame) -> DataFrame:
@@ -405,23 +409,31 @@ def resolve_identities(people: DataFrame) -> DataFrame:
     return j.withColumns({"identity_status": status, "person_id": pid}).drop("name_key", "issuers", "strong_ids")
 
 
-def resolve_organizations(names: DataFrame, companies: DataFrame) -> DataFrame:
-    """Organisation names to listed companies by exact or word-prefix title, unique matches only.
+# Words of organisations that are no companies, and of private ones.
+NON_COMPANY_WORDS = ("university", "college", "institute", "hospital", "foundation", "department", "school of")
+PRIVATE_WORDS = ("venture", "capital", "fund", "private", "family office")
 
-    ``names``: name; ``companies``: ticker, title. Both meet on the first word, which a prefix match must share.
+
+def resolve_organizations(names: DataFrame, companies: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Organisation names to listed companies by exact or word-prefix title; only a single matching title counts.
+
+    ``names``: name; ``companies``: ticker, title; ``aliases``: alias, title (normalised names that stand for a title).
+    Names and titles meet on the first word, which a prefix match must share. Returns name, matched_title, ticker, status.
     """
     tidy = lambda c: F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
-    n = names.select("name").distinct().withColumn("n", tidy(F.col("name"))).withColumn("w", F.substring_index("n", " ", 1))
-    c = companies.select("ticker", tidy(F.col("title")).alias("t")).withColumn("w", F.substring_index("t", " ", 1))
-    hit = attach(n, c.groupBy("w", "t").agg(F.min("ticker").alias("ticker"), F.countDistinct("ticker").alias("listed")), ["w"], how="inner").where(
-        (F.col("n") == F.col("t")) | F.col("t").startswith(F.concat("n", F.lit(" "))) | F.col("n").startswith(F.concat("t", F.lit(" ")))
-    )
-    one = hit.groupBy("name").agg(F.sum("listed").alias("hits"), F.min("ticker").alias("ticker"))
-    # Words of non-company and private organisations.
-    public_body = F.col("name").rlike(r"(?i)university|college|school|institute|hospital|foundation|government|department|committee|association")
-    private = F.col("name").rlike(r"(?i)\b(?:llc|llp|partners|capital|ventures|holdings lp)\b")
-    status = F.when(F.col("hits") == 1, "LISTED_COMPANY").when(public_body, "NON_COMPANY").when(private, "PRIVATE_COMPANY").otherwise("UNRESOLVED")
-    return names.select("name").distinct().join(one, "name", "left").select("name", F.when(F.col("hits") == 1, F.col("ticker")).alias("ticker"), status.alias("status"))
+    n = names.select("name").distinct().withColumn("own", tidy(F.col("name")))
+    if aliases is not None:
+        n = n.join(aliases.select(tidy(F.col("alias")).alias("own"), tidy(F.col("title")).alias("_title")).dropDuplicates(["own"]), "own", "left")
+    else:
+        n = n.withColumn("_title", F.lit(None).cast("string"))
+    n = n.withColumn("n", F.coalesce("_title", "own")).withColumn("w", F.substring_index("n", " ", 1))
+    c = companies.select("ticker", "title", tidy(F.col("title")).alias("t")).withColumn("w", F.substring_index("t", " ", 1))
+    titles = c.groupBy("w", "t").agg(F.min(F.struct("ticker", "title")).alias("listing"), F.count("*").alias("listed"))
+    hit = attach(n.where("n <> ''"), titles, ["w"], how="inner").where((F.col("n") == F.col("t")) | F.col("t").startswith(F.concat("n", F.lit(" "))) | F.col("n").startswith(F.concat("t", F.lit(" "))))
+    one = hit.groupBy("name").agg(F.sum("listed").alias("hits"), F.min("listing").alias("listing")).where("hits = 1")
+    has = lambda words: reduce(Column.__or__, [F.col("own").contains(w) for w in words])
+    status = F.when(F.col("hits") == 1, "PUBLIC_COMPANY_CONFIRMED").when(has(NON_COMPANY_WORDS), "NON_COMPANY_ORGANIZATION").when(has(PRIVATE_WORDS), "PRIVATE_COMPANY").otherwise("UNRESOLVED")
+    return n.join(one, "name", "left").select("name", F.col("listing.title").alias("matched_title"), F.col("listing.ticker").alias("ticker"), status.alias("status"))
 
 
 def issuer_metadata(sources: Sequence[DataFrame], fields: Sequence[str]) -> DataFrame:
@@ -581,32 +593,48 @@ def is_commitment(text: Column) -> Column:
     return ~guidance & ~maybe & t.rlike(COMMITMENT_ACTION)
 
 
-def commitment_outcomes(commitments: DataFrame, claims: DataFrame) -> DataFrame:
-    """Last later claim of the ticker that shares two long words decides the outcome; silence is UNRESOLVED.
+def commitment_outcomes(commitments: DataFrame, claims: DataFrame, first_words: int | None = None) -> DataFrame:
+    """Last later claim of the ticker that holds two long words of the commitment decides the outcome; silence is UNRESOLVED.
 
     ``commitments``: commitment_id, ticker, commitment_text, commitment_date, source_claim_id; ``claims``: claim_id, ticker,
-    evidence_text, document_date. Claims are reduced to the latest one per (ticker, word pair) before they meet the
-    commitments, so a frequent word never pairs every claim with every commitment.
+    evidence_text, document_date. A word counts wherever it stands inside the evidence ("launch" in "launched"). A
+    commitment without a date admits every claim; its own source claim never counts. All words take part unless
+    ``first_words`` limits them.
+
+    Words meet evidence words on their first four letters, once per ticker and distinct word. Claims are reduced to the
+    latest two per (ticker, word pair) before they meet the commitments (two, as one of them may be the source), so a
+    frequent word never pairs every claim with every commitment.
     """
-    def words(text: str) -> Column:
-        return F.array_distinct(F.filter(F.regexp_extract_all(F.lower(text), F.lit("([a-z]{4,})"), 1), lambda t: ~t.isin(*COMMITMENT_STOPWORDS)))
+    def found(text: str) -> Column:
+        return F.filter(F.regexp_extract_all(F.lower(text), F.lit("([a-z]{4,})"), 1), lambda t: ~t.isin(*COMMITMENT_STOPWORDS))
 
     def word_pairs(column: str) -> Column:
         return F.explode(F.expr(f"flatten(transform({column}, (a, i) -> transform(slice({column}, i + 2, size({column})), b -> concat(a, ' ', b))))"))
 
-    wanted = commitments.withColumn("_w", F.array_sort(F.slice(words("commitment_text"), 1, 12)))
-    vocabulary = wanted.select("ticker", F.explode("_w").alias("word")).distinct()
-    said = attach(claims.select("ticker", "claim_id", "document_date", F.explode(words("evidence_text")).alias("word")), vocabulary, ["ticker", "word"], how="inner")
+    words = found("commitment_text") if first_words is None else F.slice(found("commitment_text"), 1, first_words)
+    wanted = commitments.withColumn("_w", F.array_sort(F.array_distinct(words)))
+    vocabulary = wanted.select("ticker", F.explode("_w").alias("word")).distinct().withColumn("gram", F.substring("word", 1, 4))
+    parts = claims.select("ticker", "claim_id", "document_date", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("evidence_text"), F.lit("([a-z]{4,})"), 1))).alias("part"))
+    grams = parts.select("ticker", "part").distinct().withColumn("gram", F.explode(F.expr("array_distinct(transform(sequence(1, length(part) - 3), i -> substring(part, i, 4)))")))
+    inside = grams.join(vocabulary, ["ticker", "gram"]).where(F.col("part").contains(F.col("word"))).select("ticker", "part", "word").distinct()
+    said = attach(parts, inside, ["ticker", "part"], how="inner")
     known = said.groupBy("ticker", "claim_id", "document_date").agg(F.array_sort(F.collect_set("word")).alias("_w")).where(F.size("_w") >= 2)
-    latest = known.select("ticker", "claim_id", "document_date", word_pairs("_w").alias("pair")).groupBy("ticker", "pair").agg(F.max(F.struct("document_date", "claim_id")).alias("m"))
-    met = attach(wanted.select("commitment_id", "ticker", "commitment_date", word_pairs("_w").alias("pair")), latest, ["ticker", "pair"], how="inner").where(F.col("m.document_date") > F.col("commitment_date"))
-    last = met.groupBy("commitment_id").agg(F.max("m").alias("m")).select("commitment_id", F.col("m.claim_id").alias("claim_id"), F.col("m.document_date").alias("outcome_date"))
+    marked = known.select("ticker", word_pairs("_w").alias("pair"), F.struct("document_date", "claim_id").alias("m"))
+    top = marked.groupBy("ticker", "pair").agg(F.max("m").alias("m1"))
+    second = attach(marked, top, ["ticker", "pair"], how="inner").where(F.col("m") < F.col("m1")).groupBy("ticker", "pair").agg(F.max("m").alias("m"))
+    latest = top.withColumnRenamed("m1", "m").unionByName(second)
+    met = attach(wanted.select("commitment_id", "ticker", "commitment_date", "source_claim_id", word_pairs("_w").alias("pair")), latest, ["ticker", "pair"], how="inner")
+    later = F.col("commitment_date").isNull() | (F.col("m.document_date") > F.col("commitment_date"))
+    other = F.coalesce(F.col("m.claim_id") != F.col("source_claim_id"), F.lit(True))
+    last = met.where(later & other).groupBy("commitment_id").agg(F.max("m").alias("m")).select("commitment_id", F.col("m.claim_id").alias("claim_id"), F.col("m.document_date").alias("outcome_date"))
     e = F.lower("evidence_text")
     status = (
-        F.when(F.col("claim_id").isNull(), "UNRESOLVED").when(e.rlike(r"\b(?:launched|completed|closed|achieved|delivered|approved|initiated|implemented)\b"), "ACHIEVED").when(e.rlike("delay|later|rescheduled"), "DELAYED")
+        F.when(e.rlike(r"\b(?:launched|completed|closed|achieved|delivered|approved|initiated|implemented)\b"), "ACHIEVED").when(e.rlike("delay|later|rescheduled"), "DELAYED")
         .when(e.rlike("revised|changed"), "REVISED").when(e.rlike("abandon|discontinued|cancelled"), "ABANDONED").otherwise("UNRESOLVED")
     )
-    return commitments.select("commitment_id").join(last, "commitment_id", "left").join(claims.select("claim_id", "evidence_text"), "claim_id", "left").select("commitment_id", status.alias("outcome"), "outcome_date", "claim_id")
+    # Only commitments with a claim meet the claims, so no NULL key is joined.
+    decided = last.join(claims.select("claim_id", "evidence_text"), "claim_id").select("commitment_id", status.alias("outcome"), "outcome_date", "claim_id")
+    return commitments.select("commitment_id").join(decided, "commitment_id", "left").select("commitment_id", F.coalesce("outcome", F.lit("UNRESOLVED")).alias("outcome"), "outcome_date", "claim_id")
 
 
 def name_in_text(name: Column, text: Column) -> Column:

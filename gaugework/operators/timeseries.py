@@ -475,7 +475,7 @@ def forward_outcome(cutoffs: DataFrame, prices: DataFrame, benchmark: DataFrame,
     """Close-to-close return from the first session after the cutoff over ``horizon`` sessions.
 
     The end is the horizon-th session after execution's predecessor, or the last one when the tail is
-    short. ``cutoffs``: observation_id, ticker, cutoff; ``prices``: ticker, session_date, close;
+    short. A return needs two sessions: with one, or a start price of 0, it is NULL and UNAVAILABLE. ``cutoffs``: observation_id, ticker, cutoff; ``prices``: ticker, session_date, close;
     ``benchmark``: session_date, close. Both price tables hold one row per (ticker, day).
     """
     w = Window.partitionBy("ticker").orderBy("session_date")
@@ -491,14 +491,16 @@ def forward_outcome(cutoffs: DataFrame, prices: DataFrame, benchmark: DataFrame,
     marks = asked.select("ticker", F.col("cutoff").alias("day"), F.lit(1).alias("ask"), F.lit(None).cast("date").alias("session")).unionByName(
         windows.select("ticker", F.col("execution_date").alias("day"), F.lit(0).alias("ask"), F.col("execution_date").alias("session"))
     )
-    after = Window.partitionBy("ticker").orderBy("day", "ask").rowsBetween(1, Window.unboundedFollowing)
-    found = marks.withColumn("execution_date", F.first("session", ignorenulls=True).over(after)).where("ask = 1")
+    # Backwards in time the frame only grows, so the next session costs one step per row.
+    after = Window.partitionBy("ticker").orderBy(F.desc("day"), F.desc("ask")).rowsBetween(Window.unboundedPreceding, -1)
+    found = marks.withColumn("execution_date", F.last("session", ignorenulls=True).over(after)).where("ask = 1")
     placed = found.select("ticker", F.col("day").alias("cutoff"), "execution_date").join(windows, ["ticker", "execution_date"], "left")
     bench_start = benchmark.select(F.col("session_date").alias("execution_date"), F.col("close").alias("b0"))
     bench_end = benchmark.select(F.col("session_date").alias("end_date"), F.col("close").alias("b1"))
     priced = placed.join(bench_start, "execution_date", "left").join(bench_end, "end_date", "left")
-    ret = F.when(F.col("start_close") > 0, F.try_divide("end_close", "start_close") - 1)
-    bench = F.when(F.col("b0") > 0, F.try_divide("b1", "b0") - 1)
+    several = F.col("end_date") > F.col("execution_date")
+    ret = F.when(several & (F.col("start_close") != 0), F.try_divide("end_close", "start_close") - 1)
+    bench = F.when(several & (F.col("b0") != 0), F.try_divide("b1", "b0") - 1)
     outcome = priced.select(
         "ticker", "cutoff", "execution_date", "end_date",
         ret.alias("forward_return"), bench.alias("benchmark_return"), (ret - bench).alias("excess_return"),
