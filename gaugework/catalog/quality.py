@@ -346,10 +346,11 @@ def event_stream(spark, folder):
 @query("streamed_fill_and_append", """SELECT event_type AS series, CAST(CAST(ts AS DATE) AS VARCHAR) AS obs_date, max(value) AS value FROM events GROUP BY 1, 2""")
 def _(spark, folder):
     home = scratch_folder(spark, "merge")
-    store = inc.VersionedStore(spark, f"{home}/table", "dataset string, series string, obs_date date, value double")
+    store = inc.DeltaStore(spark, f"{home}/table", "dataset string, series string, obs_date date, value double")
     cells = event_stream(spark, folder).select(F.lit("events").alias("dataset"), F.col("event_type").alias("series"), F.to_date("ts").alias("obs_date"), "value")
-    inc.stream_merge(cells, store, f"{home}/state").awaitTermination()
-    return store.read().select("series", F.col("obs_date").cast("string").alias("obs_date"), "value")
+    inc.stream_merge(cells, store, f"{home}/state", f"{home}/late").awaitTermination()
+    cells = store.read().unionByName(spark.read.parquet(f"{home}/late").drop("batch"))
+    return cells.select("series", F.col("obs_date").cast("string").alias("obs_date"), "value")
 
 
 @query(

@@ -353,10 +353,12 @@ def certainty(sentence: Column, dimension: Column) -> Column:
 MAGNITUDE = r"(\$\d+(?:\.\d+)?|\d+(?:\.\d+)?)(\s*%|\s*(?:basis points|bps|million|billion|thousand|M|B|K)\b)?"
 
 
-def magnitudes(sentence: Column) -> Column:
-    """Up to three explicit quantities: ARRAY<STRUCT<raw, value, unit>>."""
+def magnitudes(sentence: Column, most: int | None = None) -> Column:
+    """Explicit quantities, all unless ``most`` limits them: ARRAY<STRUCT<raw, value, unit>>."""
     raw = F.regexp_extract_all(sentence, F.lit(f"(?i)({MAGNITUDE})"), 1)
-    marked = F.slice(F.filter(raw, lambda m: m.startswith("$") | ~m.rlike(r"\d$")), 1, 3)
+    marked = F.filter(raw, lambda m: m.startswith("$") | ~m.rlike(r"\d$"))
+    if most is not None:
+        marked = F.slice(marked, 1, most)
 
     def one(m: Column) -> Column:
         word = F.lower(F.trim(F.regexp_replace(m, r"^\$?\d+(?:\.\d+)?", "")))
@@ -394,15 +396,16 @@ def metric_unit(sentence: Column, magnitude: Column) -> Column:
     return F.when(F.size(magnitude) > 0, stated).otherwise(spoken)
 
 
-def subject(sentence: Column, dimension: Column, topic: Column) -> Column:
-    """Stable comparison subject of a claim."""
+def subject(sentence: Column, dimension: Column, topic: Column, most: int | None = None) -> Column:
+    """Stable comparison subject of a claim; its words are all kept unless ``most`` limits them."""
     text = cleaned(sentence)
     named = F.coalesce(*[F.when(text.rlike(p), F.lit(s)) for p, s in R.SUBJECTS])
     tokens = F.filter(F.split(text, " "), lambda t: (F.length(t) > 1) & ~t.isin(*R.SUBJECT_STOPWORDS))
     risky = F.filter(tokens, lambda t: ~t.isin(*R.RISK_WORDS))
     cuts = F.array_compact(F.array(*[F.nullif(F.array_position(risky, F.lit(m)), F.lit(0)) for m in R.RISK_MARKERS]))
     first_marker = F.try_element_at(cuts, F.lit(1))
-    risk_words = F.when(first_marker.isNotNull(), F.slice(risky, 1, F.least(first_marker - 1, F.lit(5)).cast("int"))).otherwise(F.slice(risky, 1, 5))
+    first = lambda words: words if most is None else F.slice(words, 1, most)
+    risk_words = first(F.when(first_marker.isNotNull(), F.slice(risky, F.lit(1), (first_marker - 1).cast("int"))).otherwise(risky))
     alias = F.create_map(*[F.lit(x) for pair in R.SUBJECT_ALIASES.items() for x in pair])
     plain_topic = cleaned(F.coalesce(topic, F.lit("")))
     topic_name = F.coalesce(F.try_element_at(alias, plain_topic), plain_topic)
@@ -414,7 +417,7 @@ def subject(sentence: Column, dimension: Column, topic: Column) -> Column:
         .when(dimension == "demand", "general_demand")
         .when(dimension == "margins", "general_margin")
         .when(dimension.isin("guidance", "revenue"), F.when(useful, F.regexp_replace(topic_name, " ", "_")).otherwise(general))
-        .otherwise(F.coalesce(F.nullif(F.array_join(F.slice(tokens, 1, 5), " "), F.lit("")), F.regexp_replace(F.coalesce(F.nullif(plain_topic, F.lit("")), dimension), " ", "_")))
+        .otherwise(F.coalesce(F.nullif(F.array_join(first(tokens), " "), F.lit("")), F.regexp_replace(F.coalesce(F.nullif(plain_topic, F.lit("")), dimension), " ", "_")))
     )
 
 

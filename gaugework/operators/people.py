@@ -674,12 +674,16 @@ EXPERTISE = {
 }
 
 
-def independence(row_evidence: Column, proxy: Column, name: Column) -> Column:
-    """INDEPENDENT, NOT_INDEPENDENT or UNKNOWN from the director's row, then from the proxy text around the name."""
+def independence(row_evidence: Column, proxy: Column, name: Column, within: int | None = None) -> Column:
+    """INDEPENDENT, NOT_INDEPENDENT or UNKNOWN from the director's row, then from the proxy text on either side of the name.
+
+    ``within`` limits the characters between name and phrase; the whole text counts without it.
+    """
     e = F.lower(F.coalesce(row_evidence, F.lit("")))
     last = F.element_at(F.split(F.trim(name), " "), -1)
-    near = lambda phrase: F.regexp_like(F.coalesce(proxy, F.lit("")), F.concat(F.lit(rf"(?is){phrase}.{{0,900}}\b"), last, F.lit(r"\b")))
-    before = lambda phrase: F.regexp_like(F.coalesce(proxy, F.lit("")), F.concat(F.lit(r"(?is)\b"), last, F.lit(rf"\b.{{0,900}}{phrase}")))
+    gap = ".*?" if within is None else rf".{{0,{within}}}"
+    near = lambda phrase: F.regexp_like(F.coalesce(proxy, F.lit("")), F.concat(F.lit(rf"(?is){phrase}{gap}\b"), last, F.lit(r"\b")))
+    before = lambda phrase: F.regexp_like(F.coalesce(proxy, F.lit("")), F.concat(F.lit(r"(?is)\b"), last, F.lit(rf"\b{gap}{phrase}")))
     denial = r"(?:not\s+deemed\s+independent|not\s+independent)"
     return (
         F.when(e.rlike("chief executive officer|president and chief executive|co-founder|founder and|executive chair") | e.contains("not independent"), "NOT_INDEPENDENT").when(e.rlike(r"\bindependent\b"), "INDEPENDENT")

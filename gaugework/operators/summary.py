@@ -31,8 +31,8 @@ def risk_flags(df: DataFrame) -> Column:
     return F.when(text == "", "NONE").otherwise(text)
 
 
-def candidate_summary(selected: DataFrame, parts: DataFrame) -> DataFrame:
-    """Chosen candidates with side, score, the largest family contributions and flags.
+def candidate_summary(selected: DataFrame, parts: DataFrame, most_drivers: int | None = None) -> DataFrame:
+    """Chosen candidates with side, score, family contributions (largest first, all unless ``most_drivers`` limits them) and flags.
 
     ``parts``: ticker, family, long_contribution, short_contribution, long_score, short_score (a few families per ticker).
     """
@@ -42,7 +42,8 @@ def candidate_summary(selected: DataFrame, parts: DataFrame) -> DataFrame:
     points = F.when(is_long, F.col("long_contribution")).otherwise(F.col("short_contribution"))
     score = F.when(is_long, F.col("long_score")).otherwise(F.col("short_score"))
     entry = F.struct((-points).alias("p"), "family", F.concat(F.lower(F.regexp_replace("family", "_", " ")), F.lit(" "), shown(points), F.lit(" score points (peer score "), shown(score), F.lit(")")).alias("t"))
-    drivers = j.where(points.isNotNull()).groupBy("ticker").agg(F.array_join(F.slice(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"]), 1, 4), ", ").alias("drivers"))
+    texts = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"])
+    drivers = j.where(points.isNotNull()).groupBy("ticker").agg(F.array_join(texts if most_drivers is None else F.slice(texts, 1, most_drivers), ", ").alias("drivers"))
     out = chosen.join(drivers, "ticker", "left")
     side = F.when(F.col("candidate") == "QUANT LONG", "long").otherwise("short")
     shown_score = F.when(F.col("candidate") == "QUANT LONG", F.col("long_score")).otherwise(F.col("short_score"))

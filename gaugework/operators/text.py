@@ -47,7 +47,7 @@ def normalise_documents(documents: DataFrame) -> DataFrame:
 def fiscal_period(kind: Column, title: Column, path: Column, body: Column, end: Column, fye_month: Column) -> tuple[Column, Column]:
     """Reporting period: filing header, annual title, file name, title, then body; proxies have none."""
     quarterly = kind.isin("quarterly_report", "other_report")
-    (ty, tq), (py, pq), (by, bq) = (tx.stated_period(t) for t in (title, path, F.substring(body, 1, 20000)))
+    (ty, tq), (py, pq), (by, bq) = (tx.stated_period(t) for t in (title, path, body))
     annual = F.regexp_extract(title, r"\b(20\d{2})\b", 1).try_cast("int")
     year = (
         F.when(kind == "proxy_statement", None)

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Default family weights of the snapshot model.
 FAMILY_WEIGHTS = {
@@ -102,13 +103,15 @@ def with_overrides(params, controls: DataFrame, bounds: Mapping[str, tuple[float
     values outside ``bounds`` are errors.
     """
     known = {f.name: f for f in fields(params)}
-    rows = controls.select("name", "value").limit(len(known) + 1).collect()
+    named = controls.groupBy("name").agg(F.count("*").alias("n"), F.min("value").alias("value"))
+    ours = F.coalesce(F.col("name").isin(*known), F.lit(False))
+    unknown, repeated = named.agg(F.min(F.when(~ours, F.coalesce("name", F.lit("NULL")))), F.min(F.when(ours & (F.col("n") > 1), F.col("name")))).first()
+    if unknown is not None:
+        raise ValueError(f"unknown parameter {unknown!r}")
+    if repeated is not None:
+        raise ValueError(f"parameter {repeated!r} given twice")
     changes: dict[str, object] = {}
-    for row in rows:
-        if row["name"] not in known:
-            raise ValueError(f"unknown parameter {row['name']!r}")
-        if row["name"] in changes:
-            raise ValueError(f"parameter {row['name']!r} given twice")
+    for row in named.where(ours).collect():  # at most one row per known parameter
         current = getattr(params, row["name"])
         if isinstance(current, bool):
             if str(row["value"]).lower() not in ("true", "false"):

@@ -9,16 +9,16 @@ from gaugework.plans.joins import attach
 from gaugework.plans.settle import settle
 
 
-def connected(links: DataFrame, row: str, key: str, rounds: int = 50) -> DataFrame:
+def connected(links: DataFrame, row: str, key: str) -> DataFrame:
     """Smallest row id of each row's connected group; ``links`` holds one (row, key) per shared key.
 
     Labels travel row -> key -> row by two partial aggregations per round, so a key shared by a third of
     all rows costs one combined minimum, never its pairs. Each round is checkpointed; the loop ends when
-    no label changed.
+    no label changed; chains halve, so rounds are logarithmic.
     """
     edges = settle(links.select(row, key).where(F.col(key).isNotNull()).distinct())
     labels = edges.select(row).distinct().withColumn("root", F.col(row))
-    for _ in range(rounds):
+    while True:
         by_key = attach(edges, labels, [row]).groupBy(key).agg(F.min("root").alias("root"))
         better = attach(edges, by_key, [key]).groupBy(row).agg(F.min("root").alias("better"))
         seen = settle(labels.join(better, row))
@@ -30,4 +30,3 @@ def connected(links: DataFrame, row: str, key: str, rounds: int = 50) -> DataFra
         labels = moved.drop("_moved")
         if moved.where("_moved").limit(1).count() == 0:
             return labels
-    raise RuntimeError(f"labels still changing after {rounds} rounds")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugework.functions.numbers import equal_within
 from gaugework.operators.quality import change_counts, compare_cells
+from gaugework.plans.settle import settle
 
 
 def plan_merge(stored: DataFrame, incoming: DataFrame, skip_late: bool = False) -> DataFrame:
@@ -84,62 +85,79 @@ def journal(output: str, old: DataFrame, new: DataFrame, keys: Sequence[str], co
     return change_counts(changes, ["output"])
 
 
-class VersionedStore:
-    """A table kept as one folder per version; a replayed batch rewrites its own version only."""
+class DeltaStore:
+    """Cells (dataset, series, obs_date, value) kept as one folder of changed cells per version, with full copies now and then.
+
+    A replayed batch rewrites its own version only. A cell's value is that of its newest version.
+    """
+
+    KEYS = ("dataset", "series", "obs_date")
 
     def __init__(self, spark: SparkSession, folder: str, schema: str):
         self.spark, self.folder, self.schema = spark, folder, schema
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Newest version, or the newest strictly below ``before``."""
+    def _load(self, kind: str, before: int | None) -> DataFrame:
         try:
-            table = self.spark.read.parquet(self.folder)
+            rows = self.spark.read.parquet(f"{self.folder}/{kind}")
         except AnalysisException:
-            return self.spark.createDataFrame([], self.schema)
-        limit = table if before is None else table.where(F.col("version") < before)
-        newest = limit.agg(F.max("version").alias("version"))
-        return limit.join(F.broadcast(newest), "version", "left_semi").drop("version")
+            rows = self.spark.createDataFrame([], f"{self.schema}, version int")
+        return rows if before is None else rows.where(F.col("version") < before)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """All cells, or those of the versions strictly below ``before``: the newest full copy and the later changes."""
+        full = self._load("full", before)
+        newest = full.agg(F.max("version")).first()[0]
+        rows = self._load("changes", before)
+        if newest is not None:
+            rows = rows.where(F.col("version") > newest).unionByName(full.where(F.col("version") == newest))
+        return rows.groupBy(*self.KEYS).agg(F.max_by("value", "version").alias("value"))
+
+    def write(self, changes: DataFrame, version: int) -> None:
+        changes.select(*self.KEYS, "value").write.mode("overwrite").parquet(f"{self.folder}/changes/version={version}")
 
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.folder}/version={version}")
+    def compact(self, version: int) -> None:
+        """Write all cells up to ``version`` as a full copy; older folders are then no longer read."""
+        self.read(version + 1).write.mode("overwrite").parquet(f"{self.folder}/full/version={version}")
 
 
-def stream_merge(stream: DataFrame, store: VersionedStore, checkpoint: str, on_late: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Run :func:`plan_merge` per micro-batch into a versioned store."""
+def stream_merge(stream: DataFrame, store: DeltaStore, checkpoint: str, late_folder: str, compact_every: int = 20) -> StreamingQuery:
+    """Run :func:`plan_merge` per micro-batch; filled and appended cells go to the store, late dates to an error table.
+
+    ``late_folder`` receives every cell of a missing historical date (dataset, series, obs_date, value), one
+    folder per batch, so no row of any batch vanishes whatever the order of arrival.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
         per_cell = batch.groupBy("dataset", "series", "obs_date").agg(F.max("value").alias("value"))
-        plan = plan_merge(store.read(before=batch_id + 1), per_cell)
-        if on_late is not None:
-            on_late(late_dates(plan), batch_id)
-        store.write(merged_table(plan), batch_id + 1)
+        plan = settle(plan_merge(store.read(before=batch_id + 1), per_cell))
+        plan.where(F.col("action") == "late").drop("action").write.mode("overwrite").parquet(f"{late_folder}/batch={batch_id}")
+        store.write(plan.where(F.col("action").isin("filled", "appended")), batch_id + 1)
+        if (batch_id + 1) % compact_every == 0:
+            store.compact(batch_id + 1)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def newest_per_day(stream: DataFrame, delay: str = "45 days") -> DataFrame:
-    """Streaming newest vintage per (series, day); state older than the watermark is dropped."""
-    return (
-        stream.withWatermark("ts", delay)
-        .groupBy("series", F.window("ts", "1 day").alias("day"))
-        .agg(F.max_by("value", F.struct("ts", "vintage")).alias("value"), F.max(F.struct("ts", "vintage")).alias("vintage"))
-    )
+def newest_per_day(rows: DataFrame) -> DataFrame:
+    """Newest vintage per (series, day) of ``rows`` (series, ts, value, vintage)."""
+    newest = F.struct("ts", "vintage")
+    return rows.groupBy("series", F.to_date("ts").alias("obs_date")).agg(F.max_by("value", newest).alias("value"), F.max(newest).alias("seen"))
+
 
+def stream_daily(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Write each batch's newest vintage per (series, day) to its own folder (rewritten on replay).
 
-def stream_daily(stream: DataFrame, folder: str, checkpoint: str, delay: str = "45 days") -> StreamingQuery:
-    """Write changed days of each batch to its own folder (rewritten on replay)."""
+    Nothing is kept in stream state: vintages carry their own order, so one that arrives any number of days late still
+    wins or loses against the stored ones when the days are read.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("series", F.to_date("day.start").alias("obs_date"), "value", F.lit(batch_id).alias("batch"))
-        rows.write.mode("overwrite").parquet(f"{folder}/part={batch_id}")
+        newest_per_day(batch).write.mode("overwrite").parquet(f"{folder}/part={batch_id}")
 
-    return (
-        newest_per_day(stream, delay).writeStream.outputMode("update").foreachBatch(apply)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def monthly_from_daily(spark: SparkSession, folder: str, method: Column | None = None) -> DataFrame:
     """Monthly latest (or mean where ``method`` says so) from the streamed days."""
-    days = spark.read.parquet(folder).groupBy("series", "obs_date").agg(F.max_by("value", "batch").alias("value"))
+    days = spark.read.parquet(folder).groupBy("series", "obs_date").agg(F.max_by("value", "seen").alias("value"))
     how = method if method is not None else F.lit("latest")
     return days.withColumn("_m", how).groupBy("series", F.trunc("obs_date", "MM").alias("month")).agg(
         F.when(F.max("_m") == "mean", F.avg("value")).otherwise(F.max_by("value", "obs_date")).alias("value")
