@@ -53,11 +53,11 @@ def _(spark, folder):
 
 @query(
     "factor_correlation_matrix",
-    """WITH e AS (SELECT vec_id, 'd' || i AS f, CAST(embedding[i + 1] AS DOUBLE) AS v FROM embeddings, (SELECT unnest(range(6)) AS i))
+    """WITH e AS (SELECT vec_id, 'd' || i AS f, CAST(embedding[i + 1] AS DOUBLE) AS v FROM embeddings, (SELECT unnest(range(64)) AS i))
     SELECT a.f AS factor_a, b.f AS factor_b, count(*) AS sample_count, round(covar_samp(a.v, b.v) / (stddev_samp(a.v) * stddev_samp(b.v)), 6) AS correlation FROM e a JOIN e b USING (vec_id) GROUP BY 1, 2""",
 )
 def _(spark, folder):
-    e = table(spark, folder, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 6)).alias("i", "v")).select("vec_id", F.concat(F.lit("d"), F.col("i").cast("string")).alias("f"), F.col("v").cast("double").alias("v"))
+    e = table(spark, folder, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v")).select("vec_id", F.concat(F.lit("d"), F.col("i").cast("string")).alias("f"), F.col("v").cast("double").alias("v"))
     return va.factor_correlations(e, "vec_id", "f", "v").select("factor_a", "factor_b", "sample_count", *R("correlation"))
 
 
@@ -114,7 +114,8 @@ def _(spark, folder):
 
 @query(
     "bootstrap_interval",
-    """WITH it AS (SELECT unnest(range(200)) AS it), d AS (SELECT p_type AS kind, it, p_partkey, p_retailprice AS v, ('0x' || substr(md5('20260924:' || it || ':' || p_partkey), 1, 8))::BIGINT / 4294967296.0 AS u FROM part CROSS JOIN it),
+    """WITH it AS (SELECT unnest(range(200)) AS it), h AS (SELECT p_type AS kind, it, p_retailprice AS v, (('0x' || substr(md5('20260924:' || p_partkey), 1, 8))::UBIGINT + it::UBIGINT * 2654435769) % 4294967296 AS x FROM part CROSS JOIN it),
+    h2 AS (SELECT kind, it, v, xor(x, x >> 16) * 2146121005 % 4294967296 AS x FROM h), h3 AS (SELECT kind, it, v, xor(x, x >> 15) * 2221713035 % 4294967296 AS x FROM h2), d AS (SELECT kind, it, v, xor(x, x >> 16) / 4294967296.0 AS u FROM h3),
     w AS (SELECT kind, it, v, (u >= 0.36787944117144233)::INT + (u >= 0.7357588823428847)::INT + (u >= 0.9196986029286058)::INT + (u >= 0.9810118431238462)::INT + (u >= 0.9963401531726563)::INT + (u >= 0.9994058151824183)::INT + (u >= 0.9999167588507119)::INT AS w FROM d),
     m AS (SELECT kind, it, sum(w * v) / sum(w) AS m FROM w GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY m, it) - 1 AS k FROM m)
     SELECT kind, count(*) AS iterations, round(avg(m), 5) AS mean, round(max(CASE WHEN k = 4 THEN m END), 5) AS lower, round(max(CASE WHEN k = 195 THEN m END), 5) AS upper FROM k GROUP BY 1""",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,18 +57,34 @@ def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "ran
 
 
 def factor_correlations(long: DataFrame, entity: str, factor: str, value: str) -> DataFrame:
-    """Correlation of every factor pair over shared entities from one aggregation of pair moments.
+    """Correlation of every factor pair over shared entities from one Gram matrix per batch of entities.
 
-    Each entity contributes one vector of its factors (a list bounded by the number of factors); pairs
-    are formed inside it, so no self-join of the data is needed. Values are centred on factor means first.
+    Each entity contributes one vector of its factors (a list bounded by the number of factors). A batch of vectors
+    becomes a matrix whose products give counts and moments of all pairs at once, so what is shuffled is factors
+    squared per batch, not per entity. Values are centred on factor means first.
     """
     centre = long.groupBy(factor).agg(F.avg(value).alias("_mean"))
-    shifted = attach(long.where(F.col(value).isNotNull()), centre, [factor]).select(entity, factor, (F.col(value) - F.col("_mean")).alias("_v"))
-    vectors = shifted.groupBy(entity).agg(F.collect_list(F.struct(F.col(factor).alias("f"), F.col("_v").alias("v"))).alias("fs"))
-    pairs = vectors.select(F.explode(F.expr("flatten(transform(fs, a -> transform(fs, b -> struct(a.f AS fa, b.f AS fb, a.v AS va, b.v AS vb))))")).alias("p")).select("p.*")
-    s = pairs.groupBy("fa", "fb").agg(F.count("*").alias("sample_count"), F.covar_samp("va", "vb").alias("_c"), F.stddev_samp("va").alias("_a"), F.stddev_samp("vb").alias("_b"))
-    r = F.when((F.col("_a") > 0) & (F.col("_b") > 0), F.try_divide("_c", F.col("_a") * F.col("_b")))
-    return s.select(F.col("fa").alias("factor_a"), F.col("fb").alias("factor_b"), "sample_count", r.alias("correlation"))
+    shifted = attach(long.where(F.col(value).isNotNull()), centre, [factor]).select(entity, F.col(factor).cast("string").alias("f"), (F.col(value) - F.col("_mean")).cast("double").alias("v"))
+    vectors = shifted.groupBy(entity).agg(F.collect_list(F.struct("f", "v")).alias("fs")).select(F.col("fs.f").alias("names"), F.col("fs.v").alias("numbers"))
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            names = lists.flatten().dictionary_encode()
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            column = names.indices.to_numpy(zero_copy_only=False)
+            x = np.zeros((batch.num_rows, len(names.dictionary)))
+            there = np.zeros_like(x)
+            x[row, column], there[row, column] = batch.column(1).flatten().to_numpy(zero_copy_only=False), 1.0
+            one, two = np.divmod(np.arange(x.shape[1] ** 2), x.shape[1] or 1)
+            sums = [there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x]
+            yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(one)), names.dictionary.take(pa.array(two)), *[pa.array(m.ravel()) for m in sums]], ["fa", "fb", "n", "a", "b", "aa", "bb", "ab"])
+
+    parts = vectors.mapInArrow(moments, "fa string, fb string, n double, a double, b double, aa double, bb double, ab double").where("n > 0")
+    s = parts.groupBy("fa", "fb").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
+    spread = lambda c: F.col(f"{c}{c}") - F.col(c) * F.col(c) / F.col("n")
+    r = F.when((spread("a") > 0) & (spread("b") > 0), F.try_divide(F.col("ab") - F.col("a") * F.col("b") / F.col("n"), F.sqrt(spread("a")) * F.sqrt(spread("b"))))
+    return s.select(F.col("fa").alias("factor_a"), F.col("fb").alias("factor_b"), F.col("n").cast("long").alias("sample_count"), r.alias("correlation"))
 
 
 def describe(long: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -139,21 +157,51 @@ def uniform_hash(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
+def poisson_weights(row: np.ndarray, iterations: int) -> np.ndarray:
+    """Independent Poisson(1) draws, one row per iteration and one column per 32-bit row hash, from a counter-based hash."""
+    # Cumulative Poisson(1) probabilities, and the multipliers of a public 32-bit mixer.
+    cuts = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
+    x = row.astype(np.uint32)[None, :] + (np.arange(iterations, dtype=np.uint64) * 2654435769).astype(np.uint32)[:, None]
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(2146121005)
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(2221713035)
+    x = x ^ (x >> np.uint32(16))
+    return sum((x >= np.uint32(np.ceil(c * 2.0**32))).astype(np.uint8) for c in cuts)
+
+
 def bootstrap_mean(df: DataFrame, keys: Sequence[str], row_id: str, value: str, iterations: int = 1000, seed: int = SEED) -> DataFrame:
     """Seeded percentile interval of the mean.
 
     Every row gets an independent Poisson(1) weight per iteration, the distributed form of resampling
-    n of n with replacement: no row index, no join, one partial aggregation per iteration.
+    n of n with replacement. Weights of a block of rows are drawn as one array inside the task and summed there, so
+    one pair of sums per key, iteration and batch is shuffled, never a row per iteration.
     """
-    # Cumulative Poisson(1) probabilities.
-    cuts = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
-    drawn = df.where(F.col(value).isNotNull()).select(*keys, row_id, value, F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("_it"))
-    u = uniform_hash(seed, F.col("_it"), F.col(row_id))
-    weighted = drawn.withColumn("_u", u).withColumn("_w", sum((F.when(F.col("_u") >= c, 1).otherwise(0) for c in cuts), F.lit(0)))
-    runs = weighted.groupBy(*keys, "_it").agg((F.try_divide(F.sum(F.col("_w") * F.col(value)), F.sum("_w"))).alias("_m"))
+    mark = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"))), 1, 8), 16, 10).cast("long")
+    rows = df.where(F.col(value).isNotNull()).select(*keys, mark.alias("_mark"), F.col(value).cast("double").alias("_value"))
+    fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = pa.Table.from_batches([batch]).append_column("_row", pa.array(np.arange(batch.num_rows)))
+            found = group.group_by(list(keys)).aggregate([("_row", "list")])
+            marks, values = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_mark", "_value"))
+            weight, weighted = [], []
+            for at in found.column("_row_list").to_pylist():
+                n, total = np.zeros(iterations), np.zeros(iterations)
+                for k in range(0, len(at), 512):  # a block of draws stays in the processor's cache
+                    w = poisson_weights(marks[at[k : k + 512]], iterations).astype(np.float64)
+                    n += w.sum(axis=1)
+                    total += w @ values[at[k : k + 512]]
+                weight.append(n)
+                weighted.append(total)
+            offsets = pa.array(np.arange(len(weight) + 1) * iterations, type=pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.zeros(0))) for x in (weight, weighted)]
+            yield pa.RecordBatch.from_arrays([*[found.column(k).combine_chunks() for k in keys], *lists], [*keys, "_n", "_total"])
+
+    drawn = rows.mapInArrow(sums, f"{fields}, _n array<double>, _total array<double>").select(*keys, F.posexplode(F.arrays_zip("_n", "_total")).alias("_it", "_s"))
+    runs = drawn.groupBy(*keys, "_it").agg(F.try_divide(F.sum("_s._total"), F.sum("_s._n")).alias("_m"))
     # One mean per iteration is left: a bounded list per key.
     w = Window.partitionBy(*keys).orderBy("_m", "_it")
-    placed = runs.withColumn("_k", F.row_number().over(w) - 1).withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
+    placed = runs.withColumn("_k", F.row_number().over(w) - 1)
     low, high = max(0, int(iterations * 0.025) - 1), min(iterations - 1, int(iterations * 0.975))
     return placed.groupBy(*keys).agg(
         F.count("*").alias("iterations"), F.avg("_m").alias("mean"),
