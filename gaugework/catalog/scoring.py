@@ -17,8 +17,8 @@ C = F.col
 
 
 def statement_claims(spark, folder, only_first: bool = False):
-    """Orders of 1999 and 2000 as claims of two fiscal years."""
-    o = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("y"), "o_orderdate").where(C("y").isin(1999, 2000))
+    """Orders as claims of their fiscal years."""
+    o = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("y"), "o_orderdate")
     if only_first:
         first = o.groupBy("o_custkey", "y").agg(F.min("o_orderkey").alias("o_orderkey"))
         o = o.join(first, ["o_custkey", "y", "o_orderkey"])
@@ -34,8 +34,9 @@ def statement_claims(spark, folder, only_first: bool = False):
 
 
 FIRST = """
-fc AS (SELECT o_custkey AS ticker, year(o_orderdate) AS y, arg_min(CAST(round(o_totalprice / 1000) AS INTEGER), o_orderkey) AS m FROM orders WHERE year(o_orderdate) IN (1999, 2000) GROUP BY 1, 2),
-pc AS (SELECT a.ticker, a.m AS before, b.m AS after FROM fc a JOIN fc b ON a.ticker = b.ticker AND a.y = 1999 AND b.y = 2000)"""
+fy AS (SELECT o_custkey AS ticker, year(o_orderdate) AS y, arg_min(CAST(round(o_totalprice / 1000) AS INTEGER), o_orderkey) AS m FROM orders GROUP BY 1, 2),
+fc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY y DESC) AS back FROM fy) WHERE back <= 2),
+pc AS (SELECT a.ticker, a.m AS before, b.m AS after FROM fc a JOIN fc b ON a.ticker = b.ticker AND a.back = 2 AND b.back = 1)"""
 
 
 @query("period_changes", f"WITH {FIRST} SELECT CAST(ticker AS VARCHAR) AS ticker, CASE WHEN after = before THEN 'reiterated' WHEN after > before THEN 'increasing' ELSE 'decreasing' END AS change_type, 'numeric_metric_comparison' AS method, 0.92 AS confidence FROM pc")
@@ -56,7 +57,7 @@ def _(spark, folder):
     return members.groupBy("side").agg(F.count("*").alias("claims"))
 
 
-@query("missing_change_evidence", f"WITH {FIRST} SELECT count(*) AS missing FROM (SELECT ticker FROM fc WHERE y = 2000 UNION ALL SELECT ticker FROM fc a WHERE y = 1999 AND NOT EXISTS (SELECT 1 FROM pc WHERE pc.ticker = a.ticker)) ")
+@query("missing_change_evidence", f"WITH {FIRST} SELECT count(*) AS missing FROM fc WHERE back = 1")
 def _(spark, folder):
     # Every claim of each ticker's current period is withheld, so each current membership must be reported.
     claims = settle(statement_claims(spark, folder, True))
@@ -67,7 +68,7 @@ def _(spark, folder):
 
 
 STATES = """
-sc AS (SELECT o_custkey AS ticker, o_orderkey AS k, o_orderstatus AS s, max(year(o_orderdate)) OVER (PARTITION BY o_custkey) AS my, year(o_orderdate) AS y FROM orders WHERE year(o_orderdate) IN (1999, 2000)),
+sc AS (SELECT o_custkey AS ticker, o_orderkey AS k, o_orderstatus AS s, max(year(o_orderdate)) OVER (PARTITION BY o_custkey) AS my, year(o_orderdate) AS y FROM orders),
 ss AS (SELECT ticker, count(*) AS g, count(CASE WHEN s = 'F' THEN 1 END) AS p, count(CASE WHEN s = 'O' THEN 1 END) AS n, count(CASE WHEN s NOT IN ('F', 'O') THEN 1 END) AS u FROM sc WHERE y = my GROUP BY 1),
 s2 AS (SELECT *, CASE WHEN p + n > 0 THEN (p - n) / CAST(p + n AS DOUBLE) END AS w, CASE WHEN p > 0 AND n > 0 THEN least(p, n) ELSE 0 END AS ct FROM ss),
 s3 AS (SELECT *, CASE WHEN p > 0 AND n > 0 AND abs(w) < 0.45 THEN 'mixed' WHEN w >= 0.65 THEN CASE WHEN p >= 3 THEN 'strong' ELSE 'healthy' END WHEN w > 0 THEN 'healthy' WHEN w <= -0.65 THEN CASE WHEN n > 0 THEN 'stressed' ELSE 'weak' END WHEN w < 0 THEN 'weak' ELSE 'neutral' END AS st,
@@ -91,7 +92,7 @@ def _(spark, folder):
     return states(spark, folder).select("ticker", F.round("confidence", 4).alias("confidence"))
 
 
-@query("claim_polarity", """SELECT o_orderkey AS orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -1 ELSE 0 END AS polarity, CASE o_orderstatus WHEN 'O' THEN -1 ELSE 0 END AS absolute, o_orderstatus IN ('F') AS comparative FROM orders WHERE year(o_orderdate) IN (1999, 2000)""")
+@query("claim_polarity", """SELECT o_orderkey AS orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -1 ELSE 0 END AS polarity, CASE o_orderstatus WHEN 'O' THEN -1 ELSE 0 END AS absolute, o_orderstatus IN ('F') AS comparative FROM orders""")
 def _(spark, folder):
     c, s = statement_claims(spark, folder), C("evidence_text")
     return c.select(C("claim_id").cast("long").alias("orderkey"), tx.claim_polarity(s, C("direction"), C("dimension")).alias("polarity"), tx.absolute_signal(s, C("dimension")).alias("absolute"), tx.is_comparative(s).alias("comparative"))

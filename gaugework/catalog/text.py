@@ -181,12 +181,12 @@ def _(spark, folder):
 def caption_bodies(spark, folder):
     c = segments(spark, folder)
     stamp = lambda x: F.format_string("%02d:%02d:%02d.%03d", (x / 3600).cast("int"), (x / 60).cast("int") % 60, x.cast("int") % 60, F.lit(0))
-    words = F.slice(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " "), 1, 6)
+    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
     cue = F.concat(stamp(C("start")), F.lit(" --> "), stamp(C("end")), F.lit("\n<v "), "speaker", F.lit(">"), F.array_join(words, " "))
     return c.groupBy("conv_id").agg(F.concat(F.lit("WEBVTT\n\nNOTE made\n\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("segment_no", cue.alias("c")))), lambda s: s["c"]), "\n\n")).alias("body"))
 
 
-@query("caption_cues", r"""SELECT conv_id, CAST(turn * 10 AS DOUBLE) AS start, turn * 10 + CASE WHEN role = 'assistant' THEN 12.0 ELSE 9.0 END AS end, role AS speaker, array_to_string(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ')[1:6], ' ') AS text FROM conversations""")
+@query("caption_cues", r"""SELECT conv_id, CAST(turn * 10 AS DOUBLE) AS start, turn * 10 + CASE WHEN role = 'assistant' THEN 12.0 ELSE 9.0 END AS end, role AS speaker, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM conversations""")
 def _(spark, folder):
     return ops.cues(caption_bodies(spark, folder), "conv_id").select("conv_id", "start", "end", "speaker", "text")
 
@@ -297,13 +297,13 @@ def _(spark, folder):
     return table(spark, folder, "orders").select(C("o_orderkey").alias("orderkey"), tx.period_end(text).cast("string").alias("period_end"))
 
 
-@query("stated_periods", "SELECT o_orderkey AS orderkey, CASE WHEN year(o_orderdate) >= 2000 THEN CAST(year(o_orderdate) AS DOUBLE) END AS year, CASE WHEN o_orderpriority LIKE '3%' THEN NULL ELSE CAST(quarter(o_orderdate) AS DOUBLE) END AS quarter FROM orders WHERE year(o_orderdate) >= 2000")
+@query("stated_periods", "SELECT o_orderkey AS orderkey, CASE WHEN year(o_orderdate) >= 2000 THEN CAST(year(o_orderdate) AS DOUBLE) END AS year, CASE WHEN o_orderpriority LIKE '3%' OR year(o_orderdate) < 2000 THEN NULL ELSE CAST(quarter(o_orderdate) AS DOUBLE) END AS quarter FROM orders")
 def _(spark, folder):
     d, p = F.to_date("o_orderdate"), C("o_orderpriority")
     words = F.array(*[F.lit(w) for w in ("first", "second", "third", "fourth")])
     text = F.when(p.startswith("1"), F.concat(F.lit("Q"), F.quarter(d).cast("string"), F.lit(" FY"), F.year(d).cast("string"))).when(p.startswith("3"), F.concat(F.lit("fiscal year "), F.year(d).cast("string"))).otherwise(F.concat(F.element_at(words, F.quarter(d)), F.lit(" quarter of fiscal "), F.year(d).cast("string")))
     y, q = tx.stated_period(text)
-    return table(spark, folder, "orders").where(F.year("o_orderdate") >= 2000).select(C("o_orderkey").alias("orderkey"), y.cast("double").alias("year"), q.cast("double").alias("quarter"))
+    return table(spark, folder, "orders").select(C("o_orderkey").alias("orderkey"), y.cast("double").alias("year"), q.cast("double").alias("quarter"))
 
 
 @query("first_dates_in_text", "SELECT o_orderkey AS orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders")
@@ -349,11 +349,11 @@ def _(spark, folder):
     return table(spark, folder, "pages").select("page_id", tx.is_pdf(url, text).alias("pdf"), tx.is_release_link(url, text, F.lit("")).alias("release"))
 
 
-@query("event_types", "SELECT o_orderkey AS orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'earnings_call' WHEN '2-HIGH' THEN 'investor_day' WHEN '3-MEDIUM' THEN 'annual_meeting' WHEN '5-LOW' THEN 'conference' ELSE 'other' END AS type, CAST(CASE WHEN o_orderpriority LIKE '1%' AND year(o_orderdate) >= 2000 THEN quarter(o_orderdate) ELSE 0 END AS BIGINT) AS quarter FROM orders WHERE year(o_orderdate) >= 2000")
+@query("event_types", "SELECT o_orderkey AS orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'earnings_call' WHEN '2-HIGH' THEN 'investor_day' WHEN '3-MEDIUM' THEN 'annual_meeting' WHEN '5-LOW' THEN 'conference' ELSE 'other' END AS type, CAST(CASE WHEN o_orderpriority LIKE '1%' THEN quarter(o_orderdate) ELSE 0 END AS BIGINT) AS quarter FROM orders")
 def _(spark, folder):
     p, d = C("o_orderpriority"), F.to_date("o_orderdate")
     title = F.when(p.startswith("1"), F.concat(F.lit("Q"), F.quarter(d).cast("string"), F.lit(" "), F.year(d).cast("string"), F.lit(" Earnings"))).when(p.startswith("2"), "Capital Markets Day").when(p.startswith("3"), "Annual General Meeting").when(p.startswith("5"), "Tech Summit").otherwise("Update")
-    return table(spark, folder, "orders").where(F.year("o_orderdate") >= 2000).select(C("o_orderkey").alias("orderkey"), tx.event_type(title).alias("type"), tx.event_priority(title, d, F.lit("u"))["quarter"].cast("long").alias("quarter"))
+    return table(spark, folder, "orders").select(C("o_orderkey").alias("orderkey"), tx.event_type(title).alias("type"), tx.event_priority(title, d, F.lit("u"))["quarter"].cast("long").alias("quarter"))
 
 
 def metric_sentences(spark, folder):
