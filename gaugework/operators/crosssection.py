@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions.numbers import clamp, close_to
 from gaugework.params import SnapshotParams
-from gaugework.plans.joins import attach
+from gaugework.plans.joins import attach, look_up
 from gaugework.plans.ordered import medians, numbered, running_totals, value_positions
 from gaugework.plans.settle import settle
 
@@ -51,7 +51,7 @@ def group_statistics(long: DataFrame, keys: Sequence[str], value: str = "value")
 def standard_scores(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Tie-aware percentile, z and robust z of each row inside its group."""
     stats = group_statistics(long, keys, value)
-    joined = attach(long, stats, [*keys, value])
+    joined = look_up(long, stats, [*keys, value])
     return joined.select(
         *long.columns,
         "percentile",
@@ -76,7 +76,7 @@ def peer_statistics(long: DataFrame, params: SnapshotParams = SnapshotParams())
         named = [F.col(c).alias(f"{level}_{c}") for c in ("n", "mean", "variance", "median", "mad", "percentile")]
         return stats.where(F.col("level") == level).select(F.col("peer").alias(column), "metric", "value", *named)
 
-    joined = attach(attach(base, side("i", "industry"), ["industry", "metric", "value"]), side("s", "sector"), ["sector", "metric", "value"])
+    joined = look_up(look_up(base, side("i", "industry"), ["industry", "metric", "value"]), side("s", "sector"), ["sector", "metric", "value"])
     n = F.col("i_n").cast("double")
     valid = F.col("s_n") >= params.min_observations
     strength = max(params.shrinkage, 0.0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gaugework.functions.numbers import clamp, close_to, joined_reasons, present_mean
 from gaugework.operators.crosssection import group_statistics
 from gaugework.params import HistoryParams
-from gaugework.plans.joins import attach, latest_per_key
+from gaugework.plans.joins import attach, latest_per_key, look_up
 from gaugework.plans.ordered import numbered
 
 # Metric -> (family, better direction, group) of the history model.
@@ -225,7 +225,7 @@ def shortlist_scores(long: DataFrame, keys: Sequence[str], params: HistoryParams
     """
     group = [*keys, "metric"]
     stats = group_statistics(long, group)
-    joined = attach(long, stats, [*group, "value"])
+    joined = look_up(long, stats, [*group, "value"])
     n, lower = F.col("n"), F.col("direction") == "lower"
     rank = F.when(lower, n + 1 - F.col("rank")).otherwise(F.col("rank"))
     percentile = (rank - 0.5) / n * 100

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions import text as tx
 from gaugework.functions.numbers import joined_reasons, safe_div
-from gaugework.plans.joins import asof_day, attach, latest_per_key
+from gaugework.plans.joins import asof_day, attach, latest_per_key, look_up
 from gaugework.plans.ordered import with_previous
 
 # --- ownership forms ----------------------------------------------------------------------------------
@@ -521,7 +521,7 @@ def guidance_outcomes(guidance: DataFrame, facts: DataFrame, as_of: Column) -> D
     order = F.struct("period_end", F.coalesce("filed", F.to_date(F.lit("0001-01-01"))))
     actual = known.groupBy("ticker", "metric", "horizon", "unit").agg(F.max_by(F.struct("value", "basis", "period_end"), order).alias("a"))
     any_unit = actual.groupBy("ticker", "metric", "horizon").agg(F.max_by("a", F.struct("a.period_end", "unit")).alias("x"))
-    g = attach(attach(guidance, actual, ["ticker", "metric", "horizon", "unit"]), any_unit, ["ticker", "metric", "horizon"])
+    g = look_up(look_up(guidance, actual, ["ticker", "metric", "horizon", "unit"]), any_unit, ["ticker", "metric", "horizon"])
     fact = F.when(F.col("unit").isNull(), F.col("x")).otherwise(F.col("a"))
     g = g.withColumn("f", fact)
     v, basis_matters = F.col("f.value"), F.col("metric").isin("EPS", "operating_income", "revenue")
@@ -617,11 +617,11 @@ def commitment_outcomes(commitments: DataFrame, claims: DataFrame, first_words:
     parts = claims.select("ticker", "claim_id", "document_date", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("evidence_text"), F.lit("([a-z]{4,})"), 1))).alias("part"))
     grams = parts.select("ticker", "part").distinct().withColumn("gram", F.explode(F.expr("array_distinct(transform(sequence(1, length(part) - 3), i -> substring(part, i, 4)))")))
     inside = grams.join(vocabulary, ["ticker", "gram"]).where(F.col("part").contains(F.col("word"))).select("ticker", "part", "word").distinct()
-    said = attach(parts, inside, ["ticker", "part"], how="inner")
+    said = look_up(parts, inside, ["ticker", "part"], how="inner")
     known = said.groupBy("ticker", "claim_id", "document_date").agg(F.array_sort(F.collect_set("word")).alias("_w")).where(F.size("_w") >= 2)
     marked = known.select("ticker", word_pairs("_w").alias("pair"), F.struct("document_date", "claim_id").alias("m"))
     top = marked.groupBy("ticker", "pair").agg(F.max("m").alias("m1"))
-    second = attach(marked, top, ["ticker", "pair"], how="inner").where(F.col("m") < F.col("m1")).groupBy("ticker", "pair").agg(F.max("m").alias("m"))
+    second = look_up(marked, top, ["ticker", "pair"], how="inner").where(F.col("m") < F.col("m1")).groupBy("ticker", "pair").agg(F.max("m").alias("m"))
     latest = top.withColumnRenamed("m1", "m").unionByName(second)
     met = attach(wanted.select("commitment_id", "ticker", "commitment_date", "source_claim_id", word_pairs("_w").alias("pair")), latest, ["ticker", "pair"], how="inner")
     later = F.col("commitment_date").isNull() | (F.col("m.document_date") > F.col("commitment_date"))

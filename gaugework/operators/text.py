@@ -14,7 +14,7 @@ from gaugework.functions import rules as R
 from gaugework.functions import text as tx
 from gaugework.functions.numbers import joined_reasons
 from gaugework.plans.components import connected
-from gaugework.plans.joins import attach
+from gaugework.plans.joins import attach, look_up
 from gaugework.plans.ordered import following, numbered, running_totals, with_previous
 
 # A sentence ends at . ! ? before a blank or the end of the text; section headings.
@@ -189,7 +189,7 @@ def drop_near_duplicates(claims: DataFrame, key: str, share: float = 0.70) -> Da
 
 def evidence_errors(claims: DataFrame, documents: DataFrame, key: str) -> DataFrame:
     """Add ``errors`` to each claim: unknown document, invalid offsets, text that is not what the document says."""
-    j = attach(claims, documents.select(key, F.col("text").alias("_text")), [key])
+    j = look_up(claims, documents.select(key, F.col("text").alias("_text")), [key])
     start, end = F.col("start_char"), F.col("end_char")
     valid = (start >= 0) & (end > start) & (end <= F.length("_text"))
     said = F.substring(F.col("_text"), start + 1, end - start)

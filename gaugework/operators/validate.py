@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.functions.numbers import finite
-from gaugework.plans.joins import attach, latest_per_key
+from gaugework.plans.joins import attach, latest_per_key, look_up
 from gaugework.plans.ordered import medians, numbered, value_positions, with_previous
 
 # Public-availability fields in order of preference; seed and thresholds of the validation profile.
@@ -52,7 +52,7 @@ def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "ran
     def ranks(name: str) -> DataFrame:
         return value_positions(paired, keys, name).select(*keys, name, (F.col("upto") - (F.col("ties") - 1) / 2).alias(f"{name}r"))
 
-    both = attach(attach(paired, ranks("_x"), [*keys, "_x"]), ranks("_y"), [*keys, "_y"])
+    both = look_up(look_up(paired, ranks("_x"), [*keys, "_x"]), ranks("_y"), [*keys, "_y"])
     return pearson(both, keys, "_xr", "_yr", out)
 
 

@@ -34,7 +34,7 @@ def attach(
     how: str = "left",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``lookup`` (at most a few rows per key) to ``df``, spreading each key over ``salts`` tasks.
+    """Join a small ``lookup`` (few keys, a few rows each) to ``df``, spreading each key over ``salts`` tasks.
 
     Spark still replaces this by a broadcast when it measures ``lookup`` below the session's
     broadcast threshold; beyond that the salt bounds the share of a hot key in any one task.
@@ -44,6 +44,15 @@ def attach(
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def look_up(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a lookup that may be as large as the data (one row per key): nothing is copied.
+
+    Both sides are shuffled once on the whole key, such as (group, value), which no longer holds a group
+    together; if one key is still hot, the adaptive skew join splits its rows and reads the one lookup row for each part.
+    """
+    return df.join(lookup, list(keys), how)
+
+
 def asof_day(
     left: DataFrame,
     right: DataFrame,
@@ -82,7 +91,7 @@ def asof_day(
         F.col("_hit.day").alias("matched_day"),
         *[F.col(f"_hit._payload.{p}").alias(p) for p in payload],
     )
-    return attach(left, found, [*keys, left_day])
+    return look_up(left, found, [*keys, left_day])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

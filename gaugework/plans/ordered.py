@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugework.plans.joins import attach
+from gaugework.plans.joins import look_up
 from gaugework.plans.settle import settle
 
 
@@ -85,7 +85,7 @@ def with_average_rank(df: DataFrame, keys: Sequence[str], value: str, rank: str
         (F.col("upto") - (F.col("ties") - 1) / 2).alias(rank),
         F.col("upto_all").alias(size),
     )
-    return attach(df, ranks, [*keys, value])
+    return look_up(df, ranks, [*keys, value])
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], columns: Sequence[str], prefix: str = "prev_") -> DataFrame:
