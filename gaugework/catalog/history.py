@@ -70,12 +70,12 @@ def trend_sql(name: str, value: str, log: bool = False) -> str:
 @query(
     "robust_trends",
     f"""WITH {ANNUAL}, {trend_sql('a', 'rev', True)}, {trend_sql('b', 'nm')}, {trend_sql('c', 'dev')}
-    SELECT t.ticker, round(exp(a.slope) - 1, 6) AS revenue_trend, round(a.r2, 5) AS revenue_trend_r2, round(b.slope, 6) AS net_margin_trend, round(b.r2, 5) AS net_margin_trend_r2, round(c.slope, 6) AS debt_to_equity_trend, round(c.r2, 5) AS debt_to_equity_trend_r2
+    SELECT t.ticker, round(exp(a.slope) - 1, 6) AS revenue_four_year_trend, round(a.r2, 5) AS revenue_four_year_trend_r2, round(b.slope, 6) AS net_margin_four_year_trend, round(b.r2, 5) AS net_margin_four_year_trend_r2, round(c.slope, 6) AS debt_to_equity_four_year_trend, round(c.r2, 5) AS debt_to_equity_four_year_trend_r2
     FROM (SELECT DISTINCT ticker FROM r4) t LEFT JOIN af a ON a.ticker = t.ticker LEFT JOIN bf b ON b.ticker = t.ticker LEFT JOIN cf c ON c.ticker = t.ticker""",
 )
 def _(spark, folder):
     f = features(spark, folder)
-    return f.select("ticker", *[F.round(f"{n}_trend", 6).alias(f"{n}_trend") for n in ("revenue", "net_margin", "debt_to_equity")], *[F.round(f"{n}_trend_r2", 5).alias(f"{n}_trend_r2") for n in ("revenue", "net_margin", "debt_to_equity")])
+    return f.select("ticker", *[F.round(f"{n}_four_year_trend", 6).alias(f"{n}_four_year_trend") for n in ("revenue", "net_margin", "debt_to_equity")], *[F.round(f"{n}_four_year_trend_r2", 5).alias(f"{n}_four_year_trend_r2") for n in ("revenue", "net_margin", "debt_to_equity")])
 
 
 METRIC_LIST = ["latest_roa", "latest_net_margin", "latest_gross_margin", "latest_fcf_margin", "positive_net_income_share", "revenue_cagr", "latest_debt_to_equity"]

@@ -48,12 +48,12 @@ HISTORY_METRICS = {
     "roa_change": ("INFLECTION", "higher", "margin_inflection"),
     "ebit_margin_change": ("INFLECTION", "higher", "margin_inflection"),
     "debt_to_equity_change": ("INFLECTION", "lower", "deleveraging"),
-    "revenue_trend": ("TREND", "higher", "revenue_trend"),
-    "net_margin_trend": ("TREND", "higher", "margin_trend"),
-    "fcf_margin_trend": ("TREND", "higher", "cash_flow_trend"),
-    "roa_trend": ("TREND", "higher", "margin_trend"),
-    "gross_margin_trend": ("TREND", "higher", "margin_trend"),
-    "debt_to_equity_trend": ("TREND", "lower", "deleveraging_trend"),
+    "revenue_four_year_trend": ("TREND", "higher", "revenue_trend"),
+    "net_margin_four_year_trend": ("TREND", "higher", "margin_trend"),
+    "fcf_margin_four_year_trend": ("TREND", "higher", "cash_flow_trend"),
+    "roa_four_year_trend": ("TREND", "higher", "margin_trend"),
+    "gross_margin_four_year_trend": ("TREND", "higher", "margin_trend"),
+    "debt_to_equity_four_year_trend": ("TREND", "lower", "deleveraging_trend"),
     "positive_revenue_growth_share": ("TREND", "higher", "revenue_trend"),
     "trend_direction_breadth": ("TREND", "higher", "trend_breadth"),
 }
@@ -63,7 +63,7 @@ SHORT_METRICS = {
     "operating": {"latest_roa": "lower", "latest_roe": "lower", "latest_net_margin": "lower", "latest_gross_margin": "lower", "latest_pre_tax_margin": "lower", "revenue_cagr": "lower", "latest_revenue_growth": "lower"},
     "cash_flow": {"latest_fcf_margin": "lower", "latest_fcf_yield": "lower", "positive_fcf_share": "lower"},
     "balance_sheet": {"latest_current_ratio": "lower", "latest_quick_ratio": "lower", "latest_working_capital_to_assets": "lower", "latest_debt_to_equity": "higher", "latest_interest_coverage": "lower", "latest_net_debt_to_ebitda": "higher"},
-    "trend": {"revenue_trend": "lower", "net_margin_trend": "lower", "fcf_margin_trend": "lower", "roa_trend": "lower", "gross_margin_trend": "lower", "debt_to_equity_trend": "higher", "positive_revenue_growth_share": "lower"},
+    "trend": {"revenue_four_year_trend": "lower", "net_margin_four_year_trend": "lower", "fcf_margin_four_year_trend": "lower", "roa_four_year_trend": "lower", "gross_margin_four_year_trend": "lower", "debt_to_equity_four_year_trend": "higher", "positive_revenue_growth_share": "lower"},
     "inflection": {"revenue_growth_acceleration": "lower", "net_margin_change": "lower", "fcf_margin_change": "lower", "roa_change": "lower", "ebit_margin_change": "lower", "debt_to_equity_change": "higher"},
     "point_in_time": {"primary_short_score": "higher", "primary_price_change_4w": "lower", "primary_price_change_12w": "lower", "primary_f1_estimate_change_4w": "lower", "primary_f2_estimate_change_4w": "lower"},
 }
@@ -192,7 +192,7 @@ def history_features(raw: DataFrame, params: HistoryParams = HistoryParams()) ->
     simple |= {"debt_to_equity_change": "z.debt_to_equity_valid - b.debt_to_equity_valid"}
     simple |= {f"{n}_history": trace(n) for n in ("revenue", "net_income", "free_cash_flow", "net_margin", "roa", "debt_to_equity")}
     for n in TRENDS:
-        simple |= {f"{n}_trend": f"_t_{n}.slope", f"{n}_trend_r2": f"_t_{n}.r2", f"{n}_trend_observations": f"_t_{n}.n"}
+        simple |= {f"{n}_four_year_trend": f"_t_{n}.slope", f"{n}_four_year_trend_r2": f"_t_{n}.r2", f"{n}_four_year_trend_observations": f"_t_{n}.n"}
     full = with_trends.selectExpr("ticker", *[f"{e} AS {n}" for n, e in simple.items()])
 
     def breadth(values: Sequence[tuple[str, str]]) -> Column:
@@ -205,10 +205,10 @@ def history_features(raw: DataFrame, params: HistoryParams = HistoryParams()) ->
     recent_moves = [("latest_revenue_growth", "higher"), ("net_margin_change", "higher"), ("fcf_margin_change", "higher"), ("roa_change", "higher"), ("gross_margin_change", "higher"), ("debt_to_equity_change", "lower")]
     dropped = F.col("_rows") - F.col("available_history_years")
     out = full.withColumns({
-        "trend_direction_breadth": breadth([(f"{n}_trend", d) for n, d in TRENDS.items()]),
+        "trend_direction_breadth": breadth([(f"{n}_four_year_trend", d) for n, d in TRENDS.items()]),
         "recent_favourable_breadth": breadth(recent_moves),
         "recent_direction_observations": sum((F.col(n).isNotNull().cast("int") for n, _ in recent_moves), F.lit(0)),
-        "trend_fit_r2_mean": present_mean(*[F.col(f"{n}_trend_r2") for n in TRENDS]),
+        "trend_fit_r2_mean": present_mean(*[F.col(f"{n}_four_year_trend_r2") for n in TRENDS]),
     }).join(counts, "ticker")
     warnings = F.array_join(F.array_distinct(F.array_compact(F.array(
         F.when(dropped > 0, F.concat(F.lit("Dropped "), dropped.cast("string"), F.lit(" duplicate fiscal-year row(s); kept latest period"))),
@@ -300,10 +300,10 @@ def trend_reliability(features: DataFrame, weights: Mapping[str, float], trend_c
     total = sum(weights.values())
     history, fit = F.lit(0.0), F.lit(0.0)
     for name, weight in weights.items():
-        n = F.coalesce(f"{name}_trend_observations", F.lit(0))
+        n = F.coalesce(f"{name}_four_year_trend_observations", F.lit(0))
         step = F.when(n >= 4, 1.0).when(n == 3, params.three_year_reliability).otherwise(0.0)
-        history = history + F.when(F.col(f"{name}_trend").isNotNull(), step).otherwise(0.0) * weight
-        r2 = clamp(F.coalesce(f"{name}_trend_r2", F.lit(0.0)), 0.0, 1.0)
+        history = history + F.when(F.col(f"{name}_four_year_trend").isNotNull(), step).otherwise(0.0) * weight
+        r2 = clamp(F.coalesce(f"{name}_four_year_trend_r2", F.lit(0.0)), 0.0, 1.0)
         fit = fit + (params.fit_floor + (1 - params.fit_floor) * r2) * weight
     h, f = (history / total, fit / total) if total > 0 else (F.lit(0.0), F.lit(0.0))
     coverage = clamp(F.coalesce(trend_coverage, F.lit(0.0)), 0.0, 1.0)

@@ -111,7 +111,7 @@ def test_history_and_contributions(spark):
     rows = [(t, 10 * k + i, 2022 + i, D(2022 + i, 12, 31), 100.0 * s * g, 10.0 * s * g) for k, (t, s) in enumerate((("AAA", 1.0), ("BBB", 0.7), ("CCC", 0.4))) for i, g in enumerate((1.0, 1.1, 1.25, 1.5))]
     f = hs.history_features(spark.createDataFrame(rows, "ticker string, source_row long, fiscal_year int, fiscal_period_end date, revenue double, net_income double")).collect()
     assert {r["history_years"] for r in f} == {4}
-    assert all(r["revenue_cagr"] == pytest.approx(1.5 ** (1 / 3) - 1) and r["revenue_trend"] > 0 and 0 <= r["revenue_trend_r2"] <= 1 for r in f)
+    assert all(r["revenue_cagr"] == pytest.approx(1.5 ** (1 / 3) - 1) and r["revenue_four_year_trend"] > 0 and 0 <= r["revenue_four_year_trend_r2"] <= 1 for r in f)
     scores = spark.createDataFrame([("AAA", "a", 60.0), ("AAA", "b", 80.0), ("AAA", "c", None), ("AAA", "d", 20.0)], "ticker string, metric string, score double")
     registry = spark.createDataFrame([("a", "F", "g1", 1.0), ("b", "F", "g1", 3.0), ("c", "F", "g2", 1.0), ("d", "H", "g3", 1.0)], "metric string, family string, duplicate_group string, metric_weight double")
     final, fam, metric = hs.weighted_families(scores, registry, spark.createDataFrame([("F", 3.0), ("H", 1.0)], "family string, family_weight double"))
