@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,30 +34,62 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("item"), F.col("v").alias("root")).union(roots)
 
 
-def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+def link(
+    buckets: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    marks: DataFrame | None = None,
+    near: Callable[[Column, Column], Column] | None = None,
+    between: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(item, root) of the groups of items joined by verified pairs; items without a verified pair are left out.
 
-    ``buckets`` (bucket, item and, with ``near``, mark) proposes pairs: two items that share a bucket and whose
-    marks are ``near``. ``verify`` takes distinct pairs (a, b) and returns those that are similar. Two passes give
-    the groups of *all* proposed pairs without writing out the pairs of a large group: (1) every member
-    against the smallest item of each of its buckets; (2) in buckets whose members still lie in different groups,
-    the members outside the first item's group against the members of other groups. Pairs inside one group
-    cannot change it and are never formed; every other proposed pair is verified.
+    ``buckets`` (bucket, item) proposes pairs: any two items that share a bucket and, given ``marks`` (item, mark),
+    whose marks are ``near``. ``verify`` takes distinct pairs (a, b) and returns those that are similar. Two passes
+    give the groups of *all* proposed pairs without writing out the pairs of a large group: (1) every member
+    against the smallest item of each of its buckets; (2) in buckets whose members still lie in different
+    groups, every pair of members of different groups. Pairs inside one group cannot change it and are never
+    formed. Pass 2 forms near pairs inside a join and verifies them, or leaves all to ``between``, which takes the members
+    (bucket, item, root) and returns links (a, b) between groups.
     """
-    if near is None:
-        buckets, near = buckets.withColumn("mark", F.lit(None).cast("int")), lambda _a, _b: F.lit(True)
-    hubs = buckets.groupBy("bucket").agg(F.min("item").alias("hub"), F.max("item").alias("top"), F.min_by("mark", "item").alias("hub_mark"))
-    members = settle(buckets.join(hubs.where("hub <> top").drop("top"), "bucket"))
-    star = members.where(F.col("item") != F.col("hub")).where(near(F.col("mark"), F.col("hub_mark"))).select(F.col("hub").alias("a"), F.col("item").alias("b")).distinct()
-    first = settle(verify(star).select("a", "b"))
+    hubs = buckets.groupBy("bucket").agg(F.min("item").alias("hub"), F.max("item").alias("top")).where("hub <> top").drop("top")
+    members = settle(buckets.join(hubs, "bucket"))
+    star = members.where("item <> hub").select(F.col("hub").alias("a"), F.col("item").alias("b")).distinct()
+    if marks is not None:
+        star = star.join(marks.toDF("a", "ma"), "a").join(marks.toDF("b", "mb"), "b").where(near(F.col("ma"), F.col("mb")))
+    first = settle(verify(star.select("a", "b")).select("a", "b"))
     groups = components(first)
-    known = settle(members.join(groups, "item", "left").select("bucket", "item", "mark", "hub", F.coalesce("root", "item").alias("root")))
+    rooted = members.join(groups, "item", "left").select("bucket", "item", "hub", F.coalesce("root", "item").alias("root"))
+    if between is not None:
+        second = settle(between(settle(rooted.select("bucket", "item", "root"))))
+        return groups if second.isEmpty() else components(settle(first.union(second.select("a", "b"))))
+    known = settle(rooted.join(marks, "item") if marks is not None else rooted.withColumn("mark", F.lit(0)))
     lead = known.where("item = hub").select("bucket", F.col("root").alias("lead"))
     apart = known.join(lead, "bucket").where("root <> lead").select("bucket", F.col("item").alias("a"), F.col("mark").alias("ma"), F.col("root").alias("ra"), "lead")
     others = known.where("item <> hub").select("bucket", F.col("item").alias("b"), F.col("mark").alias("mb"), F.col("root").alias("rb"))
-    # Two strangers to the lead group meet once (a < b); a stranger meets each member of the lead group.
-    meet = (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("lead")) | (F.col("a") < F.col("b"))) & near(F.col("ma"), F.col("mb"))
-    rest = settle(apart.join(others, "bucket").where(meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    # The hub has met everyone. Two strangers to its group meet once (a < b); a stranger meets each member of that group.
+    meet = (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("lead")) | (F.col("a") < F.col("b")))
+    if near is not None:
+        meet &= near(F.col("ma"), F.col("mb"))
+    rest = settle(apart.join(others, (apart["bucket"] == others["bucket"]) & meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if rest.isEmpty():
         return groups
     return components(settle(first.union(verify(rest).select("a", "b"))))
+
+
+def spanning(a: Sequence[int], b: Sequence[int]) -> list[bool]:
+    """Which of the pairs form a spanning forest, so a task passes on at most one link per item, not all of a group."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    keep = []
+    for x, y in zip(a, b, strict=True):
+        x, y = root(x), root(y)
+        keep.append(x != y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+    return keep

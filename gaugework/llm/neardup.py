@@ -6,17 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugework.llm.common import id_bitmap, in_bitmap, settle
-from gaugework.llm.linking import link
-from gaugework.llm.words import batches, mix, shingles, word_hashes
+from gaugework.llm.common import id_bitmap, in_bitmap, packed, settle, unpacked
+from gaugework.llm.linking import link, spanning
+from gaugework.llm.words import mix, shingles, text_ranges, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS = 24
 ROWS = 4
+BLOCK = 512
 
 
 def signatures(owner: np.ndarray, elements: np.ndarray, weights: np.ndarray, texts: int, places: int) -> np.ndarray:
@@ -58,33 +59,13 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
-def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> tuple[float, float]:
-    """(probability Jaccard, plain Jaccard) of two weighted sets with sorted distinct elements."""
-    both, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    union = len(a) + len(b) - len(both)
-    if not len(both):
-        return 0.0, 0.0
-    x, y = wa[ia].astype(np.float64), wb[ib].astype(np.float64)
-    only_a, only_b = wa.sum() - x.sum(), wb.sum() - y.sum()
-    ratios, at = np.unique(y / x, return_inverse=True)
-    total = 0.0
-    for i, ratio in enumerate(ratios):  # max(x_j / x_d, y_j / y_d) depends on d through y_d / x_d only, up to 1 / x_d
-        total += x[at == i].sum() / (only_a + only_b / ratio + np.maximum(x, y / ratio).sum())
-    return float(total), len(both) / union
-
-
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
-
-
 def _band_pass(width: int, bands: int, rows: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts = _bytes(part.column(1))
-            for lo, hi in batches(texts):
-                hashes, counts = word_hashes(texts[lo:hi])
+            for lo, hi, texts in text_ranges(part.column(1)):
+                hashes, counts = word_hashes(texts)
                 owner, shingle, weight = shingles(hashes, counts, width)
-                keys = band_keys(signatures(owner, shingle, weight, hi - lo, bands * rows), bands, rows)
+                keys = band_keys(signatures(owner, shingle, 1 + np.log2(weight), hi - lo, bands * rows), bands, rows)
                 flat = pa.array(keys.view(np.int64).ravel())
                 # Texts without a word carry no keys.
                 lengths = np.where(counts > 0, bands, 0)
@@ -99,50 +80,97 @@ def _shingle_pass(width: int, bits: bytes):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.frombuffer(bits, dtype=np.uint8)
         for part in parts:
-            ids = part.column(0).to_numpy(zero_copy_only=False)
-            part = part.filter(pa.array(in_bitmap(wanted, ids)))
-            texts = _bytes(part.column(1))
-            for lo, hi in batches(texts):
-                hashes, counts = word_hashes(texts[lo:hi])
-                owner, shingle, weight = shingles(hashes, counts, width)
+            part = part.filter(pa.array(in_bitmap(wanted, part.column(0).to_numpy(zero_copy_only=False))))
+            for lo, hi, texts in text_ranges(part.column(1)):
+                owner, shingle, _ = shingles(*word_hashes(texts), width)
                 ends = np.searchsorted(owner, np.arange(hi - lo + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingle.view(np.int64))), pa.ListArray.from_arrays(pa.array(ends), pa.array(weight.astype(np.int32)))],
-                    ["item", "shingles", "weights"],
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(shingle.view(np.int64)))], ["item", "shingles"])
 
     return run
 
 
-def _compare_pass(similarity: float):
-    def values(column: pa.Array, row: int) -> np.ndarray:
-        return column[row].values.to_numpy(zero_copy_only=False)
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
+    return np.split(flat, np.cumsum(ends)[:-1])
+
 
+def _compare_pass(similarity: float):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             keep = []
-            for i in range(part.num_rows):
-                a, b = values(part.column(2), i).view(np.uint64), values(part.column(4), i).view(np.uint64)
-                if min(len(a), len(b)) == 0:
-                    keep.append(False)
-                    continue
-                weighted, plain = probability_jaccard(a, values(part.column(3), i), b, values(part.column(5), i))
-                keep.append(max(weighted, plain) >= similarity)
+            for x, y in zip(_lists(part.column(2)), _lists(part.column(3)), strict=True):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both > 0 and both >= similarity * (len(x) + len(y) - both))
             part = part.filter(pa.array(keep, type=pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"])
 
     return run
 
 
+def similar_between(items: list[int], roots: list[int], blocks: list[int], sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
+    """Spanning links between different roots of one tile: members of one block, or of two blocks against each other.
+
+    Intersections of all pairs at once: shingles that two members share become columns of a 0/1 matrix,
+    8,192 at a time, whose product with itself counts them exactly.
+    """
+    sizes = np.array([len(s) for s in sets], dtype=np.float32)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = count[column] > 1
+    row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for at in range(0, int((count > 1).sum()), 8192):
+        here = (column >= at) & (column < at + 8192)
+        matrix = np.zeros((len(sets), 8192), dtype=np.float32)
+        matrix[row[here], column[here] - at] = 1
+        both += matrix @ matrix.T
+    close = (both > 0) & (both >= similarity * (sizes[:, None] + sizes[None, :] - both))
+    root, block = np.array(roots), np.array(blocks)
+    close &= root[:, None] != root[None, :]
+    if block.min() != block.max():
+        close &= block[:, None] != block[None, :]
+    i, j = np.nonzero(np.triu(close, 1))
+    a, b = np.array(items)[i], np.array(items)[j]
+    keep = spanning(a.tolist(), b.tolist())
+    return a[keep].tolist(), b[keep].tolist()
+
+
+def _tile_pass(similarity: float):
+    """Rows (bucket, p, q, block, item, root, shingles) sorted by tile; one tile is held at a time."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, ([], [], [], [])
+
+        def links() -> pa.RecordBatch:
+            a, b = similar_between(*held, similarity) if len(set(held[1])) > 1 else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], ["a", "b"])
+
+        for part in parts:
+            columns = [part.column(i).to_pylist() for i in range(6)]
+            for *key, block, item, root, shingle in zip(*columns, _lists(part.column(6)), strict=True):
+                if key != tile:
+                    if len(held[0]) > 1:
+                        yield links()
+                    tile, held = key, ([], [], [], [])
+                for kept, value in zip(held, (item, root, block, shingle), strict=True):
+                    kept.append(value)
+        if len(held[0]) > 1:
+            yield links()
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Class of every row of ``docs`` (doc_id, text, any further columns): (doc_id, class_id, kept).
 
-    Words are runs of characters other than ASCII white space; shingles are ``width`` words, weighted by their
-    count in the whole text. Texts are linked when they share a band of the ProbMinHash signature and their
-    exact probability Jaccard similarity (or their plain Jaccard similarity, equal to it where no shingle
-    repeats) is at least ``similarity``; a class is a connected group of links, ``class_id`` its smallest
-    doc_id, and ``kept`` marks that document. At the default 24 bands of 4 rows a pair of similarity 0.8
-    misses every band with a probability of 3 in a million.
+    Words are runs of characters other than ASCII white space; shingles are ``width`` words, weighted by
+    1 + log2 of their count in the whole text. Texts are linked when they share a band of the ProbMinHash
+    signature, which estimates the probability Jaccard similarity of the weights, and the exact Jaccard similarity of
+    their shingle sets (the same measure where no shingle repeats) is at least ``similarity``; a class is a
+    connected group of links, ``class_id`` its smallest doc_id, and ``kept`` marks that document. At the default
+    24 bands of 4 rows a pair of similarity 0.8 misses every band with a probability of 3 in a million.
+    Members of one bucket in different groups are compared in tiles of two blocks of at most about ``BLOCK``
+    texts, which return spanning links only, so a large family of near copies never becomes a table of pairs.
 
     Equal texts form one class before anything else, so copies take part once. Texts of fewer words than
     ``width`` are one shingle; texts without a word are linked only with equal texts. NULL texts are linked
@@ -157,18 +185,30 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
     texts = settle(texts)
     buckets = texts.where(F.col("item").isNotNull()).select(F.explode("keys").alias("bucket"), "item")
 
+    def sets_of(items: DataFrame) -> DataFrame:
+        named = rowset.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
+        found = named.mapInArrow(_shingle_pass(width, id_bitmap(items, "item")), "item long, shingles array<long>")
+        return found.join(items, "item", "left_semi")
+
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = settle(pairs)
-        items = pairs.select(F.col("a").alias("item")).union(pairs.select(F.col("b").alias("item"))).distinct()
-        bits = id_bitmap(items, "item")
-        found = rowset.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text").mapInArrow(_shingle_pass(width, bits), "item long, shingles array<long>, weights array<int>")
-        sets = found.join(items, "item", "left_semi")
-        left = sets.toDF("a", "sa", "wa")
-        right = sets.toDF("b", "sb", "wb")
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "wa", "sb", "wb")
+        sets = sets_of(pairs.select(F.col("a").alias("item")).union(pairs.select(F.col("b").alias("item"))).distinct())
+        both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         return both.mapInArrow(_compare_pass(similarity), "a long, b long").distinct()
 
-    groups = link(buckets, verify)
+    def between(members: DataFrame) -> DataFrame:
+        # Bands of one group often hold the same members; such buckets are compared once.
+        mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("item").cast("decimal(20,0)")).alias("mark"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+        once = mixed.groupBy("n", "mark").agg(F.min("bucket").alias("bucket"))
+        rows = settle(members.join(once.select("bucket", "n"), "bucket"))
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        placed = rows.withColumn("block", F.pmod(F.xxhash64("item"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        tiles = placed.select("bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "item", "root")
+        filled = tiles.join(sets_of(rows.select("item").distinct()), "item").select("bucket", "p", "q", "block", "item", "root", "shingles")
+        dealt = filled.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "item")
+        return dealt.mapInArrow(_tile_pass(similarity), "a long, b long").distinct()
+
+    groups = link(buckets, verify, between=between)
     classes = texts.join(groups, "item", "left").select("digest", F.coalesce("root", "item").alias("class_id"))
     # Rows that share a doc_id but not a text are one document: they take the smallest class of their texts.
     out = narrow.select("doc_id", "digest").join(classes, "digest", "left")
@@ -176,11 +216,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each class; rows without an id, and repeated rows of a kept id, go once their text is kept.
+    """``docs`` with one row of each class; columns and their order stay.
 
-    Columns and their order stay. A NULL text is never a duplicate; rows with a NULL doc_id stay only if their text is NULL.
+    A NULL text is never a duplicate. Of rows that share a kept doc_id one stays; rows with a NULL doc_id stay only if
+    their text is NULL.
     """
-    found = near_duplicates(docs, **options)
+    found = settle(near_duplicates(docs, **options))
     gone = found.where("not kept and doc_id is not null and class_id is not null").select("doc_id").distinct()
     kept = docs.where(F.col("doc_id").isNotNull() | F.col("text").isNull()).join(gone, "doc_id", "left_anti")
-    return kept.select(docs.columns)
+    if found.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept.select(docs.columns)
+    # Repeated rows of an id: one stays, and of rows without an id all that have no text.
+    own = packed(kept, ["doc_id", "text"])
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").isNull(), F.md5("text")))
+    single = own.where("doc_id is not null").withColumn("_turn", turn).where("_turn = 1").drop("_turn")
+    return single.unionByName(own.where("doc_id is null")).select(*unpacked(docs.columns, ["doc_id", "text"]))

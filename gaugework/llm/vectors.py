@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import numbered, settle
-from gaugework.llm.linking import components
+from gaugework.llm.linking import components, spanning
 
 SIMILARITY = 0.9
 TILE = 4096
@@ -62,25 +62,6 @@ def near_pairs(left: np.ndarray, right: np.ndarray, similarity: float, same: boo
         yield i[close], j[close]
 
 
-def _forest(pairs_a: np.ndarray, pairs_b: np.ndarray) -> np.ndarray:
-    """Which of the pairs form a spanning forest: a tile pair passes on at most one link per vector, not all of a group."""
-    parent: dict[int, int] = {}
-    keep = np.zeros(len(pairs_a), dtype=bool)
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = up = parent.get(up, up)
-            x = up
-        return x
-
-    for k, (a, b) in enumerate(zip(pairs_a.tolist(), pairs_b.tolist(), strict=True)):
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            keep[k] = True
-    return keep
-
-
 def _pack_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows (dim, tile, item, weight, vector) of one tile after the other, packed into one row per tile."""
     held: list[tuple] = []
@@ -114,11 +95,11 @@ def _tile_pass(similarity: float):
                 for i, j in near_pairs(a, b, similarity, same):
                     np.add.at(links_a, i, w_b[j])
                     np.add.at(links_b, j, w_a[i])
-                    keep = _forest(ids_a[i], ids_b[j])
+                    keep = np.array(spanning(ids_a[i].tolist(), ids_b[j].tolist()), dtype=bool)
                     roots.append((ids_a[i][keep], ids_b[j][keep]))
                 x = np.concatenate([r[0] for r in roots]) if roots else np.zeros(0, dtype=np.int64)
                 y = np.concatenate([r[1] for r in roots]) if roots else np.zeros(0, dtype=np.int64)
-                keep = _forest(x, y)
+                keep = np.array(spanning(x.tolist(), y.tolist()), dtype=bool)
                 x, y = x[keep], y[keep]
                 hit_a, hit_b = np.flatnonzero(links_a), np.flatnonzero(links_b)
                 items = np.concatenate([ids_a[hit_a], ids_b[hit_b], x])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _PRIME = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_PRIME, -1, 1 << 64)
@@ -49,18 +51,6 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(upto, prepend=0)
 
 
-def batches(texts: Sequence[bytes], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Index ranges of whole texts of about ``size`` bytes; a longer text stands alone."""
-    at = 0
-    while at < len(texts):
-        end, held = at, 0
-        while end < len(texts) and (end == at or held + len(texts[end]) <= size):
-            held += len(texts[end])
-            end += 1
-        yield at, end
-        at = end
-
-
 def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct word n-grams of each text with their counts: (text index, shingle hash, count), sorted.
 
@@ -86,3 +76,20 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.nda
     new[1:] = (owner[1:] != owner[:-1]) | (rolled[1:] != rolled[:-1])
     at = np.flatnonzero(new)
     return owner[at], rolled[at], np.diff(np.append(at, len(owner)))
+
+
+def text_ranges(column: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(start, end, texts as bytes) of a string column, whole texts of about ``size`` bytes at a time (a longer one alone); NULL is empty.
+
+    Only one range is turned into Python objects at a time, so a worker's memory does not follow the Arrow batch.
+    """
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < len(lengths):
+        end, held = at, 0
+        while end < len(lengths) and (end == at or held + lengths[end] <= size):
+            held += int(lengths[end])
+            end += 1
+        yield at, end, [t or b"" for t in column.slice(at, end - at).cast(pa.binary()).to_pylist()]
+        at = end
+    pa.default_memory_pool().release_unused()
