@@ -136,6 +136,15 @@ def _(spark, folder):
     return factor_rows(spark, folder).select("ticker", "factor", F.round("score", 6).alias("score"), "status", F.round("coverage", 6).alias("coverage"))
 
 
+@query(
+    "factor_confidence",
+    f"""WITH {FACT}, n AS (SELECT ticker, 'management_guidance_reliability' AS factor, gn AS n FROM og UNION ALL SELECT ticker, 'management_operating_execution', onn FROM og)
+    SELECT CAST(ticker AS VARCHAR) AS ticker, factor, CASE WHEN n >= 3 THEN round_even((1 + least(1.0, 0.5 + 0.15 * least(n, 4)) + least(1.0, 0.5 + 0.1 * least(n, 5))) / 3, 4) WHEN n > 0 THEN least(1.0, 0.5 + 0.1 * least(n, 5)) ELSE 0.0 END AS confidence FROM n""",
+)
+def _(spark, folder):
+    return factor_rows(spark, folder).where(C("factor").startswith("management_")).select("ticker", "factor", "confidence")
+
+
 PILLARS = """
 rg(factor, pillar, w, mc) AS (VALUES """ + ", ".join(f"('{f}', '{p}', {w}, {m})" for f, p, w, m in fa.FACTORS) + """),
 gd AS (SELECT c.c_custkey AS ticker, rg.*, fs.score, coalesce(fs.status, 'UNSCORED') AS status, coalesce(fs.cov, 0) AS cov FROM customer c CROSS JOIN rg LEFT JOIN fs ON fs.ticker = c.c_custkey AND fs.factor = rg.factor),
