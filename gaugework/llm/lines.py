@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gaugework.llm.common import id_bitmap, in_bitmap, packed, settle, unpacked
 from gaugework.llm.linking import link
-from gaugework.llm.words import batches, mix, word_hashes
+from gaugework.llm.words import mix, text_ranges, word_hashes
 
 SIMILARITY = 0.8
 DISTANCE = 3
@@ -21,9 +21,9 @@ AGREE = 2
 _PLAIN = bytes(0x0A if b == 0x0A else 0x30 if 0x30 <= b <= 0x39 else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
-def normalised_lines(text: str) -> list[bytes]:
-    """Lines of a text in lower case, digits as 0, other ASCII punctuation and blanks as spaces."""
-    return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN).split(b"\n")
+def normalised(text: bytes) -> bytes:
+    """Lower case, digits as 0, other ASCII punctuation and blanks as spaces; line feeds stay."""
+    return text.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
 def line_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -45,44 +45,82 @@ def line_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return counts, keys, marks
 
 
-def _lines_of(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
-    lists = [normalised_lines(t) if t is not None else [] for t in texts]
-    return [line for one in lists for line in one], np.array([len(one) for one in lists], dtype=np.int64)
-
-
-def _ranges(counts: np.ndarray) -> np.ndarray:
-    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+def _places(counts: list[int]) -> np.ndarray:
+    """0, 1, ... inside each run of the given lengths."""
+    n = np.array(counts, dtype=np.int64)
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
 def _key_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
-        texts = part.column(1).to_pylist()
-        for lo, hi in batches([t or "" for t in texts]):
-            lines, per_text = _lines_of(texts[lo:hi])
-            if not lines:
-                continue
-            words, keys, marks = line_keys(lines)
-            owner = np.repeat(np.arange(lo, hi), per_text)
+        for lo, hi, texts in text_ranges(part.column(1)):
+            split = [normalised(t).split(b"\n") for t in texts]
+            counts = [len(s) for s in split]
+            words, keys, marks = line_keys([line for s in split for line in s])
             keep = words > 0
-            ids = part.column(0).take(pa.array(owner[keep]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(_ranges(per_text)[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(marks[keep].view(np.int64))], ["doc_id", "line_no", "key", "mark"])
+            owner = pa.array(np.repeat(np.arange(lo, hi), counts)[keep])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(owner), pa.array(_places(counts)[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(marks[keep].view(np.int64))], ["doc_id", "line_no", "key", "mark"])
+
+
+def _text_pass(doc_bits: bytes, line_bits: bytes):
+    """Normalised lines whose document and place may be wanted; only those are normalised."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, places = np.frombuffer(doc_bits, dtype=np.uint8), np.frombuffer(line_bits, dtype=np.uint8)
+        for part in parts:
+            part = part.filter(pa.array(in_bitmap(docs, part.column(0).to_numpy(zero_copy_only=False))))
+            ids = part.column(0).to_numpy(zero_copy_only=False)
+            for lo, hi, texts in text_ranges(part.column(1)):
+                split = [t.split(b"\n") for t in texts]
+                counts = [len(s) for s in split]
+                owner, place = np.repeat(np.arange(lo, hi), counts), _places(counts)
+                found = np.flatnonzero(in_bitmap(places, (ids[owner] << 20) ^ place))
+                bodies = [b" ".join(normalised(split[owner[i] - lo][place[i]]).split()).decode("utf-8", "replace") for i in found]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[owner[found]]), pa.array(place[found].astype(np.int32)), pa.array(bodies, type=pa.string())], ["doc_id", "line_no", "line"])
+
+    return run
 
 
-def _text_pass(bits: bytes):
+def common_ends(a: str, b: str) -> tuple[int, int]:
+    """Lengths of the common start and of the common end of what is left, by bisection."""
+    def shared(same) -> int:
+        low, high = 0, min(len(a), len(b))
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if same(middle) else (low, middle - 1)
+        return low
+
+    start = shared(lambda n: a[:n] == b[:n])
+    room = min(len(a), len(b)) - start
+    end = min(room, shared(lambda n: a[len(a) - n :] == b[len(b) - n :]))
+    return start, end
+
+
+def edits_at_most(a: str, b: str) -> int:
+    """A quick upper bound of the edit distance: words changed in place, or all of what lies between the common ends."""
+    left, right = a.split(" "), b.split(" ")
+    if len(left) == len(right):
+        return sum(max(len(x), len(y)) for x, y in zip(left, right, strict=True) if x != y)
+    return max(len(a), len(b))
+
+
+def _trim_pass(similarity: float):
+    """Pairs of lines without their common ends, which never changes the edit distance, and the most edits allowed.
+
+    Lines whose quick bound is within the allowed edits are similar for certain and come out empty.
+    """
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.frombuffer(bits, dtype=np.uint8)
         for part in parts:
-            part = part.filter(pa.array(in_bitmap(wanted, part.column(0).to_numpy(zero_copy_only=False))))
-            texts = part.column(1).to_pylist()
-            for lo, hi in batches([t or "" for t in texts]):
-                lines, per_text = _lines_of(texts[lo:hi])
-                if not lines:
-                    continue
-                words, keys, _ = line_keys(lines)
-                keep = np.flatnonzero(words > 0)
-                owner = np.repeat(np.arange(lo, hi), per_text)
-                bodies = [b" ".join(lines[i].split()).decode("utf-8", "replace") for i in keep]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner[keep])), pa.array(_ranges(per_text)[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(bodies, type=pa.string())], ["doc_id", "line_no", "key", "line"])
+            left, right, most = [], [], []
+            for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                most.append(int((1 - similarity) * max(len(x), len(y)) + 1e-9))
+                if edits_at_most(x, y) <= most[-1]:
+                    x = y = ""
+                start, end = common_ends(x, y)
+                left.append(x[start : len(x) - end])
+                right.append(y[start : len(y) - end])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(left, type=pa.string()), pa.array(right, type=pa.string()), pa.array(most, type=pa.int32())], ["a", "b", "la", "lb", "most"])
 
     return run
 
@@ -101,7 +139,7 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, distance: int
     found = settle(rows.mapInArrow(_key_pass, "doc_id long, line_no int, key long, mark long"))
     lines = settle(found.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.min("mark").alias("mark"), F.count("*").alias("n")))
     tables = F.array(*[F.xxhash64(F.lit(i), F.col("mark").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(pigeonhole_masks(distance, agree))])
-    buckets = lines.select(F.explode(tables).alias("bucket"), F.col("key").alias("item"), "mark")
+    buckets = lines.select(F.explode(tables).alias("bucket"), F.col("key").alias("item"))
 
     def near(a: Column, b: Column) -> Column:
         return F.bit_count(a.bitwiseXOR(b)) <= distance
@@ -110,14 +148,15 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, distance: int
         pairs = settle(pairs)
         items = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         where = settle(lines.join(items, "key", "left_semi").select("key", "first.doc_id", "first.line_no"))
-        bodies = rows.mapInArrow(_text_pass(id_bitmap(where, "doc_id")), "doc_id long, line_no int, key long, line string")
-        bodies = bodies.join(where, ["key", "doc_id", "line_no"], "left_semi").select("key", "line").distinct()
-        both = pairs.join(bodies.toDF("a", "la"), "a").join(bodies.toDF("b", "lb"), "b")
-        longest = F.greatest(F.length("la"), F.length("lb"))
-        most = F.floor((1 - similarity) * longest + 1e-9).cast("int")
-        return both.where(F.call_function("levenshtein", F.col("la"), F.col("lb"), most) >= 0).select("a", "b")
-
-    groups = link(buckets, verify, near)
+        places = where.select(F.shiftleft("doc_id", 20).bitwiseXOR(F.col("line_no").cast("long")).alias("place"))
+        passed = rows.mapInArrow(_text_pass(id_bitmap(where, "doc_id"), id_bitmap(places, "place")), "doc_id long, line_no int, line string")
+        bodies = passed.join(where, ["doc_id", "line_no"]).groupBy("key").agg(F.min("line").alias("line"))
+        both = pairs.join(bodies.toDF("a", "la"), "a").join(bodies.toDF("b", "lb"), "b").select("a", "b", "la", "lb")
+        trimmed = both.mapInArrow(_trim_pass(similarity), "a long, b long, la string, lb string, most int")
+        close = (F.greatest(F.length("la"), F.length("lb")) <= F.col("most")) | (F.call_function("levenshtein", F.col("la"), F.col("lb"), F.col("most")) >= 0)
+        return trimmed.where(close).select("a", "b")
+
+    groups = link(buckets, verify, lines.select(F.col("key").alias("item"), "mark"), near)
     rooted = lines.join(groups.withColumnRenamed("item", "key"), "key", "left").where("n > 1 or root is not null")
     rooted = settle(rooted.select("key", F.coalesce("root", "key").alias("root"), "first"))
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
