@@ -97,11 +97,21 @@ def common_ends(a: str, b: str) -> tuple[int, int]:
 
 
 def edits_at_most(a: str, b: str) -> int:
-    """A quick upper bound of the edit distance: words changed in place, or all of what lies between the common ends."""
+    """A quick upper bound of the edit distance: the cost of one walk over both lines that replaces, drops or adds whole words."""
     left, right = a.split(" "), b.split(" ")
-    if len(left) == len(right):
-        return sum(max(len(x), len(y)) for x, y in zip(left, right, strict=True) if x != y)
-    return max(len(a), len(b))
+    i = j = cost = 0
+    while i < len(left) and j < len(right):
+        if left[i] == right[j]:
+            i, j = i + 1, j + 1
+            continue
+        x, y = left[i + 1 : i + 2], right[j + 1 : j + 2]
+        if x != y and x == right[j : j + 1]:
+            cost, i = cost + len(left[i]) + 1, i + 1
+        elif x != y and y == left[i : i + 1]:
+            cost, j = cost + len(right[j]) + 1, j + 1
+        else:
+            cost, i, j = cost + max(len(left[i]), len(right[j])), i + 1, j + 1
+    return cost + sum(len(w) + 1 for w in left[i:] + right[j:])
 
 
 def _trim_pass(similarity: float):

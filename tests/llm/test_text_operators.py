@@ -214,6 +214,16 @@ def test_common_ends():
     assert lines.common_ends("same", "same") == (4, 0)
 
 
+def test_quick_bound_is_above_the_edit_distance():
+    random = np.random.default_rng(9)
+    for _ in range(300):
+        a = [str(w) for w in random.choice(["a", "bc", "def", "ghij"], int(random.integers(1, 9)))]
+        b = [w for w in a if random.random() < 0.8] + [str(w) for w in random.choice(["a", "xyz"], int(random.integers(0, 3)))]
+        x, y = " ".join(a), " ".join(b)
+        assert lines.edits_at_most(x, y) >= round((1 - similar(x, y)) * max(len(x), len(y), 1))
+    assert lines.edits_at_most("a b c d", "a c d") == 2 and lines.edits_at_most("a b c", "a xx c") == 2 and lines.edits_at_most("q", "q") == 0
+
+
 def test_pigeonhole_masks_find_every_close_pair():
     random = np.random.default_rng(1)
     masks = lines.pigeonhole_masks(lines.DISTANCE, lines.AGREE)
