@@ -1,4 +1,4 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group."""
+"""Fuzzy line dedup: min-hash bands over word pairs of normalised lines, edit similarity, one occurrence per group."""
 
 from __future__ import annotations
 
@@ -15,7 +15,10 @@ from gaugework.llm.linking import link
 from gaugework.llm.words import mix, text_ranges, word_hashes
 
 SIMILARITY = 0.8
-DISTANCE = 3
+#: Candidate bands and the min-hashes of each; edit similarity alone decides about candidates.
+BANDS, ROWS = 12, 3
+#: SimHash bits in which linked lines may differ: all, since similar lines lie 13 bits apart and more.
+DISTANCE = 64
 #: Bits are cut into DISTANCE + AGREE blocks: two values at most DISTANCE bits apart agree in at least AGREE of them.
 AGREE = 2
 _PLAIN = bytes(0x0A if b == 0x0A else 0x30 if 0x30 <= b <= 0x39 else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -26,19 +29,66 @@ def normalised(text: bytes) -> bytes:
     return text.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
+def word_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Exact 64-bit key of each line from its words and their order; 0 for lines without a word."""
+    keys = np.zeros(len(counts), dtype=np.uint64)
+    full = counts > 0
+    if len(hashes):
+        starts = (np.cumsum(counts) - counts)[full]
+        place = (np.arange(len(hashes)) - np.repeat(starts, counts[full])).astype(np.uint64)
+        keys[full] = mix(np.add.reduceat(mix(hashes ^ (place * np.uint64(0x9E3779B97F4A7C15))), starts))
+    return keys
+
+
+def line_bands(lines: list[bytes], similarity: float, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exact keys, lengths, one 32-bit value a band) of normalised lines that all have a word.
+
+    The elements of a line are its pairs of neighbouring words, the last word with its end, each with the number of
+    times it stood before. A band value joins ``rows`` min-hashes and a class of the length. Classes are as wide as two
+    steps of ``similarity`` and shifted from band to band, so lines of similar length share most of them.
+    """
+    hashes, counts = word_hashes(lines)
+    keys = word_keys(hashes, counts)
+    starts = np.cumsum(counts) - counts
+    n = len(hashes)
+    # Words and one blank between two of them: the length of the line that is compared later.
+    lengths = np.array([len(b" ".join(line.split()).decode("utf-8", "replace")) for line in lines], dtype=np.int64)
+    if not n:
+        return keys, lengths, np.zeros((len(lines), bands), dtype=np.int32)
+    follower = np.append(hashes[1:], np.uint64(0))
+    follower[starts + counts - 1] = 0
+    element = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + mix(follower))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((element, owner))
+    sorted_element, sorted_owner = element[order], owner[order]
+    new = np.ones(n, dtype=bool)
+    new[1:] = (sorted_element[1:] != sorted_element[:-1]) | (sorted_owner[1:] != sorted_owner[:-1])
+    at = np.flatnonzero(new)
+    before = (np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))).astype(np.uint64)
+    element = mix(sorted_element + before * np.uint64(0xD1B54A32D192ED03))
+    span = np.log(lengths) / (-2 * np.log(similarity)) if 0 < similarity < 1 else lengths.astype(np.float64)
+    out = np.zeros((len(lines), bands), dtype=np.int32)
+    odd = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
+    for b in range(bands):
+        value = np.floor(span + b / bands).astype(np.uint64) + np.uint64(b << 32)
+        for r in range(rows):
+            least = np.minimum.reduceat(element * odd[b * rows + r], starts)
+            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + least)
+        out[:, b] = (value >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return keys, lengths, out
+
+
 def line_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, exact 64-bit key, 64-bit SimHash) of each normalised line; key and SimHash are 0 for lines without a word.
 
     The key depends on the words and their order; each SimHash bit is the majority of that bit over the words.
     """
     hashes, counts = word_hashes(lines)
-    keys = np.zeros(len(lines), dtype=np.uint64)
+    keys = word_keys(hashes, counts)
     marks = np.zeros(len(lines), dtype=np.uint64)
     full = counts > 0
     if len(hashes):
         starts = (np.cumsum(counts) - counts)[full]
-        place = (np.arange(len(hashes)) - np.repeat(starts, counts[full])).astype(np.uint64)
-        keys[full] = mix(np.add.reduceat(mix(hashes ^ (place * np.uint64(0x9E3779B97F4A7C15))), starts))
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
         votes = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         marks[full] = np.packbits(2 * votes > counts[full][:, None], axis=1).view(np.uint64).ravel()
@@ -56,10 +106,25 @@ def _key_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, texts in text_ranges(part.column(1)):
             split = [normalised(t).split(b"\n") for t in texts]
             counts = [len(s) for s in split]
-            words, keys, marks = line_keys([line for s in split for line in s])
-            keep = words > 0
+            hashes, words = word_hashes([line for s in split for line in s])
+            keep, keys = words > 0, word_keys(hashes, words)
             owner = pa.array(np.repeat(np.arange(lo, hi), counts)[keep])
-            yield pa.RecordBatch.from_arrays([part.column(0).take(owner), pa.array(_places(counts)[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(marks[keep].view(np.int64))], ["doc_id", "line_no", "key", "mark"])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(owner), pa.array(_places(counts)[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64))], ["doc_id", "line_no", "key"])
+
+
+def _band_pass(similarity: float, bands: int, rows: int):
+    """Key, length and band values of every line with a word, once for each range of texts."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for _, _, texts in text_ranges(part.column(0)):
+                found = [line for line in {line for t in texts for line in normalised(t).split(b"\n")} if line.split()]
+                keys, lengths, values = line_bands(found, similarity, bands, rows)
+                at = np.unique(keys, return_index=True)[1]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * bands), pa.array(values[at].ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(lengths[at].astype(np.int32)), lists], ["key", "length", "bands"])
+
+    return run
 
 
 def _text_pass(doc_bits: bytes, line_bits: bytes):
@@ -143,16 +208,17 @@ def pigeonhole_masks(distance: int, agree: int) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
-def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, distance: int = DISTANCE, agree: int = AGREE) -> DataFrame:
+def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
     """(doc_id, line_no) of every line that is not the first occurrence of its group; see ``dedup_lines``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    found = settle(rows.mapInArrow(_key_pass, "doc_id long, line_no int, key long, mark long"))
-    lines = settle(found.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.min("mark").alias("mark"), F.count("*").alias("n")))
-    tables = F.array(*[F.xxhash64(F.lit(i), F.col("mark").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(pigeonhole_masks(distance, agree))])
-    buckets = lines.select(F.explode(tables).alias("bucket"), F.col("key").alias("item"))
+    found = settle(rows.mapInArrow(_key_pass, "doc_id long, line_no int, key long"))
+    lines = settle(found.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")))
+    banded = settle(rows.select("text").mapInArrow(_band_pass(similarity, bands, per_band), "key long, length int, bands array<int>"))
+    buckets = banded.select(F.posexplode("bands").alias("band", "value"), F.col("key").alias("item")).select(F.shiftleft(F.col("band").cast("long"), 32).bitwiseXOR(F.col("value").cast("long")).alias("bucket"), "item")
 
     def near(a: Column, b: Column) -> Column:
-        return F.bit_count(a.bitwiseXOR(b)) <= distance
+        # No pair outside this can reach the similarity: the edit distance is at least the gap of the lengths.
+        return F.abs(a - b) <= F.greatest(a, b) * F.lit(1 - similarity) + F.lit(1e-9)
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = settle(pairs)
@@ -166,7 +232,7 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, distance: int
         close = (F.greatest(F.length("la"), F.length("lb")) <= F.col("most")) | (F.call_function("levenshtein", F.col("la"), F.col("lb"), F.col("most")) >= 0)
         return trimmed.where(close).select("a", "b")
 
-    groups = link(buckets, verify, lines.select(F.col("key").alias("item"), "mark"), near)
+    groups = link(buckets, verify, banded.groupBy(F.col("key").alias("item")).agg(F.min("length").alias("mark")), near)
     rooted = lines.join(groups.withColumnRenamed("item", "key"), "key", "left").where("n > 1 or root is not null")
     rooted = settle(rooted.select("key", F.coalesce("root", "key").alias("root"), "first"))
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
@@ -174,25 +240,24 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, distance: int
     return found.join(decided, "key").where((F.col("doc_id") != F.col("keep.doc_id")) | (F.col("line_no") != F.col("keep.line_no"))).select("doc_id", "line_no")
 
 
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, distance: int = DISTANCE, agree: int = AGREE) -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, plus n_lines and n_removed.
 
     Lines are the pieces between line feeds; they are compared in lower case, with digits as 0 and punctuation as
-    blanks, word by word. Equal lines are one; different lines are linked if their SimHashes over words differ
-    in at most ``distance`` bits and their edit similarity (1 - edit distance / longer length) is at least
-    ``similarity``. Of each connected group the occurrence with the smallest (doc_id, line number) stays in
-    the whole table and every other one goes, whatever the number of copies. Documents always stay, at worst with
-    an empty text.
+    blanks, word by word. Equal lines are one; different lines are linked if they share a band and their edit
+    similarity (1 - edit distance / longer length) is at least ``similarity``. Of each connected group the occurrence
+    with the smallest (doc_id, line number) stays in the whole table and every other one goes, whatever the number of
+    copies. Documents always stay, at worst with an empty text.
 
-    Pairs come from ``distance + agree`` bit blocks of which ``agree`` must be equal, which by the pigeonhole
-    principle finds every pair within ``distance``; the key of a block choice has about 64 * agree /
-    (distance + agree) bits, so ``agree`` is raised for very large corpora (more choices, rarer chance meetings).
+    Bands only propose pairs: two lines whose pairs of neighbouring words have Jaccard similarity j share one of them
+    with a probability of about 1 - (1 - j ** per_band) ** bands. More bands find more, more rows a band make chance
+    meetings rarer in very large corpora.
 
     Lines without a letter or digit, NULL texts and rows with a NULL doc_id are left as they are and are nobody's
     first occurrence. Rows that share a doc_id are one document: a repeated row keeps what its twin keeps. Columns
     of ``docs`` keep their names and order, but n_lines and n_removed are replaced; an empty table gives no row.
     """
-    gone = dropped_lines(docs, similarity, distance, agree).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
+    gone = dropped_lines(docs, similarity, bands, per_band).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
     joined = packed(docs, ["doc_id", "text"]).join(gone, F.col("doc_id") == F.col("_doc"), "left")
     pieces = F.split("text", "\n", -1)
     cut = F.array_join(F.filter(pieces, lambda _line, i: ~F.array_contains("_gone", i)), "\n")

@@ -53,7 +53,9 @@ def link(
     """
     hubs = buckets.groupBy("bucket").agg(F.min("item").alias("hub"), F.max("item").alias("top")).where("hub <> top").drop("top")
     # Few buckets are shared, so they are hashed and the many members need no sort.
-    members = settle(buckets.join(hubs.hint("shuffle_hash"), "bucket"))
+    members = buckets.join(hubs.hint("shuffle_hash"), "bucket")
+    # Given marks, ``buckets`` may hold a row more than once.
+    members = settle(members if marks is None else members.distinct())
     star = members.where("item <> hub").select(F.col("hub").alias("a"), F.col("item").alias("b")).distinct()
     if marks is not None:
         star = star.join(marks.toDF("a", "ma"), "a").join(marks.toDF("b", "mb"), "b").where(near(F.col("ma"), F.col("mb")))

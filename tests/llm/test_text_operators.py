@@ -193,6 +193,23 @@ def test_line_dedup_against_brute_force(spark):
     assert got == want and len({find(i) for i in range(len(distinct))}) < len(distinct)
 
 
+def test_lines_link_by_edit_similarity_alone(spark):
+    random = np.random.default_rng(12)
+    vocabulary = ["".join(random.choice(list("abcdefghijklmnop"), int(random.integers(3, 9)))) for _ in range(4000)]
+    rows, far = [], 0
+    for k in range(100):  # lines of 15 to 95 words, and copies with up to a tenth of the words changed
+        words = list(random.choice(vocabulary, int(random.integers(15, 96))))
+        other = list(words)
+        for at in random.choice(len(words), int(random.integers(1, max(2, len(words) // 10 + 1))), replace=False):
+            other[int(at)] = vocabulary[int(random.integers(4000))]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        a, b = lines.line_keys([t.encode() for _, t in rows[-2:]])[2].tolist()
+        far += bin(a ^ b).count("1") > 3
+    want = {(b[0], 0) for a, b in zip(rows[::2], rows[1::2], strict=True) if similar(a[1], b[1]) >= lines.SIMILARITY}
+    got = {(r.doc_id, r.line_no) for r in lines.dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert far > 30 and got <= want and len(got) >= 0.98 * len(want)
+
+
 def test_line_dedup_cases(docs, empty):
     out = lines.dedup_lines(docs)
     assert out.columns == [c for c in docs.columns if c != "n_lines"] + ["n_lines", "n_removed"]
