@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import id_bitmap, in_bitmap, packed, settle, unpacked
@@ -216,18 +216,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, width: int
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each class; columns and their order stay.
+    """``docs`` with one row of each class of texts; columns and their order stay.
 
-    A NULL text is never a duplicate. Of rows that share a kept doc_id one stays; rows with a NULL doc_id stay only if
-    their text is NULL.
+    Classes are those of the texts alone, so rows that share a doc_id but no text class all stay. The row with the
+    smallest doc_id stays, one without an id only where its class has none; of exact repeats any one. A NULL text is
+    never a duplicate.
     """
-    found = settle(near_duplicates(docs, **options))
-    gone = found.where("not kept and doc_id is not null and class_id is not null").select("doc_id").distinct()
-    kept = docs.where(F.col("doc_id").isNotNull() | F.col("text").isNull()).join(gone, "doc_id", "left_anti")
-    if found.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept.select(docs.columns)
-    # Repeated rows of an id: one stays, and of rows without an id all that have no text.
-    own = packed(kept, ["doc_id", "text"])
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").isNull(), F.md5("text")))
-    single = own.where("doc_id is not null").withColumn("_turn", turn).where("_turn = 1").drop("_turn")
-    return single.unionByName(own.where("doc_id is null")).select(*unpacked(docs.columns, ["doc_id", "text"]))
+    mark = F.when(F.col("text").isNotNull(), F.xxhash64(F.col("text").cast("string")))
+    texts = docs.where(F.col("text").isNotNull()).select(mark.alias("doc_id"), "text")
+    classes = near_duplicates(texts, **options).select(F.col("doc_id").alias("_mark"), "class_id").distinct()
+    pairs = settle(docs.select("doc_id", mark.alias("_mark")).where("_mark is not null").groupBy("_mark", "doc_id").agg(F.count("*").alias("n")))
+    least = pairs.groupBy("_mark").agg(F.min("doc_id").alias("doc_id")).join(classes, "_mark")
+    keep = settle(least.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_mark")).alias("keep")).select(F.col("keep._mark").alias("_kept"), F.col("keep.doc_id").alias("_id")))
+    own = packed(docs, ["doc_id", "text"]).withColumn("_mark", mark)
+
+    def same(left: DataFrame):
+        return (left["_mark"] == keep["_kept"]) & left["doc_id"].eqNullSafe(keep["_id"])
+
+    gone = pairs.join(keep, same(pairs), "left_anti").select(F.col("_mark").alias("_gone"), F.col("doc_id").alias("_id"))
+    kept = own.join(gone, (own["_mark"] == gone["_gone"]) & own["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    if not pairs.where("n > 1").join(keep, same(pairs), "left_semi").isEmpty():
+        one = kept.where("_mark is not null").groupBy("_mark", "doc_id").agg(F.any_value(F.struct("text", "_rest")).alias("_row"))
+        kept = one.select("doc_id", "_row.text", "_row._rest").unionByName(kept.where("_mark is null").drop("_mark"))
+    return kept.select(*unpacked(docs.columns, ["doc_id", "text"]))

@@ -68,6 +68,15 @@ def test_near_duplicate_classes(docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_drop_near_duplicates_decides_by_row(spark):
+    rows = [(None, BASE), (None, BASE), (None, NEAR), (None, OTHER), (7, OTHER), (7, "one id with another text"), (7, "one id with another text"), (8, None), (8, None), (None, None), (None, "only without id")]
+    kept = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = Counter((r.doc_id, r.text) for r in kept)
+    base = [text for text in (BASE, NEAR) if got.pop((None, text), 0)]
+    assert len(base) == 1 and len(kept) == 7
+    assert got == Counter({(7, OTHER): 1, (7, "one id with another text"): 1, (8, None): 2, (None, None): 1, (None, "only without id"): 1})
+
+
 def test_near_duplicates_equal_brute_force_on_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
