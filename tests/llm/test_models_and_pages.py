@@ -67,6 +67,14 @@ def test_undecided_blocks_lose_repeated_runs(spark):
     assert html.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_copies_of_a_page_do_not_erase_each_other(spark):
+    body = "<div>one two three four five six seven eight nine ten eleven</div>"
+    rows = [(1, "http://h.example/1", body), (1, "http://h.example/1", body), (2, "http://h.example/2", body), (3, "http://h.example/3", "<div>other words here</div>")]
+    out = html.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    whole = ("one two three four five six seven eight nine ten eleven", 0)
+    assert Counter((r.page_id, r.text, r.n_repeated_tokens) for r in out) == Counter({(1, *whole): 2, (2, *whole): 1, (3, "other words here", 0): 1})
+
+
 def test_pages_equal_their_articles(spark):
     import html as entities
     import re
