@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugework.llm.common import settle
 from gaugework.llm.tokens import Memory
 
 #: At most so many labelled documents are used for fitting, those with the smallest hash of their id.
@@ -165,12 +166,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     Only ids and whole texts are read, never lang, source or other columns. Evidence for every word and word start is
     counted over the sample in parallel; the ``features`` strongest and the identity terms enter. The driver
     receives those names and the sample's sparse rows, both bounded by the parameters. A label is the largest of
-    repeated ones; NULL labels and ids are ignored. Without any labelled document the model has only a bias below 0.5.
+    repeated ones, and of rows that share a doc_id the text with the smallest digest is read; NULL labels and ids are ignored. Without any labelled document the model has only a bias below 0.5.
     """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id")  # at most ``sample`` ids
+    found = texts.join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids, each with any number of rows
+    rows = settle(found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.coalesce(F.md5("text"), F.lit("~"))).alias("text")).select("text", "toxic", "doc_id"))
     counted = rows.mapInArrow(_evidence_pass, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     sizes = rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()
     n = {r["toxic"]: r["n"] for r in sizes}

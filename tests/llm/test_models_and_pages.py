@@ -127,6 +127,13 @@ def test_toxicity_held_out_and_counterfactuals(labelled):
     assert kept.columns == docs.columns and Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in found if not r.predicted)
 
 
+def test_repeated_ids_weigh_once(spark, labelled):
+    docs, labels = labelled
+    again = docs.where("doc_id in (7, 8)").crossJoin(spark.range(300)).drop("id")
+    model, more = toxicity.train(docs, labels), toxicity.train(docs.unionByName(again), labels)
+    assert more.bias == pytest.approx(model.bias, abs=1e-6) and more.weights == pytest.approx(model.weights, abs=1e-6)
+
+
 def test_toxicity_without_labels_or_documents(spark, labelled):
     docs, labels = labelled
     assert {r.predicted for r in toxicity.score_documents(docs, labels.where("false")).collect()} == {0}
