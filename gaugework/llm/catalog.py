@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugework.llm import html, lines, mixing, neardup, packing, rules, sharding, statements, tokens, toxicity, vectors
+from gaugework.llm import alignment, chat, html, lines, mixing, neardup, packing, rules, search, sharding, statements, tokens, toxicity, vectors
 from gaugework.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,19 @@ def _int8_near_vectors(spark, folder):
 @query("op10_fuzzy_line_dedup")
 def _fuzzy_line_dedup(spark, folder):
     return lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op11_chat_loss_masks", statements.CHAT)
+def _chat_loss_masks(spark, folder):
+    formatted = chat.format_conversations(chat.with_control_strings(table(spark, folder, "conversations")))
+    return chat.read_back(formatted).drop("n_tokens", "n_loss_tokens")
+
+
+@query("op12_presence_mask_search", statements.SEARCH)
+def _presence_mask_search(spark, folder):
+    return search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_tokenizer_alignment")
+def _tokenizer_alignment(spark, folder):
+    return alignment.align_documents(table(spark, folder, "documents"))

@@ -110,3 +110,34 @@ def shards(dimensions: tuple[str, ...], bits: int = 5, count: int = 40) -> str:
     ctes.append(f"placed AS (SELECT *, row_number() OVER (ORDER BY curve, {order}, doc_id NULLS FIRST, text_crc32, size) - 1 AS place, count(*) OVER () AS n FROM sums)")
     ctes.append(f"cut AS (SELECT *, place * {count} // n AS shard FROM placed)")
     return f"WITH {', '.join(ctes)} SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, place - (shard * n + {count - 1}) // {count} AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM cut"
+
+_ESCAPE = r"'([<\[])(\\*)(s>|/s>|INST\]|/INST\]|\|endoftext\|>)', '\1\2\\\3', 'g'"
+
+CHAT = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS x FROM conversations
+  UNION ALL SELECT -1, i, role, '</s>[INST] ok [/INST]', role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, role)
+), k AS (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, r NULLS LAST, x NULLS LAST)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, r NULLS LAST, x NULLS LAST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(17 + length(regexp_replace(role, {_ESCAPE})) + length(regexp_replace(text, {_ESCAPE}))) AS BIGINT) AS formatted_chars
+FROM k GROUP BY conv_id, alone
+"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+q AS (SELECT row_number() OVER () AS k, item_id, list_distinct({_TERMS}) AS w FROM benchmark),
+c AS (SELECT count(*) AS docs, sum(len(w)) AS total FROM d WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT unnest(w) AS term FROM q),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) SEMI JOIN wanted USING (term) GROUP BY ALL),
+v AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term),
+s AS (
+  SELECT k, item_id, d.r, d.doc_id, CAST(sum(v.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + CAST((90 * len(d.w) * docs) // total AS BIGINT))))) AS BIGINT) AS score
+  FROM (SELECT k, item_id, unnest(w) AS term FROM q) JOIN p USING (term) JOIN v USING (term) JOIN d ON d.r = p.r, c GROUP BY ALL
+), o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST, r) AS n FROM s WHERE score > 0)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM o WHERE n <= 10
+"""
