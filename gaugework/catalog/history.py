@@ -102,9 +102,9 @@ def shortlist(spark, folder):
     return hs.shortlist_scores(directed, [], PARAMS)
 
 
-@query("shortlist_metric_scores", f"WITH {SHORTLIST} SELECT ticker, metric, round(score, 6) AS score FROM ms")
+@query("shortlist_metric_scores", f"WITH {SHORTLIST} SELECT ft.ticker, rg.metric, round(score, 6) AS score FROM ft CROSS JOIN rg LEFT JOIN ms ON ms.ticker = ft.ticker AND ms.metric = rg.metric")
 def _(spark, folder):
-    return shortlist(spark, folder).where(F.col("value").isNotNull()).select("ticker", "metric", F.round("score", 6).alias("score"))
+    return shortlist(spark, folder).select("ticker", "metric", F.round("score", 6).alias("score"))
 
 
 def category_scores(spark, folder):
@@ -218,7 +218,7 @@ def _(spark, folder):
     adverse = {m: d for fam in hs.SHORT_METRICS.values() for m, d in fam.items()}
     higher = [m for m in METRIC_LIST if adverse.get(m, "lower") == "higher"]
     long = melt(f, ["ticker"], METRIC_LIST).withColumn("direction", F.when(F.col("metric").isin(higher), "higher").otherwise("lower"))
-    return hs.shortlist_scores(long, [], PARAMS).where("value IS NOT NULL").groupBy("ticker").agg(F.round(F.avg("score"), 6).alias("mean_short_score"), F.count("score").alias("scored"))
+    return hs.shortlist_scores(long, [], PARAMS).groupBy("ticker").agg(F.round(F.avg("score"), 6).alias("mean_short_score"), F.count("score").alias("scored"))
 
 
 # --- joins ------------------------------------------------------------------------------------------

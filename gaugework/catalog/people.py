@@ -266,16 +266,16 @@ def _(spark, folder):
     return pe.guidance_from_claims(guidance_claims(spark, folder)).select(C("claim_id").cast("long").alias("claim"), "metric", "horizon", "low", "high", "status")
 
 
-@query("guidance_revisions", """WITH g AS (SELECT o_orderkey, o_custkey, substr(o_orderpriority, 1, 1) AS p, year(o_orderdate) AS y, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%') SELECT o_custkey AS ticker, count(*) AS revisions, max(k) AS highest FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, y ORDER BY d, o_orderkey) AS k FROM g) GROUP BY 1""")
+@query("guidance_revisions", """WITH g AS (SELECT o_orderkey, o_custkey, substr(o_orderpriority, 1, 1) AS p, year(o_orderdate) AS y, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderpriority < '5') SELECT o_custkey AS ticker, count(*) AS revisions, max(k) AS highest FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, y, CASE p WHEN '3' THEN 1 WHEN '4' THEN 2 ELSE 0 END ORDER BY d, o_orderkey) AS k FROM g) GROUP BY 1""")
 def _(spark, folder):
-    g = pe.guidance_revisions(pe.guidance_from_claims(guidance_claims(spark, folder)).where("unit = 'USD'"))
+    g = pe.guidance_revisions(pe.guidance_from_claims(guidance_claims(spark, folder)))
     return g.groupBy("ticker").agg(F.count("*").alias("revisions"), F.max("revision_number").alias("highest"))
 
 
-@query("guidance_outcomes", """WITH g AS (SELECT o_orderkey, o_custkey, substr(o_orderpriority, 1, 1) AS p, CAST(round(o_totalprice / 1000) AS INTEGER) * 1e6 AS n, year(o_orderdate) + 5 AS y FROM orders WHERE o_orderpriority LIKE '1%' OR o_orderpriority LIKE '3%'), a AS (SELECT o_custkey, year(o_orderdate) + 5 AS y, avg(o_totalprice) * 1000 AS v FROM orders WHERE year(o_orderdate) < 2000 GROUP BY 1, 2)
-    SELECT o_orderkey AS claim, CASE WHEN p = '3' THEN 'WITHDRAWN' WHEN v IS NULL THEN 'UNRESOLVED' WHEN v BETWEEN n AND n + 5e7 THEN 'MET' WHEN v > n THEN 'BEAT' ELSE 'MISS' END AS outcome FROM g LEFT JOIN a ON a.o_custkey = g.o_custkey AND a.y = g.y""")
+@query("guidance_outcomes", """WITH g AS (SELECT o_orderkey, o_custkey, substr(o_orderpriority, 1, 1) AS p, CAST(round(o_totalprice / 1000) AS INTEGER) * 1e6 AS n, year(o_orderdate) + 5 AS y FROM orders WHERE o_orderpriority < '5'), a AS (SELECT o_custkey, year(o_orderdate) + 5 AS y, avg(o_totalprice) * 1000 AS v FROM orders WHERE year(o_orderdate) < 2000 GROUP BY 1, 2)
+    SELECT o_orderkey AS claim, CASE WHEN p = '3' THEN 'WITHDRAWN' WHEN p = '4' OR v IS NULL THEN 'UNRESOLVED' WHEN p = '1' AND v BETWEEN n AND n + 5e7 OR p = '2' AND abs(v - n) <= n * 0.01 THEN 'MET' WHEN v > n THEN 'BEAT' ELSE 'MISS' END AS outcome FROM g LEFT JOIN a ON a.o_custkey = g.o_custkey AND a.y = g.y""")
 def _(spark, folder):
-    g = pe.guidance_from_claims(guidance_claims(spark, folder)).where("metric = 'revenue' AND (low IS NOT NULL OR status = 'withdrawn')")
+    g = pe.guidance_from_claims(guidance_claims(spark, folder))
     y = F.year("o_orderdate")
     facts = table(spark, folder, "orders").where(y < 2000).groupBy(C("o_custkey").alias("ticker"), (y + 5).alias("fiscal_year")).agg((F.avg("o_totalprice") * 1000).alias("value")).select("ticker", F.lit("revenue").alias("metric"), "fiscal_year", F.lit("FY").alias("fiscal_period"), F.lit("USD").alias("unit"), F.lit("GAAP").alias("basis"), "value", F.make_date(C("fiscal_year"), F.lit(12), F.lit(31)).alias("period_end"), day("2001-01-01").alias("filed"))
     return pe.guidance_outcomes(g, facts, day("2009-12-31")).select(C("claim_id").cast("long").alias("claim"), "outcome")
@@ -329,11 +329,32 @@ def _(spark, folder):
 # --- boards ----------------------------------------------------------------------------------------------------
 
 
-@query("director_independence", f"SELECT o_orderkey AS orderkey, {case('NOT_INDEPENDENT', 'INDEPENDENT', 'NOT_INDEPENDENT', 'INDEPENDENT', 'UNKNOWN')} AS independence FROM orders")
+def surname(number):
+    """A name of letters from a number."""
+    return F.concat(F.lit("Mac"), F.translate(number.cast("string"), "0123456789", "abcdefghij"))
+
+
+# Directors are the orders of a customer; its proxy is one text of sentences about them, in order, whose wording follows the row.
+PROXY = """pb AS (SELECT o_custkey AS t, o_orderkey AS k, substr(o_orderpriority, 1, 1) AS p, o_orderstatus AS s, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders),
+pv AS (SELECT *, CASE WHEN s = 'P' THEN CASE WHEN p < '3' THEN 'row_no' ELSE 'row_yes' END WHEN p = '1' THEN 'denied' WHEN p = '2' THEN 'denied' WHEN p = '3' THEN 'granted' WHEN p = '4' THEN 'granted' ELSE 'silent' END AS v FROM pb)"""
+
+
+@query("director_independence", f"""WITH {PROXY} SELECT k AS orderkey, CASE v WHEN 'row_no' THEN 'NOT_INDEPENDENT' WHEN 'row_yes' THEN 'INDEPENDENT' WHEN 'denied' THEN 'NOT_INDEPENDENT' WHEN 'granted' THEN 'INDEPENDENT' ELSE 'UNKNOWN' END AS independence,
+    CASE v WHEN 'row_no' THEN 'executive or founder relationship' WHEN 'row_yes' THEN 'own row states independent' WHEN 'denied' THEN 'proxy denies independence' WHEN 'granted' THEN 'board determination' ELSE 'unknown' END AS basis FROM pv""")
 def _(spark, folder):
-    o = by_priority(spark, folder, "Chief Executive Officer since 1999", "An independent director", "", "", "")
-    proxy = F.when(C("p") == "3", "All nominees qualify; however Mr. Doe is not independent.").when(C("p") == "4", "The board has determined that Ms. Doe is independent.").otherwise("")
-    return o.select("orderkey", pe.independence(C("text"), proxy, F.lit("Jane Doe")).alias("independence"))
+    o = table(spark, folder, "orders").select(C("o_custkey").alias("ticker"), C("o_orderkey").alias("person_id"), F.substring("o_orderpriority", 1, 1).alias("p"), C("o_orderstatus").alias("s"), surname(C("o_orderkey")).alias("last"))
+    own = F.when(C("s") == "P", F.when(C("p") < "3", "Chief Executive Officer since 1999").otherwise("An independent director"))
+    directors = o.select("ticker", "person_id", F.concat(F.lit("J.R. "), "last").alias("name"), own.alias("evidence_text"), F.array(F.lit("director")).alias("roles"))
+    said = (
+        F.when(C("s") == "P", F.concat(F.lit("Mr. "), "last", F.lit(" chairs a committee.")))
+        .when(C("p") == "1", F.concat(F.lit("Other nominees are independent, but Mr. "), "last", F.lit(" is not independent under the rules.")))
+        .when(C("p") == "2", F.concat(F.lit("Ms. "), "last", F.lit(" runs our largest unit. For that reason she is not deemed independent.")))
+        .when(C("p") == "3", F.concat(F.lit("The board has determined that Dr. "), "last", F.lit(" is independent.")))
+        .when(C("p") == "4", F.concat(F.lit("Our board of directors has determined that the following are independent:\n- "), "last", F.lit("\n- others.")))
+        .otherwise(F.concat("last", F.lit(" has served since 1999.")))
+    )
+    proxies = o.groupBy("ticker").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("person_id", said.alias("said")))), lambda x: x["said"]), " ").alias("text"))
+    return pe.independence(directors, proxies).select(C("person_id").alias("orderkey"), "independence", "basis")
 
 
 @query("committee_types", f"SELECT o_orderkey AS orderkey, {case('audit', 'compensation', 'nominating_governance', 'risk', 'other')} AS type FROM orders")
@@ -371,7 +392,7 @@ def _(spark, folder):
     wrap = lambda s: F.concat(F.lit("Item 5.02 Departure. "), s, F.lit(", effective "), d, F.lit(". Item 9.01 Exhibits"))
     o = by_priority(spark, folder, wrap(F.lit("Ms. Doe resigned as Chief Financial Officer")), wrap(F.lit("The board appointed Mr. Roe to the board of directors")), wrap(F.lit("Mr. Poe becomes interim CEO")), "Item 8.01 Other. Ms. Doe resigned as director.", "none")
     e = pe.role_changes(o.select("ticker", C("orderkey").alias("accession"), "text"))
-    return e.select(C("accession").alias("orderkey"), "event_type", "role", C("effective_date").cast("string").alias("effective_date")).where("effective_date IS NOT NULL")
+    return e.select(C("accession").alias("orderkey"), "event_type", "role", C("effective_date").cast("string").alias("effective_date"))
 
 
 @query("education_statements", f"SELECT o_orderkey AS person_id, {case('BA', 'MBA', None, None, None)} AS degree, {case('Yale University', 'Harvard University', None, None, None)} AS institution FROM orders WHERE substr(o_orderpriority, 1, 1) < '3'")

@@ -171,11 +171,16 @@ def segments(spark, folder):
     w AS (SELECT conv_id, turn, unnest(string_split(t, ' ')) AS word, unnest(range(len(string_split(t, ' ')))) AS i FROM s WHERE t <> ''), g AS (SELECT conv_id, word || ' ' || lead(word, 1) OVER x || ' ' || lead(word, 2) OVER x || ' ' || lead(word, 3) OVER x || ' ' || lead(word, 4) OVER x AS gram FROM w WINDOW x AS (PARTITION BY conv_id ORDER BY turn, i)),
     r AS (SELECT conv_id, (count(*) - count(DISTINCT gram)) / CAST(count(*) AS DOUBLE) AS rr FROM g WHERE gram IS NOT NULL GROUP BY 1), d AS (SELECT conv_id, count(*) - count(DISTINCT t) AS dup FROM s GROUP BY 1)
     SELECT p.conv_id, count(*) AS segment_count, CAST(sum(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END) AS BIGINT) AS word_count, max(dup) / CAST(count(*) AS DOUBLE) AS duplicate_text_ratio, round(coalesce(max(rr), 0), 6) AS repeated_ngram_ratio,
-      count(CASE WHEN pr = 'assistant' THEN 1 END) AS overlapping_timestamp_count, count(CASE WHEN t = pt THEN 1 END) / CAST(greatest(count(*) - 1, 1) AS DOUBLE) AS consecutive_duplicate_ratio FROM p LEFT JOIN r USING (conv_id) LEFT JOIN d USING (conv_id) GROUP BY 1""",
+      count(CASE WHEN pr = 'assistant' THEN 1 END) AS overlapping_timestamp_count, count(CASE WHEN t = pt THEN 1 END) / CAST(greatest(count(*) - 1, 1) AS DOUBLE) AS consecutive_duplicate_ratio,
+      round(median(CASE WHEN role = 'assistant' THEN 12.0 ELSE 9.0 END), 6) AS median_segment_duration, round(greatest(count(*) * 9.0 / 60, 1 / 60.0), 6) AS duration_minutes, max(turn * 10 + CASE WHEN role = 'assistant' THEN 12.0 ELSE 9.0 END) > count(*) * 9.0 + 2 AS beyond_audio,
+      round(sum(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END) / greatest(count(*) * 9.0 / 60, 1 / 60.0), 6) AS words_per_minute FROM p LEFT JOIN r USING (conv_id) LEFT JOIN d USING (conv_id) GROUP BY 1""",
 )
 def _(spark, folder):
-    q = ops.transcript_quality(segments(spark, folder), "conv_id")
-    return q.select("conv_id", "segment_count", "word_count", "duplicate_text_ratio", F.round("repeated_ngram_ratio", 6).alias("repeated_ngram_ratio"), "overlapping_timestamp_count", "consecutive_duplicate_ratio")
+    # The audio of a conversation lasts nine seconds a turn.
+    durations = segments(spark, folder).groupBy("conv_id").agg((F.count("*") * 9.0).alias("duration"))
+    q = ops.transcript_quality(segments(spark, folder), "conv_id", durations)
+    return q.select("conv_id", "segment_count", "word_count", "duplicate_text_ratio", F.round("repeated_ngram_ratio", 6).alias("repeated_ngram_ratio"), "overlapping_timestamp_count", "consecutive_duplicate_ratio",
+                    F.round("median_segment_duration", 6).alias("median_segment_duration"), F.round("duration_minutes", 6).alias("duration_minutes"), C("warnings").contains("timestamps_beyond_audio").alias("beyond_audio"), F.round("words_per_minute", 6).alias("words_per_minute"))
 
 
 def caption_bodies(spark, folder):
@@ -239,14 +244,30 @@ def _(spark, folder):
     return ops.merge_documents(p, "page_id", [site, F.md5("html")], ["url"], "page_id").select("root", "merged_rows", "url")
 
 
-@query("event_reconciliation", """WITH f AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 1 WHEN page_id % 3 = 1 THEN 2 ELSE 3 END AS kind FROM pages) SELECT CASE WHEN kind = 3 THEN 'new' ELSE 'matched' END AS reconciliation, count(*) AS events FROM f GROUP BY 1 UNION ALL SELECT 'kept', count(*) FROM f WHERE kind = 3""")
+# Fresh and stored events of the pages: kind k = page_id % 8 decides what the two sides share.
+EVENTS = """ev AS (SELECT page_id AS i, page_id % 8 AS k, 'T' || page_id % 5 AS t FROM pages),
+em AS (SELECT *, CASE k WHEN 0 THEN 'canonical_url' WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN 'provider_event_id' WHEN 4 THEN 'date_title' WHEN 5 THEN NULL WHEN 6 THEN 'canonical_url' END AS m FROM ev)"""
+
+
+@query("event_reconciliation", f"""WITH {EVENTS} SELECT t AS ticker, 'e' || i AS event_id, CASE WHEN m IS NOT NULL THEN 's' || i END AS stored_id, m AS match_method, CASE WHEN m IS NULL THEN 'new' ELSE 'matched' END AS reconciliation, CASE WHEN m IS NOT NULL THEN 'transcript ' || i END AS transcript FROM em
+    UNION ALL SELECT t, 'e' || i || 'b', NULL, NULL, 'new', NULL FROM em WHERE k = 6 UNION ALL SELECT t, 's' || i, 's' || i, NULL, 'kept', 'transcript ' || i FROM em WHERE m IS NULL""")
 def _(spark, folder):
-    p = table(spark, folder, "pages")
-    kind, text = C("page_id") % 3, C("page_id").cast("string")
-    base = [F.lit("T").alias("ticker"), F.concat(F.lit("e"), text).alias("event_id"), F.lit("prov").alias("provider")]
-    fresh = p.select(*base, F.concat(F.lit("http://x.com/"), text, F.lit("?utm_a=1")).alias("event_url"), F.when(kind == 1, text).alias("provider_event_id"), F.concat(F.lit("Call "), text).alias("title"), F.lit(None).cast("date").alias("date"), F.lit(None).cast("string").alias("transcript"))
-    stored = p.select(*base[:1], F.concat(F.lit("s"), text).alias("event_id"), base[2], F.when(kind == 0, F.concat(F.lit("http://x.com/"), text)).when(kind == 1, F.concat(F.lit("http://y.com/"), text)).otherwise(F.concat(F.lit("http://z.com/"), text)).alias("event_url"), F.when(kind == 1, text).alias("provider_event_id"), F.lit("old").alias("title"), F.lit(None).cast("date").alias("date"), F.lit("t").alias("transcript"))
-    return ops.reconcile_events(fresh, stored, ["transcript"]).groupBy("reconciliation").agg(F.count("*").alias("events"))
+    i, k = C("page_id").cast("string"), C("page_id") % 8
+    p = table(spark, folder, "pages").withColumn("ticker", F.concat(F.lit("T"), (C("page_id") % 5).cast("string")))
+    none = F.lit(None).cast("string")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (C("page_id") % 300).cast("int"))
+    path = F.concat(F.lit("https://ir.x.com/events/"), i)
+    # 0: one address, other query; 1: one address, other date; 2: one address, other webcast, equal provider id; 3: provider id; 4: date and title; 5, 7: nothing in common (5 without an event part); 6: two fresh events for one stored.
+    fresh = p.select(
+        "ticker", F.concat(F.lit("e"), i).alias("event_id"), F.concat(path, F.when(k == 5, "").otherwise(F.concat(F.lit("?s=1#event-"), i))).alias("event_url"), F.when(k == 6, None).otherwise(day).alias("date"),
+        F.when(k == 2, F.concat(F.lit("https://cast.x.com/new/"), i)).alias("webcast_url"), none.alias("media_url"), F.when(k.isin(2, 3), i).alias("provider_event_id"), F.concat(F.lit("Results Call, no. "), i).alias("title"), none.alias("transcript"),
+    )
+    again = fresh.where(C("event_url").contains("#event-") & C("date").isNull()).withColumn("event_id", F.concat("event_id", F.lit("b")))
+    stored = p.select(
+        "ticker", F.concat(F.lit("s"), i).alias("event_id"), F.when(k.isin(0, 1, 2, 6), F.concat(path, F.lit("?s=2#event-old"))).when(k == 5, path).otherwise(F.concat(F.lit("https://old.x.com/"), i, F.lit("#event-1"))).alias("event_url"), F.when(k == 1, F.date_add(day, 7)).when(k.isin(0, 4), day).when(k == 2, day).when(k == 3, F.date_add(day, 1)).alias("date"),
+        F.when(k == 2, F.concat(F.lit("https://cast.x.com/old/"), i)).alias("webcast_url"), none.alias("media_url"), F.when(k.isin(2, 3), i).alias("provider_event_id"), F.when(k == 4, F.concat(F.lit("RESULTS CALL - No "), i)).otherwise(F.concat(F.lit("Old "), i)).alias("title"), F.concat(F.lit("transcript "), i).alias("transcript"),
+    )
+    return ops.reconcile_events(fresh.unionByName(again), stored, ["transcript"]).select("ticker", "event_id", "stored_id", "match_method", "reconciliation", "transcript")
 
 
 @query("section_link_scores", r"""SELECT page_id, CASE WHEN contains(lower(url), 'contact') THEN -50 ELSE CASE WHEN regexp_matches(lower(t), 'news|press|releases') THEN 12 ELSE 0 END + CASE WHEN regexp_matches(lower(p), 'news|press|releases') THEN 7 ELSE 0 END + CASE WHEN contains(lower(t) || lower(p), 'archive') THEN 5 ELSE 0 END END AS score

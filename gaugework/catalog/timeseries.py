@@ -444,7 +444,7 @@ def _(spark, folder):
 
 @query(
     "month_end_table",
-    f"""WITH {RECORDS}, {UNIQUE}, s AS (SELECT series, last_day(observation_date) AS row_date, avg(value) AS value FROM day WHERE value > 12.9 GROUP BY 1, 2),
+    f"""WITH {RECORDS}, {UNIQUE}, s AS (SELECT series, last_day(observation_date) AS row_date, avg(value) AS value FROM day GROUP BY 1, 2),
     m AS (SELECT last_day(CAST(unnest(generate_series(date_trunc('month', min(row_date)), date_trunc('month', max(row_date)), INTERVAL 1 MONTH)) AS DATE)) AS row_date FROM s),
     old AS (SELECT series, last_day(observation_date) AS row_date, min(value) AS value, min(value) < 9.0 AS bad FROM day WHERE year(observation_date) = 1996 GROUP BY 1, 2)
     SELECT coalesce(g.series, old.series) AS series, CAST(coalesce(g.row_date, old.row_date) AS VARCHAR) AS row_date, round(CASE WHEN old.bad THEN g.value ELSE coalesce(old.value, g.value) END, 6) AS value
@@ -453,7 +453,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     day = _daily(spark, folder).withColumn("row_date", F.last_day("observation_date"))
-    series = day.where(F.col("value") > 12.9).groupBy("series", "row_date").agg(F.avg("value").alias("value"))
+    series = day.groupBy("series", "row_date").agg(F.avg("value").alias("value"))
     old = day.where(F.year("observation_date") == 1996).groupBy("series", "row_date").agg(F.min("value").alias("value"), (F.min("value") < 9.0).alias("verified_invalid"))
     return _round(ts.month_grid(series, old), "value")
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.functions import text as tx
 from gaugework.functions.numbers import joined_reasons, safe_div
 from gaugework.plans.joins import asof_day, attach, latest_per_key, look_up
-from gaugework.plans.ordered import with_previous
+from gaugework.plans.ordered import running_maxima, with_previous
+from gaugework.plans.settle import settle
 
 # --- ownership forms ----------------------------------------------------------------------------------
 
@@ -512,12 +513,16 @@ def guidance_revisions(guidance: DataFrame) -> DataFrame:
 def guidance_outcomes(guidance: DataFrame, facts: DataFrame, as_of: Column) -> DataFrame:
     """Guidance against the latest comparable actual: MET, BEAT, MISS, WITHDRAWN, NOT_COMPARABLE or UNRESOLVED.
 
-    ``facts``: ticker, metric, fiscal_year, fiscal_period, unit, basis, value, period_end, filed.
-    Facts collapse to one per (ticker, metric, horizon, unit) before the join.
+    ``facts``: ticker, metric, fiscal_year, fiscal_period, unit, basis, value, period_end, filed; only those that ended and were
+    filed by ``as_of`` are known. A horizon without a year ("Q2") takes the latest known fact of that quarter. Facts
+    collapse to one per (ticker, metric, horizon, unit) before the join.
     """
-    period = F.when(F.coalesce("fiscal_period", F.lit("FY")) == "FY", F.concat(F.lit("FY"), F.col("fiscal_year").cast("string"))).otherwise(F.concat_ws(" ", "fiscal_period", F.col("fiscal_year").cast("string")))
+    year, stated = F.col("fiscal_year").cast("string"), F.coalesce("fiscal_period", F.lit("FY"))
+    # A quarter answers guidance for that quarter of its year, and guidance that names the quarter alone.
+    period = F.when(stated == "FY", F.array(F.concat(F.lit("FY"), year))).otherwise(F.array(F.concat_ws(" ", stated, year), stated))
     unit = F.when(F.upper("unit").isin("PERCENT", "%"), "PERCENT").when(F.upper("unit").isin("USD", "USD/SHARES", "DOLLAR"), "USD").otherwise(F.upper("unit"))
-    known = facts.where(F.col("period_end") <= as_of).withColumns({"horizon": period, "unit": unit})
+    public = (F.col("period_end") <= as_of) & (F.col("filed").isNull() | (F.col("filed") <= as_of))
+    known = facts.where(public).withColumns({"horizon": F.explode(period), "unit": unit})
     order = F.struct("period_end", F.coalesce("filed", F.to_date(F.lit("0001-01-01"))))
     actual = known.groupBy("ticker", "metric", "horizon", "unit").agg(F.max_by(F.struct("value", "basis", "period_end"), order).alias("a"))
     any_unit = actual.groupBy("ticker", "metric", "horizon").agg(F.max_by("a", F.struct("a.period_end", "unit")).alias("x"))
@@ -674,21 +679,74 @@ EXPERTISE = {
 }
 
 
-def independence(row_evidence: Column, proxy: Column, name: Column, within: int | None = None) -> Column:
-    """INDEPENDENT, NOT_INDEPENDENT or UNKNOWN from the director's row, then from the proxy text on either side of the name.
+# Phrases of independence statements.
+EXECUTIVE_EVIDENCE = r"chief executive officer|president and chief executive|co-founder|founder and|executive chair"
+DENIAL = r"not\s+(?:deemed\s+|considered\s+)?independent"
+DETERMINATION = r"board(?:\s+of\s+directors)?\s+has\s+determined"
+CHIEF_EXCEPTION = r"all\s+directors\s+independent,?\s+except\s+for\s+(?:our\s+)?(?:ceo|chief\s+executive\s+officer)"
+CHIEF_ROLE = r"\b(?:ceo|chief executive officer|president\s+and\s+chief executive)\b"
 
-    ``within`` limits the characters between name and phrase; the whole text counts without it.
+
+def phrase_index(texts: DataFrame, key: str, phrases: Mapping[str, str], words: DataFrame, word: str) -> tuple[DataFrame, DataFrame]:
+    """Positions of phrases and of words in each text: (key, sentence_no, at, kind) and (key, sentence_no, at, word).
+
+    A sentence ends at a full stop; the items of a list belong to the sentence that introduces them. ``phrases`` are patterns
+    by kind (lower-case letters), an earlier one takes its text from the later; ``words`` (key, word), lower case and of three
+    letters or more, are looked up as whole words in the texts of their key only. ``at`` numbers phrases and words of a sentence
+    together. Texts, sentences and words are rows of Spark, never lists of a task.
     """
-    e = F.lower(F.coalesce(row_evidence, F.lit("")))
-    last = F.element_at(F.split(F.trim(name), " "), -1)
-    gap = ".*?" if within is None else rf".{{0,{within}}}"
-    near = lambda phrase: F.regexp_like(F.coalesce(proxy, F.lit("")), F.concat(F.lit(rf"(?is){phrase}{gap}\b"), last, F.lit(r"\b")))
-    before = lambda phrase: F.regexp_like(F.coalesce(proxy, F.lit("")), F.concat(F.lit(r"(?is)\b"), last, F.lit(rf"\b{gap}{phrase}")))
-    denial = r"(?:not\s+deemed\s+independent|not\s+independent)"
-    return (
-        F.when(e.rlike("chief executive officer|president and chief executive|co-founder|founder and|executive chair") | e.contains("not independent"), "NOT_INDEPENDENT").when(e.rlike(r"\bindependent\b"), "INDEPENDENT")
-        .when(near(denial) | before(denial), "NOT_INDEPENDENT").when(near(r"(?:board of directors has determined|board has determined)") & F.lower(proxy).contains("independent"), "INDEPENDENT").otherwise("UNKNOWN")
+    marked = F.col("sentence")
+    for kind, pattern in phrases.items():
+        marked = F.regexp_replace(marked, f"(?i){pattern}", f" \x01{kind}\x02 ")
+    parts = texts.select(key, F.posexplode(F.split("text", SENTENCE_END)).alias("sentence_no", "sentence"))
+    tokens = parts.select(key, "sentence_no", F.posexplode(F.regexp_extract_all(marked, F.lit("(\x01[a-z]+\x02|\\p{L}{3,})"), 1)).alias("at", "_token"))
+    phrase = F.col("_token").startswith("\x01")
+    marks = tokens.where(phrase).select(key, "sentence_no", "at", F.regexp_replace("_token", "[\x01\x02]", "").alias("kind"))
+    said = tokens.where(~phrase).select(key, "sentence_no", "at", F.lower("_token").alias(word))
+    return marks, said.join(words.select(key, word).distinct(), [key, word])
+
+
+def independence(directors: DataFrame, proxies: DataFrame) -> DataFrame:
+    """(ticker, person_id, independence, basis): INDEPENDENT, NOT_INDEPENDENT or UNKNOWN of every director.
+
+    ``directors``: ticker, person_id, name, evidence_text, roles (array); ``proxies``: ticker, text. The director's own row
+    speaks first. In the proxy each denial binds by position to its nearest surnames: those between the phrase before it and
+    itself in its sentence, else those behind it up to the next phrase, else the last surname before it in the text. A
+    denial beats everything else there; then "all directors independent except for our CEO" decides by role; then surnames in
+    the sentence of a board determination that says independent. Distance in characters never matters, and surnames
+    (the last word of three letters or more) are compared as words, not as patterns.
+    """
+    d = directors.select("ticker", "person_id", F.lower(F.coalesce("evidence_text", F.lit(""))).alias("_e"), "roles", F.lower(F.try_element_at(F.regexp_extract_all("name", F.lit(r"([\p{L}]{3,})"), 1), F.lit(-1))).alias("_last"))
+    names = d.where(F.col("_last").isNotNull()).select("ticker", "_last")
+    marks, said = phrase_index(proxies, "ticker", {"denial": DENIAL, "other": r"\bindependent\b", "determination": DETERMINATION}, names, "_last")
+    marks, said = settle(marks), settle(said)
+    sentence = Window.partitionBy("ticker", "sentence_no").orderBy("at")
+    # Statements of one sentence in order; each reaches from the one before it to the one behind it.
+    stated = marks.where("kind IN ('denial', 'other')")
+    spans = stated.withColumns({"_from": F.coalesce(F.lag("at").over(sentence), F.lit(-1)), "_to": F.coalesce(F.lead("at").over(sentence), F.lit(1 << 30))}).where("kind = 'denial'")
+    near = spans.join(said.withColumnRenamed("at", "_name_at"), ["ticker", "sentence_no"], "left").where(F.col("_name_at").isNull() | F.col("_name_at").between(F.col("_from"), F.col("_to")))
+    before = near.groupBy("ticker", "sentence_no", "at").agg(F.count_if(F.col("_name_at") < F.col("at")).alias("_before"))
+    bound = near.join(before, ["ticker", "sentence_no", "at"]).where((F.col("_before") == 0) | (F.col("_name_at") < F.col("at"))).where(F.col("_last").isNotNull())
+    alone = spans.select("ticker", "sentence_no", "at").join(bound.select("ticker", "sentence_no", "at").distinct(), ["ticker", "sentence_no", "at"], "left_anti")
+    # A denial without a surname in reach takes the last surname before it: one scan over names and denials in text order.
+    order = F.struct("sentence_no", "at")
+    line = said.select("ticker", order.alias("o"), F.lit(0).alias("side"), F.struct(order.alias("o"), F.col("_last").alias("w")).alias("seen")).unionByName(
+        alone.select("ticker", order.alias("o"), F.lit(1).alias("side"), F.lit(None).cast("struct<o:struct<sentence_no:int,at:int>,w:string>").alias("seen")))
+    reached = running_maxima(line, ["ticker"], [F.col("o"), F.col("side")], {"_seen": F.col("seen")}).where("side = 1 AND _seen IS NOT NULL").select("ticker", F.col("_seen.w").alias("_last"))
+    denied = bound.select("ticker", "_last").union(reached).distinct().withColumn("_denied", F.lit(True))
+    decided = marks.where("kind = 'determination'").select("ticker", "sentence_no").join(marks.where("kind = 'other'").select("ticker", "sentence_no"), ["ticker", "sentence_no"], "left_semi").distinct()
+    granted = said.join(decided, ["ticker", "sentence_no"], "left_semi").select("ticker", "_last").distinct().withColumn("_granted", F.lit(True))
+    except_chief = proxies.groupBy("ticker").agg(F.max(F.col("text").rlike(f"(?i){CHIEF_EXCEPTION}")).alias("_except"))
+    j = look_up(look_up(look_up(d, denied, ["ticker", "_last"]), granted, ["ticker", "_last"]), except_chief, ["ticker"])
+    chief = F.exists("roles", lambda r: F.lower(r).rlike(CHIEF_ROLE))
+    said_so = lambda yes, why: F.struct(F.lit("INDEPENDENT" if yes else "NOT_INDEPENDENT").alias("independence"), F.lit(why).alias("basis"))
+    verdict = (
+        F.when(F.col("_e").rlike(EXECUTIVE_EVIDENCE), said_so(False, "executive or founder relationship")).when(F.col("_e").contains("not independent"), said_so(False, "own row states not independent"))
+        .when(F.col("_e").rlike(r"\bindependent\b"), said_so(True, "own row states independent")).when(F.col("_denied"), said_so(False, "proxy denies independence"))
+        .when(F.col("_except"), F.when(F.coalesce(chief, F.lit(False)), said_so(False, "exception for the chief executive")).otherwise(said_so(True, "summary of all directors")))
+        .when(F.col("_granted"), said_so(True, "board determination")).otherwise(F.struct(F.lit("UNKNOWN").alias("independence"), F.lit("unknown").alias("basis")))
     )
+    return j.select("ticker", "person_id", verdict.alias("v")).select("ticker", "person_id", "v.independence", "v.basis")
 
 
 def committee_type(name: Column) -> Column:

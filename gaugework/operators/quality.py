@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.functions.numbers import equal_within
+from gaugework.plans.intervals import points_in_spans
 
 
 def compare_cells(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -255,8 +256,11 @@ def shape_errors(rows: DataFrame, required: Sequence[str], positive: Sequence[st
 
 
 def members_on(universe: DataFrame, dates: DataFrame) -> DataFrame:
-    """Universe members of each date: valid_from <= date < valid_to (open end allowed), with a delisted flag."""
+    """Universe members of each date: valid_from <= date < valid_to (open end allowed), with a delisted flag.
+
+    Dates may be as many as the rows: dates and memberships are cut at shared bounds and joined by range.
+    """
     asked = dates.select("as_of_date").distinct()
-    inside = (F.col("valid_from") <= F.col("as_of_date")) & (F.col("valid_to").isNull() | (F.col("as_of_date") < F.col("valid_to")))
-    # Evaluation dates are a short parameter list; the membership table is streamed past them.
-    return universe.join(F.broadcast(asked), inside).withColumn("delisted", F.col("delisted_date").isNotNull() & (F.col("delisted_date") <= F.col("as_of_date")))
+    return points_in_spans(asked, universe, "as_of_date", "valid_from", "valid_to").select(
+        *universe.columns, "as_of_date", (F.col("delisted_date").isNotNull() & (F.col("delisted_date") <= F.col("as_of_date"))).alias("delisted")
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.functions import rules as R
@@ -15,7 +15,9 @@ from gaugework.functions import text as tx
 from gaugework.functions.numbers import joined_reasons
 from gaugework.plans.components import connected
 from gaugework.plans.joins import attach, look_up
-from gaugework.plans.ordered import following, numbered, running_totals, with_previous
+from gaugework.plans.matching import first_independent, one_to_one, similar_sets
+from gaugework.plans.ordered import following, medians, numbered, running_maxima, running_totals, value_positions, with_previous
+from gaugework.plans.settle import settle
 
 # A sentence ends at . ! ? before a blank or the end of the text; section headings.
 # The look-behind starts a match only at the head of a run, so a line without an end costs one pass.
@@ -161,28 +163,20 @@ def drop_exact_duplicates(claims: DataFrame, key: str) -> DataFrame:
 
 def drop_near_duplicates(claims: DataFrame, key: str, share: float = 0.70) -> DataFrame:
     """Inside one document, drop a claim whose dimension and magnitudes equal an earlier kept one and whose
-    tokens overlap it by ``share`` of the smaller set. A group never leaves its document."""
-    stop = set(R.OVERLAP_STOPWORDS)
-    numeric = claims.where(F.size("magnitude") > 0).select(key, "dimension", F.to_json("magnitude").alias("_m"), "start_char", "sentence")
-    kind = claims.schema[key].dataType.simpleString()
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows arrive sorted by group and position; only the kept token sets of one group are held."""
-        current, seen = None, []
-        for batch in batches:
-            chosen = []
-            for doc, dimension, amount, start, sentence in batch.itertuples(index=False, name=None):
-                if (doc, dimension, amount) != current:
-                    current, seen = (doc, dimension, amount), []
-                tokens = {t for t in re.findall(r"[a-z0-9]+", sentence.lower()) if t not in stop and len(t) > 2}
-                if tokens and any(p and len(tokens & p) / min(len(tokens), len(p)) >= share for p in seen):
-                    continue
-                seen.append(tokens)
-                chosen.append((doc, dimension, start))
-            yield pd.DataFrame(chosen, columns=[key, "dimension", "start_char"])
-
-    placed = numeric.repartition(key, "dimension", "_m").sortWithinPartitions(key, "dimension", "_m", "start_char")
-    survivors = placed.mapInPandas(keep, f"{key} {kind}, dimension string, start_char int")
+    tokens overlap it by ``share`` of the smaller set.
+
+    Claims of equal tokens collapse to the first: whatever keeps or drops it drops the others. Similar pairs of the
+    rest come from a prefix-filtered set join, and the visiting order is settled by rounds over those pairs, so no task
+    holds the kept claims of a document. Claims without a token are never similar to another.
+    """
+    words = F.filter(F.array_distinct(F.regexp_extract_all(F.lower("sentence"), F.lit("([a-z0-9]+)"), 1)), lambda t: ~t.isin(*R.OVERLAP_STOPWORDS) & (F.length(t) > 2))
+    numbered = claims.where(F.size("magnitude") > 0).select(key, "dimension", F.to_json("magnitude").alias("_m"), "start_char", F.array_sort(words).alias("_t"))
+    place = F.struct(key, "dimension", "_m", "start_char")
+    some = numbered.where(F.size("_t") > 0)
+    first = settle(some.groupBy(key, "dimension", "_m", "_t").agg(F.min("start_char").alias("start_char")).withColumn("_id", place))
+    pairs = similar_sets(first, [key, "dimension", "_m"], "_id", "_t", share)
+    kept = first_independent(first, pairs.toDF("earlier", "later"), "_id").select(f"_id.{key}", "_id.dimension", "_id.start_char")
+    survivors = kept.unionByName(numbered.where(F.size("_t") == 0).select(key, "dimension", "start_char"))
     plain = claims.where(F.size("magnitude") == 0)
     return plain.unionByName(claims.where(F.size("magnitude") > 0).join(survivors, [key, "dimension", "start_char"], "left_semi"))
 
@@ -375,12 +369,11 @@ def rolling_captions(rows: DataFrame, key: str) -> DataFrame:
 
 
 def caption_diagnostics(rows: DataFrame, key: str) -> DataFrame:
-    """Track kind, cue count, span and the share of it covered by the union of cue intervals.
+    """Track kind, cue count, span and the share of it covered by the union of cue intervals, for tracks of any size.
 
-    Cues come from one caption text, so a window over a track is bounded by one source row.
+    A cue adds what lies behind the furthest end of all earlier cues; that end is a running maximum carried across ranges.
     """
-    back = Window.partitionBy(key).orderBy("start", "cue_no").rowsBetween(Window.unboundedPreceding, -1)
-    reach = rows.withColumn("_reach", F.max("end").over(back))
+    reach = running_maxima(rows, [key], [F.col("start"), F.col("cue_no")], {"_reach": F.col("end")})
     part = F.greatest(F.lit(0.0), F.col("end") - F.greatest(F.col("start"), F.coalesce("_reach", F.col("start"))))
     s = reach.groupBy(key).agg(F.count("*").alias("raw_cues"), F.min("start").alias("first_timestamp"), F.max("end").alias("last_timestamp"), F.sum(part).alias("covered_seconds"), F.bool_and("chapter").alias("_c"))
     span = F.col("last_timestamp") - F.col("first_timestamp")
@@ -393,11 +386,17 @@ def transcript_documents(segments: DataFrame, key: str, position: str, speaker:
     return segments.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), said.alias("t")))), lambda s: s["t"]), "\n\n").alias("text"))
 
 
-def transcript_quality(segments: DataFrame, key: str) -> DataFrame:
+#: A word that follows itself nine times or more.
+LOCAL_LOOP = r"(?U)\b(\w+)(?:\s+\1\b){9,}"
+
+
+def transcript_quality(segments: DataFrame, key: str, durations: DataFrame | None = None) -> DataFrame:
     """Speech plausibility of a transcript: rates, duplicates, repeated 5-grams, overlaps, warnings.
 
-    ``segments``: key, segment_no, start, end, text. All neighbour steps are numbered by range, so one
-    transcript may hold any share of the rows. Near-duplicate neighbours use edit distance.
+    ``segments``: key, segment_no, start, end, text; ``durations``: key, duration of the audio in seconds (rates use it, and
+    stamps over two seconds behind it are reported; without one a minute rate uses the last stamp). All neighbour steps are
+    numbered by range and the median is read off range ranks, so one transcript may hold any share of the rows.
+    Near-duplicate neighbours use edit distance.
     """
     tidy = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), 1), " ")
     base = segments.withColumn("tidy", tidy).withColumn("length", F.greatest(F.lit(0.0), F.col("end") - F.col("start")))
@@ -408,28 +407,40 @@ def transcript_quality(segments: DataFrame, key: str) -> DataFrame:
         F.count("*").alias("segment_count"), F.sum(words_n).alias("word_count"), F.sum(F.length("text")).alias("character_count"), F.avg("length").alias("average_segment_duration"),
         F.count_if(F.col("tidy") == F.col("prev_tidy")).alias("_same"), F.count_if((F.col("tidy") != F.col("prev_tidy")) & (ratio > 0.9)).alias("near_duplicate_adjacent_count"),
         F.count_if(F.col("start") < F.col("prev_end") - 0.001).alias("overlapping_timestamp_count"), F.count_if(F.col("start") < F.col("prev_start")).alias("non_monotonic_timestamp_count"),
-        F.max("end").alias("last_timestamp"), F.count_if(F.col("tidy").rlike(r"(?U)\b(\w+)(?:\s+\1\b){9,}")).alias("_loops"),
+        F.max("end").alias("last_timestamp"), F.min_by("start", "segment_no").alias("first_timestamp"), F.count_if(F.col("tidy").rlike(LOCAL_LOOP)).alias("local_repetition_segments"),
     )
+    middle = medians(value_positions(base, [key], "length"), [key], "length", "median_segment_duration")
+    facts = facts.join(middle, key, "left")
+    facts = facts.join(durations.select(key, F.col("duration").cast("double").alias("duration")), key, "left") if durations is not None else facts.withColumn("duration", F.lit(None).cast("double"))
     distinct = base.groupBy(key, "tidy").agg(F.count("*").alias("n")).groupBy(key).agg(F.sum(F.col("n") - 1).alias("_repeats"))
     words = base.where(F.col("tidy") != "").select(key, "segment_no", F.posexplode(F.split("tidy", " ")).alias("word_no", "word"))
     grams = following(words, [key], ["segment_no", "word_no"], "word", 4).where(F.size("ahead") == 4)
     counted = grams.groupBy(key, F.xxhash64("word", "ahead").alias("g"), F.concat_ws(" ", F.col("word"), F.array_join("ahead", " ")).alias("gram")).agg(F.count("*").alias("n"))
     ngram = counted.groupBy(key).agg((F.sum(F.col("n") - 1) / F.sum("n")).alias("repeated_ngram_ratio"))
     j = facts.join(distinct, key).join(ngram, key, "left")
-    minutes = F.greatest(F.col("last_timestamp") / 60, F.lit(1 / 60))
+    minutes = F.greatest(F.coalesce("duration", "last_timestamp") / 60, F.lit(1 / 60))
     rated = j.withColumns({
+        "duration_minutes": minutes,
         "words_per_minute": F.col("word_count") / minutes, "characters_per_minute": F.col("character_count") / minutes, "segments_per_minute": F.col("segment_count") / minutes,
         "duplicate_text_ratio": F.col("_repeats") / F.greatest(F.col("segment_count"), F.lit(1)), "repeated_ngram_ratio": F.coalesce("repeated_ngram_ratio", F.lit(0.0)),
         "consecutive_duplicate_ratio": F.col("_same") / F.greatest(F.col("segment_count") - 1, F.lit(1)),
     })
     enough = F.col("word_count") >= 100
     warnings = joined_reasons(
-        (F.col("_loops") > 0, "local_word_repetition_review_required"), (enough & (F.col("words_per_minute") > 300), "speech_rate_above_300_wpm"),
+        (F.col("local_repetition_segments") > 0, "local_word_repetition_review_required"), (enough & (F.col("words_per_minute") > 300), "speech_rate_above_300_wpm"),
         (enough & (F.col("characters_per_minute") > 2000), "character_rate_above_2000_per_minute"), (enough & (F.col("duplicate_text_ratio") > 0.30), "repeated_segment_text"),
-        (enough & (F.col("repeated_ngram_ratio") > 0.60), "repeated_phrase_loop"), (F.col("overlapping_timestamp_count") > 0, "overlapping_timestamps"),
-        (F.col("non_monotonic_timestamp_count") > 0, "non_monotonic_timestamps"), sep="; ",
+        (enough & (F.col("repeated_ngram_ratio") > 0.60), "repeated_phrase_loop"),
+        ((F.col("segment_count") >= 300) & (F.col("segments_per_minute") > 45) & (F.col("median_segment_duration") <= 1.2), "dense_short_segments"), (F.col("overlapping_timestamp_count") > 0, "overlapping_timestamps"),
+        (F.col("non_monotonic_timestamp_count") > 0, "non_monotonic_timestamps"),
+        (F.col("last_timestamp") > F.col("duration") + 2, "timestamps_beyond_audio"), sep="; ",
     )
-    return rated.withColumn("warnings", warnings).withColumn("status", F.when(F.col("warnings") == "", "PASS").otherwise("TRANSCRIPT_QA_WARNING")).drop("_same", "_repeats", "_loops")
+    return rated.withColumn("warnings", warnings).withColumn("status", F.when(F.col("warnings") == "", "PASS").otherwise("TRANSCRIPT_QA_WARNING")).drop("_same", "_repeats")
+
+
+def repeated_words(segments: DataFrame, key: str) -> DataFrame:
+    """(key, segment_no) of segments in which one word follows itself nine times or more."""
+    tidy = F.array_join(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), 1), " ")
+    return segments.where(tidy.rlike(LOCAL_LOOP)).select(key, "segment_no")
 
 
 # --- merging and discovery ------------------------------------------------------------------------------
@@ -453,37 +464,56 @@ def merge_members(documents: DataFrame, row: str, keys: Sequence[Column]) -> Dat
     return connected(documents.select(row, F.explode(tagged).alias("_key")), row, "_key")
 
 
-def reconcile_events(fresh: DataFrame, stored: DataFrame, sticky: Sequence[str]) -> DataFrame:
-    """Match fresh events to stored ones by address, then provider id, then date and title.
+def _without_query(url: Column) -> Column:
+    return F.regexp_extract(tx.canonical_url(F.coalesce(url, F.lit(""))), r"^[^?#]*", 0)
 
-    A match by date and title is a conflict when both sides name different provider ids. Sticky fields keep
-    the stored value where it exists; stored rows without a match are kept. Both sides have a unique event_id.
+
+def reconcile_events(fresh: DataFrame, stored: DataFrame, sticky: Sequence[str]) -> DataFrame:
+    """Match fresh events to stored ones one to one; sticky fields keep the stored value, unmatched stored rows stay.
+
+    Both sides: ticker, event_id (unique), event_url, date, webcast_url, media_url, provider_event_id, title; missing columns count as NULL.
+    A pair of one event address (without query; only addresses with an ``#event-`` part name an event) matches unless both
+    sides state different dates, webcast paths or media paths, and then nothing else can match it. Other pairs match by equal
+    provider id, or by equal date and normalised title. Fresh events are visited in id order and each takes the first stored
+    event, in id order, that is still free. Candidates come from equal keys only, so rows that state none never meet and
+    no task gathers them; the order is settled by rounds. Adds ``stored_id``, ``match_method`` and ``reconciliation``.
     """
-    def keyed(df: DataFrame, prefix: str) -> DataFrame:
-        title = F.regexp_replace(F.lower("title"), r"\W+", "")
-        options = F.array_compact(F.array(
-            F.when(tx.navigation_url(F.col("event_url")) != "", F.struct(F.lit(1).alias("p"), tx.navigation_url(F.col("event_url")).alias("k"))),
-            F.when(F.col("provider_event_id").isNotNull(), F.struct(F.lit(2).alias("p"), F.concat_ws("|", "provider", "provider_event_id").alias("k"))),
-            F.when(F.col("date").isNotNull() & (title != ""), F.struct(F.lit(3).alias("p"), F.concat_ws("|", F.col("date").cast("string"), title).alias("k"))),
-        ))
-        return df.select("ticker", F.col("event_id").alias(f"{prefix}_id"), F.col("provider_event_id").alias(f"{prefix}_pid"), F.explode(options).alias("o")).select("ticker", "o.p", "o.k", f"{prefix}_id", f"{prefix}_pid")
-
-    # Several stored rows with one key count as one candidate: the smallest id, with an ambiguity flag.
-    old = keyed(stored, "old").groupBy("ticker", "p", "k").agg(F.min("old_id").alias("old_id"), F.min_by("old_pid", "old_id").alias("old_pid"), (F.countDistinct("old_id") > 1).alias("ambiguous"))
-    hits = attach(keyed(fresh, "new"), old, ["ticker", "p", "k"], how="inner")
-    best = hits.groupBy("ticker", F.col("new_id").alias("event_id")).agg(
-        F.min_by(F.struct("old_id", "p", "ambiguous", ((F.col("p") == 3) & (F.col("old_pid") != F.col("new_pid"))).alias("conflict")), F.struct("p", "old_id")).alias("m")
-    ).select("ticker", "event_id", "m.*")
-    clean = F.col("old_id").isNotNull() & ~F.coalesce("conflict", F.lit(False)) & ~F.coalesce("ambiguous", F.lit(False))
-    joined = fresh.join(best, ["ticker", "event_id"], "left").withColumn("_link", F.when(clean, F.col("old_id")))
-    kept = stored.select(F.col("event_id").alias("_link"), *[F.col(c).alias(f"_s_{c}") for c in sticky])
-    merged = joined.join(kept, "_link", "left")
-    cols = [F.coalesce(f"_s_{c}", c).alias(c) if c in sticky else F.col(c) for c in fresh.columns]
-    status = F.when(F.coalesce("conflict", F.lit(False)) | F.coalesce("ambiguous", F.lit(False)), "conflict").when(F.col("_link").isNotNull(), "matched").otherwise("new")
-    out = merged.select(*cols, F.col("_link").alias("stored_id"), status.alias("reconciliation"))
-    used = out.where(F.col("stored_id").isNotNull()).select(F.col("stored_id").alias("event_id")).distinct()
-    rest = stored.join(used, "event_id", "left_anti").select(*fresh.columns, F.col("event_id").alias("stored_id"), F.lit("kept").alias("reconciliation"))
-    return out.unionByName(rest)
+    names = ["event_url", "date", "webcast_url", "media_url", "provider_event_id", "title"]
+
+    def described(df: DataFrame, p: str) -> DataFrame:
+        has = lambda c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+        url, date, webcast, media, pid, title = (has(c) for c in names)
+        blank = lambda c: F.nullif(c, F.lit(""))
+        return df.select(
+            "ticker", F.col("event_id").alias(f"{p}id"), F.when(url.contains("#event-"), blank(_without_query(url))).alias(f"{p}url"), blank(date).alias(f"{p}date"), blank(_without_query(webcast)).alias(f"{p}webcast"),
+            blank(_without_query(media)).alias(f"{p}media"), blank(pid).alias(f"{p}pid"), F.regexp_replace(F.lower(F.coalesce(title, F.lit(""))), r"(?U)\W+", "").alias(f"{p}title"),
+        )
+
+    def keyed(df: DataFrame, p: str) -> DataFrame:
+        """One row per key a pair may share. Dated events meet the same date; undated ones meet every date of their address."""
+        url, date, pid, title = (F.col(f"{p}{c}") for c in ("url", "date", "pid", "title"))
+        any_date, dated, undated = F.struct(F.lit("u*").alias("k"), url.alias("v")), F.struct(F.lit("ud").alias("k"), F.concat_ws("|", url, date).alias("v")), F.struct(F.lit("un").alias("k"), url.alias("v"))
+        options = [F.when(url.isNotNull() & date.isNotNull(), dated), F.when(pid.isNotNull(), F.struct(F.lit("p").alias("k"), pid.alias("v"))), F.when(date.isNotNull(), F.struct(F.lit("t").alias("k"), F.concat_ws("|", date, title).alias("v")))]
+        # An undated fresh event looks for all stored ones of its address, an undated stored one is found by the dated.
+        options += [F.when(url.isNotNull() & date.isNull(), any_date), F.when(url.isNotNull() & date.isNotNull(), undated)] if p == "f_" else [F.when(url.isNotNull(), any_date), F.when(url.isNotNull() & date.isNull(), undated)]
+        return df.select("*", F.explode(F.array_compact(F.array(*options))).alias("_k"))
+
+    c = F.col
+    same_url = F.coalesce(c("f_url") == c("s_url"), F.lit(False))
+    differ = lambda n: F.coalesce(c(f"f_{n}") != c(f"s_{n}"), F.lit(False))
+    method = (
+        F.when(same_url, F.when(~differ("date") & ~differ("webcast") & ~differ("media"), "canonical_url")).when(c("f_pid") == c("s_pid"), "provider_event_id")
+        .when((c("f_date") == c("s_date")) & (c("f_title") == c("s_title")), "date_title")
+    )
+    met = keyed(described(fresh, "f_"), "f_").join(keyed(described(stored, "s_"), "s_"), ["ticker", "_k"]).withColumn("match_method", method).where(c("match_method").isNotNull())
+    links = met.select("ticker", "f_id", "s_id", "match_method").distinct()
+    matches = settle(one_to_one(links, "f_id", "s_id", []).select(c("f_id").alias("event_id"), c("s_id").alias("stored_id"), "match_method"))
+    kept = stored.select(c("event_id").alias("stored_id"), *[c(x).alias(f"_s_{x}") for x in sticky]).join(matches, "stored_id")
+    joined = fresh.join(kept, "event_id", "left")
+    cols = [F.coalesce(F.nullif(c(f"_s_{x}"), F.lit("")) if dict(fresh.dtypes)[x] == "string" else c(f"_s_{x}"), c(x)).alias(x) if x in sticky else c(x) for x in fresh.columns]
+    out = joined.select(*cols, "stored_id", "match_method", F.when(c("stored_id").isNotNull(), "matched").otherwise("new").alias("reconciliation"))
+    rest = stored.join(matches.select(c("stored_id").alias("event_id")), "event_id", "left_anti")
+    return out.unionByName(rest.select(*[c(x) if x in stored.columns else F.lit(None).cast(dict(fresh.dtypes)[x]).alias(x) for x in fresh.columns], c("event_id").alias("stored_id"), F.lit(None).cast("string").alias("match_method"), F.lit("kept").alias("reconciliation")))
 
 
 def _weighted(tests: Sequence[tuple[Column, int, str]]) -> tuple[Column, Column]:

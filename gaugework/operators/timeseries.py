@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from gaugework.functions.dates import same_day_last_year
 from gaugework.functions.numbers import close_to, finite
-from gaugework.plans.joins import latest_per_key
+from gaugework.plans.joins import latest_per_key, look_up
+from gaugework.plans.ordered import running_maxima
 
 
 def pair_names(series: DataFrame) -> DataFrame:
@@ -510,21 +511,18 @@ def forward_outcome(cutoffs: DataFrame, prices: DataFrame, benchmark: DataFrame,
 
 
 def overlapping_windows(windows: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Flag windows that overlap another of the same key, from day-level extremes only.
+    """Flag windows that overlap another of the same key, for keys of any size.
 
-    Sorted by start, a window overlaps an earlier one if the running maximum end reaches it and a
-    later one if the next start lies inside it; equal (start, end) rows are counted, not paired.
+    Sorted by start, a window overlaps an earlier one if the running maximum end reaches it and a later one if the least
+    later start lies inside it; both are scans over ranges. Equal (start, end) rows are counted, not paired.
     """
     distinct = windows.groupBy(*keys, start).agg(F.max(end).alias("_far"), F.count("*").alias("_same"))
-    order = Window.partitionBy(*keys).orderBy(start)
-    marked = distinct.select(
-        *keys, start, "_same",
-        F.max("_far").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier_end"),
-        F.lead(start).over(order).alias("_next_start"),
-    )
+    moment = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
+    reached = running_maxima(distinct, keys, [F.col(start)], {"_earlier_end": F.col("_far")})
+    marked = running_maxima(reached, keys, [F.col(start).desc()], {"_back": -moment(start)})
     flag = (
         (F.col("_same") > 1)
         | F.coalesce(F.col("_earlier_end") > F.col(start), F.lit(False))
-        | F.coalesce(F.col("_next_start") < F.col(end), F.lit(False))
+        | F.coalesce(-F.col("_back") < moment(end), F.lit(False))
     )
-    return windows.join(marked, [*keys, start]).withColumn("overlaps", flag).select(*windows.columns, "overlaps")
+    return look_up(windows, marked.drop("_far"), [*keys, start], "inner").withColumn("overlaps", flag).select(*windows.columns, "overlaps")

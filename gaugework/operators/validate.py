@@ -61,10 +61,12 @@ def factor_correlations(long: DataFrame, entity: str, factor: str, value: str) -
 
     Each entity contributes one vector of its factors (a list bounded by the number of factors). A batch of vectors
     becomes a matrix whose products give counts and moments of all pairs at once, so what is shuffled is factors
-    squared per batch, not per entity. Values are centred on factor means first.
+    squared per batch, not per entity. Values are centred on factor means first. A factor that an entity states several times
+    counts with the mean of its values.
     """
+    long = long.where(F.col(value).isNotNull()).groupBy(entity, factor).agg(F.avg(value).alias(value))
     centre = long.groupBy(factor).agg(F.avg(value).alias("_mean"))
-    shifted = attach(long.where(F.col(value).isNotNull()), centre, [factor]).select(entity, F.col(factor).cast("string").alias("f"), (F.col(value) - F.col("_mean")).cast("double").alias("v"))
+    shifted = attach(long, centre, [factor]).select(entity, F.col(factor).cast("string").alias("f"), (F.col(value) - F.col("_mean")).cast("double").alias("v"))
     vectors = shifted.groupBy(entity).agg(F.collect_list(F.struct("f", "v")).alias("fs")).select(F.col("fs.f").alias("names"), F.col("fs.v").alias("numbers"))
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

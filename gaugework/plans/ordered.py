@@ -108,3 +108,21 @@ def following(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     w = Window.partitionBy(*keys, "_b").orderBy("_pos").rowsBetween(1, count)
     looked = spread.withColumn(name, F.collect_list(column).over(w)).where(F.col("_b") == home)
     return looked.drop("_pos", "_b")
+
+
+def running_maxima(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], values: Mapping[str, Column]) -> DataFrame:
+    """Add, per value, the maximum over all earlier rows of the group (``<name>``; NULL for the first), for groups of any size.
+
+    An associative scan: each range of (keys, order) takes the running maximum inside itself, and the maxima of the
+    group's earlier ranges, one row per group and range, are carried in. Rows of equal order count as earlier in any order.
+    """
+    placed = settle(
+        df.select("*", *[c.alias(f"_amt_{n}") for n, c in values.items()])
+        .repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("_slab", F.spark_partition_id())
+    )
+    tops = placed.groupBy(*keys, "_slab").agg(*[F.max(f"_amt_{n}").alias(f"_top_{n}") for n in values])
+    earlier = Window.partitionBy(*keys).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tops.select(*keys, "_slab", *[F.max(f"_top_{n}").over(earlier).alias(f"_carry_{n}") for n in values])
+    inside = Window.partitionBy(*keys, "_slab").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.select("*", *[F.max(f"_amt_{n}").over(inside).alias(f"_in_{n}") for n in values])
+    return local.join(carried, [*keys, "_slab"]).select(*df.columns, *[F.greatest(f"_in_{n}", f"_carry_{n}").alias(n) for n in values])

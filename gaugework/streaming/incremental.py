@@ -99,7 +99,9 @@ class DeltaStore:
     def _load(self, kind: str, before: int | None) -> DataFrame:
         try:
             rows = self.spark.read.parquet(f"{self.folder}/{kind}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # an unreadable store must not look new
+                raise
             rows = self.spark.createDataFrame([], f"{self.schema}, version int")
         return rows if before is None else rows.where(F.col("version") < before)
 
