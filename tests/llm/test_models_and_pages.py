@@ -25,6 +25,30 @@ def test_article_blocks():
     assert html.page_blocks("<p>cut off &am") == [(html.OPEN, "cut off &am")]
 
 
+ARTICLE = "<article><h1>Head</h1><p>Body text</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<html class="js-nav"><body class="has-sidebar">{ARTICLE}</body></html>', f'<body class="comments-open">{ARTICLE}</body>', f'<div class="no-header">{ARTICLE}</div>', f"<form><nav>menu</nav>{ARTICLE}<p>send</p></form>",
+    f"<aside><p>side</p>{ARTICLE}", '<article class="promo-story"><h1>Head</h1><p>Body text</p></article>', f'<main id="sidebar-main">{ARTICLE}</main>', f'<div class="sidebar"><article class="teaser">other</article></div>{ARTICLE}',
+    f'<div class="site-header"><p>name</p></div>{ARTICLE}<div class="cookie-banner">ok?</div>', '<form><article><h1>Head</h1><p>Body text</p><form><p>mail</p></form><section class="comments"><article>First!</article></section></article></form>',
+])
+def test_frames_around_the_article_do_not_hide_it(page):
+    assert [t for z, t in html.page_blocks(page) if z == html.MAIN] == ["Head", "Body text"]
+
+
+def test_slugs_are_no_names_and_forms_alone_have_no_text():
+    assert [t for z, t in html.page_blocks('<article><section id="notice-of-change"><p>Kept</p></section><div class="share-bar">x</div></article>') if z == html.MAIN] == ["Kept"]
+    assert all(z == html.NEVER for z, _ in html.page_blocks("<form><p>Your mail</p></form><aside>x</aside>"))
+
+
+@pytest.mark.parametrize("n", range(21))
+def test_hosts_of_few_tokens(n):
+    block = [f"t{i}" for i in range(n)]
+    assert [r.tolist() for r in html.repeated_tokens([[block]])] == [[False] * n]
+    assert [r.tolist() for r in html.repeated_tokens([[block], [block, ["x"]]])] == [[n > 0] * n, [n > 0] * n + [False]]
+
+
 def test_repeated_runs_equal_brute_force():
     random = np.random.default_rng(2)
     shared = [f"s{i}" for i in range(30)]
