@@ -21,8 +21,6 @@ TOP = 10
 BLOCK_TERMS = 200_000
 #: Documents whose bitmaps a task holds at a time.
 CHUNK = 1 << 16
-#: Groups of so few documents are scored at once instead of being split further.
-FEW = 4
 _LETTERS = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
 
@@ -65,83 +63,94 @@ def postings(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
 
 
 class Chunk:
-    """Some documents as one bitmap per term, with each term's share of each document's score."""
+    """Some documents with the postings of every term, and each term's share of each document's score."""
 
     def __init__(self, doc_ids: list, n: np.ndarray, sizes: np.ndarray, terms: np.ndarray, tfs: np.ndarray, weights: np.ndarray, documents: int, total: int):
-        self.doc_ids, self.terms = doc_ids, terms
-        self.at = np.concatenate(([0], np.cumsum(sizes)))
+        self.doc_ids = doc_ids
         if len(n) and 90 * int(n.max()) * documents >= 1 << 63:  # beyond 64 bits numpy would wrap
-            m = np.array([10 + 90 * int(x) * documents // total for x in n], dtype=np.int64)
+            self.m = np.array([10 + 90 * int(x) * documents // total for x in n], dtype=np.int64)
         else:
-            m = 10 + 90 * n * documents // total
+            self.m = 10 + 90 * n * documents // total
         owner = np.repeat(np.arange(len(n)), sizes)
-        self.shares = weights[terms] * (1_000_000_000 * tfs // (1000 * tfs + 8 * m[owner]))
         order = np.argsort(terms, kind="stable")
-        self.by_term, self.owner, self.share_by_term = terms[order], owner[order], self.shares[order]
-        self.bits: dict[int, int] = {}
-        self.everything = (1 << len(n)) - 1
-
-    def term(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, shares) of a term, by document."""
-        low, high = np.searchsorted(self.by_term, [number, number + 1])
-        return self.owner[low:high], self.share_by_term[low:high]
-
-    def bitmap(self, number: int) -> int:
-        if number not in self.bits:
-            held = np.zeros(len(self.at) - 1, dtype=bool)
-            held[self.term(number)[0]] = True
-            self.bits[number] = int.from_bytes(np.packbits(held, bitorder="little").tobytes(), "little")
-        return self.bits[number]
-
-    def members(self, group: int) -> np.ndarray:
-        raw = np.frombuffer(group.to_bytes((group.bit_length() + 7) // 8, "little"), dtype=np.uint8)
-        return np.flatnonzero(np.unpackbits(raw, bitorder="little"))
+        self.weights = weights
+        self.starts = np.searchsorted(terms[order], np.arange(len(weights) + 1))
+        self.owner, self.tfs = owner[order], tfs[order]
+        self.shares = weights[terms[order]] * share(self.tfs, self.m[self.owner])
+
+    def postings(self, term: int) -> slice:
+        return slice(int(self.starts[term]), int(self.starts[term + 1]))
 
     def key(self, row: int, score: int) -> tuple[int, bool, int]:
         found = self.doc_ids[row]
         return -score, found is None, found or 0
 
 
+def share(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The part of a term's weight that a document gets; it grows with tf and falls with the length in m."""
+    return 1_000_000_000 * tf // (1000 * tf + 8 * m)
+
+
+def mask_groups(chunk: Chunk, places: list[slice]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents sorted by mask, start of each mask's documents, masks as a 0/1 matrix): bit j says that the document holds term j."""
+    words = -(-len(places) // 64)
+    masks = np.zeros((len(chunk.doc_ids), words), dtype=np.uint64)
+    for j, place in enumerate(places):
+        masks[chunk.owner[place], j >> 6] |= np.uint64(1 << (j & 63))
+    some = np.flatnonzero(masks.any(axis=1))
+    held = masks[some]
+    order = np.lexsort(held.T)
+    rows, held = some[order], held[order]
+    starts = np.flatnonzero(np.concatenate(([True], (held[1:] != held[:-1]).any(axis=1)))) if len(rows) else np.zeros(0, dtype=np.int64)
+    bits = np.unpackbits(held[starts].view(np.uint8).reshape(len(starts), words * 8), axis=1, bitorder="little")[:, : len(places)]
+    return rows, starts, bits.astype(np.int64)
+
+
 def best_documents(chunk: Chunk, terms: list[int], best: list[tuple[int, bool, int]], top: int) -> list[tuple[int, bool, int]]:
     """``best`` (sorted (-score, id is NULL, id), at most ``top``) joined by the documents of ``chunk`` that beat it.
 
-    A group of documents is a bitmap; a term splits it into those that hold the term and those that do not. A group
-    whose terms are all decided has one mask. Its bound sums the largest share of each term that its mask has or may
-    still have, and groups leave the queue by descending bound. No document left can enter once the bound is below
-    the last score kept; at an equal bound the search goes on, for a smaller id may still win the tie.
+    Documents are grouped by the mask of terms they hold, with one bit operation per term and posting list. The most a mask can
+    score sums the largest share of each of its terms; masks are visited by descending maximum, some at a time, those of a
+    visit are bounded again by the length of their own shortest document, and only then scored. The search ends once the next
+    maximum is below the last score kept; at an equal one it goes on, for a smaller id may still win the tie.
     """
-    known = sorted(((int(shares.max()), t) for t in terms for _, shares in [chunk.term(t)] if len(shares)), reverse=True)
-    rest = np.concatenate((np.cumsum([b for b, _ in known][::-1])[::-1], [0])).astype(np.int64).tolist() if known else [0]
-    wanted = np.zeros(int(chunk.terms.max()) + 1 if len(chunk.terms) else 1, dtype=bool)
-    wanted[[t for _, t in known]] = True
-    queue = [(-rest[0], 0, 0, 0, chunk.everything, ())]
-    made = 0
-    while queue:
-        bound, _, depth, have, group, mask = heapq.heappop(queue)
-        if not bound or (len(best) == top and -bound < -best[-1][0]):
+    places = [place for t in terms if (place := chunk.postings(t)).start < place.stop]
+    if not places:
+        return best
+    rows, starts, bits = mask_groups(chunk, places)
+    ends = np.append(starts[1:], len(rows))
+    most = bits @ np.array([chunk.shares[p].max() for p in places], dtype=np.int64)
+    most_tf = np.array([chunk.tfs[p].max() for p in places], dtype=np.int64)
+    worth = np.array([chunk.weights[t] for t in terms if chunk.postings(t).start < chunk.postings(t).stop], dtype=np.int64)
+    shortest = np.minimum.reduceat(chunk.m[rows], starts)
+    order = np.argsort(-most, kind="stable")
+    at, size = 0, 16
+    scores = np.zeros(len(chunk.doc_ids), dtype=np.int64)
+    while at < len(order):
+        last = -best[-1][0] if len(best) == top else 1
+        visit = order[at : at + size]
+        visit = visit[most[visit] >= last]
+        if not len(visit):
             break
-        few = group.bit_count() <= FEW
-        if few or depth == len(known):
-            rows = chunk.members(group)
-            if few:
-                scores = [int(chunk.shares[a:b][wanted[chunk.terms[a:b]]].sum()) for a, b in zip(chunk.at[rows].tolist(), chunk.at[rows + 1].tolist(), strict=True)]
-            else:
-                scores = np.zeros(len(rows), dtype=np.int64)
-                for t in mask:
-                    holders, shares = chunk.term(t)
-                    scores += shares[np.searchsorted(holders, rows)]
-                if len(rows) > top:  # those at or above the group's own last place, ties included
-                    least = np.partition(scores, -top)[-top]
-                    rows, scores = rows[scores >= least], scores[scores >= least]
-                scores = scores.tolist()
-            best = heapq.nsmallest(top, best + [chunk.key(r, s) for r, s in zip(rows.tolist(), scores, strict=True) if s > 0])
-            continue
-        share, t = known[depth]
-        held = group & chunk.bitmap(t)
-        for part, sum_, marks in ((held, have + share, (*mask, t)), (group ^ held, have, mask)):
-            if part:
-                made += 1
-                heapq.heappush(queue, (-(sum_ + rest[depth + 1]), made, depth + 1, sum_, part, marks))
+        closer = (bits[visit] * worth * share(most_tf, shortest[visit, None])).sum(axis=1)
+        chosen = visit[closer >= last]
+        if len(chosen):
+            members = np.concatenate([rows[a:b] for a, b in zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)])
+            wanted = np.zeros(len(chunk.doc_ids), dtype=bool)
+            wanted[members] = True
+            scores[members] = 0
+            for place in (places[j] for j in np.flatnonzero(bits[chosen].any(axis=0)).tolist()):
+                holders = chunk.owner[place]
+                here = wanted[holders]
+                scores[holders[here]] += chunk.shares[place][here]
+            found = scores[members]
+            if len(members) > top:  # those at or above the last place among themselves, ties included
+                least = np.partition(found, -top)[-top]
+                members, found = members[found >= least], found[found >= least]
+            keep = found >= last
+            best = heapq.nsmallest(top, best + [chunk.key(r, s) for r, s in zip(members[keep].tolist(), found[keep].tolist(), strict=True) if s > 0])
+        at += size
+        size *= 2
     return best
 
 
