@@ -1,9 +1,8 @@
-"""Fuzzy line dedup: min-hash bands over word pairs of normalised lines, edit similarity, one occurrence per group."""
+"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per connected group."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -11,17 +10,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import id_bitmap, in_bitmap, packed, settle, unpacked
-from gaugework.llm.linking import link
+from gaugework.llm.linking import components
 from gaugework.llm.words import mix, text_ranges, word_hashes
 
 SIMILARITY = 0.8
-#: Candidate bands and the min-hashes of each; edit similarity alone decides about candidates.
-BANDS, ROWS = 12, 3
-#: SimHash bits in which linked lines may differ: all, since similar lines lie 13 bits apart and more.
-DISTANCE = 64
-#: Bits are cut into DISTANCE + AGREE blocks: two values at most DISTANCE bits apart agree in at least AGREE of them.
-AGREE = 2
+#: 64-bit words of a SimHash, and its blocks: block j starts at bit 16 * j and is as wide as its kind says, so neighbours may overlap.
+WORDS64, BLOCKS = 4, 16
+#: Lines of at least FROM words are hashed by their words, lines of at most UPTO words by their character pairs, those between by both.
+FROM, UPTO = 11, 14
+WORD_BLOCK, PAIR_BLOCK = 24, 16
+#: Bits of the first 128 in which a candidate pair may differ; unrelated lines differ in about 64, give or take 6.
+FAR = 54
+#: Lines of one side of a tile.
+TILE = 256
 _PLAIN = bytes(0x0A if b == 0x0A else 0x30 if 0x30 <= b <= 0x39 else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
+_SEEDS = mix(np.arange(1, WORDS64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def normalised(text: bytes) -> bytes:
@@ -29,70 +32,78 @@ def normalised(text: bytes) -> bytes:
     return text.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
-def word_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Exact 64-bit key of each line from its words and their order; 0 for lines without a word."""
-    keys = np.zeros(len(counts), dtype=np.uint64)
-    full = counts > 0
-    if len(hashes):
-        starts = (np.cumsum(counts) - counts)[full]
-        place = (np.arange(len(hashes)) - np.repeat(starts, counts[full])).astype(np.uint64)
-        keys[full] = mix(np.add.reduceat(mix(hashes ^ (place * np.uint64(0x9E3779B97F4A7C15))), starts))
-    return keys
+def line_keys(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit key of each line from its words and their order, as two 64-bit halves; lines all have a word."""
+    starts = np.cumsum(counts) - counts
+    place = (np.arange(len(hashes)) - np.repeat(starts, counts)).astype(np.uint64)
+    return tuple(mix(np.add.reduceat(mix(hashes ^ (place * np.uint64(odd) + np.uint64(more))), starts)) for odd, more in ((0x9E3779B97F4A7C15, 0), (0xD1B54A32D192ED03, 0x5851F42D4C957F2D)))
 
 
-def line_bands(lines: list[bytes], similarity: float, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(exact keys, lengths, one 32-bit value a band) of normalised lines that all have a word.
+def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """SimHash of each line, ``WORDS64`` words of 64 bits: every bit is the majority of that bit over the line's feature hashes.
 
-    The elements of a line are its pairs of neighbouring words, the last word with its end, each with the number of
-    times it stood before. A band value joins ``rows`` min-hashes and a class of the length. Classes are as wide as two
-    steps of ``similarity`` and shifted from band to band, so lines of similar length share most of them.
+    Counters of all lines and bits advance together, one feature a round: plane k of a counter holds bit k of the count, and adding
+    a feature is a carry through the planes. Lines are ordered by their number of features, so a round touches only those not done.
     """
-    hashes, counts = word_hashes(lines)
-    keys = word_keys(hashes, counts)
-    starts = np.cumsum(counts) - counts
-    n = len(hashes)
-    # Words and one blank between two of them: the length of the line that is compared later.
-    lengths = np.array([len(b" ".join(line.split()).decode("utf-8", "replace")) for line in lines], dtype=np.int64)
-    if not n:
-        return keys, lengths, np.zeros((len(lines), bands), dtype=np.int32)
-    follower = np.append(hashes[1:], np.uint64(0))
-    follower[starts + counts - 1] = 0
-    element = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + mix(follower))
+    out = np.zeros((len(counts), WORDS64), dtype=np.uint64)
+    order = np.argsort(-counts, kind="stable")
+    sizes = counts[order]
+    starts = (np.cumsum(counts) - counts)[order]
+    planes: list[np.ndarray] = []
+    for step in range(int(sizes[0]) if len(sizes) else 0):
+        active = int(np.searchsorted(-sizes, -step, side="left"))
+        carry = mix(hashes[starts[:active] + step][:, None] ^ _SEEDS)
+        for k in range(64):
+            if k == len(planes):
+                planes.append(np.zeros((len(counts), WORDS64), dtype=np.uint64))
+            plane = planes[k][:active]
+            carry, planes[k][:active] = plane & carry, plane ^ carry
+            if not carry.any():
+                break
+    above, equal = np.zeros_like(out), np.full_like(out, ~np.uint64(0))
+    half = (sizes // 2).astype(np.uint64)
+    for k in range(len(planes) - 1, -1, -1):
+        bit = (np.uint64(0) - (half >> np.uint64(k) & np.uint64(1)))[:, None]
+        above |= equal & planes[k] & ~bit
+        equal &= ~(planes[k] ^ bit)
+    out[order] = above
+    return out
+
+
+def pair_features(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the pairs of neighbouring bytes of each line between two blanks, each pair with how often it stood before."""
+    joined = np.frombuffer(b"".join(b" " + line + b" " for line in lines), dtype=np.uint8).astype(np.uint64)
+    lengths = np.array([len(line) + 2 for line in lines], dtype=np.int64)
+    owner = np.repeat(np.arange(len(lines)), lengths)
+    inside = np.flatnonzero(owner[1:] == owner[:-1])
+    feature = mix(joined[inside] << np.uint64(8) | joined[inside + 1])
+    return numbered_features(feature, lengths - 1)
+
+
+def numbered_features(feature: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features told apart by the number of equal ones before them in the line, so that repeats count."""
     owner = np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((element, owner))
-    sorted_element, sorted_owner = element[order], owner[order]
-    new = np.ones(n, dtype=bool)
-    new[1:] = (sorted_element[1:] != sorted_element[:-1]) | (sorted_owner[1:] != sorted_owner[:-1])
+    order = np.lexsort((feature, owner))
+    value, who = feature[order], owner[order]
+    new = np.ones(len(value), dtype=bool)
+    new[1:] = (value[1:] != value[:-1]) | (who[1:] != who[:-1])
     at = np.flatnonzero(new)
-    before = (np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))).astype(np.uint64)
-    element = mix(sorted_element + before * np.uint64(0xD1B54A32D192ED03))
-    span = np.log(lengths) / (-2 * np.log(similarity)) if 0 < similarity < 1 else lengths.astype(np.float64)
-    out = np.zeros((len(lines), bands), dtype=np.int32)
-    odd = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
-    for b in range(bands):
-        value = np.floor(span + b / bands).astype(np.uint64) + np.uint64(b << 32)
-        for r in range(rows):
-            least = np.minimum.reduceat(element * odd[b * rows + r], starts)
-            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + least)
-        out[:, b] = (value >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return keys, lengths, out
-
-
-def line_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, exact 64-bit key, 64-bit SimHash) of each normalised line; key and SimHash are 0 for lines without a word.
-
-    The key depends on the words and their order; each SimHash bit is the majority of that bit over the words.
-    """
-    hashes, counts = word_hashes(lines)
-    keys = word_keys(hashes, counts)
-    marks = np.zeros(len(lines), dtype=np.uint64)
-    full = counts > 0
-    if len(hashes):
-        starts = (np.cumsum(counts) - counts)[full]
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-        votes = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        marks[full] = np.packbits(2 * votes > counts[full][:, None], axis=1).view(np.uint64).ravel()
-    return counts, keys, marks
+    before = (np.arange(len(value)) - np.repeat(at, np.diff(np.append(at, len(value))))).astype(np.uint64)
+    return mix(value + before * np.uint64(0xD1B54A32D192ED03)), counts
+
+
+def sim_hashes(lines: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """(words, pairs) SimHashes of normalised lines that all have a word: 2 * WORDS64 columns, zeros for a kind that the line has not."""
+    out = np.zeros((len(lines), 2 * WORDS64), dtype=np.uint64)
+    long = np.flatnonzero(counts >= FROM)
+    if len(long):
+        starts = np.cumsum(counts) - counts
+        picked = np.concatenate([hashes[a : a + n] for a, n in zip(starts[long].tolist(), counts[long].tolist(), strict=True)]) if len(long) < len(lines) else hashes
+        out[long, :WORDS64] = majority(*numbered_features(picked, counts[long]))
+    short = np.flatnonzero(counts <= UPTO)
+    if len(short):
+        out[short, WORDS64:] = majority(*pair_features([lines[i] for i in short.tolist()]))
+    return out
 
 
 def _places(counts: list[int]) -> np.ndarray:
@@ -101,47 +112,103 @@ def _places(counts: list[int]) -> np.ndarray:
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-def _key_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        for lo, hi, texts in text_ranges(part.column(1)):
-            split = [normalised(t).split(b"\n") for t in texts]
-            counts = [len(s) for s in split]
-            hashes, words = word_hashes([line for s in split for line in s])
-            keep, keys = words > 0, word_keys(hashes, words)
-            owner = pa.array(np.repeat(np.arange(lo, hi), counts)[keep])
-            yield pa.RecordBatch.from_arrays([part.column(0).take(owner), pa.array(_places(counts)[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64))], ["doc_id", "line_no", "key"])
-
-
-def _band_pass(similarity: float, bands: int, rows: int):
-    """Key, length and band values of every line with a word, once for each range of texts."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for _, _, texts in text_ranges(part.column(0)):
-                found = [line for line in {line for t in texts for line in normalised(t).split(b"\n")} if line.split()]
-                keys, lengths, values = line_bands(found, similarity, bands, rows)
-                at = np.unique(keys, return_index=True)[1]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * bands), pa.array(values[at].ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(lengths[at].astype(np.int32)), lists], ["key", "length", "bands"])
-
-    return run
+_SIMS = [f"s{i}" for i in range(2 * WORDS64)]
 
 
-def _text_pass(doc_bits: bytes, line_bits: bytes):
-    """Normalised lines whose document and place may be wanted; only those are normalised."""
+def _line_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Place and key of every line with a word; length, words and SimHashes where the key comes first in a range of texts, else NULL."""
+    for part in parts:
+        for lo, hi, texts in text_ranges(part.column(2)):
+            split = [normalised(t).split(b"\n") for t in texts]
+            flat = [line for s in split for line in s]
+            hashes, words = word_hashes(flat)
+            keep = np.flatnonzero(words > 0)
+            counts = words[keep]
+            owner = pa.array(np.repeat(np.arange(lo, hi), [len(s) for s in split])[keep])
+            columns = [part.column(0).take(owner), part.column(1).take(owner), pa.array(_places([len(s) for s in split])[keep].astype(np.int32))]
+            if not len(keep):
+                continue
+            k1, k2 = line_keys(hashes, counts)
+            first = np.sort(np.unique(k1, return_index=True)[1])
+            starts = np.cumsum(counts) - counts
+            tidy = [b" ".join(flat[i].split()) for i in keep[first].tolist()]
+            some = np.concatenate([hashes[a : a + n] for a, n in zip(starts[first].tolist(), counts[first].tolist(), strict=True)])
+            sims = sim_hashes(tidy, some, counts[first])
+            told = np.ones(len(keep), dtype=bool)
+            told[first] = False
+
+            def spread(values: np.ndarray, kind: pa.DataType, told=told, first=first) -> pa.Array:
+                whole = np.zeros(len(told), dtype=values.dtype)
+                whole[first] = values
+                return pa.array(whole, type=kind, mask=told)
+
+            lengths = np.array([len(t.decode("utf-8", "replace")) for t in tidy], dtype=np.int32)
+            columns += [pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), spread(lengths, pa.int32()), spread(counts[first].astype(np.int32), pa.int32())]
+            columns += [spread(sims[:, i].view(np.int64), pa.int64()) for i in range(2 * WORDS64)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "line_no", "k1", "k2", "length", "words", *_SIMS])
+
+
+def _buckets(similarity: float) -> Column:
+    """Pigeonhole keys of a line: kind, block, the block's bits and a class of the length, hashed to 64 bits.
+
+    Classes are as wide as two steps of ``similarity`` and shifted from block to block, so lines of similar length share most of them.
+    """
+    span = F.log("length") / (-2 * float(np.log(similarity))) if 0 < similarity < 1 else F.col("length").cast("double")
+
+    def keys(kind: int, width: int) -> Column:
+        out = []
+        for j in range(BLOCKS):
+            here, after, shift = F.col(_SIMS[kind * WORDS64 + j // 4]), F.col(_SIMS[kind * WORDS64 + (j // 4 + 1) % WORDS64]), 16 * (j % 4)
+            bits = F.shiftrightunsigned(here, shift)
+            if shift + width > 64:
+                bits = bits.bitwiseOR(F.shiftleft(after, 64 - shift))
+            out.append(F.xxhash64(F.lit(kind * BLOCKS + j), bits.bitwiseAND(F.lit((1 << width) - 1)), F.floor(span + j / BLOCKS)))
+        return F.array(*out)
+
+    none = F.array().cast("array<bigint>")
+    return F.concat(F.when(F.col("words") >= FROM, keys(0, WORD_BLOCK)).otherwise(none), F.when(F.col("words") <= UPTO, keys(1, PAIR_BLOCK)).otherwise(none))
+
+
+def _shared_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, hub, item) of buckets with several items, from rows sorted by bucket and item; only a bucket's smallest item is held."""
+    bucket = hub = None
+    alone = False
+    for part in parts:
+        b, i = part.column(0).to_numpy(), part.column(1).to_numpy()
+        if not len(b):
+            continue
+        heads = np.flatnonzero(np.concatenate(([bucket is None or b[0] != bucket], b[1:] != b[:-1])))
+        group = np.cumsum(np.bincount(heads, minlength=len(b))) - 1  # -1: goes on from the last batch
+        hubs = np.append(i[heads], hub if hub is not None else 0)[group]
+        sizes = np.bincount(group + 1, minlength=len(heads) + 1)
+        several = sizes > 1
+        several[0] = True
+        rows = several[group + 1]
+        out_b, out_h, out_i = b[rows], hubs[rows], i[rows]
+        if alone and sizes[0]:  # the held item turns out to have company
+            out_b, out_h, out_i = np.append(bucket, out_b), np.append(hub, out_h), np.append(hub, out_i)
+        last_size = sizes[-1] if len(heads) else sizes[0] + 1
+        alone = bool(last_size == 1)
+        bucket, hub = b[-1], hubs[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (out_b, out_h, out_i)], ["bucket", "hub", "item"])
+
+
+def _text_pass(row_bits: bytes, line_bits: bytes):
+    """Normalised lines whose row and place may be wanted; only those are normalised."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, places = np.frombuffer(doc_bits, dtype=np.uint8), np.frombuffer(line_bits, dtype=np.uint8)
+        wanted, places = np.frombuffer(row_bits, dtype=np.uint8), np.frombuffer(line_bits, dtype=np.uint8)
         for part in parts:
-            part = part.filter(pa.array(in_bitmap(docs, part.column(0).to_numpy(zero_copy_only=False))))
-            ids = part.column(0).to_numpy(zero_copy_only=False)
-            for lo, hi, texts in text_ranges(part.column(1)):
+            part = part.filter(pa.array(in_bitmap(wanted, part.column(1).to_numpy(zero_copy_only=False))))
+            marks = part.column(1).to_numpy(zero_copy_only=False)
+            for lo, hi, texts in text_ranges(part.column(2)):
                 split = [t.split(b"\n") for t in texts]
                 counts = [len(s) for s in split]
                 owner, place = np.repeat(np.arange(lo, hi), counts), _places(counts)
-                found = np.flatnonzero(in_bitmap(places, (ids[owner] << 20) ^ place))
+                found = np.flatnonzero(in_bitmap(places, (marks[owner] << 20) ^ place))
                 bodies = [b" ".join(normalised(split[owner[i] - lo][place[i]]).split()).decode("utf-8", "replace") for i in found]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[owner[found]]), pa.array(place[found].astype(np.int32)), pa.array(bodies, type=pa.string())], ["doc_id", "line_no", "line"])
+                at = pa.array(owner[found])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(place[found].astype(np.int32)), pa.array(bodies, type=pa.string())], ["id", "mark", "line_no", "line"])
 
     return run
 
@@ -179,90 +246,190 @@ def edits_at_most(a: str, b: str) -> int:
     return cost + sum(len(w) + 1 for w in left[i:] + right[j:])
 
 
-def _trim_pass(similarity: float):
-    """Pairs of lines without their common ends, which never changes the edit distance, and the most edits allowed.
+def edit_distance(a: str, b: str, most: int) -> int:
+    """Edit distance, or some number above ``most``: a column of the table is two bit strings (Myers, 1999), one step a character."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not a or len(b) - len(a) > most:
+        return len(b) - len(a) if a else len(b)
+    where: dict[str, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << i
+    whole, top = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, cost = whole, 0, len(a)
+    for left, c in zip(range(len(b) - 1, -1, -1), b, strict=True):
+        same = where.get(c, 0)
+        across = ((same & up) + up ^ up) | same
+        rise, fall = down | whole & ~(across | up), up & across
+        cost += (rise & top > 0) - (fall & top > 0)
+        if cost - left > most:
+            return cost - left
+        rise = rise << 1 | 1
+        keep = same | down
+        up, down = (fall << 1 | ~(keep | rise)) & whole, rise & keep & whole
+    return cost
+
+
+def similar(a: str, b: str, similarity: float) -> bool:
+    """Whether 1 - edit distance / longer length is at least ``similarity``: cheap bounds first, then the distance of what differs."""
+    most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    if edits_at_most(a, b) <= most:
+        return True
+    start, end = common_ends(a, b)
+    return edit_distance(a[start : len(a) - end], b[start : len(b) - end], most) <= most
+
+
+def _verify_pass(similarity: float):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            keep = [similar(x, y, similarity) for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+            part = part.filter(pa.array(keep, type=pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"])
 
-    Lines whose quick bound is within the allowed edits are similar for certain and come out empty.
+    return run
+
+
+def links_between(items: list[int], roots: list[int], blocks: list[int], lines: list[str], similarity: float) -> tuple[list[int], list[int]]:
+    """Spanning links between different groups of one tile: lines of one block, or of two blocks against each other.
+
+    Pairs whose lengths or SimHashes are too far apart never reach the edit distance, nor do pairs of groups already joined.
     """
+    raw = [line.encode("utf-8", "surrogatepass") for line in lines]
+    hashes, counts = word_hashes(raw)
+    sims = sim_hashes(raw, hashes, counts)
+    sizes, root, block = np.array([len(x) for x in lines]), np.array(roots), np.array(blocks)
+    close = np.abs(sizes[:, None] - sizes[None, :]) <= np.maximum(sizes[:, None], sizes[None, :]) * (1 - similarity) + 1e-9
+    close &= root[:, None] != root[None, :]
+    if block.min() != block.max():
+        close &= block[:, None] != block[None, :]
+    near = np.zeros_like(close)
+    for kind, has in ((0, counts >= FROM), (1, counts <= UPTO)):
+        apart = sum(np.bitwise_count(sims[:, None, kind * WORDS64 + w] ^ sims[None, :, kind * WORDS64 + w]).astype(np.int32) for w in (0, 1))
+        near |= (apart <= FAR) & has[:, None] & has[None, :]
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            x = y
+        return x
+
+    a, b = [], []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(close & near, 1))), strict=True):
+        x, y = top(roots[i]), top(roots[j])
+        if x != y and similar(lines[i], lines[j], similarity):
+            up[max(x, y)] = min(x, y)
+            a.append(items[i])
+            b.append(items[j])
+    return a, b
+
+
+def _tile_pass(similarity: float):
+    """Rows (bucket, p, q, block, item, root, line) sorted by tile; one tile is held at a time."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, ([], [], [], [])
+
+        def found() -> pa.RecordBatch:
+            a, b = links_between(*held, similarity) if len(set(held[1])) > 1 else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], ["a", "b"])
+
         for part in parts:
-            left, right, most = [], [], []
-            for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                most.append(int((1 - similarity) * max(len(x), len(y)) + 1e-9))
-                if edits_at_most(x, y) <= most[-1]:
-                    x = y = ""
-                start, end = common_ends(x, y)
-                left.append(x[start : len(x) - end])
-                right.append(y[start : len(y) - end])
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(left, type=pa.string()), pa.array(right, type=pa.string()), pa.array(most, type=pa.int32())], ["a", "b", "la", "lb", "most"])
+            for *key, block, item, root, line in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if key != tile:
+                    if len(held[0]) > 1:
+                        yield found()
+                    tile, held = key, ([], [], [], [])
+                for kept, value in zip(held, (item, root, block, line), strict=True):
+                    kept.append(value)
+        if len(held[0]) > 1:
+            yield found()
 
     return run
 
 
-def pigeonhole_masks(distance: int, agree: int) -> list[int]:
-    """64-bit masks, one per choice of ``agree`` out of ``distance + agree`` blocks (signed, for SQL)."""
-    cuts = np.linspace(0, 64, distance + agree + 1).round().astype(int).tolist()
-    blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
-    masks = [sum(choice) for choice in combinations(blocks, agree)]
-    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-
-
-def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
-    """(doc_id, line_no) of every line that is not the first occurrence of its group; see ``dedup_lines``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    found = settle(rows.mapInArrow(_key_pass, "doc_id long, line_no int, key long"))
-    lines = settle(found.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")))
-    banded = settle(rows.select("text").mapInArrow(_band_pass(similarity, bands, per_band), "key long, length int, bands array<int>"))
-    buckets = banded.select(F.posexplode("bands").alias("band", "value"), F.col("key").alias("item")).select(F.shiftleft(F.col("band").cast("long"), 32).bitwiseXOR(F.col("value").cast("long")).alias("bucket"), "item")
-
-    def near(a: Column, b: Column) -> Column:
-        # No pair outside this can reach the similarity: the edit distance is at least the gap of the lengths.
-        return F.abs(a - b) <= F.greatest(a, b) * F.lit(1 - similarity) + F.lit(1e-9)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = settle(pairs)
-        items = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-        where = settle(lines.join(items, "key", "left_semi").select("key", "first.doc_id", "first.line_no"))
-        places = where.select(F.shiftleft("doc_id", 20).bitwiseXOR(F.col("line_no").cast("long")).alias("place"))
-        passed = rows.mapInArrow(_text_pass(id_bitmap(where, "doc_id"), id_bitmap(places, "place")), "doc_id long, line_no int, line string")
-        bodies = passed.join(where, ["doc_id", "line_no"]).groupBy("key").agg(F.min("line").alias("line"))
-        both = pairs.join(bodies.toDF("a", "la"), "a").join(bodies.toDF("b", "lb"), "b").select("a", "b", "la", "lb")
-        trimmed = both.mapInArrow(_trim_pass(similarity), "a long, b long, la string, lb string, most int")
-        close = (F.greatest(F.length("la"), F.length("lb")) <= F.col("most")) | (F.call_function("levenshtein", F.col("la"), F.col("lb"), F.col("most")) >= 0)
-        return trimmed.where(close).select("a", "b")
-
-    groups = link(buckets, verify, banded.groupBy(F.col("key").alias("item")).agg(F.min("length").alias("mark")), near)
-    rooted = lines.join(groups.withColumnRenamed("item", "key"), "key", "left").where("n > 1 or root is not null")
-    rooted = settle(rooted.select("key", F.coalesce("root", "key").alias("root"), "first"))
-    keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
-    decided = rooted.join(keep, "root").select("key", "keep")
-    return found.join(decided, "key").where((F.col("doc_id") != F.col("keep.doc_id")) | (F.col("line_no") != F.col("keep.line_no"))).select("doc_id", "line_no")
-
-
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
+def _near(similarity: float) -> Column:
+    """Whether two lines (columns of ``a`` and ``b``) may be similar by length and by the first 128 bits of a SimHash that both have."""
+    longer = F.greatest("a.length", "b.length")
+    apart = lambda kind: sum((F.bit_count(F.col(f"a.{_SIMS[kind * WORDS64 + w]}").bitwiseXOR(F.col(f"b.{_SIMS[kind * WORDS64 + w]}"))) for w in (0, 1)), F.lit(0)) <= FAR
+    words, pairs = (F.col("a.words") >= FROM) & (F.col("b.words") >= FROM), (F.col("a.words") <= UPTO) & (F.col("b.words") <= UPTO)
+    return (F.abs(F.col("a.length") - F.col("b.length")) <= longer * (1 - similarity) + 1e-9) & ((words & apart(0)) | (pairs & apart(1)))
+
+
+def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, mark, line_no) of every line that is not the first occurrence of its group; see ``dedup_lines`` and ``_rows``."""
+    rows = _rows(docs).where("text is not null").select("id", "mark", "text")
+    kinds = ", ".join(f"{s} long" for s in _SIMS)
+    found = settle(rows.mapInArrow(_line_pass, f"id long, mark long, line_no int, k1 long, k2 long, length int, words int, {kinds}"))
+    place = F.struct("id", "mark", "line_no")
+    lines = found.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("length", "words", *_SIMS)])
+    # The number is fixed by the written table.
+    lines = settle(lines.withColumn("item", F.monotonically_increasing_id()))
+    buckets = lines.select(F.explode(_buckets(similarity)).alias("bucket"), "item")
+    shared = buckets.repartition("bucket").sortWithinPartitions("bucket", "item").mapInArrow(_shared_pass, "bucket long, hub long, item long")
+    members = settle(shared)
+    marks = lines.select("item", "length", "words", *[_SIMS[k * WORDS64 + w] for k in (0, 1) for w in (0, 1)])
+
+    def bodies(items: DataFrame) -> DataFrame:
+        where = settle(lines.join(items, "item", "left_semi").select("item", "first.*"))
+        places = where.select(F.shiftleft("mark", 20).bitwiseXOR(F.col("line_no").cast("long")).alias("place"))
+        passed = rows.mapInArrow(_text_pass(id_bitmap(where, "mark"), id_bitmap(places, "place")), "id long, mark long, line_no int, line string")
+        return passed.join(where, ["id", "mark", "line_no"]).groupBy("item").agg(F.min("line").alias("line"))
+
+    star = members.where("item <> hub").select(F.col("hub").alias("x"), F.col("item").alias("y")).distinct()
+    pairs = settle(star.join(marks.alias("a"), F.col("x") == F.col("a.item")).join(marks.alias("b"), F.col("y") == F.col("b.item")).where(_near(similarity)).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    said = bodies(pairs.select(F.col("a").alias("item")).union(pairs.select(F.col("b").alias("item"))).distinct())
+    both = pairs.join(said.toDF("a", "la"), "a").join(said.toDF("b", "lb"), "b").select("a", "b", "la", "lb")
+    first = settle(both.mapInArrow(_verify_pass(similarity), "a long, b long"))
+    groups = components(first)
+    # Where members of a bucket still lie in different groups, they meet in tiles; a bucket of two has met.
+    rooted = settle(members.join(groups, "item", "left").select("bucket", "item", F.coalesce("root", "item").alias("root")))
+    mixed = rooted.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("item").cast("decimal(20,0)")).alias("same"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi and n > 2")
+    once = mixed.groupBy("n", "same").agg(F.min("bucket").alias("bucket"))
+    apart = settle(rooted.join(once.select("bucket", "n"), "bucket"))
+    blocks = F.ceil(F.col("n") / TILE).cast("int")
+    dealt = apart.withColumn("block", F.pmod(F.xxhash64("item"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    tiles = dealt.select("bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "item", "root")
+    filled = tiles.join(bodies(apart.select("item").distinct()), "item").select("bucket", "p", "q", "block", "item", "root", "line")
+    second = settle(filled.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "item").mapInArrow(_tile_pass(similarity), "a long, b long").distinct())
+    if not second.isEmpty():
+        groups = components(settle(first.union(second)))
+    decided = lines.select("k1", "k2", "n", "first", "item").join(groups, "item", "left").where("n > 1 or root is not null").select("k1", "k2", "first", F.coalesce("root", "item").alias("root"))
+    decided = settle(decided)
+    keep = decided.groupBy("root").agg(F.min("first").alias("keep"))
+    return found.select("id", "mark", "line_no", "k1", "k2").join(decided.join(keep, "root").select("k1", "k2", "keep"), ["k1", "k2"]).where(place != F.col("keep")).select("id", "mark", "line_no")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with the key of a row: its id (rows without one come after all others) and a hash of its text."""
+    return docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("text", F.col("text").cast("string")).withColumn("mark", F.xxhash64("text"))
+
+
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, plus n_lines and n_removed.
 
     Lines are the pieces between line feeds; they are compared in lower case, with digits as 0 and punctuation as
-    blanks, word by word. Equal lines are one; different lines are linked if they share a band and their edit
-    similarity (1 - edit distance / longer length) is at least ``similarity``. Of each connected group the occurrence
-    with the smallest (doc_id, line number) stays in the whole table and every other one goes, whatever the number of
+    blanks, word by word. Equal lines are one; different lines are linked if their SimHashes share a pigeonhole block and their
+    edit similarity (1 - edit distance / longer length) is at least ``similarity``. Of each connected group the occurrence
+    with the smallest (doc_id, text hash, line number) stays in the whole table and every other one goes, whatever the number of
     copies. Documents always stay, at worst with an empty text.
 
-    Bands only propose pairs: two lines whose pairs of neighbouring words have Jaccard similarity j share one of them
-    with a probability of about 1 - (1 - j ** per_band) ** bands. More bands find more, more rows a band make chance
-    meetings rarer in very large corpora.
+    A SimHash has 256 bits: the majority over the words of a line, and for short lines over its pairs of neighbouring
+    characters. Blocks only propose pairs; the README gives their recall by kind of line.
 
-    Lines without a letter or digit, NULL texts and rows with a NULL doc_id are left as they are and are nobody's
-    first occurrence. Rows that share a doc_id are one document: a repeated row keeps what its twin keeps. Columns
+    Lines without a letter or digit and NULL texts are left as they are. A row is known by (doc_id, text): rows that share an id
+    but not a text are cut one by one, a repeated row keeps what its twin keeps, and rows without an id come last. Columns
     of ``docs`` keep their names and order, but n_lines and n_removed are replaced; an empty table gives no row.
     """
-    gone = dropped_lines(docs, similarity, bands, per_band).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = packed(docs, ["doc_id", "text"]).join(gone, F.col("doc_id") == F.col("_doc"), "left")
+    gone = dropped_lines(docs.select("doc_id", "text"), similarity).groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set("line_no").alias("_gone"))
+    held = packed(docs, ["doc_id", "text"])
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_mark")]
+    joined = held.select("*", *key).join(gone, ["_id", "_mark"], "left")
     pieces = F.split("text", "\n", -1)
     cut = F.array_join(F.filter(pieces, lambda _line, i: ~F.array_contains("_gone", i)), "\n")
     lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(pieces)).cast("long")
-    removed = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long")
+    removed = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long")
     done = joined.select("doc_id", F.when(F.col("_gone").isNotNull(), cut).otherwise(F.col("text")).alias("text"), "_rest", lines.alias("_lines"), removed.alias("_removed"))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     return done.select(*unpacked(columns, ["doc_id", "text"]), F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
