@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,32 +65,47 @@ class TwoTokenizers:
         self.length_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         self.cut = re.compile(r"(?<=[!-~À-ÿ]) (?=[!-~À-ÿ])").split
         self.uneven = re.compile(r" [^!-~À-ÿ]|[^!-~À-ÿ] ").search
-        # Vocabulary A's pre-token pattern, its classes written out for ASCII.
-        self.pre_tokens = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+").findall
-        self.plain = re.compile(r"[!-~]+").fullmatch
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        # Vocabulary A's pre-token pattern, its classes written out for ASCII and Latin-1 letters, for a piece without other white space than single line feeds inside.
+        word = "A-Za-zÀ-ÖØ-öø-ÿ"
+        self.pre_tokens = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\n| ?[{word}]+| ?[0-9]+| ?[^ \n{word}0-9]+").findall
+        self.plain = re.compile(r"[!-~À-ÿ]+(?:\n[!-~À-ÿ]+)*").fullmatch
+        back = {x: c for c, x in letters.items()}
+        self.spelled = {c: "".join(back[x] for x in chr(c).encode()) for c in (0x20, 0x0A, *range(0xC0, 0x100))}
+        # Two flat tables: tuples in one would be walked by every garbage collection.
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        #: Pieces whose tokens do not spell them; only a text with one of them can fail to spell its text.
+        self.odd: set[str] = set()
 
     def learn(self, pieces: list[str]) -> None:
-        merge = self.a.model.tokenize
+        merge, spelled = self.a.model.tokenize, self.spelled
         rare = [p for p in pieces if not self.plain(p)]
         ids = dict(zip(rare, (e.ids for e in self.a.encode_batch([f" {p}" for p in rare], add_special_tokens=False)), strict=True)) if rare else {}
         for piece, b in zip(pieces, self.b.encode(pieces, num_threads=1), strict=True):
-            a = ids[piece] if piece in ids else [t.id for part in self.pre_tokens(f" {piece}") for t in merge(part.replace(" ", "Ġ"))]
-            self.known[piece] = (np.array(a, dtype=np.uint16).tobytes(), np.array(b, dtype=np.uint16).tobytes())
-
-    def ids(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of A for space + text and of B for text, as 16-bit words."""
+            if piece in ids:
+                a = ids[piece]
+                whole = b" " + piece.encode("utf-8", "surrogatepass")
+                if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
+                    self.odd.add(piece)
+            else:  # both vocabularies spell every character of a plain piece
+                a = [t.id for part in self.pre_tokens(f" {piece}") for t in merge(part.translate(spelled))]
+            self.known_a[piece], self.known_b[piece] = array("H", a).tobytes(), array("H", b).tobytes()
+
+    def ids(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of A for space + text and of B for text, as 16-bit words; None where the tokens do not spell space + text."""
         cuts = [self.cut(t) if t[:1] == " " or t[-1:] == " " or self.uneven(t) else t.split(" ") for t in texts]
-        if len(self.known) > MEMORY:
-            self.known = {}
-        new = {p for pieces in cuts for p in pieces if p not in self.known}
+        if len(self.known_a) > MEMORY:
+            self.known_a, self.known_b, self.odd = {}, {}, set()
+        get_a, get_b = self.known_a.__getitem__, self.known_b.__getitem__
+        distinct = set().union(*cuts)
+        new = [p for p in distinct if p not in self.known_a]
         if new:
-            self.learn(list(new))
-        get = self.known.__getitem__
-        out = []
-        for pieces in cuts:
-            a, b = zip(*map(get, pieces), strict=True)
-            out.append((b"".join(a), b"".join(b)))
+            self.learn(new)
+        odd = self.odd & distinct
+        out: list[tuple[bytes, bytes] | None] = []
+        for text, pieces in zip(texts, cuts, strict=True):
+            found = b"".join(map(get_a, pieces)), b"".join(map(get_b, pieces))
+            out.append(found if not odd or odd.isdisjoint(pieces) or self.valid(text, *found) else None)
         return out
 
     def valid(self, text: str, a: bytes, b: bytes) -> bool:
@@ -299,9 +315,9 @@ def token_table(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 texts = [t.decode("utf-8", "surrogatepass") for t in raw]
                 rows = [i for i, t in enumerate(texts) if t]
                 a, b = [b""] * len(texts), [b""] * len(texts)
-                for i, (x, y) in zip(rows, both.ids([texts[i] for i in rows]), strict=True):
-                    if both.valid(texts[i], x, y):
-                        a[i], b[i] = x, y
+                for i, found in zip(rows, both.ids([texts[i] for i in rows]), strict=True):
+                    if found is not None:
+                        a[i], b[i] = found
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(start, end - start), pa.array(a, type=pa.binary()), pa.array(b, type=pa.binary())], ["doc_id", "a", "b"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

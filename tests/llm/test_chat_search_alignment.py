@@ -79,9 +79,9 @@ def brute_search(docs, items, top=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("few", [0, 4])
-def test_search_equals_brute_force_with_ties_nulls_and_copies(spark, monkeypatch, few):
-    monkeypatch.setattr(search, "FEW", few)
+@pytest.mark.parametrize("chunk", [1 << 16, 50])
+def test_search_equals_brute_force_with_ties_nulls_and_copies(spark, monkeypatch, chunk):
+    monkeypatch.setattr(search, "CHUNK", chunk)
     rng = random.Random(5)
     words = [f"w{i}" for i in range(60)] + ["É", "é", "x1", "Ab", "aB"]
     docs = [(i, " ".join(rng.choices(words, weights=[1 / (k + 1) for k in range(len(words))], k=rng.randrange(1, 60)))) for i in range(400)]
@@ -172,7 +172,10 @@ def test_ids_of_pieces_are_those_of_the_libraries(text):
     if not text or any(0xD800 <= ord(c) <= 0xDFFF for c in text):
         return
     for one in (text, f"ab {text} cd", text.replace("a", " ")):
-        a, b = both.ids([one])[0]
+        a, b = both.ids([one])[0] or (None, None)
+        if a is None:
+            assert "▁" in one
+            continue
         assert np.frombuffer(a, dtype=np.uint16).tolist() == both.a.encode(" " + one, add_special_tokens=False).ids
         assert np.frombuffer(b, dtype=np.uint16).tolist() == both.b.encode(one)
 
