@@ -297,45 +297,55 @@ def _(spark, folder):
     return st.dedupe_by_id(x, ["n"]).select("n", F.coalesce("claim_id", F.nullif("document_id", F.lit(""))).alias("key"))
 
 
+@query("audit_output_proof", "SELECT c_mktsegment AS industry, count(*) AS source_rows, count(*) AS read_rows, true AS same_content FROM customer GROUP BY 1")
+def _(spark, folder):
+    c = table(spark, folder, "customer")
+    scored = c.select(F.col("c_custkey").alias("ticker"), F.col("c_mktsegment").alias("industry"), F.col("c_acctbal").alias("net_score"), (-F.col("c_acctbal")).alias("long_score"), F.array("c_name", F.col("c_nationkey").cast("string")).alias("drivers"))
+    home = scratch_folder(spark, "audit")
+    st.write_audit(scored, scored.where("net_score < 0"), scored.select("industry").distinct(), home)
+    return st.audit_proof(scored, home)
+
+
 # --- incremental ------------------------------------------------------------------------------------
 
 MERGE = """
-d AS (SELECT event_type AS series, CAST(ts AS DATE) AS d, round(avg(value), 6) AS v FROM events GROUP BY 1, 2),
-st AS (SELECT series, d, CASE WHEN NOT (series = 'signup' AND day(d) > 10) THEN v END AS v FROM d WHERE d < DATE '2024-01-20' AND dayofweek(d) <> 0),
-ic AS (SELECT series, d, v + 1 AS v FROM d),
-pl AS (SELECT coalesce(st.series, ic.series) AS series, coalesce(st.d, ic.d) AS obs_date, coalesce(st.v, ic.v) AS value, CASE WHEN coalesce(st.d, ic.d) IN (SELECT d FROM st) THEN CASE WHEN st.v IS NULL AND ic.v IS NOT NULL THEN 'filled' ELSE 'kept' END
-  WHEN coalesce(st.d, ic.d) > (SELECT max(d) FROM st) THEN 'appended' ELSE 'late' END AS action FROM st FULL JOIN ic ON st.series = ic.series AND st.d = ic.d)"""
+d AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS ds, event_type AS series, CAST(ts AS DATE) AS d, round(avg(value), 6) AS v FROM events GROUP BY 1, 2, 3),
+st AS (SELECT ds, series, d, CASE WHEN NOT (series = 'signup' AND day(d) > 10) THEN v END AS v FROM d WHERE d < CASE ds WHEN 'even' THEN DATE '2024-01-20' ELSE DATE '2024-01-12' END AND dayofweek(d) <> 0),
+ic AS (SELECT ds, series, d, v + 1 AS v FROM d),
+pl AS (SELECT coalesce(st.ds, ic.ds) AS dataset, coalesce(st.series, ic.series) AS series, coalesce(st.d, ic.d) AS obs_date, coalesce(st.v, ic.v) AS value, CASE WHEN EXISTS (SELECT 1 FROM st x WHERE x.ds = coalesce(st.ds, ic.ds) AND x.d = coalesce(st.d, ic.d)) THEN CASE WHEN st.v IS NULL AND ic.v IS NOT NULL THEN 'filled' ELSE 'kept' END
+  WHEN coalesce(st.d, ic.d) > (SELECT max(d) FROM st x WHERE x.ds = coalesce(st.ds, ic.ds)) THEN 'appended' ELSE 'late' END AS action FROM st FULL JOIN ic ON st.ds = ic.ds AND st.series = ic.series AND st.d = ic.d)"""
 
 
 def merge_inputs(spark, folder):
-    d = table(spark, folder, "events").groupBy(F.lit("events").alias("dataset"), F.col("event_type").alias("series"), F.to_date("ts").alias("obs_date")).agg(F.round(F.avg("value"), 6).alias("value"))
-    stored = d.where((F.col("obs_date") < F.lit("2024-01-20").cast("date")) & (F.dayofweek("obs_date") != 1)).withColumn("value", F.when(~((F.col("series") == "signup") & (F.dayofmonth("obs_date") > 10)), F.col("value")))
+    d = table(spark, folder, "events").groupBy(F.when(F.col("event_id") % 2 == 0, "even").otherwise("odd").alias("dataset"), F.col("event_type").alias("series"), F.to_date("ts").alias("obs_date")).agg(F.round(F.avg("value"), 6).alias("value"))
+    end = F.when(F.col("dataset") == "even", F.lit("2024-01-20").cast("date")).otherwise(F.lit("2024-01-12").cast("date"))
+    stored = d.where((F.col("obs_date") < end) & (F.dayofweek("obs_date") != 1)).withColumn("value", F.when(~((F.col("series") == "signup") & (F.dayofmonth("obs_date") > 10)), F.col("value")))
     return stored, d.withColumn("value", F.col("value") + 1)
 
 
-@query("fill_and_append_plan", f"WITH {MERGE} SELECT series, CAST(obs_date AS VARCHAR) AS obs_date, round(value, 6) AS value, action FROM pl")
+@query("fill_and_append_plan", f"WITH {MERGE} SELECT dataset, series, CAST(obs_date AS VARCHAR) AS obs_date, round(value, 6) AS value, action FROM pl")
 def _(spark, folder):
-    return inc.plan_merge(*merge_inputs(spark, folder)).select("series", F.col("obs_date").cast("string").alias("obs_date"), F.round("value", 6).alias("value"), "action")
+    return inc.plan_merge(*merge_inputs(spark, folder)).select("dataset", "series", F.col("obs_date").cast("string").alias("obs_date"), F.round("value", 6).alias("value"), "action")
 
 
-@query("late_history_dates", f"WITH {MERGE} SELECT DISTINCT CAST(obs_date AS VARCHAR) AS obs_date FROM pl WHERE action = 'late'")
+@query("late_history_dates", f"WITH {MERGE} SELECT DISTINCT dataset, CAST(obs_date AS VARCHAR) AS obs_date FROM pl WHERE action = 'late'")
 def _(spark, folder):
-    return inc.late_dates(inc.plan_merge(*merge_inputs(spark, folder))).select(F.col("obs_date").cast("string").alias("obs_date"))
+    return inc.late_dates(inc.plan_merge(*merge_inputs(spark, folder))).select("dataset", F.col("obs_date").cast("string").alias("obs_date"))
 
 
-@query("history_protection", f"WITH {MERGE} SELECT st.series, CAST(st.d AS VARCHAR) AS obs_date, round(st.v, 6) AS existing, round(ic.v, 6) AS replacement FROM st JOIN ic ON st.series = ic.series AND st.d = ic.d WHERE st.v IS NOT NULL AND st.series <> 'click'")
+@query("history_protection", f"WITH {MERGE} SELECT st.ds AS dataset, st.series, CAST(st.d AS VARCHAR) AS obs_date, round(st.v, 6) AS existing, round(ic.v, 6) AS replacement FROM st JOIN ic ON st.ds = ic.ds AND st.series = ic.series AND st.d = ic.d WHERE st.v IS NOT NULL AND st.series <> 'click'")
 def _(spark, folder):
     stored, incoming = merge_inputs(spark, folder)
     same = incoming.withColumn("value", F.when(F.col("series") == "click", F.col("value") - 1).otherwise(F.col("value")))
     v = inc.history_violations(stored, same)
-    return v.select("series", F.col("obs_date").cast("string").alias("obs_date"), F.round("existing", 6).alias("existing"), F.round("replacement", 6).alias("replacement"))
+    return v.select("dataset", "series", F.col("obs_date").cast("string").alias("obs_date"), F.round("existing", 6).alias("existing"), F.round("replacement", 6).alias("replacement"))
 
 
-@query("shared_component_table", f"WITH {MERGE} SELECT series, action, count(*) AS cells FROM pl WHERE action <> 'late' GROUP BY 1, 2")
+@query("shared_component_table", f"WITH {MERGE} SELECT dataset, series, action, count(*) AS cells FROM pl WHERE action <> 'late' GROUP BY 1, 2, 3")
 def _(spark, folder):
     stored, incoming = merge_inputs(spark, folder)
     parts = [incoming.where(F.col("series").isin("click", "view")), incoming.where(~F.col("series").isin("click", "view"))]
-    return inc.merge_components(stored, parts).groupBy("series", "action").agg(F.count("*").alias("cells"))
+    return inc.merge_components(stored, parts).groupBy("dataset", "series", "action").agg(F.count("*").alias("cells"))
 
 
 def event_stream(spark, folder):

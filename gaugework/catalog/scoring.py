@@ -16,33 +16,31 @@ from gaugework.plans.settle import settle
 C = F.col
 
 
-def statement_claims(spark, folder, only_first: bool = False):
-    """Orders as claims of their fiscal years."""
+def statement_claims(spark, folder, plain: bool = False):
+    """Orders as claims of their fiscal years; with ``plain`` no claim states a direction and all share their wording."""
     o = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("y"), "o_orderdate")
-    if only_first:
-        first = o.groupBy("o_custkey", "y").agg(F.min("o_orderkey").alias("o_orderkey"))
-        o = o.join(first, ["o_custkey", "y", "o_orderkey"])
     million = F.round(C("o_totalprice") / 1000).cast("int").cast("string")
     move = F.when(C("o_orderstatus") == "F", "grew").when(C("o_orderstatus") == "O", "declined").otherwise("was stable")
-    text = F.concat(F.lit("Revenue "), move, F.lit(" to $"), million, F.lit(" million in order "), C("o_orderkey").cast("string")) if not only_first else F.concat(F.lit("Revenue was $"), million, F.lit(" million in the period"))
+    text = F.concat(F.lit("Revenue "), move, F.lit(" to $"), million, F.lit(" million in order "), C("o_orderkey").cast("string")) if not plain else F.concat(F.lit("Revenue was $"), million, F.lit(" million in the period"))
     return o.select(
         C("o_orderkey").cast("string").alias("claim_id"), C("o_custkey").cast("string").alias("ticker"), C("o_orderkey").cast("string").alias("document_id"), C("y").alias("fiscal_year"), F.lit(None).cast("int").alias("fiscal_quarter"),
         F.concat(F.lit("FY "), C("y").cast("string")).alias("period_label"), F.lit("ANNUAL_ACTUAL").alias("period_type"), F.lit("revenue").alias("dimension"), F.lit("revenue").alias("topic"),
-        F.lit("unknown").alias("direction") if only_first else F.when(C("o_orderstatus") == "F", "increasing").when(C("o_orderstatus") == "O", "decreasing").otherwise("stable").alias("direction"),
+        F.lit("unknown").alias("direction") if plain else F.when(C("o_orderstatus") == "F", "increasing").when(C("o_orderstatus") == "O", "decreasing").otherwise("stable").alias("direction"),
         F.lit("actual").alias("certainty"), tx.magnitudes(text).alias("magnitude"), text.alias("evidence_text"), F.to_date("o_orderdate").alias("available_date"),
     )
 
 
-FIRST = """
-fy AS (SELECT o_custkey AS ticker, year(o_orderdate) AS y, arg_min(CAST(round(o_totalprice / 1000) AS INTEGER), o_orderkey) AS m FROM orders GROUP BY 1, 2),
-fc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY y DESC) AS back FROM fy) WHERE back <= 2),
-pc AS (SELECT a.ticker, a.m AS before, b.m AS after FROM fc a JOIN fc b ON a.ticker = b.ticker AND a.back = 2 AND b.back = 1)"""
+# Claims of one wording are all equally alike, so the current claims take the previous ones in id order.
+PAIRED = """
+fy AS (SELECT o_custkey AS ticker, year(o_orderdate) AS y, CAST(o_orderkey AS VARCHAR) AS id, CAST(round(o_totalprice / 1000) AS INTEGER) AS m FROM orders),
+fc AS (SELECT *, dense_rank() OVER (PARTITION BY ticker ORDER BY y DESC) AS back, row_number() OVER (PARTITION BY ticker, y ORDER BY id) AS k FROM fy),
+pc AS (SELECT b.ticker, b.id, a.id AS old, a.m AS before, b.m AS after FROM (SELECT * FROM fc WHERE back = 1) b LEFT JOIN (SELECT * FROM fc WHERE back = 2) a ON a.ticker = b.ticker AND a.k = b.k)"""
 
 
-@query("period_changes", f"WITH {FIRST} SELECT CAST(ticker AS VARCHAR) AS ticker, CASE WHEN after = before THEN 'reiterated' WHEN after > before THEN 'increasing' ELSE 'decreasing' END AS change_type, 'numeric_metric_comparison' AS method, 0.92 AS confidence FROM pc")
+@query("period_changes", f"WITH {PAIRED} SELECT CAST(ticker AS VARCHAR) AS ticker, old AS from_claim, id AS to_claim, CASE WHEN after = before THEN 'reiterated' WHEN after > before THEN 'increasing' ELSE 'decreasing' END AS change_type, 'numeric_metric_comparison' AS method, 0.92 AS confidence FROM pc WHERE old IS NOT NULL UNION ALL SELECT CAST(ticker AS VARCHAR), NULL, min(id), 'newly_mentioned', 'current_period_only', 0.64 FROM pc WHERE old IS NULL GROUP BY ticker")
 def _(spark, folder):
     changes, _ = sa.compare_periods(settle(statement_claims(spark, folder, True)))
-    return changes.where("from_claim IS NOT NULL").select("ticker", "change_type", "method", "confidence")
+    return changes.select("ticker", "from_claim", "to_claim", "change_type", "method", "confidence")
 
 
 @query("period_changes_of_all_statements")
@@ -51,20 +49,19 @@ def _(spark, folder):
     return changes.select("change_id", "ticker", "subject", "change_type", "direction", "confidence", "method")
 
 
-@query("change_members", f"WITH {FIRST} SELECT side, count(*) AS claims FROM (SELECT 'previous' AS side FROM pc UNION ALL SELECT 'current' FROM pc UNION ALL SELECT 'current' FROM fc a WHERE NOT EXISTS (SELECT 1 FROM pc WHERE pc.ticker = a.ticker)) GROUP BY 1")
+@query("change_members", f"WITH {PAIRED} SELECT CAST(ticker AS VARCHAR) AS ticker, side, count(*) AS claims FROM (SELECT ticker, 'previous' AS side FROM pc WHERE old IS NOT NULL UNION ALL SELECT ticker, 'current' FROM pc) GROUP BY 1, 2")
 def _(spark, folder):
-    _, members = sa.compare_periods(settle(statement_claims(spark, folder, True)))
-    return members.groupBy("side").agg(F.count("*").alias("claims"))
+    changes, members = sa.compare_periods(settle(statement_claims(spark, folder, True)))
+    return members.join(changes.select("change_id", "ticker"), "change_id").groupBy("ticker", "side").agg(F.count("*").alias("claims"))
 
 
-@query("missing_change_evidence", f"WITH {FIRST} SELECT count(*) AS missing FROM fc WHERE back = 1")
+@query("missing_change_evidence", f"WITH {PAIRED} SELECT id AS claim_id FROM pc")
 def _(spark, folder):
     # Every claim of each ticker's current period is withheld, so each current membership must be reported.
     claims = settle(statement_claims(spark, folder, True))
     _, members = sa.compare_periods(claims)
-    tagged = sa.period_pair(claims)
-    known = tagged.where("side = 'previous'")
-    return ql.missing_references(members.groupBy("change_id").agg(F.collect_set("claim_id").alias("ids")), "ids", known, "claim_id", "change_id").agg(F.count("*").alias("missing"))
+    known = sa.period_pair(claims).where("side = 'previous'")
+    return ql.missing_references(members.select("change_id", F.array("claim_id").alias("ids")), "ids", known, "claim_id", "change_id").select(C("missing_id").alias("claim_id"))
 
 
 STATES = """
@@ -125,10 +122,10 @@ def factor_rows(spark, folder):
 FACT = """
 og AS (SELECT o_custkey AS ticker, count(CASE WHEN o_orderstatus IN ('F', 'O') THEN 1 END) AS gn, avg(CASE o_orderstatus WHEN 'F' THEN 100.0 WHEN 'O' THEN 25.0 END) AS gs, count(*) AS onn, count(CASE WHEN o_totalprice > 200000 THEN 1 END) AS ou,
   count(CASE WHEN o_orderpriority < '5' THEN 1 END) AS tn, count(CASE WHEN o_orderpriority < '3' THEN 1 END) AS tb FROM orders GROUP BY 1),
-fs AS (SELECT ticker, 'management_guidance_reliability' AS factor, CASE WHEN gn >= 3 THEN gs END AS score, CASE WHEN gn >= 3 THEN 'SCORED' ELSE 'INSUFFICIENT_SAMPLE' END AS status, least(1.0, gn / 3.0) AS cov FROM og
-  UNION ALL SELECT ticker, 'management_operating_execution', CASE WHEN onn >= 3 THEN 50 + 50 * (ou / CAST(onn AS DOUBLE) * 2 - 1) END, CASE WHEN onn >= 3 THEN 'SCORED' ELSE 'INSUFFICIENT_SAMPLE' END, least(1.0, onn / 3.0) FROM og
-  UNION ALL SELECT c_custkey, 'insider_ownership_alignment', CASE WHEN c_acctbal >= 0 THEN CASE WHEN c_acctbal / 1000 < 1 THEN 25.0 WHEN c_acctbal / 1000 < 5 THEN 50.0 WHEN c_acctbal / 1000 < 10 THEN 75.0 ELSE 100.0 END END, CASE WHEN c_acctbal >= 0 THEN 'SCORED' ELSE 'UNSCORED' END, CASE WHEN c_acctbal >= 0 THEN 1.0 ELSE 0.0 END FROM customer
-  UNION ALL SELECT ticker, 'insider_transaction_activity', CASE WHEN tn > 0 THEN 50 + 50 * (2 * tb - tn) / CAST(tn AS DOUBLE) END, CASE WHEN tn > 0 THEN 'SCORED' ELSE 'UNSCORED' END, CASE WHEN tn > 0 THEN 1.0 ELSE 0.0 END FROM og)"""
+fs AS (SELECT ticker, 'management_guidance_reliability' AS factor, CASE WHEN gn >= 3 THEN gs END AS score, CASE WHEN gn >= 3 THEN 'SCORED' ELSE 'INSUFFICIENT_SAMPLE' END AS status, least(1.0, gn / 3.0) AS cov, CASE WHEN gn >= 3 THEN round_even((1 + least(1.0, 0.5 + 0.15 * least(gn, 4)) + least(1.0, 0.5 + 0.1 * least(gn, 5))) / 3, 4) WHEN gn > 0 THEN round_even(least(1.0, 0.5 + 0.1 * least(gn, 5)), 4) ELSE 0.0 END AS conf FROM og
+  UNION ALL SELECT ticker, 'management_operating_execution', CASE WHEN onn >= 3 THEN 50 + 50 * (ou / CAST(onn AS DOUBLE) * 2 - 1) END, CASE WHEN onn >= 3 THEN 'SCORED' ELSE 'INSUFFICIENT_SAMPLE' END, least(1.0, onn / 3.0), CASE WHEN onn >= 3 THEN round_even((1 + least(1.0, 0.5 + 0.15 * least(onn, 4)) + least(1.0, 0.5 + 0.1 * least(onn, 5))) / 3, 4) WHEN onn > 0 THEN round_even(least(1.0, 0.5 + 0.1 * least(onn, 5)), 4) ELSE 0.0 END FROM og
+  UNION ALL SELECT c_custkey, 'insider_ownership_alignment', CASE WHEN c_acctbal >= 0 THEN CASE WHEN c_acctbal / 1000 < 1 THEN 25.0 WHEN c_acctbal / 1000 < 5 THEN 50.0 WHEN c_acctbal / 1000 < 10 THEN 75.0 ELSE 100.0 END END, CASE WHEN c_acctbal >= 0 THEN 'SCORED' ELSE 'UNSCORED' END, CASE WHEN c_acctbal >= 0 THEN 1.0 ELSE 0.0 END, CASE WHEN c_acctbal >= 0 THEN 0.825 ELSE 0.0 END FROM customer
+  UNION ALL SELECT ticker, 'insider_transaction_activity', CASE WHEN tn > 0 THEN 50 + 50 * (2 * tb - tn) / CAST(tn AS DOUBLE) END, CASE WHEN tn > 0 THEN 'SCORED' ELSE 'UNSCORED' END, CASE WHEN tn > 0 THEN 1.0 ELSE 0.0 END, CASE WHEN tn > 0 THEN round_even((1 + least(1.0, 0.5 + 0.15 * least(tn, 4)) + least(1.0, 0.5 + 0.1 * least(tn, 5))) / 3, 4) ELSE 0.0 END FROM og)"""
 
 
 @query("factor_scores", f"WITH {FACT} SELECT CAST(ticker AS VARCHAR) AS ticker, factor, round(score, 6) AS score, status, round(cov, 6) AS coverage FROM fs")
@@ -147,9 +144,9 @@ def _(spark, folder):
 
 PILLARS = """
 rg(factor, pillar, w, mc) AS (VALUES """ + ", ".join(f"('{f}', '{p}', {w}, {m})" for f, p, w, m in fa.FACTORS) + """),
-gd AS (SELECT c.c_custkey AS ticker, rg.*, fs.score, coalesce(fs.status, 'UNSCORED') AS status, coalesce(fs.cov, 0) AS cov FROM customer c CROSS JOIN rg LEFT JOIN fs ON fs.ticker = c.c_custkey AND fs.factor = rg.factor),
+gd AS (SELECT c.c_custkey AS ticker, rg.*, fs.score, coalesce(fs.status, 'UNSCORED') AS status, coalesce(fs.cov, 0) AS cov, coalesce(fs.conf, 0) AS conf FROM customer c CROSS JOIN rg LEFT JOIN fs ON fs.ticker = c.c_custkey AND fs.factor = rg.factor),
 el AS (SELECT *, status = 'SCORED' AND score IS NOT NULL AND cov >= mc AS ok FROM gd),
-pl AS (SELECT ticker, pillar, sum(w) AS cw, sum(CASE WHEN ok THEN w ELSE 0 END) AS ew, sum(CASE WHEN ok THEN w * score END) / nullif(sum(CASE WHEN ok THEN w ELSE 0 END), 0) AS calc, sum(w * cov) / sum(w) AS ev, sum(CASE WHEN ok THEN w * cov ELSE 0 END) / sum(w) AS sc, count(CASE WHEN ok THEN 1 END) AS n FROM el GROUP BY 1, 2)"""
+pl AS (SELECT ticker, pillar, sum(w) AS cw, sum(CASE WHEN ok THEN w ELSE 0 END) AS ew, sum(CASE WHEN ok THEN w * score END) / nullif(sum(CASE WHEN ok THEN w ELSE 0 END), 0) AS calc, sum(w * cov) / sum(w) AS ev, sum(CASE WHEN ok THEN w * cov ELSE 0 END) / sum(w) AS sc, count(CASE WHEN ok THEN 1 END) AS n, sum(CASE WHEN ok THEN w * conf ELSE 0 END) AS cf FROM el GROUP BY 1, 2)"""
 
 
 def pillar_tables(spark, folder):
@@ -157,17 +154,17 @@ def pillar_tables(spark, folder):
     return fa.aggregate_pillars(settle(fa.complete_factors(spark, factor_rows(spark, folder), tickers)))
 
 
-@query("pillar_scores", f"WITH {FACT}, {PILLARS} SELECT CAST(ticker AS VARCHAR) AS ticker, pillar, round(CASE WHEN n > 0 AND sc >= 0.7 THEN calc END, 6) AS score, round(calc, 6) AS calculated_score, round(ev, 6) AS evidence_coverage, round(sc, 6) AS scoring_coverage, CASE WHEN n = 0 THEN 'UNSCORED' WHEN sc < 0.7 THEN 'INSUFFICIENT_SCORING_COVERAGE' ELSE 'SCORED' END AS status FROM pl")
+@query("pillar_scores", f"WITH {FACT}, {PILLARS} SELECT CAST(ticker AS VARCHAR) AS ticker, pillar, round(CASE WHEN n > 0 AND sc >= 0.7 THEN calc END, 6) AS score, round(calc, 6) AS calculated_score, round(ev, 6) AS evidence_coverage, round(sc, 6) AS scoring_coverage, CASE WHEN n = 0 THEN 'UNSCORED' WHEN sc < 0.7 THEN 'INSUFFICIENT_SCORING_COVERAGE' ELSE 'SCORED' END AS status, round_even(coalesce(cf / nullif(ew, 0), 0), 4) AS confidence FROM pl")
 def _(spark, folder):
     p, _ = pillar_tables(spark, folder)
-    return p.select("ticker", "pillar", *[F.round(c, 6).alias(c) for c in ("score", "calculated_score", "evidence_coverage", "scoring_coverage")], "status")
+    return p.select("ticker", "pillar", *[F.round(c, 6).alias(c) for c in ("score", "calculated_score", "evidence_coverage", "scoring_coverage")], "status", F.round("confidence", 4).alias("confidence"))
 
 
-@query("company_scores", f"WITH {FACT}, {PILLARS}, w(pillar, pw) AS (VALUES ('MANAGEMENT_EXECUTION', 0.6), ('INSIDER_ALIGNMENT', 0.4)), t AS (SELECT ticker, sum(pw * ev) AS ev, sum(pw * sc) AS sc FROM pl JOIN w USING (pillar) GROUP BY 1) SELECT CAST(ticker AS VARCHAR) AS ticker, round(ev, 6) AS evidence_coverage, round(sc, 6) AS scoring_coverage, 'INSUFFICIENT_SCORING_COVERAGE' AS score_status, 'business_quality_revenue_state; business_quality_demand_state' AS critical_missing FROM t")
+@query("company_scores", f"WITH {FACT}, {PILLARS}, w(pillar, pw) AS (VALUES ('MANAGEMENT_EXECUTION', 0.6), ('INSIDER_ALIGNMENT', 0.4)), t AS (SELECT ticker, sum(pw * ev) AS ev, sum(pw * sc) AS sc FROM pl JOIN w USING (pillar) GROUP BY 1), cc AS (SELECT ticker, round_even(coalesce(sum(CASE WHEN status = 'SCORED' AND score IS NOT NULL THEN w * conf END) / sum(CASE WHEN status = 'SCORED' AND score IS NOT NULL THEN w END), 0), 4) AS confidence FROM gd GROUP BY 1) SELECT CAST(t.ticker AS VARCHAR) AS ticker, confidence, round(ev, 6) AS evidence_coverage, round(sc, 6) AS scoring_coverage, 'INSUFFICIENT_SCORING_COVERAGE' AS score_status, 'business_quality_revenue_state; business_quality_demand_state' AS critical_missing FROM t JOIN cc USING (ticker)")
 def _(spark, folder):
     p, f = pillar_tables(spark, folder)
     s = fa.company_scores(p, f, spark, {"MANAGEMENT_EXECUTION": 0.6, "INSIDER_ALIGNMENT": 0.4})
-    return s.select("ticker", F.round("evidence_coverage", 6).alias("evidence_coverage"), F.round("scoring_coverage", 6).alias("scoring_coverage"), "score_status", "critical_missing")
+    return s.select("ticker", F.round("evidence_coverage", 6).alias("evidence_coverage"), F.round("scoring_coverage", 6).alias("scoring_coverage"), "score_status", "critical_missing", F.round("confidence", 4).alias("confidence"))
 
 
 @query("factor_explanations", f"WITH {FACT}, {PILLARS} SELECT CAST(ticker AS VARCHAR) AS ticker, factor, round(CASE WHEN ok THEN el.w / ew END, 6) AS effective_weight, round(CASE WHEN ok THEN el.w / ew * score END, 6) AS contribution, CASE WHEN status = 'SCORED' THEN 'VALID' ELSE 'INSUFFICIENT_EVIDENCE' END AS audit_class FROM el JOIN pl USING (ticker, pillar)")
@@ -341,3 +338,45 @@ def _(spark, folder):
     names = ft.registry_frame(spark, registry).select(C("feature").alias("kind"))
     long = customer_snapshot(spark, folder).unpivot(["ticker"], [F.col("balance").cast("double").alias("balance"), "order_count"], "kind", "value")
     return long.join(F.broadcast(names), "kind").groupBy("kind").agg(F.count("*").alias("rows"))
+
+
+REPORTS = """
+rr AS (SELECT o_custkey AS ticker, CASE WHEN o_orderpriority < '3' THEN 'DOWNLOADED' WHEN o_orderpriority < '4' THEN 'BLOCKED' WHEN o_orderpriority < '5' THEN 'FAILED' ELSE 'REUSED' END AS status, o_orderpriority LIKE '2%' AND o_totalprice > 250000 AS hit, o_totalprice < 30000 AS dup FROM orders),
+rm AS (SELECT ticker, count(*) AS n, count(CASE WHEN status = 'DOWNLOADED' AND NOT hit AND NOT dup THEN 1 END) AS saved, count(CASE WHEN hit OR status = 'REUSED' OR (status = 'DOWNLOADED' AND dup) THEN 1 END) AS reused, count(CASE WHEN status = 'FAILED' THEN 1 END) AS failed, count(CASE WHEN status = 'BLOCKED' THEN 1 END) AS blocked FROM rr GROUP BY 1)"""
+
+
+@query("report_metrics", f"WITH {REPORTS} SELECT ticker, CASE WHEN ticker % 2 = 0 THEN n + 7 ELSE n END AS raw_report_candidates, CASE WHEN ticker % 2 = 0 THEN n + 2 ELSE n END AS reports_discovered, saved + reused + failed AS reports_validated, saved AS reports_saved, reused AS reports_reused, failed AS reports_failed, blocked AS reports_blocked, saved + reused + failed + blocked = n AS reconciled FROM rm")
+def _(spark, folder):
+    o, p = table(spark, folder, "orders"), C("o_orderpriority")
+    r = o.select(C("o_custkey").alias("ticker"), F.when(p < "3", "DOWNLOADED").when(p < "4", "BLOCKED").when(p < "5", "FAILED").otherwise("REUSED").alias("status"), (p.startswith("2") & (C("o_totalprice") > 250000)).alias("cache_hit"), F.when(C("o_totalprice") < 30000, "x").alias("duplicate_of"))
+    # Every second company's scan found more than it recorded.
+    scanned = r.where("ticker % 2 = 0").groupBy("ticker").agg((F.count("*") + 2).alias("discovered"), (F.count("*") + 7).alias("raw_candidates"))
+    return su.report_metrics(r, ["ticker"], scanned)
+
+
+EVENT_ROWS = """
+ee AS (SELECT o_custkey AS ticker, o_orderkey AS k, substr(o_orderpriority, 1, 1) AS p, o_orderkey % 3 = 0 AS resumed, o_totalprice > 400000 AS warn, o_orderstatus = 'P' AS protected, o_totalprice > 50000 AS selected FROM orders),
+eo AS (SELECT *, CASE p WHEN '1' THEN 'generated_transcript' WHEN '2' THEN 'official_transcript' WHEN '3' THEN 'official_captions' END AS method, CASE WHEN p < '4' THEN 'TRANSCRIBED' WHEN p = '4' THEN CASE WHEN k % 2 = 0 THEN 'MEDIA_NOT_FOUND' ELSE 'CAPTCHA_REQUIRED' END ELSE 'NO_WEBCAST' END AS status FROM ee),
+ev AS (SELECT *, CASE WHEN resumed AND p = '1' THEN 'GENERATED_TRANSCRIPT_ALREADY_AVAILABLE' WHEN status = 'TRANSCRIBED' THEN CASE WHEN warn THEN 'TRANSCRIPT_QA_WARNING' WHEN resumed THEN 'EVENT_ALREADY_COMPLETE' WHEN p = '1' THEN 'GENERATED_TRANSCRIPT_SUCCESS' WHEN p = '2' THEN 'OFFICIAL_TRANSCRIPT_USED' ELSE 'OFFICIAL_CAPTIONS_USED' END
+  WHEN protected THEN 'EVENT_MEDIA_PROTECTED' ELSE status END AS o FROM eo),
+pr(o, n) AS (VALUES """ + ", ".join(f"('{o}', {i})" for i, o in enumerate(su.OUTCOME_PRECEDENCE)) + """)"""
+
+
+def event_rows(spark, folder):
+    p, k = F.substring("o_orderpriority", 1, 1), C("o_orderkey")
+    return table(spark, folder, "orders").select(
+        C("o_custkey").alias("ticker"), F.when(p < "4", "TRANSCRIBED").when(p == "4", F.when(k % 2 == 0, "MEDIA_NOT_FOUND").otherwise("CAPTCHA_REQUIRED")).otherwise("NO_WEBCAST").alias("status"), F.when(p == "1", "generated_transcript").when(p == "2", "official_transcript").when(p == "3", "official_captions").alias("method"),
+        (k % 3 == 0).alias("resumed"), F.when(C("o_totalprice") > 400000, "TRANSCRIPT_QA_WARNING").alias("qa_status"), F.when(C("o_orderstatus") == "P", "encrypted HLS").alias("protected_media_type"), (C("o_totalprice") > 50000).alias("selected"), F.when(p < "5", "https://cast.x.com").alias("webcast_url"),
+        (p == "2").alias("transcript_found"), F.lit(False).alias("captions_found"), F.lit(False).alias("transcript_saved"), (p == "3").alias("captions_saved"), (p == "1").alias("generated_created"), (k % 5 == 0).alias("media_attempted"),
+    )
+
+
+@query("event_metrics", f"""WITH {EVENT_ROWS}, m AS (SELECT ticker, count(*) AS events_discovered, count(CASE WHEN p < '5' THEN 1 END) AS events_with_webcasts, count(CASE WHEN selected THEN 1 END) AS events_processed, count(CASE WHEN selected AND resumed THEN 1 END) AS events_resumed,
+    count(CASE WHEN selected AND p = '2' THEN 1 END) AS official_transcript_discovered, count(CASE WHEN selected AND p = '3' THEN 1 END) AS official_captions_discovered, count(CASE WHEN selected AND o = 'OFFICIAL_TRANSCRIPT_USED' THEN 1 END) AS official_transcript_saved, count(CASE WHEN selected AND p = '3' THEN 1 END) AS official_captions_saved,
+    count(CASE WHEN selected AND resumed AND p = '2' THEN 1 END) AS official_transcript_reused, count(CASE WHEN selected AND resumed AND p = '3' THEN 1 END) AS official_captions_reused, count(CASE WHEN selected AND p = '1' AND NOT resumed THEN 1 END) AS generated_transcript_created,
+    count(CASE WHEN selected AND p = '1' AND resumed THEN 1 END) AS generated_transcript_reused, count(CASE WHEN selected AND p = '1' THEN 1 END) AS generated_transcript_available, count(CASE WHEN selected AND k % 5 = 0 THEN 1 END) AS media_attempts_used, count(CASE WHEN p = '5' THEN 1 END) AS events_no_replay,
+    count(CASE WHEN selected AND o = 'CAPTCHA_REQUIRED' THEN 1 END) AS registration_blocked, count(CASE WHEN selected AND o = 'EVENT_MEDIA_PROTECTED' THEN 1 END) AS media_blocked, count(CASE WHEN selected AND o = 'MEDIA_NOT_FOUND' THEN 1 END) AS media_not_found, count(CASE WHEN selected AND o = 'MEDIA_NOT_FOUND' THEN 1 END) AS media_failures,
+    CAST(0 AS BIGINT) AS transcription_failures, count(CASE WHEN selected AND o = 'MEDIA_NOT_FOUND' THEN 1 END) AS event_failures, arg_min(CASE WHEN selected THEN o END, CASE WHEN selected THEN n END) AS best, min(CASE WHEN selected THEN o END) AS other FROM ev LEFT JOIN pr USING (o) GROUP BY 1)
+    SELECT * EXCLUDE (best, other), greatest(0, official_transcript_saved - official_transcript_reused) AS official_transcript_saved_new, greatest(0, official_captions_saved - official_captions_reused) AS official_captions_saved_new, coalesce(best, other, 'EVENTS_FOUND') AS event_outcome FROM m""")
+def _(spark, folder):
+    return su.event_metrics(event_rows(spark, folder), ["ticker"])

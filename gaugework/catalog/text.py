@@ -110,6 +110,16 @@ def _(spark, folder):
     return claims(spark, folder).select("claim_id", "doc_id", "dimension", "topic", "direction", "certainty", F.size("magnitude").alias("magnitudes"), "start_char", "end_char")
 
 
+@query("claims_after_user_step", rf"""WITH {CLAIMS} SELECT dimension, count(DISTINCT doc_id || '|' || rtrim(lower(trim(regexp_replace(sentence, '\s+', ' ', 'g'))), '.!?')) AS claims FROM c1 WHERE dimension <> 'place' AND length(sentence) % 2 = 0 GROUP BY 1""")
+def _(spark, folder):
+    # A caller's own step between the rules and the removal of copies: it drops a dimension and every sentence of odd length.
+    def step(found):
+        return found.where((C("dimension") != "place") & (F.length("sentence") % 2 == 0))
+
+    c = ops.sentence_claims(ops.sentences(english(spark, folder), "doc_id"), PROSE)
+    return ops.drop_exact_duplicates(step(c), "doc_id").groupBy("dimension").agg(F.count("*").alias("claims"))
+
+
 @query("claim_evidence_check", rf"""WITH {CLAIMS} SELECT 'evidence differs from document' AS errors, count(DISTINCT c1.doc_id || '|' || dimension || '|' || rtrim(lower(trim(regexp_replace(sentence, '\s+', ' ', 'g'))), '.!?')) AS claims
     FROM c1 JOIN documents USING (doc_id) WHERE lang = 'de' GROUP BY 1""")
 def _(spark, folder):

@@ -396,8 +396,12 @@ def metric_unit(sentence: Column, magnitude: Column) -> Column:
     return F.when(F.size(magnitude) > 0, stated).otherwise(spoken)
 
 
-def subject(sentence: Column, dimension: Column, topic: Column, most: int | None = None) -> Column:
-    """Stable comparison subject of a claim; its words are all kept unless ``most`` limits them."""
+#: Fixed value: words of a claim that name its subject where no rule does. The name is a block in which statements meet; all words compare as tokens.
+SUBJECT_WORDS = 5
+
+
+def subject(sentence: Column, dimension: Column, topic: Column, most: int | None = SUBJECT_WORDS) -> Column:
+    """Stable comparison subject of a claim: a named metric or theme, else its first ``most`` telling words."""
     text = cleaned(sentence)
     named = F.coalesce(*[F.when(text.rlike(p), F.lit(s)) for p, s in R.SUBJECTS])
     tokens = F.filter(F.split(text, " "), lambda t: (F.length(t) > 1) & ~t.isin(*R.SUBJECT_STOPWORDS))

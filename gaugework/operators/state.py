@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions import rules as R
 from gaugework.functions import text as tx
-from gaugework.plans.joins import attach
+from gaugework.plans.joins import attach, look_up
 from gaugework.plans.settle import settle
 
 # Match thresholds, period kinds that hold actual results, and subjects worth a state of their own.
@@ -157,11 +157,19 @@ def classify_change(p: str = "p", c: str = "c") -> Column:
 Matcher = Callable[[DataFrame], DataFrame]
 
 
+def worth_mentioning(claim: str = "a") -> Column:
+    """Whether a claim without a counterpart states more than general praise: catalysts need a direction, a metric or a finished act."""
+    a = F.col(claim)
+    acted = F.lower(a["evidence_text"]).rlike(r"\b(?:launched|approved|closed|completed|acquired|revised|raised|lowered)\b")
+    return (a["dimension"] != "catalysts") | (F.coalesce(a["direction"], F.lit("unknown")) != "unknown") | a["metric"].isNotNull() | acted
+
+
 def compare_periods(claims: DataFrame, matcher: Matcher = match_claims, keep_new: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Changes between each ticker's previous and current period, and the claims behind each change.
 
     Opposite signs inside one period of a subject give one ``mixed`` change. Silence is never a removal.
-    ``matcher`` may be replaced; ``keep_new`` filters which unmatched current claims are worth a change.
+    ``matcher`` may be replaced; ``keep_new``, a test of the struct ``a`` that leads a subject's unmatched current claims, says
+    whether they are worth a change (:func:`worth_mentioning` by default).
     Returns (changes, members): members are (change_id, claim_id, side) rows.
     """
     # Described claims and judged pairs feed several branches each; the text rules run once.
@@ -191,10 +199,11 @@ def compare_periods(claims: DataFrame, matcher: Matcher = match_claims, keep_new
     open_claims = matched.where(F.col("previous_id").isNull() & ~F.col("incompatible")).select("claim_id").join(rest.where("side = 'current'"), "claim_id")
     # A replaced pair stays silent, unless the current claim states a removal outright.
     removals = judged.where(F.col("k.change_type").isin("rejected", "insufficient_evidence") & F.col("c.evidence_text").rlike(R.REMOVAL)).select(F.col("_c").alias("claim_id")).join(rest.where("side = 'current'"), "claim_id")
-    worth = open_claims if keep_new is None else open_claims.where(keep_new)
-    fresh = worth.unionByName(removals)
     done = tx.completed(F.col("evidence_text"))
-    anchor = fresh.groupBy("ticker", "base_key").agg(F.min_by(F.struct("claim_id", "dimension", "subject", done.alias("done")), F.struct((~done).alias("a"), "claim_id")).alias("a"))
+    lead = F.min_by(F.struct("claim_id", "dimension", "subject", "evidence_text", "direction", "metric", done.alias("done")), F.struct((~done).alias("a"), "claim_id")).alias("a")
+    worth = open_claims.groupBy("ticker", "base_key").agg(lead).where(worth_mentioning() if keep_new is None else keep_new).select("ticker", "base_key")
+    fresh = settle(look_up(open_claims, worth, ["ticker", "base_key"], "left_semi").unionByName(removals))
+    anchor = fresh.groupBy("ticker", "base_key").agg(lead)
     new_changes = anchor.select(
         change_id(F.col("ticker"), F.col("base_key"), F.lit("new"), F.col("a.claim_id")).alias("change_id"), "ticker", "base_key", F.col("a.dimension").alias("dimension"), F.col("a.subject").alias("subject"),
         F.when(F.col("a.dimension") == "risks", "new_risk").when(F.col("a.done"), "newly_occurred").otherwise("newly_mentioned").alias("change_type"),

@@ -222,3 +222,73 @@ def company_status(categories: DataFrame) -> DataFrame:
     some = F.max(F.col("category_status") == "SUCCESS")
     worst = F.min_by("category_status", rank)
     return categories.groupBy("ticker").agg(F.count("*").alias("categories"), F.when(some & (worst != "SUCCESS"), "PARTIAL").when(some, "SUCCESS").otherwise(worst).alias("company_status"))
+
+
+# --- reports and events ------------------------------------------------------------------------------------
+
+# Statuses of events and their groups, and the precedence of a company's outcome.
+PROTECTED_MEDIA = ("DRM_PROTECTED", "HLS_ENCRYPTED", "EVENT_MEDIA_PROTECTED")
+GATED_EVENTS = ("REGISTRATION_APPROVAL_REQUIRED", "REGISTRATION_REQUIRED", "AUTH_REQUIRED", "CAPTCHA_REQUIRED", "EMAIL_VERIFICATION_REQUIRED")
+SKIPPED_EVENTS = ("SKIPPED_OFFICIAL_TRANSCRIPT", "SKIPPED_OFFICIAL_CAPTIONS", "SKIPPED_COMPLETED_GENERATED", "MEDIA_ATTEMPT_LIMIT", "CANDIDATE_SCANNED")
+NO_REPLAY = ("NO_WEBCAST", "NO_REPLAY_AVAILABLE", "FUTURE_EVENT_NO_REPLAY")
+EXPECTED_OUTCOMES = ("GENERATED_TRANSCRIPT_ALREADY_AVAILABLE", "CACHED_EVENT_MEDIA_PROTECTED", "CANDIDATE_CACHED", "EVENT_MEDIA_PROTECTED", "REGISTRATION_DESTINATION_DISCOVERED", "REGISTRATION_NOT_REQUIRED", *SKIPPED_EVENTS, *GATED_EVENTS, *NO_REPLAY)
+OUTCOME_PRECEDENCE = (
+    "GENERATED_TRANSCRIPT_ALREADY_AVAILABLE", "CACHED_EVENT_MEDIA_PROTECTED", "GENERATED_TRANSCRIPT_SUCCESS", "OFFICIAL_TRANSCRIPT_USED", "OFFICIAL_CAPTIONS_USED", "TRANSCRIPT_QA_WARNING", "EVENT_ALREADY_COMPLETE",
+    "SKIPPED_OFFICIAL_TRANSCRIPT", "SKIPPED_OFFICIAL_CAPTIONS", "EVENT_MEDIA_PROTECTED", "IR_VERIFIED_ACCESS_BLOCKED", "MEDIA_NOT_FOUND", "REGISTRATION_APPROVAL_REQUIRED", "EMAIL_VERIFICATION_REQUIRED", "AUTH_REQUIRED", "CAPTCHA_REQUIRED",
+    "REGISTRATION_FAILED", "REGISTRATION_REQUIRED", "PLAYER_HTTP_403", "PLAYER_BLOCKED", "EVENT_DISCOVERY_FAILED",
+)
+
+
+def report_metrics(records: DataFrame, keys: Sequence[str], discovered: DataFrame | None = None) -> DataFrame:
+    """Reconciled report counts: found, validated, saved, reused, failed and blocked, and whether they add up.
+
+    ``records``: keys, status, cache_hit, duplicate_of; ``discovered``: keys, discovered, raw_candidates where a scan counted more than it recorded.
+    """
+    s, hit, dup = F.col("status"), F.coalesce("cache_hit", F.lit(False)), F.col("duplicate_of").isNotNull()
+    m = records.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.count_if((s == "DOWNLOADED") & ~hit & ~dup).alias("reports_saved"), F.count_if(hit | s.isin("CACHED", "REUSED") | ((s == "DOWNLOADED") & dup)).alias("reports_reused"),
+        F.count_if(s == "FAILED").alias("reports_failed"), F.count_if(s == "BLOCKED").alias("reports_blocked"),
+    )
+    seen = m.withColumns({"discovered": F.col("_n"), "raw_candidates": F.col("_n")}) if discovered is None else m.join(discovered.select(*keys, "discovered", "raw_candidates"), list(keys), "left")
+    found = F.coalesce("discovered", "_n")
+    validated = F.col("reports_saved") + F.col("reports_reused") + F.col("reports_failed")
+    out = seen.withColumns({"raw_report_candidates": F.coalesce("raw_candidates", found), "reports_discovered": found, "reports_validated": validated})
+    return out.withColumn("reconciled", F.col("reports_validated") + F.col("reports_blocked") == F.col("_n")).drop("_n", "discovered", "raw_candidates")
+
+
+def event_outcome() -> Column:
+    """Outcome of an event from status, method, resumed, qa_status and protected_media_type."""
+    status, method, resumed = F.col("status"), F.col("method"), F.coalesce("resumed", F.lit(False))
+    made = F.when(method == "generated_transcript", "GENERATED_TRANSCRIPT_SUCCESS").when(method == "official_transcript", "OFFICIAL_TRANSCRIPT_USED").when(method == "official_captions", "OFFICIAL_CAPTIONS_USED").otherwise("TRANSCRIPT_READY")
+    return (
+        F.when(status == "CACHED_EVENT_MEDIA_PROTECTED", status).when(resumed & (method == "generated_transcript"), "GENERATED_TRANSCRIPT_ALREADY_AVAILABLE")
+        .when(status == "TRANSCRIBED", F.when(F.col("qa_status") == "TRANSCRIPT_QA_WARNING", "TRANSCRIPT_QA_WARNING").when(resumed, "EVENT_ALREADY_COMPLETE").otherwise(made))
+        .when(F.col("protected_media_type").isNotNull() | status.isin(*PROTECTED_MEDIA), "EVENT_MEDIA_PROTECTED").otherwise(status)
+    )
+
+
+def event_metrics(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts of a company's events by what became of them, and the company's outcome by precedence.
+
+    ``events``: keys, status, method, resumed, qa_status, protected_media_type, selected, webcast_url, transcript_found, captions_found,
+    transcript_saved, captions_saved, generated_created, media_attempted. Discovery counts all events, the others the selected ones.
+    """
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    e = events.withColumns({"_o": event_outcome(), "_s": flag(F.col("selected")), "_r": flag(F.col("resumed"))})
+    o, chosen, resumed, method, status = F.col("_o"), F.col("_s"), F.col("_r"), F.col("method"), F.col("status")
+    n = lambda test: F.count_if(chosen & flag(test))
+    official, captions, generated = method == "official_transcript", method == "official_captions", method == "generated_transcript"
+    rank = F.array_position(F.array(*[F.lit(x) for x in OUTCOME_PRECEDENCE]), o)
+    m = e.groupBy(*keys).agg(
+        F.count("*").alias("events_discovered"), F.count_if(F.coalesce("webcast_url", F.lit("")) != "").alias("events_with_webcasts"), F.count_if(chosen).alias("events_processed"), n(resumed).alias("events_resumed"),
+        n(flag(F.col("transcript_found")) | (status == "SKIPPED_OFFICIAL_TRANSCRIPT") | flag(official)).alias("official_transcript_discovered"), n(flag(F.col("captions_found")) | (status == "SKIPPED_OFFICIAL_CAPTIONS") | flag(captions)).alias("official_captions_discovered"),
+        n(flag(F.col("transcript_saved")) | (o == "OFFICIAL_TRANSCRIPT_USED")).alias("official_transcript_saved"), n(flag(F.col("captions_saved")) | (o == "OFFICIAL_CAPTIONS_USED")).alias("official_captions_saved"),
+        n(resumed & official).alias("official_transcript_reused"), n(resumed & captions).alias("official_captions_reused"), n(flag(F.col("generated_created")) & ~resumed).alias("generated_transcript_created"), n(resumed & generated).alias("generated_transcript_reused"),
+        n(generated & (flag(F.col("generated_created")) | resumed)).alias("generated_transcript_available"), n(F.col("media_attempted")).alias("media_attempts_used"), F.count_if(flag(status.isin(*NO_REPLAY))).alias("events_no_replay"),
+        n(o.isin(*GATED_EVENTS)).alias("registration_blocked"), n(o.isin("EVENT_MEDIA_PROTECTED", "CACHED_EVENT_MEDIA_PROTECTED")).alias("media_blocked"), n(o == "MEDIA_NOT_FOUND").alias("media_not_found"),
+        n(o.isin("MEDIA_NOT_FOUND", "PLAYER_HTTP_403", "PLAYER_BLOCKED")).alias("media_failures"), n(o == "TRANSCRIPTION_FAILED").alias("transcription_failures"), n(~o.isin(*EXPECTED_OUTCOMES) & (status != "TRANSCRIBED")).alias("event_failures"),
+        F.min_by(o, F.when(chosen & (rank > 0), rank)).alias("_best"), F.min(F.when(chosen & ~o.isin("DISCOVERED", "SITE_BLOCKED"), o)).alias("_other"),
+    )
+    late = lambda kind: F.greatest(F.lit(0), F.col(f"{kind}_saved") - F.col(f"{kind}_reused"))
+    out = m.withColumns({"official_transcript_saved_new": late("official_transcript"), "official_captions_saved_new": late("official_captions"), "event_outcome": F.coalesce("_best", "_other", F.lit("EVENTS_FOUND"))})
+    return out.drop("_best", "_other")
