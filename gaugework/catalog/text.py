@@ -131,7 +131,23 @@ def _(spark, folder):
     return ops.evidence_errors(shifted, docs, "doc_id").where("errors <> ''").groupBy("errors").agg(F.count("*").alias("claims"))
 
 
-@query("document_chunks")
+# Units with their offsets from pieces that cover the whole text, then greedy windows by recursion over the first unit of each.
+CHUNKS = r"""pc AS (SELECT doc_id, text, regexp_extract_all(text, '(?s)[^.!?\n]+(?:[.!?]+(?:\s|$)|$)|.') AS ps FROM documents WHERE text IS NOT NULL AND text <> ''),
+px AS (SELECT doc_id, text, len(ps) AS n, unnest(ps) AS piece, unnest(range(1, len(ps) + 1)) AS i FROM pc),
+py AS (SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off, trim(piece, ' ' || chr(9) || chr(10) || chr(13)) AS v, length(piece) - length(ltrim(piece, ' ' || chr(9) || chr(10) || chr(13))) AS lead
+  FROM px),
+un AS (SELECT doc_id, off + lead AS a, off + lead + length(v) AS b FROM py WHERE v <> '' AND (regexp_matches(piece, '^[^.!?\n]+[.!?]+\s?$') OR (i = n AND regexp_matches(piece, '^[^.!?\n]+$')))),
+ar AS (SELECT pc.doc_id, length(text) AS size, coalesce(any_value(aa), [0]) AS aa, coalesce(any_value(bb), [length(text)]) AS bb FROM pc LEFT JOIN (SELECT doc_id, list(CAST(a AS BIGINT) ORDER BY a) AS aa, list(CAST(b AS BIGINT) ORDER BY a) AS bb FROM un GROUP BY 1) l USING (doc_id) GROUP BY pc.doc_id, text),
+ch AS (
+  SELECT doc_id, 0 AS chunk_no, 1 AS first, greatest(2, len(list_filter(bb, lambda e: e - aa[1] <= 1800)) + 1) AS nxt FROM ar
+  UNION ALL
+  SELECT doc_id, chunk_no, first, greatest(first + 1, len(list_filter(bb, lambda e: e - aa[first] <= 1800)) + 1) AS nxt FROM (
+    SELECT ar.doc_id, chunk_no + 1 AS chunk_no, aa, bb, greatest(first + 1, least(nxt, len(list_filter(aa, lambda x: x < greatest(aa[first], bb[nxt - 1] - 240))) + 1)) AS first FROM ch JOIN ar USING (doc_id) WHERE bb[nxt - 1] < size
+  ) WHERE first <= len(aa)
+)"""
+
+
+@query("document_chunks", f"WITH RECURSIVE {CHUNKS} SELECT ch.doc_id, chunk_no, aa[first] AS start_char, bb[nxt - 1] AS end_char FROM ch JOIN ar USING (doc_id)")
 def _(spark, folder):
     return ops.chunks(english(spark, folder), "doc_id").select("doc_id", "chunk_no", "start_char", "end_char")
 
@@ -287,7 +303,17 @@ def _(spark, folder):
     return ops.section_link_scores(p, "news").select("page_id", "score")
 
 
-@query("entry_page_scores")
+ENTRY = rf"""{URLS}, ep AS (SELECT page_id, u.url, h, p AS path, lower(html) AS body, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, replace(regexp_extract(h, '([^.]+)\.[^.]+$', 1), '-', '') AS domain,
+    list_filter(regexp_extract_all(lower(regexp_extract(u.url, '//(?:[a-z]+\.)?([a-z-]+)\.example', 1)), '[a-z0-9]+'), lambda t: t NOT IN ('inc', 'incorporated', 'corporation', 'corp', 'plc', 'ltd', 'limited', 'the', 'company', 'holdings', 'group', 'co')) AS tok FROM u JOIN pages USING (page_id)),
+  et AS (SELECT *, len(tok) > 0 AND len(list_filter(tok, lambda t: contains(body, t))) = len(tok) AS present, CASE WHEN len(tok) = 0 THEN contains(title, '') ELSE len(list_filter(tok, lambda t: contains(title, t))) = len(tok) END AS titled, contains(title, 'investors') OR contains(title, 'investor relations') AS invest,
+    regexp_matches(h, '^ir\.|investor') OR contains(path, 'investor') AS irurl, len(tok) > 0 AND (list_contains(tok, domain) OR domain = array_to_string(tok, '')) AS branded, regexp_matches(body, '\bex\b') AS tick,
+    regexp_matches(h, '(?:^|\.)(?:{"|".join(d.replace(".", chr(92) + ".") for d in R.BLOCKED_DOMAINS)})$') AS blocked, len(list_filter([{", ".join(f"'{x}'" for x in R.IR_SIGNALS)}], lambda x: contains(body, x))) AS sig FROM ep),
+  es AS (SELECT *, 25 * present::INT + 20 * titled::INT + 20 * invest::INT + 10 * irurl::INT + 15 * branded::INT + 5 * tick::INT + least(15, 3 * sig) AS base FROM et)"""
+
+
+@query("entry_page_scores", f"""WITH {ENTRY} SELECT page_id, CASE WHEN blocked THEN -100 WHEN NOT present THEN 0 ELSE least(base, CASE WHEN sig < 2 THEN 50 ELSE 999 END, CASE WHEN branded THEN 999 ELSE 64 END, CASE WHEN regexp_matches(url, '(?i)news-release-details|news/details|stock-quote|investor-faq') THEN 64 ELSE 999 END) END AS score,
+    CASE WHEN blocked THEN 'rejected third-party information domain' WHEN NOT present THEN 'company identity not confirmed in content' ELSE array_to_string(list_filter(['+25 company identity in content', CASE WHEN titled THEN '+20 company in title' END, CASE WHEN invest THEN '+20 investor page title' END, CASE WHEN irurl THEN '+10 IR URL pattern' END,
+      CASE WHEN branded THEN '+15 company-branded hostname' END, CASE WHEN tick THEN '+5 ticker in content' END], lambda x: x IS NOT NULL), '; ') END AS reasons FROM es""")
 def _(spark, folder):
     p = table(spark, folder, "pages").select("page_id", "url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), C("html").alias("body"), F.initcap(F.regexp_extract("url", r"//(?:[a-z]+\.)?([a-z-]+)\.example", 1)).alias("company"), F.lit("EX").alias("ticker"), F.lit(False).alias("endorsed"))
     return ops.entry_page_scores(p).select("page_id", "score", "reasons")
