@@ -165,9 +165,16 @@ def _(spark, folder):
     return ops.visible_text(table(spark, folder, "pages"), "page_id").select("page_id", F.length("text").alias("characters"), F.sha2("text", 256).alias("hash"))
 
 
-@query("page_table_rows")
-def _(spark, folder):
-    rows = table(spark, folder, "pages").withColumn("html", F.concat(C("html"), F.lit("<table><tr><td>Total of page</td><td>1,250</td><td>7.5%</td></tr></table>")))
+@query("page_table_rows", """SELECT page_id, 'Total of page' AS label, CAST(CAST(page_id * 1000 + 250 AS DOUBLE) AS VARCHAR) || ',' || CAST((page_id % 100) / 2.0 AS VARCHAR) || CASE WHEN page_id % 3 = 0 THEN ',-4.0' ELSE '' END AS numbers FROM pages
+    UNION ALL SELECT page_id, 'TOTAL &', '1.0' FROM pages WHERE page_id % 2 = 0""")
+def _(spark, folder):
+    # Every page gets a table of its own numbers: the labelled row, one with an entity in its label on even pages, and rows that do not count.
+    i = C("page_id")
+    cell = lambda *parts: F.concat(F.lit("<td>"), *parts, F.lit("</td>"))
+    last = F.when(i % 3 == 0, F.lit("-4")).otherwise(F.lit("n/a"))
+    own = F.concat(F.lit("<table><tr><th>Name</th><th>n</th></tr><tr>"), cell(F.lit("Total <b>of</b>\n page")), cell(F.format_number(i * 1000 + 250, 0)), cell((i % 100 / 2).cast("string"), F.lit("%")), cell(last), F.lit("</tr><tr>"), cell(F.lit("Subtotal")), cell(F.lit("5")), F.lit("</tr>"),
+                   F.when(i % 2 == 0, "<tr><td>TOTAL &amp;</td><td>$1</td></tr>").otherwise(""), F.lit("</table>"))
+    rows = table(spark, folder, "pages").withColumn("html", F.concat(C("html"), own))
     return ops.table_row_numbers(rows, "page_id", "total").select("page_id", "label", F.array_join(F.transform("numbers", lambda n: n.cast("string")), ",").alias("numbers"))
 
 
@@ -319,7 +326,16 @@ def _(spark, folder):
     return ops.entry_page_scores(p).select("page_id", "score", "reasons")
 
 
-@query("search_result_scores")
+FOLDED = "regexp_replace(lower({}), '[^a-z0-9]+', '', 'g')"
+RESULTS = rf"""{URLS}, sp AS (SELECT page_id, u.url, html AS body, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, h, {FOLDED.format("regexp_extract(h, '([^.]+)[.][^.]+$', 1)")} AS domain, regexp_extract(h, '^([^.]+)\.[^.]+\.[^.]+$', 1) AS sub FROM u JOIN pages USING (page_id)),
+sq AS (SELECT *, CASE WHEN domain = 'example' THEN 2 WHEN starts_with(domain, 'example') AND substr(domain, 8) IN ('semi', 'semiconductor', 'tech', 'technology', 'networks', 'medicines', 'holdings') THEN 1 ELSE 0 END AS brand, contains({FOLDED.format("title || ' Investor relations'")}, 'example') AS company,
+  regexp_matches(title, '(?i)investor') AS irt, regexp_matches(title || ' ' || url, '(?i)investor') OR sub IN ('ir', 'investor', 'investors') AS ir, regexp_matches(title || ' Investor relations', '(?i)\bEX\b') AS tk, contains({FOLDED.format("title")}, 'example') AND contains({FOLDED.format("body")}, 'example') AS lp,
+  regexp_matches(body, '(?i)\bEX\b') AS tp, regexp_matches(title, '(?i)investor') AND regexp_matches(body, '(?i)financial|sec filings|annual report|stock|earnings') AS ip, regexp_matches(h, '(?:^|\.)(?:{"|".join(d.replace(".", chr(92) + ".") for d in R.BLOCKED_DOMAINS)})$') AS blocked FROM sp),
+sr AS (SELECT *, CASE brand WHEN 2 THEN 20 WHEN 1 THEN 10 ELSE 0 END + 40 * lp::INT + 20 * tp::INT + 20 * ip::INT + 10 * (sub IN ('ir', 'investor', 'investors'))::INT AS owned FROM sq)"""
+
+
+@query("search_result_scores", f"""WITH {RESULTS} SELECT page_id, CASE WHEN blocked THEN -1000 WHEN brand = 0 AND NOT (company AND ir) THEN -100 ELSE 25 * brand + 35 * company::INT + 15 * tk::INT + 20 * ir::INT + 10 * irt::INT END AS relevance,
+    CASE WHEN blocked THEN 0 WHEN lp AND ip AND (tp OR brand > 0) THEN least(owned, 100) ELSE least(owned, 74) END AS ownership FROM sr""")
 def _(spark, folder):
     p = table(spark, folder, "pages").select("page_id", "url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.lit("Investor relations").alias("snippet"), C("html").alias("body"), F.lit("Example Inc.").alias("company"), F.lit("EX").alias("ticker"))
     return ops.search_result_scores(p).select("page_id", "relevance", "ownership")
