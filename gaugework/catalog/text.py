@@ -160,7 +160,16 @@ def _(spark, folder):
     return ops.overlapping_spans(whole, ops.sentences(docs, "doc_id"), "doc_id", [F.count("*").alias("sentences")]).select("doc_id", "sentences")
 
 
-@query("visible_page_text")
+# Hidden elements go with their content (to the end of a page that is cut off inside one), block tags and breaks become line feeds, other tags vanish.
+_HIDDEN = "regexp_replace(html, '(?s)<!--.*?-->', '', 'g')"
+for _tag in ("script", "style", "nav", "footer", "header", "noscript", "template"):
+    _HIDDEN = f"regexp_replace({_HIDDEN}, '(?s)<{_tag}\\b.*?(?:</{_tag}>|$)', '', 'g')"
+VISIBLE = rf"""vb AS (SELECT page_id, regexp_replace(regexp_replace({_HIDDEN}, '<(?:br|/?(?:p|div|li|h1|h2|h3|h4|tr|article|section|table|ul))(?:\s[^>]*)?>', chr(10), 'g'), '<[^>]*(?:>|$)', '', 'g') AS t FROM pages),
+vd AS (SELECT page_id, replace(replace(replace(replace(regexp_replace(t, '&amp$', '&'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS t FROM vb),
+vt AS (SELECT page_id, trim(regexp_replace(regexp_replace(t, '[ \t\r\f\v]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS t FROM vd)"""
+
+
+@query("visible_page_text", f"WITH {VISIBLE} SELECT page_id, length(t) AS characters, sha256(t) AS hash FROM vt")
 def _(spark, folder):
     return ops.visible_text(table(spark, folder, "pages"), "page_id").select("page_id", F.length("text").alias("characters"), F.sha2("text", 256).alias("hash"))
 
