@@ -18,9 +18,17 @@ SIMILARITY = 0.8
 WORDS64, BLOCKS = 4, 16
 #: Lines of at least FROM words are hashed by their words, lines of at most UPTO words by their character pairs, those between by both.
 FROM, UPTO = 11, 14
-WORD_BLOCK, PAIR_BLOCK = 24, 16
-#: Bits of the first 128 in which a candidate pair may differ; unrelated lines differ in about 64, give or take 6.
-FAR = 54
+WORD_BLOCK, PAIR_BLOCK = 20, 16
+#: Bits of the first 128 in which a candidate pair may differ. Lines whose features have a cosine of 0.7 or more differ in about 32, give or take 5; unrelated ones in about 64.
+FAR = 40
+#: Of the 64 bits that travel with a block, and that it has no part in.
+FAR_64 = 20
+#: Bytes of a word that tells lines apart.
+TELLING = 5
+#: Features that are counted in bit planes; longer lines are counted one by one.
+PLANES = 255
+#: Rows of a bucket that are compared each with each at once.
+SMALL = 64
 #: Lines of one side of a tile.
 TILE = 256
 _PLAIN = bytes(0x0A if b == 0x0A else 0x30 if 0x30 <= b <= 0x39 else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -46,21 +54,27 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     a feature is a carry through the planes. Lines are ordered by their number of features, so a round touches only those not done.
     """
     out = np.zeros((len(counts), WORDS64), dtype=np.uint64)
-    order = np.argsort(-counts, kind="stable")
-    sizes = counts[order]
-    starts = (np.cumsum(counts) - counts)[order]
+    starts = np.cumsum(counts) - counts
+    for i in np.flatnonzero(counts > PLANES).tolist():
+        mine = hashes[starts[i] : starts[i] + counts[i]]
+        for w in range(WORDS64):
+            votes = sum(np.unpackbits(mix(mine[a : a + (1 << 14)] ^ _SEEDS[w]).view(np.uint8)).reshape(-1, 64).sum(axis=0) for a in range(0, len(mine), 1 << 14))
+            out[i, w] = np.packbits(votes > counts[i] // 2).view(np.uint64)[0]
+    some = np.flatnonzero(counts <= PLANES)
+    order = some[np.argsort(-counts[some], kind="stable")]
+    sizes, starts = counts[order], starts[order]
     planes: list[np.ndarray] = []
     for step in range(int(sizes[0]) if len(sizes) else 0):
         active = int(np.searchsorted(-sizes, -step, side="left"))
         carry = mix(hashes[starts[:active] + step][:, None] ^ _SEEDS)
         for k in range(64):
             if k == len(planes):
-                planes.append(np.zeros((len(counts), WORDS64), dtype=np.uint64))
+                planes.append(np.zeros((len(order), WORDS64), dtype=np.uint64))
             plane = planes[k][:active]
             carry, planes[k][:active] = plane & carry, plane ^ carry
             if not carry.any():
                 break
-    above, equal = np.zeros_like(out), np.full_like(out, ~np.uint64(0))
+    above, equal = np.zeros((len(order), WORDS64), dtype=np.uint64), np.full((len(order), WORDS64), ~np.uint64(0))
     half = (sizes // 2).astype(np.uint64)
     for k in range(len(planes) - 1, -1, -1):
         bit = (np.uint64(0) - (half >> np.uint64(k) & np.uint64(1)))[:, None]
@@ -71,35 +85,33 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def pair_features(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of the pairs of neighbouring bytes of each line between two blanks, each pair with how often it stood before."""
+    """(hashes, counts) of the pairs of neighbouring bytes of each line between two blanks, told apart by the number of the word they are in.
+
+    The number keeps lines of one language apart, which share most of their pairs.
+    """
     joined = np.frombuffer(b"".join(b" " + line + b" " for line in lines), dtype=np.uint8).astype(np.uint64)
     lengths = np.array([len(line) + 2 for line in lines], dtype=np.int64)
     owner = np.repeat(np.arange(len(lines)), lengths)
+    blanks = np.cumsum(joined == 0x20)
+    word = (blanks - blanks[np.cumsum(lengths) - lengths][owner]).astype(np.uint64)
     inside = np.flatnonzero(owner[1:] == owner[:-1])
-    feature = mix(joined[inside] << np.uint64(8) | joined[inside + 1])
-    return numbered_features(feature, lengths - 1)
-
-
-def numbered_features(feature: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features told apart by the number of equal ones before them in the line, so that repeats count."""
-    owner = np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((feature, owner))
-    value, who = feature[order], owner[order]
-    new = np.ones(len(value), dtype=bool)
-    new[1:] = (value[1:] != value[:-1]) | (who[1:] != who[:-1])
-    at = np.flatnonzero(new)
-    before = (np.arange(len(value)) - np.repeat(at, np.diff(np.append(at, len(value))))).astype(np.uint64)
-    return mix(value + before * np.uint64(0xD1B54A32D192ED03)), counts
+    return mix(word[inside] << np.uint64(16) | joined[inside] << np.uint64(8) | joined[inside + 1]), lengths - 1
 
 
 def sim_hashes(lines: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """(words, pairs) SimHashes of normalised lines that all have a word: 2 * WORDS64 columns, zeros for a kind that the line has not."""
+    """(words, pairs) SimHashes of normalised lines that all have a word: 2 * WORDS64 columns, zeros for a kind that the line has not.
+
+    Short words stand in every line of a language, so only those of ``TELLING`` bytes count where a line has six of them.
+    """
     out = np.zeros((len(lines), 2 * WORDS64), dtype=np.uint64)
     long = np.flatnonzero(counts >= FROM)
     if len(long):
-        starts = np.cumsum(counts) - counts
-        picked = np.concatenate([hashes[a : a + n] for a, n in zip(starts[long].tolist(), counts[long].tolist(), strict=True)]) if len(long) < len(lines) else hashes
-        out[long, :WORDS64] = majority(*numbered_features(picked, counts[long]))
+        blanks = np.flatnonzero(np.frombuffer(b" ".join(lines) + b" ", dtype=np.uint8) == 0x20)
+        owner = np.repeat(np.arange(len(lines)), counts)
+        telling = np.diff(blanks, prepend=-1) > TELLING
+        few = np.bincount(owner[telling], minlength=len(lines)) < 6
+        picked = (telling | few[owner]) & (counts >= FROM)[owner]
+        out[long, :WORDS64] = majority(hashes[picked], np.bincount(owner[picked], minlength=len(lines))[long])
     short = np.flatnonzero(counts <= UPTO)
     if len(short):
         out[short, WORDS64:] = majority(*pair_features([lines[i] for i in short.tolist()]))
@@ -118,7 +130,7 @@ _SIMS = [f"s{i}" for i in range(2 * WORDS64)]
 def _line_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Place and key of every line with a word; length, words and SimHashes where the key comes first in a range of texts, else NULL."""
     for part in parts:
-        for lo, hi, texts in text_ranges(part.column(2)):
+        for lo, hi, texts in text_ranges(part.column(2), 1 << 21):
             split = [normalised(t).split(b"\n") for t in texts]
             flat = [line for s in split for line in s]
             hashes, words = word_hashes(flat)
@@ -149,7 +161,7 @@ def _line_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _buckets(similarity: float) -> Column:
-    """Pigeonhole keys of a line: kind, block, the block's bits and a class of the length, hashed to 64 bits.
+    """Pigeonhole keys of a line, each with 64 bits of the SimHash that the block has no part in: kind, block, the block's bits and a class of the length, hashed.
 
     Classes are as wide as two steps of ``similarity`` and shifted from block to block, so lines of similar length share most of them.
     """
@@ -162,35 +174,105 @@ def _buckets(similarity: float) -> Column:
             bits = F.shiftrightunsigned(here, shift)
             if shift + width > 64:
                 bits = bits.bitwiseOR(F.shiftleft(after, 64 - shift))
-            out.append(F.xxhash64(F.lit(kind * BLOCKS + j), bits.bitwiseAND(F.lit((1 << width) - 1)), F.floor(span + j / BLOCKS)))
+            out.append(F.struct(F.xxhash64(F.lit(kind * BLOCKS + j), bits.bitwiseAND(F.lit((1 << width) - 1)), F.floor(span + j / BLOCKS)).alias("bucket"), F.col(_SIMS[kind * WORDS64 + (j // 4 + 2) % WORDS64]).alias("mark")))
         return F.array(*out)
 
-    none = F.array().cast("array<bigint>")
+    none = F.array().cast("array<struct<bucket:bigint,mark:bigint>>")
     return F.concat(F.when(F.col("words") >= FROM, keys(0, WORD_BLOCK)).otherwise(none), F.when(F.col("words") <= UPTO, keys(1, PAIR_BLOCK)).otherwise(none))
 
 
-def _shared_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, hub, item) of buckets with several items, from rows sorted by bucket and item; only a bucket's smallest item is held."""
-    bucket = hub = None
-    alone = False
+class _Meeting:
+    """Members of one bucket as they come: each joins the first leader whose mark is near, or leads on its own.
+
+    Nothing leaves before two members are near; until then every member is a leader, so all pairs have been compared and only their
+    marks are held. From then on all members leave, each with its leader.
+    """
+
+    def __init__(self, bucket: int):
+        self.bucket, self.near = bucket, False
+        self.items, self.marks = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+
+    def add(self, items: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hubs, items) that leave now."""
+        hubs = np.full(len(items), -1, dtype=np.int64)
+        known, new = len(self.items), []
+        for at in range(0, len(items), 4096):
+            part = slice(at, at + 4096)
+            for leader, mark in zip(self.items.tolist(), self.marks, strict=True):
+                if not (open_ := np.flatnonzero(hubs[part] < 0)).size:
+                    break
+                hit = open_[np.bitwise_count(marks[part][open_] ^ mark) <= FAR_64]
+                hubs[at + hit] = leader
+            for i in np.flatnonzero(hubs[part] < 0).tolist():
+                i += at
+                if hubs[i] >= 0:
+                    continue
+                rest = i + 1 + np.flatnonzero(hubs[i + 1 : at + 4096] < 0)
+                hubs[rest[np.bitwise_count(marks[rest] ^ marks[i]) <= FAR_64]] = items[i]
+                hubs[i] = items[i]
+                new.append(i)
+            self.items, self.marks = np.append(self.items, items[new]), np.append(self.marks, marks[new])
+            new = []
+        if not self.near and len(self.items) - known < len(items):
+            self.near = True
+            return np.concatenate((self.items[:known], hubs)), np.concatenate((self.items[:known], items))
+        return (hubs, items) if self.near else (hubs[:0], items[:0])
+
+
+def met_in_small(b: np.ndarray, i: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, hub, item) of the members with a near one in their bucket; the hub is the first near one, or the member itself.
+
+    Rows are sorted by bucket. All buckets are compared at once, rows one apart first, then two and so on to the longest bucket.
+    """
+    first = np.full(len(b), -1, dtype=np.int64)
+    step, alike = 1, np.flatnonzero(b[1:] == b[:-1])
+    while len(alike):
+        near = alike[np.bitwise_count(m[alike] ^ m[alike + step]) <= FAR_64]
+        # Steps grow, so a later step finds an earlier partner.
+        first[near + step] = near
+        first[near] = np.where(first[near] < 0, near, first[near])
+        step += 1
+        alike = alike[alike + step < len(b)]
+        alike = alike[b[alike] == b[alike + step]]
+    rows = np.flatnonzero(first >= 0)
+    return b[rows], i[first[rows]], i[rows]
+
+
+def _meet_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, hub, item) of members near to another of their bucket, from rows (bucket, item, mark) sorted by bucket and item.
+
+    The last bucket of a batch waits for the next; one of more than ``SMALL`` rows goes on as a ``_Meeting``.
+    """
+    names = ["bucket", "hub", "item"]
+    wait = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))
+    large: _Meeting | None = None
+
+    def batch(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names)
+
     for part in parts:
-        b, i = part.column(0).to_numpy(), part.column(1).to_numpy()
+        b, i, m = part.column(0).to_numpy(), part.column(1).to_numpy(), part.column(2).to_numpy().view(np.uint64)
+        if large is not None:
+            same = int(np.searchsorted(b, large.bucket, side="right"))
+            hubs, items = large.add(i[:same], m[:same])
+            yield batch(np.full(len(items), large.bucket), hubs, items)
+            b, i, m = b[same:], i[same:], m[same:]
+            large = large if not len(b) else None
         if not len(b):
             continue
-        heads = np.flatnonzero(np.concatenate(([bucket is None or b[0] != bucket], b[1:] != b[:-1])))
-        group = np.cumsum(np.bincount(heads, minlength=len(b))) - 1  # -1: goes on from the last batch
-        hubs = np.append(i[heads], hub if hub is not None else 0)[group]
-        sizes = np.bincount(group + 1, minlength=len(heads) + 1)
-        several = sizes > 1
-        several[0] = True
-        rows = several[group + 1]
-        out_b, out_h, out_i = b[rows], hubs[rows], i[rows]
-        if alone and sizes[0]:  # the held item turns out to have company
-            out_b, out_h, out_i = np.append(bucket, out_b), np.append(hub, out_h), np.append(hub, out_i)
-        last_size = sizes[-1] if len(heads) else sizes[0] + 1
-        alone = bool(last_size == 1)
-        bucket, hub = b[-1], hubs[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (out_b, out_h, out_i)], ["bucket", "hub", "item"])
+        b, i, m = (np.concatenate(c) for c in zip(wait, (b, i, m), strict=True))
+        heads = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
+        ends = np.append(heads[1:], len(b))
+        small = np.repeat(ends - heads <= SMALL, ends - heads)
+        small[heads[-1] :] = False
+        yield batch(*met_in_small(b[small], i[small], m[small]))
+        for start, end in ((heads[k], ends[k]) for k in np.flatnonzero(ends - heads > SMALL).tolist()):
+            large = _Meeting(int(b[start]))
+            hubs, items = large.add(i[start:end], m[start:end])
+            yield batch(np.full(len(items), b[start]), hubs, items)
+        last = slice(int(heads[-1]), None)
+        large, wait = (large, tuple(c[:0] for c in (b, i, m))) if ends[-1] - heads[-1] > SMALL else (None, (b[last], i[last], m[last]))
+    yield batch(*met_in_small(*wait))
 
 
 def _text_pass(row_bits: bytes, line_bits: bytes):
@@ -281,33 +363,50 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a[start : len(a) - end], b[start : len(b) - end], most) <= most
 
 
-def _verify_pass(similarity: float):
+def _trim_pass(similarity: float):
+    """Pairs of lines without their common ends, which never changes the edit distance, and the most edits allowed.
+
+    Lines whose quick bound is within the allowed edits are similar for certain and come out empty; hopeless lengths stay out.
+    """
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            keep = [similar(x, y, similarity) for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-            part = part.filter(pa.array(keep, type=pa.bool_()))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"])
+            rows, left, right, allowed = [], [], [], []
+            for row, (x, y) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
+                most = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
+                if abs(len(x) - len(y)) > most:
+                    continue
+                if edits_at_most(x, y) <= most:
+                    x = y = ""
+                start, end = common_ends(x, y)
+                rows.append(row)
+                left.append(x[start : len(x) - end])
+                right.append(y[start : len(y) - end])
+                allowed.append(most)
+            at = pa.array(rows, type=pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(left, type=pa.string()), pa.array(right, type=pa.string()), pa.array(allowed, type=pa.int32())], ["a", "b", "la", "lb", "most"])
 
     return run
 
 
-def links_between(items: list[int], roots: list[int], blocks: list[int], lines: list[str], similarity: float) -> tuple[list[int], list[int]]:
-    """Spanning links between different groups of one tile: lines of one block, or of two blocks against each other.
+_MARKS = [_SIMS[k * WORDS64 + w] for k in (0, 1) for w in (0, 1)]
 
-    Pairs whose lengths or SimHashes are too far apart never reach the edit distance, nor do pairs of groups already joined.
-    """
-    raw = [line.encode("utf-8", "surrogatepass") for line in lines]
-    hashes, counts = word_hashes(raw)
-    sims = sim_hashes(raw, hashes, counts)
-    sizes, root, block = np.array([len(x) for x in lines]), np.array(roots), np.array(blocks)
-    close = np.abs(sizes[:, None] - sizes[None, :]) <= np.maximum(sizes[:, None], sizes[None, :]) * (1 - similarity) + 1e-9
-    close &= root[:, None] != root[None, :]
-    if block.min() != block.max():
-        close &= block[:, None] != block[None, :]
+
+def close_pairs(roots: np.ndarray, blocks: np.ndarray, lengths: np.ndarray, words: np.ndarray, marks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i < j) of one tile in different groups, and different blocks if it has two, whose lengths and marks are near."""
+    close = np.abs(lengths[:, None] - lengths[None, :]) <= np.maximum(lengths[:, None], lengths[None, :]) * (1 - similarity) + 1e-9
+    close &= roots[:, None] != roots[None, :]
+    if blocks.min() != blocks.max():
+        close &= blocks[:, None] != blocks[None, :]
     near = np.zeros_like(close)
-    for kind, has in ((0, counts >= FROM), (1, counts <= UPTO)):
-        apart = sum(np.bitwise_count(sims[:, None, kind * WORDS64 + w] ^ sims[None, :, kind * WORDS64 + w]).astype(np.int32) for w in (0, 1))
+    for kind, has in ((0, words >= FROM), (1, words <= UPTO)):
+        apart = np.bitwise_count(marks[:, None, 2 * kind : 2 * kind + 2] ^ marks[None, :, 2 * kind : 2 * kind + 2]).sum(axis=2, dtype=np.int64)
         near |= (apart <= FAR) & has[:, None] & has[None, :]
+    return np.nonzero(np.triu(close & near, 1))
+
+
+def links_between(items: list[int], roots: list[int], pairs: tuple[np.ndarray, np.ndarray], lines: list[str], similarity: float) -> tuple[list[int], list[int]]:
+    """Spanning links between different groups of one tile; pairs of groups already joined never reach the edit distance."""
     up: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -316,7 +415,7 @@ def links_between(items: list[int], roots: list[int], blocks: list[int], lines:
         return x
 
     a, b = [], []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(close & near, 1))), strict=True):
+    for i, j in zip(*(x.tolist() for x in pairs), strict=True):
         x, y = top(roots[i]), top(roots[j])
         if x != y and similar(lines[i], lines[j], similarity):
             up[max(x, y)] = min(x, y)
@@ -326,24 +425,28 @@ def links_between(items: list[int], roots: list[int], blocks: list[int], lines:
 
 
 def _tile_pass(similarity: float):
-    """Rows (bucket, p, q, block, item, root, line) sorted by tile; one tile is held at a time."""
+    """Links (a, b) between groups from rows (bucket, p, q, block, item, root, length, words, marks, line) sorted by tile; one tile is held at a time."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, held = None, ([], [], [], [])
+        tile, held = None, []
 
         def found() -> pa.RecordBatch:
-            a, b = links_between(*held, similarity) if len(set(held[1])) > 1 else ([], [])
+            numbers = np.array([row[:5] for row in held], dtype=np.int64)
+            marks = np.array([row[5:9] for row in held], dtype=np.int64).view(np.uint64)
+            block, item, root, length, words = numbers.T
+            pairs = close_pairs(root, block, length, words, marks, similarity) if root.min() != root.max() else (block[:0], block[:0])
+            a, b = links_between(item.tolist(), root.tolist(), pairs, [row[9] for row in held], similarity)
             return pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], ["a", "b"])
 
         for part in parts:
-            for *key, block, item, root, line in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                if key != tile:
-                    if len(held[0]) > 1:
-                        yield found()
-                    tile, held = key, ([], [], [], [])
-                for kept, value in zip(held, (item, root, block, line), strict=True):
-                    kept.append(value)
-        if len(held[0]) > 1:
+            for start in range(0, part.num_rows, 8192):
+                for bucket, p, q, *row in zip(*(c.slice(start, 8192).to_pylist() for c in part.columns), strict=True):
+                    if (bucket, p, q) != tile:
+                        if len(held) > 1:
+                            yield found()
+                        tile, held = (bucket, p, q), []
+                    held.append(row)
+        if len(held) > 1:
             yield found()
 
     return run
@@ -366,10 +469,9 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     lines = found.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("length", "words", *_SIMS)])
     # The number is fixed by the written table.
     lines = settle(lines.withColumn("item", F.monotonically_increasing_id()))
-    buckets = lines.select(F.explode(_buckets(similarity)).alias("bucket"), "item")
-    shared = buckets.repartition("bucket").sortWithinPartitions("bucket", "item").mapInArrow(_shared_pass, "bucket long, hub long, item long")
-    members = settle(shared)
-    marks = lines.select("item", "length", "words", *[_SIMS[k * WORDS64 + w] for k in (0, 1) for w in (0, 1)])
+    buckets = lines.select(F.explode(_buckets(similarity)).alias("b"), "item").select("b.bucket", "item", "b.mark")
+    members = settle(buckets.repartition("bucket").sortWithinPartitions("bucket", "item").mapInArrow(_meet_pass, "bucket long, hub long, item long"))
+    marks = lines.select("item", "length", "words", *_MARKS)
 
     def bodies(items: DataFrame) -> DataFrame:
         where = settle(lines.join(items, "item", "left_semi").select("item", "first.*"))
@@ -381,7 +483,9 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = settle(star.join(marks.alias("a"), F.col("x") == F.col("a.item")).join(marks.alias("b"), F.col("y") == F.col("b.item")).where(_near(similarity)).select(F.col("x").alias("a"), F.col("y").alias("b")))
     said = bodies(pairs.select(F.col("a").alias("item")).union(pairs.select(F.col("b").alias("item"))).distinct())
     both = pairs.join(said.toDF("a", "la"), "a").join(said.toDF("b", "lb"), "b").select("a", "b", "la", "lb")
-    first = settle(both.mapInArrow(_verify_pass(similarity), "a long, b long"))
+    trimmed = both.mapInArrow(_trim_pass(similarity), "a long, b long, la string, lb string, most int")
+    close = (F.greatest(F.length("la"), F.length("lb")) <= F.col("most")) | (F.call_function("levenshtein", F.col("la"), F.col("lb"), F.col("most")) >= 0)
+    first = settle(trimmed.where(close).select("a", "b"))
     groups = components(first)
     # Where members of a bucket still lie in different groups, they meet in tiles; a bucket of two has met.
     rooted = settle(members.join(groups, "item", "left").select("bucket", "item", F.coalesce("root", "item").alias("root")))
@@ -389,10 +493,13 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     once = mixed.groupBy("n", "same").agg(F.min("bucket").alias("bucket"))
     apart = settle(rooted.join(once.select("bucket", "n"), "bucket"))
     blocks = F.ceil(F.col("n") / TILE).cast("int")
+
     dealt = apart.withColumn("block", F.pmod(F.xxhash64("item"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     tiles = dealt.select("bucket", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "item", "root")
-    filled = tiles.join(bodies(apart.select("item").distinct()), "item").select("bucket", "p", "q", "block", "item", "root", "line")
-    second = settle(filled.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "item").mapInArrow(_tile_pass(similarity), "a long, b long").distinct())
+    told = marks.join(bodies(apart.select("item").distinct()), "item")
+    filled = tiles.join(told, "item").select("bucket", "p", "q", "block", "item", "root", "length", "words", *_MARKS, "line")
+    sorted_ = filled.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "item")
+    second = settle(sorted_.mapInArrow(_tile_pass(similarity), "a long, b long").distinct())
     if not second.isEmpty():
         groups = components(settle(first.union(second)))
     decided = lines.select("k1", "k2", "n", "first", "item").join(groups, "item", "left").where("n > 1 or root is not null").select("k1", "k2", "first", F.coalesce("root", "item").alias("root"))
