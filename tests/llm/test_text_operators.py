@@ -225,8 +225,9 @@ def changed_pairs(kind, words, random, count=150):
     return out
 
 
-# Least share of similar pairs that the blocks must propose, by kind of change and words of the line; the README gives the figures.
-RECALL = [(0.001, 3, 0.60), (0.001, 5, 0.70), (0.001, 8, 0.80), (0.001, 12, 0.90), (0.001, 30, 0.80), (0.001, 60, 0.93), (0.05, 8, 0.60), (0.05, 12, 0.50), ("word", 12, 0.60), ("word", 30, 0.75), ("word", 60, 0.85), ("word", 90, 0.90)]
+# Least share of similar pairs that must be linked, by kind of change (share of characters, or one word) and words of the line. They lie a little
+# under what was measured, so they only catch a loss; the README gives the measured figures and says which kinds stay below 0.9.
+RECALL = [(0.001, 3, 0.60), (0.001, 5, 0.70), (0.001, 8, 0.80), (0.001, 12, 0.90), (0.001, 30, 0.80), (0.001, 60, 0.93), (0.05, 8, 0.50), (0.05, 12, 0.45), (0.02, 30, 0.25), ("word", 12, 0.80), ("word", 30, 0.85), ("word", 60, 0.93), ("word", 90, 0.95)]
 
 
 def test_recall_of_the_blocks_by_kind_of_line(spark):
