@@ -98,3 +98,14 @@ def test_asof(spark):
     right = spark.createDataFrame([("a", "2024-01-05", 1.0), ("a", "2024-01-10", 2.0), ("b", "2024-01-11", 3.0)], "k string, q string, p double").select("k", F.to_date("q").alias("q"), "p")
     got = {(r["k"], str(r["d"])): r["p"] for r in asof_day(left, right, ["k"], "d", "q", ["p"], 21).collect()}
     assert got == {("a", "2024-01-10"): 2.0, ("a", "2024-03-01"): None, ("b", "2024-01-10"): None}
+
+
+def test_attach_does_not_broadcast_a_compressed_lookup_in_copies(spark, tmp_path, capsys):
+    # A file far below the broadcast threshold whose 16 copies of 900,000 rows would have gone to the driver.
+    folder = f"{tmp_path}/lookup"
+    spark.range(900_000).select(F.col("id").alias("k"), F.lit("T").alias("t")).coalesce(1).write.parquet(folder)
+    lookup, df = spark.read.parquet(folder), spark.range(3_000_000).select(F.col("id").alias("k"), F.lit(1).alias("one"))
+    joined = attach(df, lookup, ["k"], how="inner")
+    joined.explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
+    assert joined.count() == 900_000 and joined.columns == ["k", "one", "t"]
