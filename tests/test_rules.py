@@ -269,3 +269,12 @@ def test_json_lines_and_stores(spark, tmp_path):
     series, issues = st.wide_from_csv(spark, str(tmp_path / "grid.csv"))
     assert sorted((r["series"], str(r["obs_date"]), r["value"]) for r in series.collect() if r["value"]) == [("a", "2020-01-31", 1.0)]
     assert {r["severity"] for r in issues.collect()} == {"warning"}
+
+
+def test_claim_rules_bound_words_as_ascii_and_take_framing_from_the_rules(spark):
+    from gaugework.catalog.text import PROSE
+
+    # "on" between accented letters is a word to the SQL's engine; the finance framing "what are" is no rule of PROSE.
+    df = spark.createDataFrame([("a", "Esble that onoust pa \u00e9on\u00e8 du"), ("b", "Estion of what are to tothnded now"), ("c", "Could you say that the plant is kind of new")], "doc string, sentence string")
+    assert {r["doc"]: r["dimension"] for r in ops.sentence_claims(df, PROSE).collect()} == {"a": "place", "b": "owner", "c": "owner"}
+    assert [r["v"] for r in df.orderBy("doc").select(tx.is_noise(F.col("sentence")).alias("v")).collect()] == [False, True, True]
