@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gaugework.catalog.registry import query, table
+from gaugework.functions.numbers import steady_sum
 from gaugework.operators import history as hs
 from gaugework.operators.crosssection import melt
 from gaugework.params import HistoryParams
@@ -19,9 +20,9 @@ def annual_rows(spark, folder):
     value, q = F.col("l_extendedprice"), F.col("l_quantity")
     return l.groupBy(F.concat(F.lit(" s"), F.col("l_suppkey").cast("string")).alias("ticker"), F.year("l_shipdate").alias("fiscal_year"), "l_linestatus").agg(
         F.min(F.col("l_orderkey") * 1000000 + F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("source_row"), F.to_date(F.max("l_shipdate")).alias("fiscal_period_end"),
-        F.sum(value).alias("revenue"), F.sum(value * (F.col("l_discount") - 0.045)).alias("net_income"), F.sum(value * (F.col("l_tax") - 0.038)).alias("free_cash_flow"),
-        (F.sum(value * F.col("l_discount")) / F.sum(value)).alias("gross_margin"), F.avg(F.col("l_discount") * q).alias("roa"), (F.avg(F.col("l_tax") * q) - 0.9).alias("debt_to_equity"),
-        (F.sum(value * (F.col("l_discount") - 0.045)) / F.sum(value)).alias("net_margin"), F.count("*").alias("lines"),
+        steady_sum(value).alias("revenue"), steady_sum(value * (F.col("l_discount") - 0.045)).alias("net_income"), steady_sum(value * (F.col("l_tax") - 0.038)).alias("free_cash_flow"),
+        (steady_sum(value * F.col("l_discount")) / steady_sum(value)).alias("gross_margin"), (steady_sum(F.col("l_discount") * q) / F.count(F.col("l_discount") * q)).alias("roa"), (steady_sum(F.col("l_tax") * q) / F.count(F.col("l_tax") * q) - 0.9).alias("debt_to_equity"),
+        (steady_sum(value * (F.col("l_discount") - 0.045)) / steady_sum(value)).alias("net_margin"), F.count("*").alias("lines"),
     )
 
 

@@ -35,6 +35,15 @@ def quantise5(value: Column) -> Column:
     return F.round(value.try_cast("decimal(38,12)"), 5).cast("decimal(38,5)")
 
 
+def steady_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order of the rows: added as decimals of ten places.
+
+    A group with a value that no such decimal holds (NaN, infinite or beyond 20 digits) gets the plain sum.
+    """
+    fixed = F.round(value, 10).try_cast("decimal(30,10)")
+    return F.when(F.count(value) == F.count(fixed), F.sum(fixed).cast("double")).otherwise(F.sum(value))
+
+
 def safe_div(top: Column, bottom: Column, positive_only: bool = False) -> Column:
     allowed = bottom > 0 if positive_only else bottom != 0
     return F.when(allowed, finite(F.try_divide(top.cast("double"), bottom.cast("double"))))
