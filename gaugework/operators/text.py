@@ -22,6 +22,8 @@ from gaugework.plans.settle import settle
 # A sentence ends at . ! ? before a blank or the end of the text; section headings.
 # The look-behind starts a match only at the head of a run, so a line without an end costs one pass.
 SENTENCE = re.compile(r"(?<![^.!?\n])[^.!?\n]++(?:[.!?]+(?=\s|$)|$)")
+#: Characters of text after which a Python task hands on its rows, whatever the length of the Arrow batch.
+SLICE = 2_000_000
 HEADINGS = r"(?im)^(prepared remarks|question and answer|q&a|financial outlook)\s*:?[ \t]*$"
 
 
@@ -76,19 +78,24 @@ def sections(documents: DataFrame, key: str) -> DataFrame:
 def sentences(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, sentence_no, start_char, end_char, sentence) with exact character offsets."""
     kind = documents.schema[key].dataType.simpleString()
+    columns = [key, "sentence_no", "start_char", "end_char", "sentence"]
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for k, body in zip(batch[key], batch[text]):
                 number = 0
+                size += len(body or "")
                 for m in SENTENCE.finditer(body or ""):
                     value = m.group(0).strip()
                     if value:
                         start = m.start() + len(m.group(0)) - len(m.group(0).lstrip())
                         rows.append((k, number, start, start + len(value), value))
                         number += 1
-            yield pd.DataFrame(rows, columns=[key, "sentence_no", "start_char", "end_char", "sentence"])
+                if size >= SLICE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+            yield pd.DataFrame(rows, columns=columns)
 
     return documents.select(key, text).mapInPandas(split, f"{key} {kind}, sentence_no int, start_char int, end_char int, sentence string")
 
@@ -99,6 +106,7 @@ def chunks(documents: DataFrame, key: str, max_chars: int = 1800, overlap: int =
     Sequential inside one document, independent between documents. A longer sentence stays whole.
     """
     kind = documents.schema[key].dataType.simpleString()
+    columns = [key, "chunk_no", "start_char", "end_char", "text"]
     width, lap = max(200, max_chars), max(0, min(overlap, max(200, max_chars) // 2))
 
     def windows(body: str) -> Iterator[tuple[int, int]]:
@@ -124,8 +132,15 @@ def chunks(documents: DataFrame, key: str, max_chars: int = 1800, overlap: int =
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(k, i, a, b, body[a:b]) for k, body in zip(batch[key], batch["text"]) if body for i, (a, b) in enumerate(windows(body))]
-            yield pd.DataFrame(rows, columns=[key, "chunk_no", "start_char", "end_char", "text"])
+            rows, size = [], 0
+            for k, body in zip(batch[key], batch["text"]):
+                if body:
+                    rows += [(k, i, a, b, body[a:b]) for i, (a, b) in enumerate(windows(body))]
+                    size += len(body)
+                if size >= SLICE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+            yield pd.DataFrame(rows, columns=columns)
 
     return documents.select(key, "text").mapInPandas(pack, f"{key} {kind}, chunk_no int, start_char int, end_char int, text string")
 

@@ -292,3 +292,12 @@ def test_annual_sums_do_not_depend_on_row_order(spark, tmp_path):
     odd = spark.createDataFrame([("a", 1e30), ("a", 1.0), ("n", float("nan")), ("z", None)], "k string, v double").groupBy("k").agg(numbers.steady_sum(F.col("v")).alias("s"))
     by = {r["k"]: r["s"] for r in odd.collect()}
     assert by["a"] == 1e30 and by["n"] != by["n"] and by["z"] is None
+
+
+def test_sentences_and_chunks_are_whole_across_slices(spark):
+    body = "One two three. " * 2_000
+    docs = spark.createDataFrame([(i, body) for i in range(150)], "doc_id long, text string").coalesce(1)  # 4.5 million characters, more than two slices
+    assert 150 * len(body) > 2 * ops.SLICE
+    found = ops.sentences(docs, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("sentence_no").alias("last"), F.max("end_char").alias("end")).collect()
+    assert len(found) == 150 and {(r["n"], r["last"], r["end"]) for r in found} == {(2_000, 1_999, len(body) - 1)}
+    assert {r["end"] for r in ops.chunks(docs, "doc_id").groupBy("doc_id").agg(F.max("end_char").alias("end")).collect()} == {len(body) - 1}
