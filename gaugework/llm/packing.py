@@ -17,6 +17,8 @@ from gaugework.llm.tokens import LIMIT, Encoder, vocabulary_path, worker
 END = 0
 #: Pieces that one task packs at a time; fixes the memory of a task, never what is packed.
 PART = 50_000
+#: Texts that a Python task encodes at a time; bounds its memory, not the result.
+TEXTS = 256
 ROUNDS = 6
 
 
@@ -25,25 +27,28 @@ def token_pieces(docs: DataFrame, capacity: int = LIMIT, path: str | None = None
 
     NULL and empty texts are the end id alone; repeated rows give repeated pieces.
     """
-    path = path or vocabulary_path()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_piece_pass(path or vocabulary_path(), capacity, keep_ids), "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else ""))
+
+
+def _piece_pass(path: str, capacity: int, keep_ids: bool):
     end = np.asarray([END], dtype="<u4").tobytes()
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + keep_ids]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = worker(path, Encoder)
-        for part in parts:
-            rows: list[list] = [[], [], [], [], [], []]
+        for part in (whole.slice(at, TEXTS) for whole in parts for at in range(0, whole.num_rows, TEXTS)):
+            columns: list[list] = [[] for _ in names]
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 packed = encode(text or "") + end
                 for piece, at in enumerate(range(0, len(packed), 4 * capacity)):
                     body = packed[at : at + 4 * capacity]
-                    for column, value in zip(rows, (doc, piece, at // 4, len(body) // 4, zlib.crc32(body), body), strict=True):
+                    for column, value in zip(columns, (doc, piece, at // 4, len(body) // 4, zlib.crc32(body), body)):  # ids only if kept
                         column.append(value)
-            columns = [pa.array(c, type=t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays(columns[: 5 + keep_ids], names[: 5 + keep_ids])
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names)
 
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else ""))
+    return run
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:

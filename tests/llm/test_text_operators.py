@@ -488,3 +488,13 @@ def test_words_of_long_texts():
     text = b"long " * 400_000
     hashes, counts = word_hashes([text, b"", b"long"])
     assert counts.tolist() == [400_000, 0, 1] and len(set(hashes.tolist())) == 1
+
+
+def test_packing_encodes_a_few_texts_at_a_time(tokenizer):
+    import pyarrow as pa
+
+    texts = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "text": ["one two", None, ""] * 200})
+    found = [b for keep in (False, True) for b in packing._piece_pass(tokens.vocabulary_path(), 2048, keep)(iter([texts]))]
+    assert max(b.num_rows for b in found) <= packing.TEXTS and [c for b in found for c in b.column(0).to_pylist()] == 2 * list(range(600))
+    kept = [r for b in found if "ids" in b.schema.names for r in b.to_pylist()]
+    assert len(kept) == 600 and all(len(r["ids"]) == 4 * r["length"] for r in kept)
