@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from gaugework.functions import text as tx
 from gaugework.operators import people as pe
 
 
@@ -28,3 +29,20 @@ def test_organisations_meet_on_whole_beginnings_only(spark):
     assert {r.name: (r.ticker, r.matched_title) for r in got.collect()} == want | {None: (None, None)}
     # A condition beside the equal keys would mean that all names and titles of one first word are paired.
     assert "StartsWith" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_company_name_is_worked_out_once_and_as_before(spark):
+    def before(text):
+        """The rule with a condition, which repeated everything under it."""
+        t = F.regexp_replace(F.regexp_replace(text, tx.R.SECURITY_WORDS, ""), r"\s+", " ")
+        t = F.regexp_replace(t, r"^[ ,.-]+|[ ,.-]+$", "")
+        for _ in range(3):
+            t = F.regexp_replace(F.regexp_replace(t, tx.R.LEGAL_SUFFIX, ""), r"^[ ,.-]+|[ ,.-]+$", "")
+            t = F.when(t.contains("."), t).otherwise(F.regexp_replace(t, r"(?i)\s+Group$", ""))
+        return F.coalesce(F.nullif(t, F.lit("")), F.trim(text))
+
+    names = ["Acme Group plc", "Acme  Tools GROUP Ltd.", "A.B. Group Inc", "Group", " Group Group ", "Acme.com Group", "Inc", " Ltd ", "", None, "Large ring Group Holdings plc Group", "Acme\nGroup", "X ADR Group", "Acme Group Online"]
+    rows = spark.createDataFrame([(n,) for n in names], "name string").select("name", tx.company_name(F.col("name")).alias("now"), before(F.col("name")).alias("before"))
+    assert [r.now for r in rows.collect()] == [r.before for r in rows.collect()]
+    plan = spark.createDataFrame([("a", "b")], "name string, text string").select(tx.brand_match(F.col("name"), F.col("text")).alias("b"), tx.legal_match(F.col("name"), F.col("text")).alias("l"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Depositary") == 2  # once in each match
