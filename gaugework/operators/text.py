@@ -164,7 +164,7 @@ def extract_claims(documents: DataFrame, key: str, rules: R.ClaimRules = R.Claim
     found = sentence_claims(sentences(documents, key), rules)
     for step in steps:
         found = step(found)
-    kept = drop_near_duplicates(drop_exact_duplicates(found, key), key)
+    kept = drop_near_duplicates(settle(drop_exact_duplicates(found, key)), key)  # read four times below
     return kept.withColumn("claim_id", tx.stable_id("clm_", document=F.col(key), start=F.col("start_char"), dimension=F.col("dimension"), text=F.col("sentence")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions import text as tx
 from gaugework.operators import people as pe
+from gaugework.operators import text as texts
 
 
 def test_organisations_meet_on_whole_beginnings_only(spark):
@@ -46,3 +47,22 @@ def test_company_name_is_worked_out_once_and_as_before(spark):
     assert [r.now for r in rows.collect()] == [r.before for r in rows.collect()]
     plan = spark.createDataFrame([("a", "b")], "name string, text string").select(tx.brand_match(F.col("name"), F.col("text")).alias("b"), tx.legal_match(F.col("name"), F.col("text")).alias("l"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Depositary") == 2  # once in each match
+
+
+def test_claims_of_a_document_are_taken_from_its_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(found):
+        def rows(batches):
+            for batch in batches:
+                read.add(len(batch))
+                yield batch
+
+        return found.mapInPandas(rows, found.schema)
+
+    said = [f"We expect revenue of ${n} million in the year, and margins of {n}% for the region." for n in range(6)]
+    docs = spark.createDataFrame([(i, " ".join(said[i:] + said[:2])) for i in range(4)], "doc_id long, text string")
+    candidates = texts.sentence_claims(texts.sentences(docs, "doc_id")).count()
+    assert candidates > 4
+    texts.extract_claims(docs, "doc_id", steps=[counted]).collect()
+    assert read.value == candidates
