@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions.dates import to_utc
 from gaugework.functions.numbers import joined_reasons, safe_div
-from gaugework.plans.joins import attach
+from gaugework.plans.joins import attach, look_up
 
 # Forms, window lengths and currencies of annual and interim facts.
 ANNUAL_FORMS = ["10-K", "10-K/A", "20-F", "20-F/A", "40-F", "40-F/A"]
@@ -205,7 +205,7 @@ def canonical_facts(facts: DataFrame, ranks: DataFrame) -> tuple[DataFrame, Data
     order = F.struct("filed", "accn")
     newest = facts.groupBy(*period).agg(F.max_by(F.struct("value", "filed", "accn"), order).alias("r"), F.count("*").alias("versions"))
     chosen = newest.select(*period, "r.*", "versions")
-    old = attach(facts, newest.select(*period, F.col("r.accn").alias("_current")), period, how="inner").where(F.col("accn") != F.col("_current")).drop("_current")
+    old = look_up(facts, newest.select(*period, F.col("r.accn").alias("_current")), period, how="inner").where(F.col("accn") != F.col("_current")).drop("_current")
     named = chosen.join(F.broadcast(ranks), "concept")
     economic = ["ticker", "metric", "unit", "period_start", "period_end", "fiscal_period"]
     best = named.groupBy(*economic).agg(F.min_by(F.struct("concept", "value", "filed", "accn", "versions"), F.struct("tag_rank", "concept")).alias("r"))

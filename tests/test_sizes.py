@@ -2,10 +2,12 @@
 
 import random
 import re
+from datetime import date
 
 from pyspark.sql import functions as F
 
 from gaugework.functions import text as tx
+from gaugework.operators import facts as fo
 from gaugework.operators import people as pe
 from gaugework.operators import text as texts
 
@@ -66,3 +68,15 @@ def test_claims_of_a_document_are_taken_from_its_text_once(spark):
     assert candidates > 4
     texts.extract_claims(docs, "doc_id", steps=[counted]).collect()
     assert read.value == candidates
+
+
+def test_superseded_facts_meet_the_newest_without_copies_of_it(spark):
+    rng = random.Random(25)
+    facts = [(f"T{rng.randrange(3)}", rng.choice(["Rev", "Ocf"]), "USD", date(2000 + rng.randrange(2), 1, 1), date(2001, 12, 31), "FY", float(i), date(2002, 1, 1 + rng.randrange(3)), f"a{i:02d}") for i in range(40)]
+    newest = {}
+    for f in facts:
+        newest[f[:6]] = max(newest.get(f[:6], f), f, key=lambda x: x[7:])
+    frame = spark.createDataFrame(facts, "ticker string, concept string, unit string, period_start date, period_end date, fiscal_period string, value double, filed date, accn string")
+    old = fo.canonical_facts(frame, spark.createDataFrame([("Rev", "revenue", 0), ("Ocf", "net_income", 0)], "concept string, metric string, tag_rank int"))[1]
+    assert sorted(r.accn for r in old.collect()) == sorted(f[8] for f in facts if newest[f[:6]] != f)
+    assert "_salt" not in old._jdf.queryExecution().optimizedPlan().toString()
