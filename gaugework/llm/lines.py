@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import id_bitmap, in_bitmap, packed, settle, unpacked
-from gaugework.llm.linking import components
+from gaugework.llm.linking import components, merged
 from gaugework.llm.words import mix, text_ranges, word_hashes
 
 SIMILARITY = 0.8
@@ -29,6 +29,10 @@ TELLING = 5
 PLANES = 255
 #: Rows of a bucket that are compared each with each at once.
 SMALL = 64
+#: Lines whose bucket rows are packed at once, bucket rows of a part on average, and those that are held before large buckets are relieved.
+SLICE, PART, HELD = 1 << 14, 1 << 19, 1 << 22
+#: Pairs whose edit distances are worked out at once, and characters of the shorter line up to which they are.
+BATCH, SHORT = 4096, 256
 #: Lines of one side of a tile.
 TILE = 256
 _PLAIN = bytes(0x0A if b == 0x0A else 0x30 if 0x30 <= b <= 0x39 else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -160,25 +164,46 @@ def _line_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "line_no", "k1", "k2", "length", "words", *_SIMS])
 
 
-def _buckets(similarity: float) -> Column:
-    """Pigeonhole keys of a line, each with 64 bits of the SimHash that the block has no part in: kind, block, the block's bits and a class of the length, hashed.
+def bucket_rows(sims: np.ndarray, lengths: np.ndarray, words: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, row, mark) of the pigeonhole keys of lines: kind, block, the block's bits and a class of the length; the mark is 64 bits of the SimHash that the block has no part in.
 
     Classes are as wide as two steps of ``similarity`` and shifted from block to block, so lines of similar length share most of them.
+    Keys are mixed, not hashed, so two of them never meet by chance. Rows of a bucket come in their order.
     """
-    span = F.log("length") / (-2 * float(np.log(similarity))) if 0 < similarity < 1 else F.col("length").cast("double")
-
-    def keys(kind: int, width: int) -> Column:
-        out = []
+    span = np.log(np.maximum(lengths, 1)) / (-2 * np.log(similarity)) if 0 < similarity < 1 else lengths.astype(np.float64)
+    out = []
+    for kind, width, has in ((0, WORD_BLOCK, words >= FROM), (1, PAIR_BLOCK, words <= UPTO)):
+        rows = np.flatnonzero(has)
+        mine = sims[rows, kind * WORDS64 : (kind + 1) * WORDS64]
         for j in range(BLOCKS):
-            here, after, shift = F.col(_SIMS[kind * WORDS64 + j // 4]), F.col(_SIMS[kind * WORDS64 + (j // 4 + 1) % WORDS64]), 16 * (j % 4)
-            bits = F.shiftrightunsigned(here, shift)
+            shift = 16 * (j % 4)
+            bits = mine[:, j // 4] >> np.uint64(shift)
             if shift + width > 64:
-                bits = bits.bitwiseOR(F.shiftleft(after, 64 - shift))
-            out.append(F.struct(F.xxhash64(F.lit(kind * BLOCKS + j), bits.bitwiseAND(F.lit((1 << width) - 1)), F.floor(span + j / BLOCKS)).alias("bucket"), F.col(_SIMS[kind * WORDS64 + (j // 4 + 2) % WORDS64]).alias("mark")))
-        return F.array(*out)
+                bits = bits | mine[:, (j // 4 + 1) % WORDS64] << np.uint64(64 - shift)
+            size = np.floor(span[rows] + j / BLOCKS).astype(np.uint64)
+            key = (size << np.uint64(5) | np.uint64(kind * BLOCKS + j)) << np.uint64(width) | bits & np.uint64((1 << width) - 1)
+            out.append((mix(key * np.uint64(2) + np.uint64(kind)), rows, mine[:, (j // 4 + 2) % WORDS64]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _deal_pass(similarity: float, n: int):
+    """The bucket rows of each ``SLICE`` of lines, dealt to ``n`` ranges of buckets: one row of packed arrays a slice and range, so few rows are shuffled."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, SLICE):
+                items, lengths, words, *sims = (c.slice(at, SLICE).to_numpy() for c in part.columns)
+                bucket, row, mark = bucket_rows(np.stack([s.view(np.uint64) for s in sims], axis=1), lengths, words, similarity)
+                place = (bucket >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
+                order = np.argsort(place.astype(np.uint16) if n < 1 << 16 else place, kind="stable")
+                ends = np.searchsorted(place[order], np.arange(n, dtype=np.uint64), side="right")
+                bucket, mark, offset = bucket[order], mark[order], (items[row[order]] - items[0]).astype(np.int64)
+                spans = [(i, slice(a, b)) for i, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)) if a < b]
+                columns = [pa.array([i for i, _ in spans], type=pa.int32()), pa.array([int(items[0])] * len(spans), type=pa.int64())]
+                columns += [pa.array([c[s].tobytes() for _, s in spans], type=pa.binary()) for c in (bucket, offset.astype(np.uint32), mark)]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "lo", "buckets", "offsets", "marks"])
 
-    none = F.array().cast("array<struct<bucket:bigint,mark:bigint>>")
-    return F.concat(F.when(F.col("words") >= FROM, keys(0, WORD_BLOCK)).otherwise(none), F.when(F.col("words") <= UPTO, keys(1, PAIR_BLOCK)).otherwise(none))
+    return run
 
 
 class _Meeting:
@@ -275,6 +300,63 @@ def _meet_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch(*met_in_small(*wait))
 
 
+def _gather_pass(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_meet_pass`` finds in the rows of ``_deal_pass``, sorted by part and lo.
+
+    The rows of one part are held, sorted and compared at once. Beyond ``HELD`` rows, which only buckets with very many members
+    cause, those members go on as a ``_Meeting`` and are held no longer.
+    """
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size, most, now = 0, HELD, None
+    large: dict[int, _Meeting] = {}
+
+    def batch(bucket: np.ndarray | int, hubs: np.ndarray, items: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (np.full(len(items), bucket, dtype=np.int64) if np.isscalar(bucket) else bucket, hubs, items)], ["bucket", "hub", "item"])
+
+    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        bucket, item, mark = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.argsort(bucket, kind="stable")
+        return bucket[order], item[order], mark[order]
+
+    def relieved() -> Iterator[pa.RecordBatch]:
+        nonlocal size, most
+        bucket, item, mark = joined()
+        heads = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        ends = np.append(heads[1:], len(bucket))
+        stay = np.ones(len(bucket), dtype=bool)
+        for start, end in zip(heads.tolist(), ends.tolist(), strict=True):
+            key = int(bucket[start])
+            if end - start > SMALL or key in large:
+                stay[start:end] = False
+                yield batch(key, *large.setdefault(key, _Meeting(key)).add(item[start:end], mark[start:end]))
+        held[:] = [(bucket[stay], item[stay], mark[stay])]
+        size = int(stay.sum())
+        most = max(HELD, 2 * size)
+
+    def finished() -> Iterator[pa.RecordBatch]:
+        nonlocal size, most
+        if large:
+            yield from relieved()
+        bucket, item, mark = joined()
+        yield from _meet_pass(iter([pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(item), pa.array(mark.view(np.int64))], ["bucket", "item", "mark"])]))
+        held.clear()
+        large.clear()
+        size, most = 0, HELD
+
+    for rows in parts:
+        for part, lo, *packs in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+            if part != now and held:
+                yield from finished()
+            now = part
+            bucket, offset, mark = (np.frombuffer(p, dtype=k) for p, k in zip(packs, (np.int64, np.uint32, np.uint64), strict=True))
+            held.append((bucket, offset.astype(np.int64) + lo, mark))
+            size += len(bucket)
+            if size > most:
+                yield from relieved()
+    if held:
+        yield from finished()
+
+
 def _text_pass(row_bits: bytes, line_bits: bytes):
     """Normalised lines whose row and place may be wanted; only those are normalised."""
 
@@ -363,28 +445,70 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a[start : len(a) - end], b[start : len(b) - end], most) <= most
 
 
-def _trim_pass(similarity: float):
-    """Pairs of lines without their common ends, which never changes the edit distance, and the most edits allowed.
+def edit_distances(left: list[str], right: list[str]) -> np.ndarray:
+    """Edit distances of pairs of lines, ``left`` of 1 to any number of characters: Myers' columns of all pairs advance together, in blocks of 64 bits."""
+    out = np.zeros(len(left), dtype=np.int64)
+    sizes, texts = (np.array([len(x) for x in side], dtype=np.int64) for side in (left, right))
+    blocks = (sizes + 63) // 64
+    codes = np.unique(np.frombuffer("".join(left + right).encode("utf-32-le", "surrogatepass"), dtype=np.uint32), return_inverse=True)
+    ids, kinds = codes[1].astype(np.int32), len(codes[0])
+    starts = np.cumsum(np.concatenate((sizes, texts))) - np.concatenate((sizes, texts))
+    one, top = np.uint64(1), np.uint64(63)
+    for w in np.unique(blocks).tolist():
+        group = np.flatnonzero(blocks == w)
+        group = group[np.argsort(-texts[group], kind="stable")]
+        most = max(1, (1 << 22) // (kinds * w))
+        for rows in (group[i : i + most] for i in range(0, len(group), most)):
+            m, n = sizes[rows], texts[rows]
+            owner, place = np.repeat(np.arange(len(rows)), m), _places(m.tolist())
+            same = np.zeros((len(rows), kinds, w), dtype=np.uint64)
+            np.bitwise_or.at(same, (owner, ids[np.repeat(starts[rows], m) + place], place >> 6), one << (place & 63).astype(np.uint64))
+            up, down, cost = np.full((w, len(rows)), ~np.uint64(0)), np.zeros((w, len(rows)), dtype=np.uint64), m.copy()
+            last = ((m - 1) & 63).astype(np.uint64)
+            for step in range(int(n[0]) if len(n) else 0):
+                k = int(np.searchsorted(-n, -step, side="left"))
+                found = same[np.arange(k), ids[starts[len(left) + rows[:k]] + step]]
+                plus, minus = np.ones(k, dtype=np.uint64), np.zeros(k, dtype=np.uint64)
+                for b in range(w):
+                    eq, vp, vn = found[:, b], up[b, :k], down[b, :k]
+                    xv = eq | vn
+                    eq = eq | minus
+                    xh = (((eq & vp) + vp) ^ vp) | eq
+                    rise, fall = vn | ~(xh | vp), vp & xh
+                    if b == w - 1:
+                        cost[:k] += (rise >> last[:k] & one).astype(np.int64) - (fall >> last[:k] & one).astype(np.int64)
+                    more, less = rise >> top, fall >> top
+                    rise, fall = rise << one | plus, fall << one | minus
+                    up[b, :k], down[b, :k] = fall | ~(xv | rise), rise & xv
+                    plus, minus = more, less
+            out[rows] = cost
+    return out
 
-    Lines whose quick bound is within the allowed edits are similar for certain and come out empty; hopeless lengths stay out.
-    """
+
+def similar_short(left: list[str], right: list[str], similarity: float) -> np.ndarray:
+    """1 or 0 for pairs as ``similar`` says, for all of them at once; -1 where the shorter line is empty or has more than ``SHORT`` characters."""
+    out = np.full(len(left), -1, dtype=np.int8)
+    sizes = np.array([(len(x), len(y)) for x, y in zip(left, right, strict=True)], dtype=np.int64).reshape(-1, 2)
+    low, high = sizes.min(axis=1), sizes.max(axis=1)
+    most = ((1 - similarity) * high + 1e-9).astype(np.int64)
+    out[high - low > most] = 0
+    some = np.flatnonzero((out < 0) & (low > 0) & (low <= SHORT))
+    if len(some):
+        a, b = zip(*(sorted((left[i], right[i]), key=len) for i in some.tolist()), strict=True)
+        out[some] = edit_distances(list(a), list(b)) <= most[some]
+    return out
+
+
+def _similar_pass(similarity: float):
+    """The similar pairs (a, b) of rows (a, b, la, lb). Spark's own levenshtein walks a band of cells one by one, which costs several times more on long lines."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows, left, right, allowed = [], [], [], []
-            for row, (x, y) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
-                most = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
-                if abs(len(x) - len(y)) > most:
-                    continue
-                if edits_at_most(x, y) <= most:
-                    x = y = ""
-                start, end = common_ends(x, y)
-                rows.append(row)
-                left.append(x[start : len(x) - end])
-                right.append(y[start : len(y) - end])
-                allowed.append(most)
-            at = pa.array(rows, type=pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(left, type=pa.string()), pa.array(right, type=pa.string()), pa.array(allowed, type=pa.int32())], ["a", "b", "la", "lb", "most"])
+            for at in range(0, part.num_rows, BATCH):
+                rows = part.slice(at, BATCH)
+                left, right = rows.column(2).to_pylist(), rows.column(3).to_pylist()
+                same = [known > 0 or known < 0 and similar(x, y, similarity) for known, x, y in zip(similar_short(left, right, similarity).tolist(), left, right, strict=True)]
+                yield rows.select(["a", "b"]).filter(pa.array(same, type=pa.bool_()))
 
     return run
 
@@ -406,7 +530,7 @@ def close_pairs(roots: np.ndarray, blocks: np.ndarray, lengths: np.ndarray, word
 
 
 def links_between(items: list[int], roots: list[int], pairs: tuple[np.ndarray, np.ndarray], lines: list[str], similarity: float) -> tuple[list[int], list[int]]:
-    """Spanning links between different groups of one tile; pairs of groups already joined never reach the edit distance."""
+    """Spanning links between different groups of tiles; pairs of groups already joined by an earlier batch never reach the edit distance."""
     up: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -415,39 +539,60 @@ def links_between(items: list[int], roots: list[int], pairs: tuple[np.ndarray, n
         return x
 
     a, b = [], []
-    for i, j in zip(*(x.tolist() for x in pairs), strict=True):
-        x, y = top(roots[i]), top(roots[j])
-        if x != y and similar(lines[i], lines[j], similarity):
-            up[max(x, y)] = min(x, y)
-            a.append(items[i])
-            b.append(items[j])
+    for at in range(0, len(pairs[0]), BATCH):
+        met = [(i, j) for i, j in zip(*(x[at : at + BATCH].tolist() for x in pairs), strict=True) if top(roots[i]) != top(roots[j])]
+        known = similar_short([lines[i] for i, _ in met], [lines[j] for _, j in met], similarity).tolist()
+        for (i, j), same in zip(met, known, strict=True):
+            x, y = top(roots[i]), top(roots[j])
+            if x != y and (same > 0 or same < 0 and similar(lines[i], lines[j], similarity)):
+                up[max(x, y)] = min(x, y)
+                a.append(items[i])
+                b.append(items[j])
     return a, b
 
 
 def _tile_pass(similarity: float):
-    """Links (a, b) between groups from rows (bucket, p, q, block, item, root, length, words, marks, line) sorted by tile; one tile is held at a time."""
+    """Links (a, b) between groups from rows (bucket, p, q, block, item, root, length, words, marks, line) sorted by tile.
+
+    One tile is held at a time, and of earlier ones the lines of up to ``BATCH`` pairs, which are compared at once.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, held = None, []
+        items, roots, lines, pairs = [], [], [], [np.zeros((2, 0), dtype=np.int64)]
+
+        def met() -> int:
+            """Pairs that wait, with those of the tile that is held."""
+            if len(held) > 1:
+                numbers = np.array([row[:5] for row in held], dtype=np.int64)
+                block, item, root, length, words = numbers.T
+                if root.min() != root.max():
+                    marks = np.array([row[5:9] for row in held], dtype=np.int64).view(np.uint64)
+                    new = np.stack(close_pairs(root, block, length, words, marks, similarity))
+                    used, again = np.unique(new, return_inverse=True)
+                    pairs.append(again.reshape(new.shape) + len(items))
+                    items.extend(item[used].tolist())
+                    roots.extend(root[used].tolist())
+                    lines.extend(held[i][9] for i in used.tolist())
+            return sum(p.shape[1] for p in pairs) if len(pairs) > 1 else 0
 
         def found() -> pa.RecordBatch:
-            numbers = np.array([row[:5] for row in held], dtype=np.int64)
-            marks = np.array([row[5:9] for row in held], dtype=np.int64).view(np.uint64)
-            block, item, root, length, words = numbers.T
-            pairs = close_pairs(root, block, length, words, marks, similarity) if root.min() != root.max() else (block[:0], block[:0])
-            a, b = links_between(item.tolist(), root.tolist(), pairs, [row[9] for row in held], similarity)
+            a, b = links_between(items, roots, tuple(np.concatenate(pairs, axis=1)), lines, similarity)
+            for kept in (items, roots, lines):
+                kept.clear()
+            pairs[1:] = []
             return pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], ["a", "b"])
 
         for part in parts:
             for start in range(0, part.num_rows, 8192):
                 for bucket, p, q, *row in zip(*(c.slice(start, 8192).to_pylist() for c in part.columns), strict=True):
                     if (bucket, p, q) != tile:
-                        if len(held) > 1:
+                        if met() >= BATCH or len(pairs) > BATCH:
                             yield found()
                         tile, held = (bucket, p, q), []
                     held.append(row)
-        if len(held) > 1:
-            yield found()
+        met()
+        yield found()
 
     return run
 
@@ -469,8 +614,10 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     lines = found.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("length", "words", *_SIMS)])
     # The number is fixed by the written table.
     lines = settle(lines.withColumn("item", F.monotonically_increasing_id()))
-    buckets = lines.select(F.explode(_buckets(similarity)).alias("b"), "item").select("b.bucket", "item", "b.mark")
-    members = settle(buckets.repartition("bucket").sortWithinPartitions("bucket", "item").mapInArrow(_meet_pass, "bucket long, hub long, item long"))
+    rows_of = lambda kind: F.sum(F.when(kind, BLOCKS).otherwise(0))
+    n = lines.agg(F.coalesce(rows_of(F.col("words") >= FROM) + rows_of(F.col("words") <= UPTO), F.lit(0))).first()[0] // PART + 1
+    dealt = lines.select("item", "length", "words", *_SIMS).mapInArrow(_deal_pass(similarity, n), "part int, lo long, buckets binary, offsets binary, marks binary")
+    members = settle(dealt.repartition("part").sortWithinPartitions("part", "lo").mapInArrow(_gather_pass, "bucket long, hub long, item long"))
     marks = lines.select("item", "length", "words", *_MARKS)
 
     def bodies(items: DataFrame) -> DataFrame:
@@ -483,9 +630,7 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = settle(star.join(marks.alias("a"), F.col("x") == F.col("a.item")).join(marks.alias("b"), F.col("y") == F.col("b.item")).where(_near(similarity)).select(F.col("x").alias("a"), F.col("y").alias("b")))
     said = bodies(pairs.select(F.col("a").alias("item")).union(pairs.select(F.col("b").alias("item"))).distinct())
     both = pairs.join(said.toDF("a", "la"), "a").join(said.toDF("b", "lb"), "b").select("a", "b", "la", "lb")
-    trimmed = both.mapInArrow(_trim_pass(similarity), "a long, b long, la string, lb string, most int")
-    close = (F.greatest(F.length("la"), F.length("lb")) <= F.col("most")) | (F.call_function("levenshtein", F.col("la"), F.col("lb"), F.col("most")) >= 0)
-    first = settle(trimmed.where(close).select("a", "b"))
+    first = settle(both.mapInArrow(_similar_pass(similarity), "a long, b long"))
     groups = components(first)
     # Where members of a bucket still lie in different groups, they meet in tiles; a bucket of two has met.
     rooted = settle(members.join(groups, "item", "left").select("bucket", "item", F.coalesce("root", "item").alias("root")))
@@ -501,7 +646,7 @@ def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sorted_ = filled.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "item")
     second = settle(sorted_.mapInArrow(_tile_pass(similarity), "a long, b long").distinct())
     if not second.isEmpty():
-        groups = components(settle(first.union(second)))
+        groups = merged(groups, second)
     decided = lines.select("k1", "k2", "n", "first", "item").join(groups, "item", "left").where("n > 1 or root is not null").select("k1", "k2", "first", F.coalesce("root", "item").alias("root"))
     decided = settle(decided)
     keep = decided.groupBy("root").agg(F.min("first").alias("keep"))

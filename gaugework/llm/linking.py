@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gaugework.llm.common import settle
 
 
+def _settled(stars: DataFrame) -> tuple[DataFrame, tuple]:
+    """``stars`` written out, with its number of rows and the sum of their hashes, which are observed while it is written."""
+    seen = Observation()
+    written = settle(stars.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+    return written, (seen.get["n"], seen.get["h"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(item, root) for every item of ``edges`` (a, b); root is the smallest item reachable.
 
@@ -17,23 +24,31 @@ def components(edges: DataFrame) -> DataFrame:
     rounds. Minima are combined before the shuffle and read back by joins that Spark can split, so a hub
     with any number of neighbours is no hot task. Each round is checkpointed.
     """
-    stars = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = None
-    while True:
-        now = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == (now["n"], now["h"]) or not now["n"]:
-            break
-        mark = (now["n"], now["h"])
+    stars, mark = _settled(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    last = None
+    while mark != last and mark[0]:
+        last = mark
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # Dealt once by u for the minima and the join; the last step of a round takes repeats out.
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").repartition("u")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
-        stars = settle(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        stars, mark = _settled(small.where("u <> v").distinct())
     roots = stars.select(F.col("v").alias("item"), F.col("v").alias("root")).distinct()
     return stars.select(F.col("u").alias("item"), F.col("v").alias("root")).union(roots)
 
 
+def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (item, root), joined further by ``links`` (a, b) of any items: only the linked groups are walked again."""
+    ends = links
+    for c in ("a", "b"):
+        ends = ends.join(groups.select(F.col("item").alias(c), F.col("root").alias(f"_{c}")), c, "left").withColumn(c, F.coalesce(f"_{c}", c)).drop(f"_{c}")
+    above = settle(components(ends))
+    known = groups.join(above.select(F.col("item").alias("root"), F.col("root").alias("top")), "root", "left").select("item", F.coalesce("top", "root").alias("root"))
+    return known.union(above.join(groups, "item", "left_anti").select("item", "root"))
+
+
 def link(
     buckets: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
@@ -64,7 +79,7 @@ def link(
     rooted = members.join(groups, "item", "left").select("bucket", "item", "hub", F.coalesce("root", "item").alias("root"))
     if between is not None:
         second = settle(between(settle(rooted.select("bucket", "item", "root"))))
-        return groups if second.isEmpty() else components(settle(first.union(second.select("a", "b"))))
+        return groups if second.isEmpty() else merged(groups, second.select("a", "b"))
     known = settle(rooted.join(marks, "item") if marks is not None else rooted.withColumn("mark", F.lit(0)))
     lead = known.where("item = hub").select("bucket", F.col("root").alias("lead"))
     apart = known.join(lead, "bucket").where("root <> lead").select("bucket", F.col("item").alias("a"), F.col("mark").alias("ma"), F.col("root").alias("ra"), "lead")
@@ -76,7 +91,7 @@ def link(
     rest = settle(apart.join(others, (apart["bucket"] == others["bucket"]) & meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if rest.isEmpty():
         return groups
-    return components(settle(first.union(verify(rest).select("a", "b"))))
+    return merged(groups, verify(rest).select("a", "b"))
 
 
 def spanning(a: Sequence[int], b: Sequence[int]) -> list[bool]:

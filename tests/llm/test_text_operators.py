@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -498,3 +499,44 @@ def test_packing_encodes_a_few_texts_at_a_time(tokenizer):
     assert max(b.num_rows for b in found) <= packing.TEXTS and [c for b in found for c in b.column(0).to_pylist()] == 2 * list(range(600))
     kept = [r for b in found if "ids" in b.schema.names for r in b.to_pylist()]
     assert len(kept) == 600 and all(len(r["ids"]) == 4 * r["length"] for r in kept)
+
+
+def test_packed_bucket_rows_meet_as_single_rows_do(monkeypatch):
+    rng = np.random.default_rng(5)
+    n = 400
+    sims = rng.integers(0, 1 << 63, (n, 2 * lines.WORDS64), dtype=np.uint64)
+    sims[100:300] = sims[50]  # one bucket of many near lines a block
+    sims[300:] = sims[rng.integers(0, 40, 100)]
+    lengths, words, items = np.full(n, 60), rng.integers(3, 20, n), np.arange(n) + (7 << 33)
+    bucket, row, mark = lines.bucket_rows(sims, lengths, words, 0.8)
+    order = np.lexsort((row, bucket.view(np.int64)))
+    plain = pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)[order]), pa.array(items[row[order]]), pa.array(mark.view(np.int64)[order])], ["bucket", "item", "mark"])
+    want = sorted(tuple(x.values()) for p in lines._meet_pass(iter([plain])) for x in p.to_pylist())
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in (items, lengths, words, *sims.view(np.int64).T)], ["item", "length", "words", *lines._SIMS])
+    for held, size in ((1 << 22, 1 << 14), (500, 64)):  # the second relieves large buckets on the way
+        monkeypatch.setattr(lines, "HELD", held)
+        monkeypatch.setattr(lines, "SLICE", size)
+        dealt = sorted((tuple(x.values()) for p in lines._deal_pass(0.8, 3)(iter([whole])) for x in p.to_pylist()), key=lambda x: x[:2])
+        assert len(dealt) < len(bucket) / 20  # few rows are shuffled, not one a bucket
+        packs = pa.RecordBatch.from_pylist([dict(zip(("part", "lo", "buckets", "offsets", "marks"), x, strict=True)) for x in dealt])
+        got = sorted(tuple(x.values()) for p in lines._gather_pass(iter([packs])) for x in p.to_pylist())
+        assert want and got == want
+
+
+def test_edit_distances_of_many_pairs_equal_one_by_one():
+    rng = np.random.default_rng(8)
+    left = ["".join(rng.choice(list("ab é你"), rng.integers(1, 200))) for _ in range(120)]
+    right = ["".join(c for c in x if rng.random() > 0.1) + "b" * int(rng.integers(0, 9)) for x in left]
+    assert lines.edit_distances(left, right).tolist() == [lines.edit_distance(a, b, 999) for a, b in zip(left, right, strict=True)]
+    known = lines.similar_short(left + [""], right + ["a"], 0.8).tolist()
+    assert all(k < 0 or bool(k) == lines.similar(a, b, 0.8) for k, a, b in zip(known, left + [""], right + ["a"], strict=True)) and 1 in known and 0 in known
+
+
+def test_later_links_join_whole_groups(spark):
+    from gaugework.llm.linking import components, merged
+
+    first = [(1, 2), (2, 3), (10, 11), (20, 21), (30, 31)]
+    later = [(3, 11), (21, 40), (50, 51)]
+    groups = components(spark.createDataFrame(first, "a long, b long"))
+    got = {tuple(r) for r in merged(groups, spark.createDataFrame(later, "a long, b long")).collect()}
+    assert got == {tuple(r) for r in components(spark.createDataFrame(first + later, "a long, b long")).collect()}
