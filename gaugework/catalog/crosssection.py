@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gaugework.catalog.registry import query, table
+from gaugework.functions.numbers import steady_sum
 from gaugework.operators import crosssection as cs
 from gaugework.operators import features as ft
 from gaugework.params import SnapshotParams, checked_weights
@@ -15,8 +16,9 @@ PARAMS = SnapshotParams(max_longs=40, max_shorts=30, min_long_score=55.0, min_sh
 
 
 def customer_snapshot(spark, folder):
+    size = F.ln("o_totalprice")
     orders = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count("*").cast("double").alias("order_count"), F.sum("o_totalprice").alias("order_value"), F.avg(F.ln("o_totalprice")).alias("average_order")
+        F.count("*").cast("double").alias("order_count"), steady_sum(F.col("o_totalprice")).alias("order_value"), (steady_sum(size, 15) / F.count(size)).alias("average_order")
     )
     nation = table(spark, folder, "nation")
     region = table(spark, folder, "region")

@@ -35,12 +35,12 @@ def quantise5(value: Column) -> Column:
     return F.round(value.try_cast("decimal(38,12)"), 5).cast("decimal(38,5)")
 
 
-def steady_sum(value: Column) -> Column:
-    """Sum of doubles that does not depend on the order of the rows: added as decimals of ten places.
+def steady_sum(value: Column, places: int = 10) -> Column:
+    """Sum of doubles that does not depend on the order of the rows: added as decimals of so many places.
 
-    A group with a value that no such decimal holds (NaN, infinite or beyond 20 digits) gets the plain sum.
+    A group with a value that no such decimal holds (NaN, infinite or beyond 30 digits in all) gets the plain sum.
     """
-    fixed = F.round(value, 10).try_cast("decimal(30,10)")
+    fixed = F.round(value, places).try_cast(f"decimal(30,{places})")
     return F.when(F.count(value) == F.count(fixed), F.sum(fixed).cast("double")).otherwise(F.sum(value))
 
 

@@ -1,6 +1,7 @@
 """Finance rules on hand-written sentences, snapshot rules, histories, incremental loads, trades and boards."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import Row
@@ -294,6 +295,21 @@ def test_annual_sums_do_not_depend_on_row_order(spark, tmp_path):
     assert by["a"] == 1e30 and by["n"] != by["n"] and by["z"] is None
 
 
+def test_customer_sums_do_not_depend_on_row_order(spark, tmp_path):
+    from gaugework.catalog.crosssection import customer_snapshot
+
+    # Customer 2 has the orders of customer 1 in reverse order; plain sums ranked one above the other.
+    prices = [0.1, 0.2, 0.3, 1234.56, 75462.67]
+    orders = [(c, p) for c in (1, 2) for p in (prices if c == 1 else prices[::-1])]
+    spark.createDataFrame(orders, "o_custkey long, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(c, f"C{c}", 0, 1.0, "S") for c in (1, 2, 3)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    by = {r["source_row"]: (r["order_count"], r["order_value"], r["average_order"]) for r in customer_snapshot(spark, str(tmp_path)).collect()}
+    assert by[1] == by[2] and by[3] == (None, None, None)
+    assert by[1][:2] == (5.0, 76697.83) and abs(by[1][2] - sum(math.log(p) for p in prices) / 5) < 1e-14
+
+
 def test_sentences_and_chunks_are_whole_across_slices(spark):
     body = "One two three. " * 2_000
     docs = spark.createDataFrame([(i, body) for i in range(150)], "doc_id long, text string").coalesce(1)  # 4.5 million characters, more than two slices
