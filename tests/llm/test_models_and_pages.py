@@ -99,6 +99,18 @@ def test_copies_of_a_page_do_not_erase_each_other(spark):
     assert Counter((r.page_id, r.text, r.n_repeated_tokens) for r in out) == Counter({(1, *whole): 2, (2, *whole): 1, (3, "other words here", 0): 1})
 
 
+def test_runs_of_a_whole_host_are_found(spark):
+    # Two pages share a run, 700 apart; page 0 stands there again on another host, where nothing repeats it.
+    pages = {i: [f"own {i} words {i * 7} of {i * 11} page", " ".join(f"s{i % 700}x{k}" for k in range(9)) + f" end{i}", "short one"] for i in range(1400)}
+    page = lambda i: "".join(f"<div>{block}</div>" for block in pages[i])
+    rows = [(i, f"http://big.example/{i}", page(i)) for i in pages] + [(5000, "http://other.example/0", page(0)), (5001, "http://OTHER.example/1", page(0))]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    got = {r.page_id: (r.text, r.n_repeated_tokens) for r in html.extract_main_text(table).collect()}
+    covered = html.repeated_tokens([[block.split(" ") for block in pages[i]] for i in pages])
+    assert len(got) == len(rows) and all(got[i] == (f"{pages[i][0]}\nend{i}", int(covered[i].sum())) for i in pages)
+    assert got[5000] == got[5001] == ("\n".join(pages[0]), 0)
+
+
 def test_pages_equal_their_articles(spark):
     import html as entities
     import re
