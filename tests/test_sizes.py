@@ -2,10 +2,12 @@
 
 import random
 import re
+import unicodedata
 from datetime import date
 
 from pyspark.sql import functions as F
 
+from gaugework.catalog import QUERIES
 from gaugework.functions import text as tx
 from gaugework.operators import facts as fo
 from gaugework.operators import people as pe
@@ -51,6 +53,41 @@ def test_company_name_is_worked_out_once_and_as_before(spark):
     assert plan.count("Depositary") == 2  # once in each match
 
 
+def test_company_matches_equal_plain_rules(spark):
+    """The rules written as loops over one name, on names and texts in other scripts' forms and with many suffixes."""
+    folded = lambda t: "".join(re.findall("[a-z0-9]+", unicodedata.normalize("NFKC", t).casefold()))
+    strip = lambda t: t.strip(" ,.-")
+
+    def short(name):
+        name, last = strip(re.sub(r"\s+", " ", unicodedata.normalize("NFKC", name))), None
+        while name != last:
+            last = name
+            name = strip(re.sub(r"(?i)[\s,.-]+(?:incorporated|inc|corporation|corp|limited|ltd|plc|holdings|holding)\.?$", "", name))
+            name = name if "." in name else re.sub(r"(?i)\s+Group$", "", name)
+        return name
+
+    def legal(name, text):
+        bare = "".join(w for w in re.findall("[a-z0-9]+", short(name).casefold()) if w not in ("group", "holding", "holdings"))
+        return bool(bare) and bare in folded(text)
+
+    def brand(name, text):
+        whole = short(name)
+        base = re.sub(r"(?i)\s+(?:group|online)$", "", whole)
+        aliases = [whole, base, *base.split()[: len(base.split()) > 1], *([base.replace("-", "")] if "-" in base else [])]
+        return any(len(a) >= 3 and len(folded(a)) >= 4 and folded(a) in folded(text) for a in aliases)
+
+    names = ["Hot ring Group plc", "Acme Inc Corp Ltd Holdings plc Limited", "Acme Group Inc Group Corp Group Ltd Group", "\uff21\uff23\uff2d\uff25 Tools Inc", "Stra\u00dfe AG", "E\ufb03cient Labs Ltd", "Cafe\u0301 Noir plc", "Trip.com Group Ltd", "Global-e Online Ltd", "Foo_Group Bar", "ab", "\u01f0anus Werke"]
+    texts = ["About hot x ", "About HOT RING.", "acme", "ACME tools", "die STRASSE ag", "efficient labs", "cafe noir", "cafenoir", "caf noir", "trip com group", "globale", "foobar", "foogroupbar", "ab", "janus werke", "corp", ""]
+    rows = spark.createDataFrame([(n, t) for n in names for t in texts], "name string, text string")
+    got = {(r.name, r.text): (r.legal, r.brand) for r in rows.select("name", "text", tx.legal_match(F.col("name"), F.col("text")).alias("legal"), tx.brand_match(F.col("name"), F.col("text")).alias("brand")).collect()}
+    assert got == {(n, t): (legal(n, t), brand(n, t)) for n in names for t in texts}
+
+
+def test_first_words_below_four_letters_are_no_brand(spark, tmp_path):
+    spark.createDataFrame([(1, "hot ring", "Brand#12"), (2, "large ring", "Brand#2"), (3, "hot ring", "Brand#13")], "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    assert {r.partkey: (r.legal, r.brand) for r in QUERIES["company_text_match"](spark, str(tmp_path)).collect()} == {1: (False, False), 2: (False, True), 3: (True, True)}
+
+
 def test_claims_of_a_document_are_taken_from_its_text_once(spark):
     read = spark.sparkContext.accumulator(0)
 
